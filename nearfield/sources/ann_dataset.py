@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nearfield.operators.tables import number_rows
+
 VECTORS = T.StructType([T.StructField("id", T.LongType()), T.StructField("vector", T.ArrayType(T.FloatType()))])
 NEIGHBORS = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("neighbors", T.ArrayType(T.LongType()))])
 DISTANCES = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("distances", T.ArrayType(T.FloatType()))])
@@ -71,13 +73,6 @@ def read_ann_dataset(spark: SparkSession, folder: str) -> AnnDataset:
                       part("distances", DISTANCES), metadata)
 
 
-def dense_ids(df: DataFrame, order: str | None = None) -> DataFrame:
-    """Add a gap-free 0-based ``id``, in the order of a column or of the partitions."""
-    rows = df.orderBy(order) if order else df
-    schema = T.StructType([T.StructField("id", T.LongType(), False), *df.schema.fields])
-    return rows.rdd.zipWithIndex().map(lambda pair: (pair[1], *pair[0])).toDF(schema)
-
-
 def dataset_metadata(train: DataFrame, test: DataFrame, neighbors: DataFrame, metric: str) -> DataFrame:
     """One row: dimension, metric, sizes and neighbours per query."""
     sizes = train.agg(F.max(F.size("vector")).cast("long").alias("dimension"), F.count(F.lit(1)).alias("train_size"))
@@ -93,8 +88,8 @@ def write_ann_dataset(train: DataFrame, test: DataFrame, truth: DataFrame, folde
 
     Frames without ``id`` are numbered from 0 in their own order.
     """
-    train = train if "id" in train.columns else dense_ids(train)
-    test = test if "id" in test.columns else dense_ids(test)
+    train = train if "id" in train.columns else number_rows(train, into="id")
+    test = test if "id" in test.columns else number_rows(test, into="id")
     rows = truth.groupBy(F.col("qid").cast("long").alias("query_id")).agg(
         F.array_sort(F.collect_list(F.struct("rank", "id", "score"))).alias("hits"))
     neighbors = rows.select("query_id", F.col("hits.id").cast("array<long>").alias("neighbors"))
