@@ -193,12 +193,12 @@ def table_profile(spark, sf_dir):
 
 
 @query("infer_kinds", """SELECT 'id' AS field, CASE WHEN bool_and(vec_id = floor(vec_id)) THEN 'Int64' ELSE 'Float' END AS kind FROM embeddings
-UNION ALL SELECT 'label', 'Float' FROM embeddings GROUP BY ALL HAVING bool_and(label = floor(label))
+UNION ALL SELECT 'label', CASE WHEN bool_and(label = floor(label)) THEN 'Float' END FROM embeddings
 UNION ALL SELECT 'vector', CASE WHEN min(len(embedding)) = max(len(embedding)) THEN 'FloatVector' ELSE 'Array<Float>' END FROM embeddings
 UNION ALL SELECT 'positions', CASE WHEN min(n) = max(n) THEN 'FloatVector' ELSE 'Array<Int64>' END FROM (SELECT len(list_filter(embedding, lambda x: abs(x) > 0.15)) AS n FROM embeddings)
-UNION ALL SELECT 'sparse', 'SparseFloatVector' FROM embeddings GROUP BY ALL HAVING bool_and(len(list_filter(embedding, lambda x: abs(x) > 0.15)) > 0)
-UNION ALL SELECT 'name', 'VarChar' FROM embeddings GROUP BY ALL UNION ALL SELECT 'flag', 'Bool' FROM embeddings GROUP BY ALL
-UNION ALL SELECT 'parts', 'Array<Struct>' FROM embeddings GROUP BY ALL UNION ALL SELECT 'info', 'JSON' FROM embeddings GROUP BY ALL""")
+UNION ALL SELECT 'sparse', CASE WHEN bool_and(len(list_filter(embedding, lambda x: abs(x) > 0.15)) > 0) THEN 'SparseFloatVector' ELSE 'JSON' END FROM embeddings
+UNION ALL SELECT 'name', CASE WHEN count(*) > 0 THEN 'VarChar' END FROM embeddings UNION ALL SELECT 'flag', CASE WHEN count(*) > 0 THEN 'Bool' END FROM embeddings
+UNION ALL SELECT 'parts', CASE WHEN count(*) > 0 THEN 'Array<Struct>' END FROM embeddings UNION ALL SELECT 'info', CASE WHEN count(*) > 0 THEN 'JSON' END FROM embeddings""")
 def infer_kinds(spark, sf_dir):
     c = F.col
     df = table(spark, sf_dir, "embeddings")
