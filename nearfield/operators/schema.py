@@ -211,6 +211,14 @@ def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
 # ---------------------------------------------------------------- validation
 
 
+def _longer_or_shorter(size: int):
+    return lambda x: F.size(x) != size
+
+
+def _beyond(size: int):
+    return lambda x: F.octet_length(x) > size
+
+
 def _rules(spec: CollectionSpec) -> list[tuple[str, str, Column]]:
     rules = []
     for f in spec.fields:
@@ -220,7 +228,7 @@ def _rules(spec: CollectionSpec) -> list[tuple[str, str, Column]]:
         if f.max_length and f.data_type in ("VarChar", "String"):
             rules.append((f.name, "max_length", F.octet_length(c) > f.max_length))
         if f.max_length and f.element_type == "VarChar":
-            rules.append((f.name, "max_length", F.exists(c, lambda x: F.octet_length(x) > f.max_length)))
+            rules.append((f.name, "max_length", F.exists(c, _beyond(f.max_length))))
         if f.data_type == "FloatVector":
             if f.dimension:
                 rules.append((f.name, "dimension", F.size(c) != f.dimension))
@@ -230,12 +238,11 @@ def _rules(spec: CollectionSpec) -> list[tuple[str, str, Column]]:
         if f.max_capacity and f.data_type == "Array":
             rules.append((f.name, "max_capacity", F.size(c) > f.max_capacity))
         for sub in f.struct_fields:
+            part = c.getField(sub.name)
             if sub.dimension:
-                rules.append((f"{f.name}.{sub.name}", "dimension",
-                              F.exists(c, lambda e, s=sub: F.size(e.getField(s.name)) != s.dimension)))
+                rules.append((f"{f.name}.{sub.name}", "dimension", F.exists(part, _longer_or_shorter(sub.dimension))))
             if sub.max_length:
-                rules.append((f"{f.name}.{sub.name}", "max_length",
-                              F.exists(c, lambda e, s=sub: F.octet_length(e.getField(s.name)) > s.max_length)))
+                rules.append((f"{f.name}.{sub.name}", "max_length", F.exists(part, _beyond(sub.max_length))))
     return [(name, rule, F.coalesce(bad, F.lit(False))) for name, rule, bad in rules]
 
 

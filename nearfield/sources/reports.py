@@ -21,7 +21,7 @@ def write_report(results: DataFrame, folder: str) -> None:
 
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     """All reports of a folder; a file holds ``{"results": [...]}`` or one result. Unreadable files are skipped."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json", recursiveFileLookup=True)
     many = F.from_json("value", f"struct<results:array<{RESULT}>>").getField("results")
     one = F.from_json("value", RESULT)
     lone = F.when(one.getField("status").isNotNull(), F.array(one))
