@@ -12,7 +12,7 @@ SEPARATOR = r"[^\p{L}\p{N}]+"
 def tokenize(c: Column | str) -> Column:
     """Tokens in reading order, repeats kept."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.filter(F.split(F.lower(c), SEPARATOR), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(c), SEPARATOR), "")
 
 
 def token_count(c: Column | str) -> Column:

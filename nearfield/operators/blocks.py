@@ -20,17 +20,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from nearfield.session import BROADCAST_BYTES, broadcast_if_small, materialize, salted_join
+from nearfield.session import broadcast_if_small, estimated_tasks, materialize, salted_join
 
 BASE_ROWS = 4096
 QUERY_ROWS = 1024
 BLOCKS_PER_TASK = 16
 VOCAB_COLUMNS = 2048
+SEED_TASKS = 128
 
 PACKED = "payload binary"
 
@@ -234,9 +236,12 @@ def _spread(n: int, row: np.ndarray, code: np.ndarray, value: np.ndarray, start:
 class SparseKernel(Kernel):
     """Inner product of sparse rows ``(keys, values)`` over the dimensions a query block uses.
 
-    A hit shares at least one dimension with the query.
+    A hit shares at least one dimension with the query. With ``positive`` weights on both sides that
+    is the same as a score above zero.
     """
 
+    positive = False
+
     def load(self, batch, query):
         keys, values = batch.column("keys"), batch.column("values")
         rows = pc.list_parent_indices(keys).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -253,19 +258,23 @@ class SparseKernel(Kernel):
         found = pc.index_in(bkey, value_set=vocab)
         hit = pc.is_valid(found).to_numpy(zero_copy_only=False)
         bcode, brow, bval = pc.drop_null(found).to_numpy(zero_copy_only=False).astype(np.int64), brow[hit], bval[hit]
-        score, shared = np.zeros((qn, bn)), np.zeros((qn, bn))
+        score = np.zeros((qn, bn))
+        shared = None if self.positive else np.zeros((qn, bn))
         for start in range(0, len(vocab), VOCAB_COLUMNS):
             width = min(VOCAB_COLUMNS, len(vocab) - start)
             qm = _spread(qn, qrow, qcode, qval, start, width)
             bm = _spread(bn, brow, bcode, bval, start, width)
             score += qm @ self.weigh(bm, b).T
-            shared += (qm != 0).astype(np.float64) @ (bm != 0).astype(np.float64).T
-        return np.where(shared > 0, -score, np.inf)
+            if shared is not None:
+                shared += (qm != 0).astype(np.float64) @ (bm != 0).astype(np.float64).T
+        return np.where((score if shared is None else shared) > 0, -score, np.inf)
 
 
 class TermKernel(SparseKernel):
     """BM25: saturated term frequency of the document times the query's weighted terms."""
 
+    positive = True
+
     def __init__(self, k1: float, b: float):
         self.k1, self.b = k1, b
 
@@ -421,6 +430,25 @@ def pair_small_queries(base: DataFrame, queries: DataFrame, n_queries: int, base
     )
 
 
+def wide(df: DataFrame) -> bool:
+    """Whether so many tasks would each emit their own best rows that a first bound pays."""
+    return estimated_tasks(df) > 8 * SEED_TASKS
+
+
+def some_partitions(df: DataFrame, tasks: int = SEED_TASKS) -> DataFrame:
+    """The rows of about ``tasks`` evenly spaced partitions; the others are not read.
+
+    The spacing follows the size estimate; a wrong one costs time only, any subset gives a true bound.
+    """
+    stride = min(10_000, max(1, estimated_tasks(df) // tasks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if TaskContext.get().partitionId() % stride == 0:
+            yield from batches
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _blocks_of(df: DataFrame, spread: Column, rows: int, count: str) -> DataFrame:
     """Block number within the cell, from the cell's row count."""
     return df.withColumn("block", F.pmod(F.xxhash64(spread), F.ceil(F.col(count) / rows).cast("long")).cast("int"))
@@ -462,7 +490,3 @@ def best_per(hits: DataFrame, by: list[str], k: int, order: list[str], rank: str
     """Top ``k`` rows per key under a total order; Spark limits each partition before the shuffle."""
     window = Window.partitionBy(*by).orderBy(*[F.col(c) for c in order])
     return hits.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
-
-
-def query_fits(n_queries: int, bytes_per_query: int) -> bool:
-    return n_queries * bytes_per_query <= BROADCAST_BYTES

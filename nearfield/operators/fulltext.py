@@ -6,37 +6,58 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearfield.functions.text import tokenize
 from nearfield.operators import blocks
-from nearfield.operators.search import pair
-from nearfield.session import broadcast_if_small, salted_join
+from nearfield.operators.search import pair, query_volume
+from nearfield.session import broadcast_if_small, materialize, salted_join, widen
+
+
+def _term_bytes():
+    return F.octet_length("term") + F.lit(48)
 
 
 def doc_tokens(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
     """``(id, tokens, doc_length)``; a document without tokens has length 0."""
     tokens = F.coalesce(tokenize(text), F.array().cast("array<string>"))
-    return df.select(id, tokens.alias("tokens")).withColumn("doc_length", F.size("tokens"))
+    return widen(df.select(id, text)).select(id, tokens.alias("tokens")).withColumn("doc_length", F.size("tokens"))
 
 
 def postings(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
-    """``(id, term, tf, doc_length)``, one row per document and distinct term."""
-    rows = doc_tokens(df, id, text).select(id, "doc_length", F.explode("tokens").alias("term"))
-    return rows.groupBy(id, "doc_length", "term").agg(F.count(F.lit(1)).alias("tf")).select(id, "term", "tf", "doc_length")
+    """``(id, term, tf, doc_length)``, one row per document and distinct term.
+
+    All tokens of a document lie in one row, so repeats are counted batch by batch without a shuffle.
+    """
+    docs = doc_tokens(df, id, text)
+    schema = T.StructType([df.schema[id], T.StructField("term", T.StringType()), T.StructField("tf", T.LongType()),
+                           T.StructField("doc_length", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("tokens")
+            row = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+            terms = pc.dictionary_encode(tokens.flatten())
+            size = max(1, len(terms.dictionary))
+            pairs, tf = np.unique(row * size + terms.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            doc, term = pa.array(pairs // size), pa.array(pairs % size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id).take(doc), terms.dictionary.take(term), pa.array(tf), batch.column("doc_length").take(doc)],
+                names=schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def term_stats(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
     """``(term, df, cf)``: documents that hold the term, and its occurrences.
 
-    Each document adds its distinct terms first, so a hot term is pre-aggregated before the shuffle.
+    One aggregation with partial sums: what is shuffled is the vocabulary of each task.
     """
-    terms = doc_tokens(df, id, text).select(id, F.explode("tokens").alias("term"))
-    per_doc = terms.groupBy(id, "term").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    rows = postings(df, id, text)
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
 def corpus_stats(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
@@ -44,11 +65,16 @@ def corpus_stats(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame
     return doc_tokens(df, id, text).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_length").alias("avg_length"))
 
 
-def document_frequency(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``(term, df)`` for the terms of a vocabulary only."""
-    distinct = tokens.select(F.explode(F.array_distinct("tokens")).alias("term"))
-    return distinct.join(broadcast_if_small(vocabulary), "term", "left_semi").groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"))
+def vocabulary_stats(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``(term, df, total_length)`` for the terms of a vocabulary, from one pass over tokenised documents.
+
+    The row of the empty term counts all documents, so its ``df`` is the corpus size and its
+    ``total_length`` the sum of all document lengths.
+    """
+    wanted = vocabulary.select("term").unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
+    each = F.explode(F.array_append(F.array_distinct("tokens"), F.lit(""))).alias("term")
+    rows = docs.select("doc_length", each).join(broadcast_if_small(wanted, 1_000_000, _term_bytes()), "term", "left_semi")
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("doc_length").alias("total_length"))
 
 
 def idf(n_docs, df):
@@ -67,19 +93,20 @@ def bm25_search(df: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: f
     docs = doc_tokens(df, id, text)
     words = queries.select(qid, F.explode(tokenize(query_text)).alias("term")).groupBy(qid, "term").agg(
         F.count(F.lit(1)).alias("qtf"))
-    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_length").alias("avg")).first()
-    if not stats["n"] or not stats["avg"]:
+    known = materialize(vocabulary_stats(docs, words.select("term").distinct()), "vocabulary")
+    whole = known.filter(F.col("term") == "").first()
+    if whole is None or not whole["total_length"]:
         return _no_hits(df, queries, id, qid)
-    known = document_frequency(docs, words.select("term").distinct())
-    weight = F.col("qtf") * idf(F.lit(float(stats["n"])), F.col("df"))
+    n_docs, average = float(whole["df"]), whole["total_length"] / whole["df"]
+    weight = F.col("qtf") * idf(F.lit(n_docs), F.col("df"))
     weighted = words.join(known, "term").select(qid, "term", weight.alias("w"))
     encoded = weighted.groupBy(qid).agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("e")).select(
         qid, F.col("e.term").alias("keys"), F.col("e.w").alias("values"))
-    rows = docs.filter("doc_length > 0").select(id, "tokens", (F.col("doc_length") / F.lit(stats["avg"])).alias("rel_length"))
+    rows = docs.filter("doc_length > 0").select(id, "tokens", (F.col("doc_length") / F.lit(average)).alias("rel_length"))
     if candidates is not None:
         rows = rows.join(candidates.select(id), id, "left_semi")
     size = F.aggregate("keys", F.lit(0), lambda acc, t: acc + F.octet_length(t) + 16)
-    pairs = pair(rows, encoded, id, qid, size, strategy, base_rows=1024, query_rows=512)
+    pairs = pair(rows, encoded, id, qid, query_volume(encoded, size), strategy, base_rows=1024, query_rows=512)
     hits = blocks.score_blocks(pairs, blocks.TermKernel(k1, b), k, [df.schema[id]], queries.schema[qid])
     return blocks.best_per(hits, [qid], k, ["cost", id]).select(qid, "rank", id, (-F.col("cost")).alias("score"))
 
@@ -94,8 +121,9 @@ def bm25_weights(df: DataFrame, k1: float = 1.5, b: float = 0.75, *, id: str = "
     """``(id, term, weight)``: every posting with its BM25 weight."""
     rows = postings(df, id, text)
     n, avg = corpus_stats(df, id, text).first()
-    frequencies = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = salted_join(rows, frequencies, "term", F.col(id))
+    frequencies = materialize(rows.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
+    small = broadcast_if_small(frequencies, 1_000_000, _term_bytes())
+    joined = rows.join(small, "term") if small is not frequencies else salted_join(rows, frequencies, "term", F.col(id))
     saturated = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_length") / F.lit(float(avg or 1))))
     return joined.select(id, "term", (idf(F.lit(float(n)), F.col("df")) * saturated).alias("weight"))
 
@@ -105,7 +133,7 @@ def bm25_encode(df: DataFrame, k1: float = 1.5, b: float = 0.75, *, id: str = "i
     """Add the sparse BM25 vector ``map<term id, weight>``; the term id is the term's 64-bit hash."""
     weights = bm25_weights(df, k1, b, id=id, text=text)
     entry = F.struct(F.xxhash64("term").alias("t"), F.col("weight").alias("w"))
-    vectors = weights.groupBy(id).agg(F.map_from_entries(F.array_sort(F.collect_set(entry))).alias(into))
+    vectors = weights.groupBy(id).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(into))
     empty = F.create_map().cast("map<bigint,double>")
     return df.join(vectors, id, "left").withColumn(into, F.coalesce(into, empty))
 
@@ -129,7 +157,7 @@ def text_embedding(df: DataFrame, text: str = "text", into: str = "vector", dim:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("__h")
-            rows = pa.compute.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             codes = lists.flatten().to_numpy(zero_copy_only=False)
             bucket = np.mod(codes, dim)
             sign = np.where((codes // dim) % 2 == 0, 1.0, -1.0)

@@ -7,11 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from nearfield.operators import blocks, cells
-from nearfield.session import BROADCAST_ROWS
+from nearfield.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, materialize
 
 DENSE = ("l2", "ip", "cosine")
 BINARY = ("hamming", "jaccard")
@@ -113,15 +112,13 @@ def cost_bytes(vector: str, metric: str) -> Column:
 def query_volume(queries: DataFrame, bytes_of: Column) -> tuple[int, bool]:
     """Number of queries (counted no further than the broadcast bound) and whether they fit it."""
     n, volume = queries.select(bytes_of.alias("b")).limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.sum("b")).first()
-    return n, n <= BROADCAST_ROWS and (volume or 0) <= 64 * 1024 * 1024
+    return n, n <= BROADCAST_ROWS and (volume or 0) <= BROADCAST_BYTES
 
 
-def pair(base: DataFrame, queries: DataFrame, key: str, qid: str, bytes_of: Column, strategy: str = "auto",
+def pair(base: DataFrame, queries: DataFrame, key: str, qid: str, volume: tuple[int, bool], strategy: str = "auto",
          base_rows: int = blocks.BASE_ROWS, query_rows: int = blocks.QUERY_ROWS) -> DataFrame:
     """All base blocks with all query blocks: broadcast when the queries are proven small, else shuffled."""
-    n, fits = query_volume(queries, bytes_of)
-    if strategy == "broadcast" and not fits:
-        raise ValueError("queries exceed the broadcast bound")
+    n, fits = volume
     if fits and strategy != "shuffle":
         return blocks.pair_small_queries(base, queries, n, base_rows, query_rows)
     whole = F.lit(0).alias("cell")
@@ -135,20 +132,29 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
     """``(qid, keys…, cost, rank)``: top-k rows, or the best row of the top-k groups.
 
     Large query sets on a metric with distance bounds take the pruned cell join, others meet
-    block by block. ``strategy`` can force ``broadcast``, ``shuffle`` or ``cells``.
+    block by block. A table of very many partitions is seeded: some of its partitions are searched
+    first, and their k-th cost bounds what the others need to emit. ``strategy`` can force
+    ``broadcast``, ``seeded``, ``shuffle`` or ``cells``.
     """
-    fields = [base.schema[c] for c in keys]
-    options = dict(keys=fields, qid=queries.schema[qid], group=base.schema[group] if group else None,
+    order = ["cost", *keys]
+    options = dict(keys=[base.schema[c] for c in keys], qid=queries.schema[qid], group=base.schema[group] if group else None,
                    carry=[base.schema[c] for c in carry], radius=radius)
-    if prune and group is None and radius is None and strategy in ("auto", "cells"):
-        if strategy == "cells" or not query_volume(queries, bytes_of)[1]:
-            hits = cells.exact_cells(base, queries, k, kernel, prune, keys[0], qid, options, base_rows, query_rows)
-            return blocks.best_per(hits, [qid], k, ["cost", *keys])
-    pairs = pair(base, queries, keys[0], qid, bytes_of, strategy, base_rows, query_rows)
+    volume = query_volume(queries, bytes_of)
+    if strategy in ("broadcast", "seeded") and not volume[1]:
+        raise ValueError("queries exceed the broadcast bound")
+    if prune and group is None and radius is None and (strategy == "cells" or (strategy == "auto" and not volume[1])):
+        hits = cells.exact_cells(base, queries, k, kernel, prune, keys[0], qid, options, base_rows, query_rows)
+        return blocks.best_per(hits, [qid], k, order)
+    if group is None and (strategy == "seeded" or (strategy == "auto" and volume[1] and blocks.wide(base))):
+        some = blocks.score_blocks(pair(blocks.some_partitions(base), queries, keys[0], qid, volume, strategy, base_rows, query_rows),
+                                   kernel, k, **options)
+        kth = blocks.best_per(some, [qid], k, order).filter(F.col("rank") == k).select(qid, F.col("cost").alias("tau"))
+        queries = materialize(queries.join(kth, qid, "left").withColumn("tau", F.coalesce("tau", F.lit(float("inf")))), "seeded")
+    pairs = pair(base, queries, keys[0], qid, volume, strategy, base_rows, query_rows)
     hits = blocks.score_blocks(pairs, kernel, k, **options)
     if group:
-        hits = blocks.best_per(hits, [qid, group], 1, ["cost", *keys], "__best").drop("__best")
-    return blocks.best_per(hits, [qid], k, ["cost", *keys])
+        hits = blocks.best_per(hits, [qid, group], 1, order, "__best").drop("__best")
+    return blocks.best_per(hits, [qid], k, order)
 
 
 def _sides(base, queries, id, vector, qid, query_vector, metric, extra=()):
@@ -216,20 +222,16 @@ def grouped_knn(base: DataFrame, queries: DataFrame, k: int, group_by: str, metr
     if group_size == 1:
         return best.select(qid, F.col("group_rank").alias("rank"), "group_rank", "group_value", id, score_of(metric))
     winners = best.select(qid, F.col("__g").alias("cell"), "group_rank")
-    winners = cells.materialize(winners, "groups")
+    winners = materialize(winners, "groups")
     members = blocks.pair_cells(narrow.withColumnRenamed("__g", "cell"),
                                 winners.join(q, qid).select("cell", qid, "group_rank", "vector"), id, qid)
-    hits = _score_members(members, kernel, group_size, narrow.schema[id], q.schema[qid], narrow.schema["group_value"])
+    hits = blocks.score_blocks(members, kernel, group_size, [narrow.schema[id]], q.schema[qid], carry=[narrow.schema["group_value"]])
     hits = hits.withColumn("cell", F.coalesce(F.concat(F.lit("v"), F.col("group_value").cast("string")), F.lit("null")))
     hits = blocks.best_per(hits, [qid, "cell"], group_size, ["cost", id], "__member").join(winners, [qid, "cell"])
     order = Window.partitionBy(qid).orderBy("group_rank", "__member")
     return hits.select(qid, F.row_number().over(order).alias("rank"), "group_rank", "group_value", id, score_of(metric))
 
 
-def _score_members(pairs, kernel, size, key, qid, group_value):
-    return blocks.score_blocks(pairs, kernel, size, [key], qid, carry=[group_value])
-
-
 def elements(df: DataFrame, id: str, array: str, predicate=None, keep: Sequence[str] = ()) -> DataFrame:
     """One row per (matching) element of a struct array, with its 0-based position in the stored array."""
     rows = df.select(id, *keep, F.posexplode(array).alias("pos", "element"))
@@ -268,9 +270,8 @@ def search_variants(base: DataFrame, queries: DataFrame, variants: Sequence[tupl
              for i, (_, cond, _) in enumerate(variants)]
     q = queries.select(qid, F.col(query_vector or vector).alias("vector"))
     rows = base.select(id, F.col(vector).alias("vector"), *flags)
-    anywhere = flags[0]
-    rows = rows.filter(" or ".join(f"in_{i}" for i in range(len(flags)))) if anywhere is not None else rows
-    pairs = pair(rows, q, id, qid, cost_bytes("vector", metric))
+    rows = rows.filter(" or ".join(f"in_{i}" for i in range(len(flags)))).filter(F.col("vector").isNotNull())
+    pairs = pair(rows, q, id, qid, query_volume(q, cost_bytes("vector", metric)))
     hits = blocks.score_blocks(pairs, kernel_for(metric), k, [base.schema[id]], queries.schema[qid], variants=sizes)
     window = Window.partitionBy("variant", qid).orderBy("cost", id)
     top = F.element_at(F.create_map(*[x for name, size in sizes for x in (F.lit(name), F.lit(size))]), F.col("variant"))
@@ -302,13 +303,7 @@ def scalar_query(df: DataFrame, filter: Column | str | None = None, output_field
 def get_by_ids(df: DataFrame, ids: DataFrame | Sequence, id: str = "id", output_fields: Sequence[str] | None = None) -> DataFrame:
     """Rows by primary key, from a literal list (pushed to the scan) or a frame of ids (semi join)."""
     if isinstance(ids, DataFrame):
-        from nearfield.session import broadcast_if_small
-
         rows = df.join(broadcast_if_small(ids.select(id)), id, "left_semi")
     else:
         rows = df.filter(F.col(id).isin(list(ids)))
     return rows.select(*output_fields) if output_fields else rows
-
-
-def long_field(name: str) -> T.StructField:
-    return T.StructField(name, T.LongType())

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +13,54 @@ from pyspark.sql import functions as F
 # A side is broadcast only when a bounded count proves it no larger than this.
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+_shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on: timestamps are compared in UTC."""
+    """Pin what results depend on (timestamps are compared in UTC) and make this package importable
+    in the Python workers of every executor."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        spark.sparkContext.addPyFile(_package_archive())
+        _shipped.add(application)
     return spark
 
 
+def _package_archive() -> str:
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="nearfield-code-"), "nearfield.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.join("nearfield", os.path.relpath(path, root)))
+    return target
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate: file sizes under a scan, an upper guess above joins. Runs nothing."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def estimated_tasks(df: DataFrame) -> int:
+    return estimated_bytes(df) // SPLIT_BYTES + 1
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores.
+
+    A file with one row group is one task however many cores there are. Inputs of more than a few
+    splits per core are left alone: they are wide enough, and moving them would shuffle the data.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_tasks(df) <= min(2 * cores, 64) else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -55,9 +97,16 @@ def bounded_count(df: DataFrame, limit: int) -> int:
     return df.limit(limit + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the frame is proven to have at most ``rows`` narrow rows."""
-    return F.broadcast(df) if bounded_count(df, rows) <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, bytes_of: Column | None = None) -> DataFrame:
+    """Hint a broadcast only when the frame is proven small.
+
+    Narrow frames of numbers are bounded by ``rows`` alone; with ``bytes_of`` (size of one row) the
+    summed size must also stay within the byte bound.
+    """
+    if bytes_of is None:
+        return F.broadcast(df) if bounded_count(df, rows) <= rows else df
+    n, volume = df.select(bytes_of.alias("b")).limit(rows + 1).agg(F.count(F.lit(1)), F.sum("b")).first()
+    return F.broadcast(df) if n <= rows and (volume or 0) <= BROADCAST_BYTES else df
 
 
 def salt(*cols: Column, buckets) -> Column:

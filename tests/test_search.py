@@ -58,7 +58,7 @@ def same(hits, expected, costs, sign):
 
 
 @pytest.mark.parametrize("metric,sign", [("l2", 1), ("ip", -1), ("cosine", -1)])
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "cells"])
+@pytest.mark.parametrize("strategy", ["broadcast", "seeded", "shuffle", "cells"])
 def test_knn_strategies_agree_with_brute_force(spark, metric, sign, strategy):
     df, m, _ = make(spark)
     queries = df.select(F.col("id").alias("qid"), "vector")
@@ -71,7 +71,7 @@ def test_l2_ids_exact_with_copies(spark):
     df, m, _ = make(spark)
     queries = df.select(F.col("id").alias("qid"), "vector")
     expected, _ = brute(m, "l2", 5)
-    for strategy in ("broadcast", "shuffle", "cells"):
+    for strategy in ("broadcast", "seeded", "shuffle", "cells"):
         got = collected(search.knn(df, queries, 5, "l2", strategy=strategy, base_rows=16, query_rows=8))
         assert {q: [r["id"] for r in rows] for q, rows in got.items()} == expected
 
@@ -235,6 +235,14 @@ def test_plan_shape(spark, plan, tmp_path):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_seeding_reads_some_partitions(spark, monkeypatch):
+    df = spark.range(0, 1000, 1, 20)
+    assert not blocks.wide(df)
+    monkeypatch.setattr(blocks, "estimated_tasks", lambda _: 20)
+    parts = blocks.some_partitions(df, tasks=4).select(F.spark_partition_id().alias("p")).distinct().collect()
+    assert sorted(r["p"] for r in parts) == [0, 5, 10, 15]
+
+
 def test_hot_cell_is_split(spark):
     """One cell holding every row is dealt over several join keys and still gives the exact answer."""
     df, m, _ = make(spark, n=150)
