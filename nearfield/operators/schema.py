@@ -300,44 +300,40 @@ def infer_column_kinds(raw: DataFrame, columns: list[str] | None = None) -> Data
     keys all start with a digit are sparse vectors, other objects JSON; rows that disagree are JSON.
     """
     columns = columns or raw.columns
-    aggregates = []
-    for i, name in enumerate(columns):
-        is_variant = isinstance(raw.schema[name].dataType, T.VariantType)
-        v = F.col(f"`{name}`") if is_variant else F.try_parse_json(F.col(f"`{name}`"))
-        kind = F.schema_of_variant(v)
-        number = F.try_variant_get(v, "$", "double")
-        items = F.try_variant_get(v, "$", "array<variant>")
-        doubles = F.transform(items, lambda x: F.try_variant_get(x, "$", "double"))
-        shape = (F.when(v.isNull() | (kind == "VOID"), F.lit(None).cast("string"))
-                 .when(kind == "BOOLEAN", "bool").when(kind == "STRING", "text")
-                 .when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "object").otherwise("number"))
-        of_strings = F.forall(items, lambda x: F.schema_of_variant(x) == "STRING")
-        of_bools = F.forall(items, lambda x: F.schema_of_variant(x) == "BOOLEAN")
-        of_objects = F.forall(items, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
-        of_numbers = F.forall(doubles, lambda x: x.isNotNull()) & ~of_strings & ~of_bools
-        keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-        aggregates += [
-            F.collect_set(shape).alias(f"shape{i}"),
-            F.bool_and(number == F.floor(number)).alias(f"whole{i}"),
-            F.min(F.size(items)).alias(f"lo{i}"), F.max(F.size(items)).alias(f"hi{i}"),
-            F.bool_and(of_numbers).alias(f"nums{i}"), F.bool_and(of_strings).alias(f"strs{i}"),
-            F.bool_and(of_bools).alias(f"bools{i}"), F.bool_and(of_objects).alias(f"objs{i}"),
-            F.bool_and(F.forall(doubles, lambda x: x == F.floor(x))).alias(f"ints{i}"),
-            F.bool_and((F.size(keys) > 0) & F.forall(keys, lambda key: key.rlike("^[0-9]"))).alias(f"sparse{i}"),
-        ]
-    row = raw.agg(*aggregates)
-    decided = []
-    for i, name in enumerate(columns):
-        c = {k: F.col(f"{k}{i}") for k in "shape whole lo hi nums strs bools objs ints sparse".split()}
-        shape = F.when(F.size(c["shape"]) == 1, F.get(c["shape"], F.lit(0)))
-        vector = c["nums"] & (c["lo"] == c["hi"]) & ((c["hi"] > 1) | ~c["ints"])
-        listed = (F.when(c["hi"] == 0, "JSON").when(vector, "FloatVector").when(c["nums"] & c["ints"], "Array<Int64>")
-                  .when(c["nums"], "Array<Float>").when(c["strs"], "Array<VarChar>").when(c["bools"], "Array<Bool>")
-                  .when(c["objs"], "Array<Struct>").otherwise("JSON"))
-        whole = F.lit(name == "id") & c["whole"]
-        kind = (F.when(shape == "bool", "Bool").when(shape == "text", "VarChar")
-                .when(shape == "number", F.when(whole, "Int64").otherwise("Float"))
-                .when(shape == "list", listed).when(shape == "object", F.when(c["sparse"], "SparseFloatVector").otherwise("JSON"))
-                .otherwise(F.when(F.size(c["shape"]) == 0, F.lit(None)).otherwise("JSON")))
-        decided.append(F.struct(F.lit(name).alias("field"), kind.alias("kind")))
-    return row.select(F.inline(F.array(*decided)))
+
+    def variant(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return c if isinstance(raw.schema[name].dataType, T.VariantType) else F.try_parse_json(c)
+
+    # one row per value, so that a single set of aggregates serves all columns
+    values = raw.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), variant(c).alias("v")) for c in columns])))
+    v = F.col("v")
+    values = values.select("field", "v", F.schema_of_variant(v).alias("type"), F.try_variant_get(v, "$", "double").alias("number"),
+                           F.try_variant_get(v, "$", "array<variant>").alias("items"),
+                           F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")).alias("keys"))
+    values = values.select("*", F.transform("items", lambda x: F.try_variant_get(x, "$", "double")).alias("doubles"),
+                           F.transform("items", F.schema_of_variant).alias("types"))
+    kind, types, doubles = F.col("type"), F.col("types"), F.col("doubles")
+    shape = (F.when(v.isNull() | (kind == "VOID"), F.lit(None).cast("string"))
+             .when(kind == "BOOLEAN", "bool").when(kind == "STRING", "text")
+             .when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "object").otherwise("number"))
+    numeric = F.forall(doubles, lambda x: x.isNotNull()) & ~F.exists(types, lambda t: t.isin("STRING", "BOOLEAN"))
+    facts = values.groupBy("field").agg(
+        F.collect_set(shape).alias("shapes"), F.bool_and(F.col("number") == F.floor("number")).alias("whole"),
+        F.min(F.size("items")).alias("lo"), F.max(F.size("items")).alias("hi"), F.bool_and(numeric).alias("nums"),
+        F.bool_and(F.forall(types, lambda t: t == "STRING")).alias("strs"),
+        F.bool_and(F.forall(types, lambda t: t == "BOOLEAN")).alias("bools"),
+        F.bool_and(F.forall(types, lambda t: t.startswith("OBJECT"))).alias("objs"),
+        F.bool_and(F.forall(doubles, lambda x: x == F.floor(x))).alias("ints"),
+        F.bool_and((F.size("keys") > 0) & F.forall("keys", lambda key: key.rlike("^[0-9]"))).alias("sparse"))
+    c = F.col
+    shape = F.when(F.size("shapes") == 1, F.get("shapes", F.lit(0)))
+    vector = c("nums") & (c("lo") == c("hi")) & ((c("hi") > 1) | ~c("ints"))
+    listed = (F.when(c("hi") == 0, "JSON").when(vector, "FloatVector").when(c("nums") & c("ints"), "Array<Int64>")
+              .when(c("nums"), "Array<Float>").when(c("strs"), "Array<VarChar>").when(c("bools"), "Array<Bool>")
+              .when(c("objs"), "Array<Struct>").otherwise("JSON"))
+    decided = (F.when(shape == "bool", "Bool").when(shape == "text", "VarChar")
+               .when(shape == "number", F.when((c("field") == "id") & c("whole"), "Int64").otherwise("Float"))
+               .when(shape == "list", listed).when(shape == "object", F.when(c("sparse"), "SparseFloatVector").otherwise("JSON"))
+               .otherwise(F.when(F.size("shapes") == 0, F.lit(None)).otherwise("JSON")))
+    return facts.select("field", decided.alias("kind"))

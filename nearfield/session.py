@@ -44,7 +44,7 @@ def _package_archive() -> str:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate: file sizes under a scan, an upper guess above joins. Runs nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def estimated_tasks(df: DataFrame) -> int:
