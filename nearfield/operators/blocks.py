@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from nearfield.session import broadcast_if_small, estimated_tasks, materialize, salted_join
+from nearfield.session import estimated_tasks, materialize, skew_join
 
 BASE_ROWS = 4096
 QUERY_ROWS = 1024
@@ -470,7 +470,7 @@ def pair_cells(base: DataFrame, queries: DataFrame, key: str, qid: str, base_row
     sizes = sizes.withColumn("h_parts", F.ceil(F.col("n_query") / (query_rows * BLOCKS_PER_TASK)).cast("int"))
 
     def side(df, spread, rows, count, own, other):
-        sized = salted_join(df, broadcast_if_small(sizes), "cell", F.col(spread))
+        sized = skew_join(df, sizes, "cell", F.col(spread))
         sized = _blocks_of(sized, F.col(spread), rows, count)
         drop = ["n_base", "n_query"]
         packed = pack_groups(sized.drop(*drop), ["cell", "g_parts", "h_parts", "block"])

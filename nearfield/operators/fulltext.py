@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from nearfield.functions.text import tokenize
 from nearfield.operators import blocks
 from nearfield.operators.search import pair, query_volume
-from nearfield.session import broadcast_if_small, materialize, salted_join, widen
+from nearfield.session import broadcast_if_small, materialize, skew_join, widen
 
 
 def _term_bytes():
@@ -123,7 +123,7 @@ def bm25_weights(df: DataFrame, k1: float = 1.5, b: float = 0.75, *, id: str = "
     n, avg = corpus_stats(df, id, text).first()
     frequencies = materialize(rows.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
     small = broadcast_if_small(frequencies, 1_000_000, _term_bytes())
-    joined = rows.join(small, "term") if small is not frequencies else salted_join(rows, frequencies, "term", F.col(id))
+    joined = rows.join(small, "term") if small is not frequencies else skew_join(rows, frequencies, "term", F.col(id))
     saturated = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_length") / F.lit(float(avg or 1))))
     return joined.select(id, "term", (idf(F.lit(float(n)), F.col("df")) * saturated).alias("weight"))
 

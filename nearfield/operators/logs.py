@@ -8,13 +8,11 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from nearfield.session import broadcast_if_small
-
 # A search slower than this many milliseconds counts as timed out.
 TIMEOUT_MS = 5000
 
@@ -351,7 +349,7 @@ def checkpoints(log: DataFrame, every: str = "1 minute") -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.avg("response_time_ms").alias("avg_ms"))
 
 
-def latency_delta(log: DataFrame, slots: str = "1 day") -> DataFrame:
+def latency_delta(log: DataFrame, slots: str = "10 minutes") -> DataFrame:
     """``|x_n - x_(n-1)|`` per virtual user in event order; a user's first row has none.
 
     A user's log is cut into time slots that are ordered in parallel; the last row of a slot is
@@ -430,11 +428,6 @@ def active_users(log: DataFrame, every: str = "1 minute", exact: bool = True) ->
     return log.groupBy(F.window("ts", every).start.alias("start")).agg(users.alias("users"))
 
 
-def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A few configuration rows as a frame, ready to broadcast."""
-    return broadcast_if_small(spark.createDataFrame(list(rows), schema))
-
-
 LOG = T.StructType([
     T.StructField("ts", T.TimestampType()), T.StructField("vu", T.LongType()), T.StructField("iter", T.LongType()),
     T.StructField("op", T.StringType()), T.StructField("tags", T.MapType(T.StringType(), T.StringType())),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nearfield.operators import blocks, cells
-from nearfield.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, materialize
+from nearfield.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, materialize, skew_join
 
 DENSE = ("l2", "ip", "cosine")
 BINARY = ("hamming", "jaccard")
@@ -214,7 +214,7 @@ def grouped_knn(base: DataFrame, queries: DataFrame, k: int, group_by: str, metr
     rows = rows.withColumn("__g", F.coalesce("__g", F.lit("null")))
     if strict:
         full = rows.groupBy("__g").count().filter(F.col("count") >= group_size).select("__g")
-        rows = rows.join(full, "__g", "left_semi").select(id, "__g", "vector", "group_value")
+        rows = skew_join(rows, full, "__g", F.col(id), "left_semi").select(id, "__g", "vector", "group_value")
     kernel, size = kernel_for(metric), cost_bytes("vector", metric)
     narrow = rows.select(id, "__g", "group_value", "vector")
     best = nearest(narrow, q, k, kernel, [id], qid, size, group="__g", carry=["group_value"], strategy=strategy)

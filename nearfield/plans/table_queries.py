@@ -213,10 +213,12 @@ def infer_kinds(spark, sf_dir):
 
 @query("columns_to_rows", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
 def columns_to_rows_query(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    rows = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))).alias("e"))
-    batches = rows.select("o_custkey", F.col("e.o_orderkey").alias("o_orderkey"), F.col("e.o_totalprice").alias("o_totalprice"))
-    return columns_to_rows(batches, ["o_orderkey", "o_totalprice"], keep=["o_custkey"])
+    """Orders packed into batches of a thousand and taken apart again."""
+    numbered = tables.number_rows(table(spark, sf_dir, "orders"), "o_orderkey")
+    part = F.struct("o_orderkey", "o_custkey", "o_totalprice")
+    packed = numbered.groupBy(F.floor(F.col("row_number") / 1000).alias("batch")).agg(F.array_sort(F.collect_list(part)).alias("e"))
+    names = ["o_custkey", "o_orderkey", "o_totalprice"]
+    return columns_to_rows(packed.select(*[F.col(f"e.{c}").alias(c) for c in names]), names)
 
 
 # ---------------------------------------------------------------- data sets and fixtures
@@ -231,20 +233,19 @@ def dataset_metadata_query(spark, sf_dir):
     return dataset_metadata(base, test, ground_truth(base, test, 5), "L2")
 
 
-@query("fixture_clustered")
+@query("fixture_clustered", """SELECT vec_id AS id, label::BIGINT AS group_id, round(sqrt(list_sum(list_transform(range(0, 64),
+lambda i: ((sin((label * 100 + i) * 0.1::DOUBLE) / 2 + 0.5::DOUBLE) ^ 2)))), 4) AS norm FROM embeddings""")
 def fixture_clustered(spark, sf_dir):
-    """Groups as many as the embeddings have labels, rows as many as the table."""
-    counts = table(spark, sf_dir, "embeddings").agg(F.countDistinct("label").alias("g"), F.count(F.lit(1)).alias("n")).first()
-    train, _ = fixtures.fixture_clustered(spark, counts["g"], counts["n"] // counts["g"], dim=64)
-    return train.select("id", "group_id", F.round(V.norm("embedding"), 4).alias("norm"))
+    ids = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("group_id"))
+    rows = fixtures.clustered_members(ids, noise=0.0, dim=64)
+    return rows.select("id", "group_id", F.round(V.norm("embedding"), 4).alias("norm"))
 
 
 @query("fixture_struct_array", """WITH d AS (SELECT vec_id AS id, 2 + vec_id % 4 AS n FROM embeddings),
 e AS (SELECT id, n, id * 10 + i AS s FROM d, range(0, 5) t(i) WHERE i < n)
 SELECT id, max(n) AS n_elements, sum(s % 100)::BIGINT AS int_total, round(sum((((s + 1) * 31) % 997)::DOUBLE / 997), 4) AS first_values FROM e GROUP BY id""")
 def fixture_struct_array(spark, sf_dir):
-    n = table(spark, sf_dir, "embeddings").count()
-    df = fixtures.fixture_struct_array(spark, n, 64)
+    df = fixtures.struct_documents(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), 64)
     total = F.aggregate("structA", F.lit(0).cast("bigint"), lambda a, e: a + e.int_val)
     first = F.aggregate("structA", F.lit(0.0), lambda a, e: a + e.embedding[0].cast("double"))
     return df.select("id", F.size("structA").cast("bigint").alias("n_elements"), total.alias("int_total"), F.round(first, 4).alias("first_values"))

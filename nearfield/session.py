@@ -77,8 +77,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/nearfield-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Remove the stage tables of this application; results read from them must be written before."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -114,12 +124,14 @@ def salt(*cols: Column, buckets) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(buckets) if isinstance(buckets, int) else buckets).cast("int")
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, spread: Column, how: str = "inner", salts: int = 32) -> DataFrame:
-    """Equi-join on ``key`` that splits every key of ``big`` over ``salts`` tasks.
+def skew_join(big: DataFrame, small: DataFrame, key: str, spread: Column, how: str = "inner", salts: int = 32) -> DataFrame:
+    """Equi-join on ``key`` with a frame of one row per key, safe against hot keys of ``big``.
 
-    ``small`` has one row per key and is replicated ``salts`` times; a key holding a large
-    share of ``big`` therefore never lands in a single task.
+    A ``small`` proven to fit is broadcast. Otherwise every key of ``big`` is split over ``salts``
+    tasks by a hash of ``spread``, and ``small`` is replicated that often.
     """
+    if bounded_count(small, BROADCAST_ROWS) <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), key, how)
     left = big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, "__salt"], how).drop("__salt")

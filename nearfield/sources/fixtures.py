@@ -43,14 +43,19 @@ def clustered_base(s: Column, dim: int) -> Column:
     return F.transform(positions(dim), lambda i: F.sin((s + i) * 0.1) / 2 + 0.5)
 
 
+def clustered_members(ids: DataFrame, noise: float = 0.01, dim: int = 128, seed: int = 7) -> DataFrame:
+    """Vectors near their group's base vector for rows ``(id, group_id)``."""
+    near = F.transform(clustered_base(F.col("group_id") * 100, dim), lambda x, i: x + noise * (uniform(F.col("id"), i, F.lit(seed)) - 0.5))
+    return ids.select("id", F.col("group_id").cast("bigint").alias("group_id"), F.concat(F.lit("group_"), "group_id").alias("category"),
+                      near.cast("array<float>").alias("embedding"))
+
+
 def fixture_clustered(spark: SparkSession, groups: int = 10, per_group: int = 10, noise: float = 0.01, dim: int = 128,
                       seed: int = 7, noise_rows: int = 100) -> tuple[DataFrame, DataFrame]:
     """``(train, test)``: members near their group's base vector, rows far from every group, and one
     query per group that is the base vector itself."""
-    members = spark.range(groups * per_group).withColumn("group_id", F.floor(F.col("id") / per_group).cast("bigint"))
-    base = clustered_base(F.col("group_id") * 100, dim)
-    near = F.transform(base, lambda x, i: x + noise * (uniform(F.col("id"), i, F.lit(seed)) - 0.5))
-    train = members.select("id", "group_id", F.concat(F.lit("group_"), "group_id").alias("category"), near.cast("array<float>").alias("embedding"))
+    ids = spark.range(groups * per_group).withColumn("group_id", F.floor(F.col("id") / per_group).cast("bigint"))
+    train = clustered_members(ids, noise, dim, seed)
     start = groups * per_group
     far = spark.range(start, start + noise_rows).select(
         "id", F.lit(-1).cast("bigint").alias("group_id"), F.lit("noise").alias("category"),
@@ -65,7 +70,12 @@ def modular_vector(s: Column, dim: int) -> Column:
 
 
 def fixture_struct_array(spark: SparkSession, n: int, dim: int = 128, low: int = 2, high: int = 5) -> DataFrame:
-    """Documents with 2 to 5 struct elements, each with a vector and scalar fields."""
+    """``n`` documents with 2 to 5 struct elements."""
+    return struct_documents(spark.range(n), dim, low, high)
+
+
+def struct_documents(ids: DataFrame, dim: int = 128, low: int = 2, high: int = 5) -> DataFrame:
+    """A document with struct elements, each with a vector and scalar fields, for every ``id``."""
     id = F.col("id")
     count = (F.lit(low) + F.pmod(id, F.lit(high - low + 1))).cast("int")
 
@@ -76,7 +86,7 @@ def fixture_struct_array(spark: SparkSession, n: int, dim: int = 128, low: int =
             (F.pmod(s, F.lit(1000)) / 10).cast("float").alias("float_val"), pick(COLORS, s).alias("color"), pick(SIZES, s).alias("size"),
             pick(CATEGORIES, s).alias("category"), F.concat(F.lit("tag_"), F.pmod(s, F.lit(10))).alias("tag"), (F.pmod(s, F.lit(2)) == 0).alias("flag"))
 
-    return spark.range(n).select(
+    return ids.select(
         "id", F.concat(F.lit("doc_"), id).alias("doc_varchar"), (F.pmod(id, F.lit(100)) / 100).cast("float").alias("doc_score"),
         pick(CATEGORIES, id).alias("doc_category"), modular_vector(id, dim).alias("normal_vector"),
         F.transform(F.sequence(F.lit(0), count - 1), part).alias("structA"))

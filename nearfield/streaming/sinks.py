@@ -90,7 +90,7 @@ def stream_current_state(changes: DataFrame, pk: str, seq: str = "seq", op: str
     return current_state(_read_all(spark, path, changes.schema), pk, seq, op)
 
 
-def stream_latency_delta(log: DataFrame, path: str | None = None, slots: str = "1 day") -> DataFrame:
+def stream_latency_delta(log: DataFrame, path: str | None = None, slots: str = "10 minutes") -> DataFrame:
     """``|x_n - x_(n-1)|`` per user over a stream; the last value per user is carried between batches."""
     spark = log.sparkSession
     path = path or scratch_path(spark, "stream-delta")
