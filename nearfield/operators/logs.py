@@ -381,18 +381,14 @@ def duration_seconds(text: str) -> int:
     """``1h30m5s`` in seconds; 300 when nothing can be read."""
     units = {"h": 3600, "m": 60, "s": 1}
     parts = re.findall(r"(\d+)([hms])", text.strip().lower())
-    total = sum(int(n) * units[u] for n, u in parts)
-    rest = re.sub(r"\d+[hms]", "", text.strip().lower())
-    total += int(rest) if rest.isdigit() else 0
-    return total or 300
+    return sum(int(n) * units[u] for n, u in parts) or 300
 
 
 def duration_column(c: Column | str) -> Column:
     """The same as a Column over duration texts."""
     c = F.lower(F.col(c) if isinstance(c, str) else c)
     parts = [F.coalesce(F.regexp_extract(c, rf"(\d+){u}", 1).try_cast("bigint"), F.lit(0)) * s for u, s in (("h", 3600), ("m", 60), ("s", 1))]
-    bare = F.coalesce(c.try_cast("bigint"), F.lit(0))
-    total = parts[0] + parts[1] + parts[2] + bare
+    total = parts[0] + parts[1] + parts[2]
     return F.when(total > 0, total).otherwise(300)
 
 

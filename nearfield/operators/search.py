@@ -34,9 +34,8 @@ METRIC_NAMES = {
 
 # Keys of a search request that are not index parameters.
 RESERVED_KEYS = frozenset(
-    "collection collectionName filter expr outputFields metricType metric_type annField offset "
-    "groupByField groupingField groupSize strictGroupSize consistencyLevel partitionNames ignoreGrowing "
-    "params limit topK vectors data".split()
+    "vectorField outputFields expr filter metricType metric_type params offset groupByField groupingField "
+    "groupSize strictGroupSize ignoreGrowing collectionName partitionNames consistencyLevel".split()
 )
 
 

@@ -242,10 +242,12 @@ def fixture_clustered(spark, sf_dir):
 
 
 @query("fixture_struct_array", """WITH d AS (SELECT vec_id AS id, 2 + vec_id % 4 AS n FROM embeddings),
-e AS (SELECT id, n, id * 10 + i AS s FROM d, range(0, 5) t(i) WHERE i < n)
-SELECT id, max(n) AS n_elements, sum(s % 100)::BIGINT AS int_total, round(sum((((s + 1) * 31) % 997)::DOUBLE / 997), 4) AS first_values FROM e GROUP BY id""")
+e AS (SELECT id, n, i AS j, id * 17 + i AS s FROM d, range(0, 5) t(i) WHERE i < n)
+SELECT id, max(n) AS n_elements, sum(id * 10 + j)::BIGINT AS int_total, round(sum((((s + 1) * 31) % 997)::DOUBLE / 997), 4) AS first_values,
+string_agg(['Red', 'Blue', 'Green', 'Yellow'][((id + j) % 4 + 1)::INTEGER], ',' ORDER BY j) AS colors FROM e GROUP BY id""")
 def fixture_struct_array(spark, sf_dir):
     df = fixtures.struct_documents(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), 64)
     total = F.aggregate("structA", F.lit(0).cast("bigint"), lambda a, e: a + e.int_val)
     first = F.aggregate("structA", F.lit(0.0), lambda a, e: a + e.embedding[0].cast("double"))
-    return df.select("id", F.size("structA").cast("bigint").alias("n_elements"), total.alias("int_total"), F.round(first, 4).alias("first_values"))
+    return df.select("id", F.size("structA").cast("bigint").alias("n_elements"), total.alias("int_total"), F.round(first, 4).alias("first_values"),
+                     F.array_join("structA.color", ",").alias("colors"))

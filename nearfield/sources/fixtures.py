@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The product categories, brands and struct-array words of the fixtures.
-CATEGORIES = ["electronics", "clothing", "books", "home", "sports"]
-BRANDS = ["BrandA", "BrandB", "BrandC", "BrandD", "BrandE"]
-COLORS = ["Red", "Blue", "Green", "Yellow", "Black", "White"]
+# Product categories (the extended form uses all, the plain form the first five) and brands.
+CATEGORIES = ["electronics", "clothing", "books", "food", "toys", "sports", "home", "garden"]
+BRANDS = ["brand_a", "brand_b", "brand_c", "brand_d", "brand_e"]
+# What the elements of a struct array take their fields from.
+COLORS = ["Red", "Blue", "Green", "Yellow"]
 SIZES = ["S", "M", "L", "XL"]
+KINDS = ["A", "B", "C", "D"]
+# Values of our own for text and JSON columns.
 WORDS = ["search", "vector", "database", "query", "index", "cluster", "recall", "latency"]
+NAMES = ["Ann", "Ben", "Cleo", "Dan", "Emma", "Finn"]
 
 
 def uniform(*parts: Column) -> Column:
@@ -31,7 +35,7 @@ def fixture_uniform(spark: SparkSession, n: int, dim: int = 128, seed: int = 7,
     and prices in [0,1000)."""
     id, s = F.col("id"), F.lit(seed)
     vector = F.transform(positions(dim), lambda j: uniform(id, j, s).cast("float"))
-    cols = [id, pick(CATEGORIES, F.xxhash64(id, F.lit("category"), s)).alias("category"),
+    cols = [id, pick(CATEGORIES if extended else CATEGORIES[:5], F.xxhash64(id, F.lit("category"), s)).alias("category"),
             (uniform(id, F.lit("price"), s) * (1000 if extended else 100)).cast("float").alias("price"), vector.alias("embedding")]
     if extended:
         cols += [pick(BRANDS, F.xxhash64(id, F.lit("brand"), s)).alias("brand"),
@@ -43,23 +47,29 @@ def clustered_base(s: Column, dim: int) -> Column:
     return F.transform(positions(dim), lambda i: F.sin((s + i) * 0.1) / 2 + 0.5)
 
 
-def clustered_members(ids: DataFrame, noise: float = 0.01, dim: int = 128, seed: int = 7) -> DataFrame:
-    """Vectors near their group's base vector for rows ``(id, group_id)``."""
-    near = F.transform(clustered_base(F.col("group_id") * 100, dim), lambda x, i: x + noise * (uniform(F.col("id"), i, F.lit(seed)) - 0.5))
-    return ids.select("id", F.col("group_id").cast("bigint").alias("group_id"), F.concat(F.lit("group_"), "group_id").alias("category"),
-                      near.cast("array<float>").alias("embedding"))
+def clustered_members(ids: DataFrame, noise: float = 0.05, dim: int = 128, seed: int = 7) -> DataFrame:
+    """Vectors near their group's base vector for rows ``(id, group_id)``; rows with ``is_base`` set
+    to true get the base vector itself."""
+    base = clustered_base(F.col("group_id") * 100, dim)
+    near = F.transform(base, lambda x, i: x + noise * (uniform(F.col("id"), i, F.lit(seed)) - 0.5))
+    vector = F.when(F.col("is_base"), base).otherwise(near) if "is_base" in ids.columns else near
+    return ids.select("id", F.col("group_id").cast("bigint").alias("group_id"), F.concat(F.lit("Group"), "group_id").alias("category"),
+                      vector.cast("array<float>").alias("embedding"))
 
 
-def fixture_clustered(spark: SparkSession, groups: int = 10, per_group: int = 10, noise: float = 0.01, dim: int = 128,
+def fixture_clustered(spark: SparkSession, groups: int = 10, per_group: int = 10, noise: float = 0.05, dim: int = 128,
                       seed: int = 7, noise_rows: int = 100) -> tuple[DataFrame, DataFrame]:
-    """``(train, test)``: members near their group's base vector, rows far from every group, and one
-    query per group that is the base vector itself."""
-    ids = spark.range(groups * per_group).withColumn("group_id", F.floor(F.col("id") / per_group).cast("bigint"))
+    """``(train, test)``: per group its base vector and near copies, rows far from every group, and
+    one query per group that is the base vector. Train ids start at 1."""
+    member = F.col("id") - 1
+    ids = spark.range(1, groups * per_group + 1).select(
+        "id", F.floor(member / per_group).cast("bigint").alias("group_id"), (member % per_group == 0).alias("is_base"))
     train = clustered_members(ids, noise, dim, seed)
-    start = groups * per_group
+    start = groups * per_group + 1
+    number = F.col("id") - start
     far = spark.range(start, start + noise_rows).select(
-        "id", F.lit(-1).cast("bigint").alias("group_id"), F.lit("noise").alias("category"),
-        F.transform(positions(dim), lambda i: F.cos((F.col("id") * 2 + i) * 0.3) / 2 + 0.5).cast("array<float>").alias("embedding"))
+        "id", F.lit(-1).cast("bigint").alias("group_id"), F.lit("Noise").alias("category"),
+        F.transform(positions(dim), lambda i: F.cos((number * 100 + i) * 0.3) / 2 + 0.5).cast("array<float>").alias("embedding"))
     test = spark.range(groups).select(F.col("id").alias("query_id"), F.col("id").alias("group_id"),
                                       clustered_base(F.col("id") * 100, dim).cast("array<float>").alias("embedding"))
     return train.unionByName(far), test
@@ -80,15 +90,15 @@ def struct_documents(ids: DataFrame, dim: int = 128, low: int = 2, high: int = 5
     count = (F.lit(low) + F.pmod(id, F.lit(high - low + 1))).cast("int")
 
     def part(e: Column) -> Column:
-        s = id * 10 + e
         return F.struct(
-            modular_vector(s, dim).alias("embedding"), F.pmod(s, F.lit(100)).alias("int_val"),
-            (F.pmod(s, F.lit(1000)) / 10).cast("float").alias("float_val"), pick(COLORS, s).alias("color"), pick(SIZES, s).alias("size"),
-            pick(CATEGORIES, s).alias("category"), F.concat(F.lit("tag_"), F.pmod(s, F.lit(10))).alias("tag"), (F.pmod(s, F.lit(2)) == 0).alias("flag"))
+            modular_vector(id * 17 + e, dim).alias("embedding"), (id * 10 + e).alias("int_val"),
+            ((id % 100) * 0.37 + e + 0.5).cast("float").alias("float_val"), pick(COLORS, id + e).alias("color"),
+            pick(SIZES, id * 3 + e).alias("size"), pick(KINDS, id + e * 2).alias("category"),
+            F.concat(F.lit("row_"), id, F.lit("_elem_"), e).alias("tag"), ((id + e) % 2 == 0).alias("flag"))
 
     return ids.select(
-        "id", F.concat(F.lit("doc_"), id).alias("doc_varchar"), (F.pmod(id, F.lit(100)) / 100).cast("float").alias("doc_score"),
-        pick(CATEGORIES, id).alias("doc_category"), modular_vector(id, dim).alias("normal_vector"),
+        "id", F.concat(F.lit("doc_"), id % 32).alias("doc_varchar"), ((id % 1000) * 0.01 + 0.5).cast("float").alias("doc_score"),
+        pick(KINDS, id).alias("doc_category"), modular_vector(id + 1000, dim).alias("normal_vector"),
         F.transform(F.sequence(F.lit(0), count - 1), part).alias("structA"))
 
 
@@ -108,9 +118,10 @@ def fixture_all_types(spark: SparkSession, n: int, dim: int = 8, seed: int = 7)
     return spark.range(n).select(
         id.alias("int64"), uniform(id, F.lit("f"), s).cast("float").alias("float"), pick(WORDS, id).alias("varchar"),
         F.concat_ws(" ", words).alias("document"), F.concat_ws(" ", F.reverse(words)).alias("text"),
-        F.to_json(F.struct(pick(WORDS, id).alias("name"), F.pmod(id, F.lit(100)).alias("count"))).alias("json_field"),
+        F.to_json(F.struct(pick(NAMES, F.xxhash64(id, s)).alias("name"), F.floor(uniform(id, F.lit("count"), s) * 100).alias("count"))).alias("json_field"),
         F.transform(positions(3), lambda j: id + j).alias("array_int"),
         F.transform(positions(3), lambda j: ((id + j) / 10).cast("float")).alias("array_float"),
         words.alias("array_varchar"), F.transform(positions(3), lambda j: (id + j) % 2 == 0).alias("array_bool"),
         F.transform(positions(dim), lambda j: uniform(id, j, s, F.lit("vec")).cast("float")).alias("float_vector"),
-        F.transform(positions(2), lambda j: F.struct(pick(WORDS, id + j).alias("name"), F.pmod(id + j, F.lit(90)).alias("age"))).alias("array_struct"))
+        F.transform(F.sequence(F.lit(1), (F.pmod(id, F.lit(5)) + 1).cast("int")), lambda j: F.struct(
+            pick(NAMES, F.xxhash64(id, j, s)).alias("name"), (F.floor(uniform(id, j, F.lit("age"), s) * 60) + 18).alias("age"))).alias("array_struct"))

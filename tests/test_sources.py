@@ -110,9 +110,13 @@ def test_fixtures_do_not_depend_on_partitions(spark, parts):
 def test_fixture_shapes(spark):
     train, test = fixtures.fixture_clustered(spark, groups=3, per_group=4, dim=8, noise_rows=5)
     assert train.count() == 17 and test.count() == 3
+    base = {r["id"]: r["embedding"] for r in train.collect()}
+    assert [base[1 + 4 * r["query_id"]] == r["embedding"] for r in test.collect()] == [True] * 3
     rows = fixtures.fixture_struct_array(spark, 8, 4).collect()
     assert {len(r["structA"]) for r in rows} == {2, 3, 4, 5}
-    assert rows[0]["normal_vector"] == pytest.approx([((1 * 31 + 17 * i) % 997) / 997 for i in range(4)])
+    first = next(r for r in rows if r["id"] == 0)
+    assert first["normal_vector"] == pytest.approx([((1001 * 31 + 17 * i) % 997) / 997 for i in range(4)])
+    assert [(e["int_val"], e["tag"], e["color"], e["flag"]) for e in first["structA"]] == [(0, "row_0_elem_0", "Red", True), (1, "row_0_elem_1", "Blue", False)]
     sparse = fixtures.fixture_sparse(spark, 20, 100, 0.05).collect()
     assert all(1 <= len(r["sparse"]) <= 5 and max(r["sparse"]) < 100 for r in sparse)
     row = fixtures.fixture_all_types(spark, 3).first()
