@@ -97,6 +97,11 @@ def _nth(share: float) -> Column:
 # ---------------------------------------------------------------- latency
 
 
+def _one_row(stats: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The ungrouped result, or zeros when there is none: a global aggregate always has one row."""
+    return stats.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), *[F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in names])
+
+
 def latency_stats(log: DataFrame, by: Sequence[str] = (), value: str = "response_time_ms") -> DataFrame:
     """Per group: n, min, max, avg, p50, p95 and p99 by 0-based nearest rank.
 
@@ -109,9 +114,7 @@ def latency_stats(log: DataFrame, by: Sequence[str] = (), value: str = "response
     names = ["min", "max", "avg", "p50", "p95", "p99"]
     if by:
         return stats.select(*by, "n", *names)
-    one = log.sparkSession.range(1).select(F.lit(1).alias("__one"))
-    stats = one.join(stats.withColumn("__one", F.lit(1)), "__one", "left")
-    return stats.select(F.coalesce("n", F.lit(0)).alias("n"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in names])
+    return _one_row(stats, names)
 
 
 def percentile_nearest(log: DataFrame, p: float, by: Sequence[str] = (), value: str = "response_time_ms") -> DataFrame:
@@ -120,9 +123,7 @@ def percentile_nearest(log: DataFrame, p: float, by: Sequence[str] = (), value:
     stats = exact_quantiles(log, by, value, {"percentile": at})
     if by:
         return stats.select(*by, "n", "percentile")
-    one = log.sparkSession.range(1).select(F.lit(1).alias("__one"))
-    stats = one.join(stats.withColumn("__one", F.lit(1)), "__one", "left")
-    return stats.select(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("percentile", F.lit(0.0)).alias("percentile"))
+    return _one_row(stats, ["percentile"])
 
 
 def metric_class(metric: Column | str) -> Column:
@@ -407,8 +408,8 @@ def stage_metrics(log: DataFrame, stages: Sequence[tuple[str, int]]) -> DataFram
 
     The few stages are a literal; each row finds its stage by comparing bounds, without a join.
     """
-    begin = log.agg(F.min("ts")).scalar()
-    second = F.col("ts").cast("double") - begin.cast("double")
+    begin = log.agg(F.unix_micros(F.min("ts"))).first()[0]
+    second = (F.unix_micros("ts") - F.lit(begin)) / F.lit(1e6)
     stage = F.lit(None).cast("struct<stage:int,target:int>")
     for i, start, end, target in reversed(stage_bounds(stages)):
         here = F.struct(F.lit(i).alias("stage"), F.lit(target).alias("target"))
