@@ -33,6 +33,9 @@ QUERY_ROWS = 1024
 BLOCKS_PER_TASK = 16
 VOCAB_COLUMNS = 2048
 SEED_TASKS = 128
+MAXSIM_QUERY_ELEMENTS = 1024
+MAXSIM_BASE_ELEMENTS = 8192
+CACHE_BYTES = 128 * 1024 * 1024
 
 PACKED = "payload binary"
 
@@ -213,17 +216,33 @@ class MaxSimKernel(Kernel):
 
     def costs(self, q, b):
         (qm, qs), (bm, bs) = q, b
+        out = np.empty((len(qs), len(bs)))
+        for q0, q1, qe in _runs(qs, len(qm), MAXSIM_QUERY_ELEMENTS):
+            for b0, b1, be in _runs(bs, len(bm), MAXSIM_BASE_ELEMENTS):
+                best = np.minimum.reduceat(self.element_costs(qm[qe], bm[be]), bs[b0:b1] - bs[b0], axis=1)
+                out[q0:q1, b0:b1] = np.add.reduceat(best, qs[q0:q1] - qs[q0], axis=0)
+        return out
+
+    def element_costs(self, q, b):
         if self.metric in ("hamming", "jaccard"):
-            pair = bit_costs(qm, bm, self.metric)
-        elif self.metric == "l2":
-            pair = np.empty((len(qm), len(bm)))
-            for i in range(len(qm)):
-                d = bm - qm[i]
-                pair[i] = np.sqrt(np.sum(d * d, axis=1))
-        else:
-            pair = -(qm @ bm.T)
-        best = np.minimum.reduceat(pair, bs, axis=1)
-        return np.add.reduceat(best, qs, axis=0)
+            return bit_costs(q, b, self.metric)
+        if self.metric != "l2":
+            return -(q @ b.T)
+        pair = np.empty((len(q), len(b)))
+        for i in range(len(q)):
+            d = b - q[i]
+            pair[i] = np.sqrt(np.sum(d * d, axis=1))
+        return pair
+
+
+def _runs(starts: np.ndarray, total: int, most: int):
+    """Consecutive rows whose elements together stay within ``most`` (a longer row comes alone)."""
+    ends = np.append(starts[1:], total)
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + most, side="right")))
+        yield first, last, slice(starts[first], ends[last - 1])
+        first = last
 
 
 def _spread(n: int, row: np.ndarray, code: np.ndarray, value: np.ndarray, start: int, width: int) -> np.ndarray:
@@ -379,20 +398,26 @@ def score_blocks(pairs: DataFrame, kernel: Kernel, k: int, keys: list[T.StructFi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached: dict[bytes, tuple] = {}
+        held, last = 0, None
         for batch in batches:
             for payload, query_payload in zip(batch.column("payload"), batch.column("query_payload")):
-                base = decode(payload.as_buffer())
+                buffer = payload.as_buffer()
+                if last is None or not buffer.equals(last):
+                    base, last = decode(buffer), buffer
+                    b = kernel.load(base, False)
                 raw = query_payload.as_buffer().to_pybytes()
                 if raw not in cached:
-                    if len(cached) >= 4:
-                        cached.pop(next(iter(cached)))
+                    while cached and held + len(raw) > CACHE_BYTES:
+                        oldest = next(iter(cached))
+                        held -= len(oldest)
+                        cached.pop(oldest)
+                    held += len(raw)
                     query = decode(raw)
                     tau = np.full(query.num_rows, np.inf)
                     if "tau" in query.schema.names:
                         tau = query.column("tau").to_numpy(zero_copy_only=False).astype(np.float64).copy()
                     cached[raw] = (query, kernel.load(query, True), tau)
                 query, q, tau = cached[raw]
-                b = kernel.load(base, False)
                 for number, (name, size) in enumerate(variants or [(None, k)]):
                     members = None
                     if variants:

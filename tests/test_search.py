@@ -1,6 +1,7 @@
 """Search results against brute force in numpy, under every pairing strategy and partitioning."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +171,31 @@ def test_maxsim_by_hand(spark):
     assert [(r["id"], round(r["score"], 6)) for r in l2] == [(0, 1.0), (1, round(1 + 2**0.5, 6))]
 
 
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_maxsim_in_slices(spark, monkeypatch, metric):
+    """Long lists are scored slice by slice, a list above the slice size on its own."""
+    rng = np.random.default_rng(2)
+    lists = [rng.normal(size=(n, 4)).tolist() for n in (1, 7, 2, 3, 1, 5)]
+    table = pa.RecordBatch.from_pydict({"vector": lists})
+    kernel = blocks.MaxSimKernel(metric)
+    whole = kernel.costs(kernel.load(table, True), kernel.load(table, False))
+    monkeypatch.setattr(blocks, "MAXSIM_QUERY_ELEMENTS", 4)
+    monkeypatch.setattr(blocks, "MAXSIM_BASE_ELEMENTS", 3)
+    np.testing.assert_allclose(kernel.costs(kernel.load(table, True), kernel.load(table, False)), whole)
+    a, b = np.array(lists[1]), np.array(lists[3])
+    pair = -(a @ b.T) if metric == "ip" else np.sqrt(((a[:, None] - b[None]) ** 2).sum(2))
+    assert whole[1, 3] == pytest.approx(pair.min(1).sum())
+
+
+def test_small_cache_keeps_answers(spark, monkeypatch):
+    df, m, _ = make(spark)
+    queries = df.select(F.col("id").alias("qid"), "vector")
+    expected, _ = brute(m, "l2", 5)
+    monkeypatch.setattr(blocks, "CACHE_BYTES", 1)
+    got = collected(search.knn(df, queries, 5, "l2", base_rows=16, query_rows=8))
+    assert {q: [r["id"] for r in rows] for q, rows in got.items()} == expected
+
+
 def test_binary_metrics_by_hand(spark):
     base = spark.createDataFrame([(0, bytearray([0b11110000])), (1, bytearray([0b00000000])), (2, bytearray([0b11000000]))], "id long, vector binary")
     q = spark.createDataFrame([(0, bytearray([0b11110000])), (1, bytearray([0]))], "qid long, vector binary")
