@@ -21,6 +21,7 @@ from nearfield.operators import blocks
 from nearfield.session import materialize
 
 MAX_CELLS = 16_384
+DISTANCES_AT_ONCE = 4_000_000
 
 
 # ---------------------------------------------------------------- assignment
@@ -36,14 +37,20 @@ def _matrix(column: pa.Array, cosine: bool) -> np.ndarray:
     return blocks.unit(m) if cosine else m
 
 
+def _slices(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.RecordBatch]:
+    """Non-empty batches, cut so that rows times cells stays within 4 million distances (32 MB)."""
+    rows = max(1, DISTANCES_AT_ONCE // max(1, cells))
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def assign_cells(df: DataFrame, centers: np.ndarray, cosine: bool = False, vector: str = "vector") -> DataFrame:
     """Add ``cell`` (nearest centre) and ``radius`` (distance to it); no shuffle."""
     schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in _slices(batches, len(centers)):
             m = _matrix(batch.column(vector), cosine)
             cell = _squared(m, centers).argmin(axis=1)
             diff = m - centers[cell]
@@ -60,9 +67,7 @@ def probe_cells(queries: DataFrame, centers: np.ndarray, nprobe: int, cosine: bo
     n = min(nprobe, len(centers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in _slices(batches, len(centers)):
             d = _squared(_matrix(batch.column("vector"), cosine), centers)
             near = np.argsort(d, axis=1, kind="stable")[:, :n]
             rows = pa.array(np.repeat(np.arange(batch.num_rows), n))
@@ -121,9 +126,7 @@ def exact_cells(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kern
         schema = T.StructType([T.StructField("cell", T.IntegerType()), *plain])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
+            for batch in _slices(batches, len(pivots)):
                 m = _matrix(batch.column("vector"), cosine)
                 d = np.where(counts[None, :] > 0, _squared(m, pivots), np.inf)
                 order = np.argsort(d, axis=1, kind="stable")
@@ -341,16 +344,15 @@ def pq_encode(rows: DataFrame, books: list[np.ndarray], cosine: bool = False) ->
     schema = T.StructType([*keep, T.StructField("code", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                mat, start, codes = _matrix(batch.column("vector"), cosine), 0, []
-                for book in books:
-                    codes.append(_squared(mat[:, start : start + book.shape[1]], book).argmin(1).astype(np.uint16))
-                    start += book.shape[1]
-                packed = np.ascontiguousarray(np.stack(codes, axis=1))
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(f.name) for f in keep], pa.array([c.tobytes() for c in packed], pa.binary())],
-                    names=schema.names)
+        for batch in _slices(batches, max(len(book) for book in books)):
+            mat, start, codes = _matrix(batch.column("vector"), cosine), 0, []
+            for book in books:
+                codes.append(_squared(mat[:, start : start + book.shape[1]], book).argmin(1).astype(np.uint16))
+                start += book.shape[1]
+            packed = np.ascontiguousarray(np.stack(codes, axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(f.name) for f in keep], pa.array([c.tobytes() for c in packed], pa.binary())],
+                names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

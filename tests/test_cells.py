@@ -64,6 +64,18 @@ def test_stored_cells_are_partitioned(spark, data, tmp_path):
     assert back.count() == 600 and "PartitionFilters: [isnotnull(cell" in back.filter("cell = 1")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_distance_slices():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"x": list(range(10))})
+    old, cells.DISTANCES_AT_ONCE = cells.DISTANCES_AT_ONCE, 12
+    try:
+        parts = [p.column("x").to_pylist() for p in cells._slices(iter([batch, batch.slice(0, 0)]), 4)]
+    finally:
+        cells.DISTANCES_AT_ONCE = old
+    assert parts == [[0, 1, 2], [3, 4, 5], [6, 7, 8], [9]]
+
+
 def test_arguments(spark, data):
     with pytest.raises(ValueError):
         cells.build_cells(data[0], 0)
