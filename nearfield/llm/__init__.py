@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("chat", "sharding")
+MODULES = ("chat", "sharding", "quality_rules")
 
 
 def load():
