@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("chat", "sharding", "quality_rules")
+MODULES = ("chat", "sharding", "quality_rules", "token_files")
 
 
 def load():
