@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("chat", "sharding", "quality_rules", "token_files")
+MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe")
 
 
 def load():
