@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe")
+MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe", "decontamination")
 
 
 def load():
