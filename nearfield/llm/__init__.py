@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe", "decontamination")
+MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe", "decontamination", "jaccard_join")
 
 
 def load():

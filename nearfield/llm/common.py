@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from nearfield.session import materialize, prepare, shared_dir
 
-__all__ = ["add", "components", "fresh", "input_bytes", "materialize", "parts", "pieces", "prepare", "register",
-           "row_key", "shared_dir", "table"]
+__all__ = ["add", "components", "fresh", "grouped", "input_bytes", "materialize", "parts", "pieces", "prepare", "register",
+           "row_key", "shared_dir", "star", "table"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -105,3 +105,36 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     label = now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("m"))
     return nodes.join(label, "node", "left").select("node", F.coalesce("m", "node").alias("component"))
+
+
+def grouped(batches, keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Groups of rows with equal integer keys from batches sorted by them; holds one group and one batch at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = np.column_stack([batch[k].to_numpy(zero_copy_only=False) for k in keys])
+        starts = [0, *(np.flatnonzero((now[1:] != now[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+        if held and tuple(held[-1][k][0].as_py() for k in keys) != tuple(now[0].tolist()):
+            yield tuple(held[-1][k][0].as_py() for k in keys), pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(starts[:-2], starts[1:-1]):
+            yield tuple(now[a].tolist()), pa.Table.from_batches([*held, batch.slice(a, b - a)])
+            held = []
+        held.append(batch.slice(starts[-2]))
+    if held:
+        yield tuple(held[-1][k][0].as_py() for k in keys), pa.Table.from_batches(held)
+
+
+def star(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Least member of the component of each of n points under the links p-q."""
+    label = np.arange(n)
+    while len(p):
+        low = np.minimum(label[p], label[q])
+        before = label.copy()
+        np.minimum.at(label, p, low)
+        np.minimum.at(label, q, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
