@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe", "decontamination", "jaccard_join", "suffix_dedup", "maxent_lm")
+MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe", "decontamination", "jaccard_join", "suffix_dedup", "maxent_lm", "toxicity")
 
 
 def load():
