@@ -2,7 +2,7 @@
 
 The lexicon is learned from labelled training rows: words, and stems with several continuations, whose documents are toxic. It is
 a trie; walking it with a Levenshtein automaton (with adjacent swaps) accepts a word within the distance its
-term allows: 1 from four letters, 2 from eight, 0 for stems. The product of the two is determinised as words
+term allows: 1 from four letters, 2 from nine, 0 for stems. The product of the two is determinised as words
 are read, so a word costs about as many dictionary steps as it has letters before no term is near.
 Each hit is then seen in its window of ``WINDOW`` words: quotation marks around it or a reporting word near it make it quoted;
 other hits near it make it abuse. A logistic regression over a document's hits gives the score.
@@ -28,8 +28,9 @@ from nearfield.llm.common import add, materialize, pieces, register, table
 
 SAMPLE_ROWS = 20_000
 TERMS, EXCEPTIONS = 5_000, 20_000
-SUPPORT, PRECISION = 4, 0.9
-WEIGH = 5  # one in so many sample rows is kept from the lexicon and fits the weights
+PRECISION = 0.6
+EVIDENCE = 12.0  # log-likelihood ratio against the base rate that a term needs, well above the log of the vocabulary's size
+WEIGH = 3  # one in so many sample rows is kept from the lexicon and fits the weights
 STEM_WORDS = 5  # distinct words a stem must explain
 STEM_LETTERS = range(3, 10)
 WINDOW = 6
@@ -42,7 +43,7 @@ FEATURES = 6
 
 
 def allowed(term: str) -> int:
-    return 0 if len(term) < 4 else 1 if len(term) < 8 else 2
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
 class Trie:
@@ -146,8 +147,8 @@ def distinct_words(text: bytes) -> set[str]:
     return set(text.translate(SPACES).decode().lower().split())
 
 
-def document_features(text: str, hits: dict[str, int]) -> list[float]:
-    """What the windows around the hits of a text say; ``hits`` maps its matching words to their errors."""
+def document_features(text: str, hits: dict[str, int], odds: dict[str, float]) -> list[float]:
+    """What the windows around the hits of a text say; ``hits`` maps its matching words to their errors, ``odds`` terms to their log-odds."""
     tokens = [(m.group(), m.start(), m.end()) for m in TOKEN.finditer(text.lower())] if hits else []
     at = [i for i, (w, _, _) in enumerate(tokens) if w in hits]
     quoted = fuzzy = crowd = 0
@@ -161,7 +162,8 @@ def document_features(text: str, hits: dict[str, int]) -> list[float]:
         fuzzy += hits[tokens[i][0]] > 0
         crowd += any(0 < abs(j - i) <= WINDOW for j in at)
     n = len(at)
-    return [float(n > 0), np.log1p(n), np.log1p(n - quoted), float(n > 0 and quoted == n), np.log1p(n - fuzzy), np.log1p(crowd)]
+    told = min(sum(odds.get(w, 0.0) for w in hits), 20.0)
+    return [float(n > fuzzy), np.log1p(n - quoted), float(n > 0 and quoted == n), np.log1p(fuzzy), np.log1p(crowd), told]
 
 
 class Scorer:
@@ -169,7 +171,7 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.matcher = Matcher(model["terms"], model["stems"])
-        self.exceptions = model["exceptions"]
+        self.exceptions, self.odds = model["exceptions"], model["odds"]
         self.weights = np.array(model["weights"]) if model["weights"] is not None else None
 
     def hits(self, texts: list[bytes]) -> list[dict[str, int]]:
@@ -182,10 +184,10 @@ class Scorer:
         return [{w: near[w] for w in own & near.keys()} for own in words]
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        return np.array([document_features(t.decode(), h) for t, h in zip(texts, self.hits(texts))]).reshape(-1, FEATURES)
+        return np.array([document_features(t.decode(), h, self.odds) for t, h in zip(texts, self.hits(texts))]).reshape(-1, FEATURES)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Weights (bias last) by Newton steps."""
     x = np.column_stack([x, np.ones(len(x))])
     w, penalty = np.zeros(x.shape[1]), np.diag([*[ridge] * (x.shape[1] - 1), 1e-6])
@@ -198,7 +200,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def term_counts(sample: DataFrame) -> DataFrame:
+def term_counts(sample: DataFrame, rate: float) -> DataFrame:
     """(term, stem, toxic, clean, words): documents of each kind with a word or stem, and distinct words below a stem.
 
     A word's document counts are summed first; a stem's are summed over its words (the documents of a stem's words hardly
@@ -221,7 +223,8 @@ def term_counts(sample: DataFrame) -> DataFrame:
                          "toxic", "clean").where("s is not null").groupBy("s").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count_if(F.col("toxic") > 0).alias("words"))
     both = words.select("term", F.lit(False).alias("stem"), "toxic", "clean", F.lit(1).cast("bigint").alias("words")).unionByName(
         stems.select(F.col("s").alias("term"), F.lit(True).alias("stem"), "toxic", "clean", "words"))
-    good = (F.col("toxic") >= SUPPORT) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean")))
+    n, part = F.col("toxic") + F.col("clean"), lambda c, rate: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (F.col("toxic") + F.col("clean")) / F.lit(rate))).otherwise(0.0)
+    good = (F.col("toxic") >= PRECISION * n) & (part("toxic", rate) + part("clean", 1 - rate) >= EVIDENCE)
     return both.where(good & (~F.col("stem") | (F.col("words") >= STEM_WORDS)))
 
 
@@ -242,9 +245,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # at most SAMPLE_ROWS ids
     sample = materialize(known, "labelled")
     weigh = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(WEIGH)) == 0  # rows that the lexicon has not seen
-    rows = term_counts(sample.where(~weigh)).orderBy(F.desc("toxic"), "term", "stem").limit(TERMS).collect()
+    rate = sample.agg(F.avg("toxic")).first()[0]
+    rate = min(max(rate or 0.0, 1e-3), 1 - 1e-3)
+    rows = term_counts(sample.where(~weigh), rate).orderBy(F.desc("toxic"), "term", "stem").limit(TERMS).collect()
     terms, stems = choose_terms(rows)
-    model = {"terms": terms, "stems": stems, "exceptions": frozenset(), "weights": None}
+    own = set(terms)
+    odds = {r["term"]: float(np.log((r["toxic"] + 0.5) / (r["clean"] + 0.5))) for r in rows if r["term"] in own and not r["stem"]}
+    model = {"terms": terms, "stems": stems, "odds": odds, "exceptions": frozenset(), "weights": None}
     model["exceptions"] = exceptions(sample.where(~weigh), model)
     y = np.empty(0)
     for rows in (sample.where(weigh), sample):  # all rows only where the fresh ones are too few to hold both labels
