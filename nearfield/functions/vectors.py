@@ -96,26 +96,31 @@ def drop_small(v: Column | str, ratio: float) -> Column:
 
 
 def binarize_vectors(df: DataFrame, column: str, into: str = "bits") -> DataFrame:
-    """Sign bits of float vectors, eight per byte; the dimension must be a multiple of eight."""
+    """Sign bits of float vectors, eight per byte; the dimension must be a multiple of eight. Null stays null."""
 
     @F.pandas_udf("binary")
     def pack(vectors: pd.Series) -> pd.Series:
-        if len(vectors) == 0:
-            return pd.Series([], dtype=object)
-        m = np.stack(vectors.to_numpy())
-        if m.shape[1] % 8:
-            raise ValueError("the dimension must be a multiple of 8")
-        return pd.Series([row.tobytes() for row in np.packbits(m > 0, axis=1)])
+        out = pd.Series([None] * len(vectors), dtype=object)
+        there = np.flatnonzero(vectors.notna())
+        if len(there):
+            m = np.stack(vectors.iloc[there].to_numpy())
+            if m.shape[1] % 8:
+                raise ValueError("the dimension must be a multiple of 8")
+            packed, width = np.packbits(m > 0, axis=1).tobytes(), m.shape[1] // 8
+            for n, i in enumerate(there.tolist()):
+                out.iat[i] = packed[n * width : (n + 1) * width]
+        return out
 
     return df.withColumn(into, pack(F.col(column)))
 
 
 def unpack_bits(df: DataFrame, column: str, into: str) -> DataFrame:
-    """Packed binary vectors as 0/1 float vectors."""
+    """Packed binary vectors as 0/1 float vectors; null stays null."""
 
     @F.pandas_udf("array<float>")
     def unpack(vectors: pd.Series) -> pd.Series:
-        return pd.Series([np.unpackbits(np.frombuffer(v, np.uint8)).astype(np.float32) for v in vectors])
+        return pd.Series([None if v is None else np.unpackbits(np.frombuffer(v, np.uint8)).astype(np.float32) for v in vectors],
+                         dtype=object)
 
     return df.withColumn(into, unpack(F.col(column)))
 

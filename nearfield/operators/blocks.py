@@ -98,6 +98,27 @@ def dense(column: pa.Array) -> np.ndarray:
     return flat.reshape(n, -1)
 
 
+def centred(q: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both sides moved by the mean of ``b``: distances stay, norms shrink to the spread of the data."""
+    middle = b.mean(axis=0) if len(b) else 0.0
+    return q - middle, b - middle
+
+
+def squared_distances(q: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared L2 distances by one matrix product, right up to ``rounding`` of the centred norms."""
+    q, b = centred(q, b)
+    return np.einsum("ij,ij->i", q, q)[:, None] + np.einsum("ij,ij->i", b, b)[None, :] - 2 * (q @ b.T)
+
+
+def _top(values: np.ndarray) -> float:
+    return float(values.max()) if len(values) else 0.0
+
+
+def rounding(q: np.ndarray, b: np.ndarray, size: float) -> float:
+    """Bound on the rounding error of a sum of products whose terms add up to at most ``size``."""
+    return 8 * np.finfo(np.float64).eps * (q.shape[1] + 4) * size
+
+
 def unit(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; zero rows stay zero."""
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
@@ -124,12 +145,18 @@ class Kernel:
         """A bound on final cost as a bound on ``costs``."""
         return tau
 
+    def slack(self, q, b, costs: np.ndarray) -> float:
+        """How far a value of ``costs`` may lie from the exact one."""
+        return _slack(costs)
+
 
 class DenseKernel(Kernel):
     """L2, inner product or cosine on float vectors.
 
     One matrix product picks candidates with slack; candidates are scored again directly because
-    the expanded form loses digits to cancellation and its rounding depends on the position.
+    the expanded form loses digits to cancellation and its rounding depends on the position. For L2
+    both sides are moved to the block's mean first, and the slack follows the largest norms, so
+    vectors far from the origin lose no neighbour.
     """
 
     def __init__(self, metric: str):
@@ -142,10 +169,15 @@ class DenseKernel(Kernel):
     def costs(self, q, b):
         if q.shape[1] != b.shape[1]:
             raise ValueError("query and base vectors differ in length")
-        ip = q @ b.T
         if self.metric != "l2":
-            return -ip
-        return np.einsum("ij,ij->i", q, q)[:, None] + np.einsum("ij,ij->i", b, b)[None, :] - 2 * ip
+            return -(q @ b.T)
+        return squared_distances(q, b)
+
+    def slack(self, q, b, costs):
+        if self.metric == "l2":
+            q, b = centred(q, b)
+            return rounding(q, b, _top(np.square(q).sum(1)) + _top(np.square(b).sum(1)))
+        return rounding(q, b, np.sqrt(_top(np.square(q).sum(1)) * _top(np.square(b).sum(1))))
 
     def limit(self, tau):
         return np.square(tau) if self.metric == "l2" else tau
@@ -319,9 +351,8 @@ def _slack(costs: np.ndarray) -> float:
     return 1e-9 * (1.0 + (np.abs(finite).max() if len(finite) else 0.0))
 
 
-def _candidates(costs, k, tau, groups):
+def _candidates(costs, k, tau, groups, eps):
     """Positions that may belong to the answer: within slack of the k-th best (row or group)."""
-    eps = _slack(costs)
     if groups is None:
         best, own = costs, costs
     else:
@@ -332,9 +363,11 @@ def _candidates(costs, k, tau, groups):
     limit = tau
     if best.shape[1] > k:
         limit = np.minimum(tau, np.partition(best, k - 1, axis=1)[:, k - 1])
-    mask = (own <= limit[:, None] + eps) & (costs < np.inf)
+    # the k-th value and the compared one may both be off; a bound from outside is rounded as well
+    most = limit + 1e-12 * np.abs(np.where(np.isfinite(limit), limit, 0.0)) + 2 * eps
+    mask = (own <= most[:, None]) & (costs < np.inf)
     if groups is not None:
-        mask &= costs <= own + eps
+        mask &= costs <= own + 2 * eps
     return np.nonzero(mask)
 
 
@@ -362,7 +395,7 @@ def score_pair(kernel, q, b, base: pa.RecordBatch, k: int, tau: np.ndarray, keys
     if group is not None:
         groups = base.column(group).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
     tau = tau if radius is None else np.minimum(tau, radius)
-    qi, bi = _candidates(costs, k, kernel.limit(tau), groups)
+    qi, bi = _candidates(costs, k, kernel.limit(tau), groups, kernel.slack(q, b, costs))
     cost = kernel.exact(q, b, qi, bi, costs)
     cost = cost + 0.0
     keep = cost <= tau[qi] if radius is None else (cost <= tau[qi]) & (cost < radius)

@@ -28,8 +28,7 @@ DISTANCES_AT_ONCE = 4_000_000
 
 
 def _squared(m: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    d = np.einsum("ij,ij->i", m, m)[:, None] + np.einsum("ij,ij->i", centers, centers)[None, :] - 2 * (m @ centers.T)
-    return np.maximum(d, 0.0)
+    return np.maximum(blocks.squared_distances(m, centers), 0.0)
 
 
 def _matrix(column: pa.Array, cosine: bool) -> np.ndarray:
@@ -111,8 +110,11 @@ def exact_cells(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kern
     def bounds(m: np.ndarray) -> np.ndarray:
         """Lowest cost any member of a cell can have."""
         if metric == "ip":
-            return -(m @ pivots.T) - np.sqrt(np.einsum("ij,ij->i", m, m))[:, None] * radii[None, :]
-        low = np.maximum(np.sqrt(_squared(m, pivots)) - radii[None, :], 0.0)
+            norms = np.sqrt(np.einsum("ij,ij->i", m, m))
+            return -(m @ pivots.T) - norms[:, None] * (radii * (1 + 1e-9) + 1e-9 * np.sqrt(np.square(pivots).sum(1)))[None, :]
+        c, p = blocks.centred(m, pivots)
+        error = blocks.rounding(c, p, 1.0) * (np.square(c).sum(1)[:, None] + np.square(p).sum(1)[None, :])
+        low = np.maximum(np.sqrt(np.maximum(_squared(m, pivots) - error, 0.0)) - radii[None, :] * (1 + 1e-9), 0.0)
         if metric == "l2":
             return low
         # unit vectors: cost = -cos = d^2/2 - 1; a zero row or query costs 0, never less than this
@@ -173,20 +175,10 @@ class CellIndex:
         return self.metric == "cosine"
 
 
-def training_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Rows whose key hash falls in a fixed share sized for ``rows``; for model training only."""
-    share = max(1, df.count() // rows)
-    return df.filter(F.pmod(F.xxhash64(key), F.lit(share)) == 0)
-
-
 def train_centers(df: DataFrame, n: int, key: str, seed: int = 7, iterations: int = 10, vector: str = "vector") -> np.ndarray:
-    """k-means centres; training order is fixed so that equal input gives equal cells."""
-    points = df.repartition(8, key).sortWithinPartitions(key).select(array_to_vector(F.col(vector)).alias("features"))
-    points = points.persist()
-    try:
-        model = KMeans(k=n, seed=seed, maxIter=iterations, initMode="random").fit(points)
-    finally:
-        points.unpersist()
+    """k-means centres fitted on all rows, where they lie; the key keeps its order within a partition fixed."""
+    points = df.sortWithinPartitions(key).select(array_to_vector(F.col(vector)).alias("features"))
+    model = KMeans(k=n, seed=seed, maxIter=iterations, initMode="random").fit(points)
     return np.array(model.clusterCenters(), dtype=np.float64)
 
 
@@ -197,13 +189,12 @@ def _unit_column(df: DataFrame) -> DataFrame:
 
 
 def build_cells(base: DataFrame, nlist: int = 1024, metric: str = "l2", *, id: str = "id", vector: str = "vector",
-                seed: int = 7, sample_rows: int = 200_000) -> CellIndex:
-    """Train ``nlist`` cells on a sample and assign every row."""
+                seed: int = 7) -> CellIndex:
+    """Train ``nlist`` cells on all rows and assign every row."""
     if not 1 <= nlist <= MAX_CELLS:
         raise ValueError(f"nlist must be between 1 and {MAX_CELLS}")
     rows = base.select(id, F.col(vector).alias("vector")).filter(F.col("vector").isNotNull())
-    sample = training_sample(rows, id, max(sample_rows, nlist))
-    centers = train_centers(_unit_column(sample) if metric == "cosine" else sample, nlist, id, seed)
+    centers = train_centers(_unit_column(rows) if metric == "cosine" else rows, nlist, id, seed)
     placed = assign_cells(rows, centers, metric == "cosine").drop("radius")
     return CellIndex(materialize(placed, "ivf"), centers, metric, id)
 
@@ -325,7 +316,7 @@ class ProductCodeKernel(blocks.Kernel):
         return total
 
 
-def pq_books(sample: DataFrame, dim: int, m: int, nbits: int, key: str, seed: int = 7) -> list[np.ndarray]:
+def pq_books(rows: DataFrame, dim: int, m: int, nbits: int, key: str, seed: int = 7) -> list[np.ndarray]:
     """One code book of ``2**nbits`` centres per sub-space."""
     if dim % m:
         raise ValueError("the dimension must be a multiple of m")
@@ -333,7 +324,7 @@ def pq_books(sample: DataFrame, dim: int, m: int, nbits: int, key: str, seed: in
         raise ValueError("nbits must be between 1 and 16")
     width = dim // m
     return [
-        train_centers(sample.select(key, F.slice("vector", p * width + 1, width).alias("vector")), 2**nbits, key, seed + p, 5)
+        train_centers(rows.select(key, F.slice("vector", p * width + 1, width).alias("vector")), 2**nbits, key, seed + p, 5)
         for p in range(m)
     ]
 
@@ -358,11 +349,10 @@ def pq_encode(rows: DataFrame, books: list[np.ndarray], cosine: bool = False) ->
 
 
 def pq_search(index: CellIndex, queries: DataFrame, k: int, nprobe: int = 16, *, m: int = 4, nbits: int = 8,
-              refine: int = 8, qid: str = "qid", query_vector: str = "vector", sample_rows: int = 100_000) -> DataFrame:
+              refine: int = 8, qid: str = "qid", query_vector: str = "vector") -> DataFrame:
     """Rank on product codes (Jégou et al. 2011) inside the probed cells, then on raw vectors."""
-    sample = training_sample(index.rows.select(index.id, "vector"), index.id, max(sample_rows, 2**nbits))
-    sample = _unit_column(sample) if index.cosine else sample
-    books = pq_books(sample, index.centers.shape[1], m, nbits, index.id)
+    rows = index.rows.select(index.id, "vector")
+    books = pq_books(_unit_column(rows) if index.cosine else rows, index.centers.shape[1], m, nbits, index.id)
     coded = pq_encode(index.rows.select("cell", index.id, "vector"), books, index.cosine)
     probes = _probed(index, queries, qid, query_vector, nprobe)
     pairs = blocks.pair_cells(coded, probes, index.id, qid)
@@ -378,9 +368,10 @@ def binary_ivf_search(base: DataFrame, queries: DataFrame, k: int, metric: str =
     """Cells of packed binary vectors: k-means on the unpacked bits, then exact bit distances inside."""
     from nearfield.functions.vectors import unpack_bits
 
-    rows = unpack_bits(base.select(id, F.col(vector).alias("bits")), "bits", "vector")
-    q = unpack_bits(queries.select(qid, F.col(query_vector or vector).alias("bits")), "bits", "vector")
-    centers = train_centers(training_sample(rows, id, 200_000), nlist, id)
+    rows = unpack_bits(base.select(id, F.col(vector).alias("bits")).filter(F.col("bits").isNotNull()), "bits", "vector")
+    q = queries.select(qid, F.col(query_vector or vector).alias("bits")).filter(F.col("bits").isNotNull())
+    q = unpack_bits(q, "bits", "vector")
+    centers = train_centers(rows, nlist, id)
     placed = materialize(assign_cells(rows, centers).drop("radius", "vector"), "bin-ivf")
     probes = probe_cells(q, centers, nprobe).drop("vector")
     kernel = blocks.BinaryKernel(metric)
@@ -390,15 +381,12 @@ def binary_ivf_search(base: DataFrame, queries: DataFrame, k: int, metric: str =
     return _ranked(hits, qid, id, k, metric)
 
 
-def auto_search(base: DataFrame, queries: DataFrame, k: int, metric: str = "l2", *, budget: int = 10**11,
+def auto_search(base: DataFrame, queries: DataFrame, k: int, metric: str = "l2", *, index: CellIndex | None = None,
                 id: str = "id", vector: str = "vector", qid: str = "qid", query_vector: str | None = None,
-                nlist: int | None = None, nprobe: int = 16) -> DataFrame:
-    """Exact while rows times queries stay within ``budget``, cells beyond it."""
+                nprobe: int = 16) -> DataFrame:
+    """Exact, whatever the size; only an ``index`` named by the caller makes it a search of probed cells."""
     from nearfield.operators.search import knn
 
-    rows = base.count()
-    if rows * queries.count() <= budget:
-        return knn(base, queries, k, metric, id=id, vector=vector, qid=qid, query_vector=query_vector)
-    cells = nlist or int(min(MAX_CELLS, max(1, 4 * rows**0.5)))
-    index = build_cells(base, cells, metric, id=id, vector=vector)
-    return ivf_search(index, queries, k, nprobe, qid=qid, query_vector=query_vector or vector)
+    if index is not None:
+        return ivf_search(index, queries, k, nprobe, qid=qid, query_vector=query_vector or vector)
+    return knn(base, queries, k, metric, id=id, vector=vector, qid=qid, query_vector=query_vector)

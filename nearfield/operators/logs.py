@@ -15,19 +15,8 @@ from pyspark.sql.window import Window
 
 # A search slower than this many milliseconds counts as timed out.
 TIMEOUT_MS = 5000
-
-# Expected shares (weights) of operations per workload profile.
-PROFILES = {
-    "search_heavy": {"search": 40, "full_text_search": 15, "hybrid_search": 10, "query": 15, "text_match": 10,
-                     "json_query": 5, "insert": 5},
-    "write_heavy": {"insert": 35, "upsert": 25, "delete": 15, "search": 15, "query": 10},
-    "mixed": {"search": 20, "full_text_search": 8, "hybrid_search": 8, "query": 10, "text_match": 5, "json_query": 5,
-              "insert": 20, "upsert": 12, "delete": 7},
-    "all": {"search": 18, "full_text_search": 8, "hybrid_search": 8, "query": 8, "text_match": 5, "json_query": 5,
-            "insert": 20, "upsert": 12, "delete": 10},
-    "dml": {"search": 18, "full_text_search": 8, "hybrid_search": 8, "query": 10, "text_match": 5, "json_query": 5,
-            "insert": 22, "upsert": 12, "delete": 10},
-}
+# Parts in which a value range that holds a wanted rank is counted again.
+SUBRANGES = 4096
 
 
 def measured_recall(log: DataFrame, zero_is_unset: bool = True) -> DataFrame:
@@ -55,9 +44,10 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, ranks: Mapping
     """
     by = list(by)
     v = F.col(value).cast("double")
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    counted = df.filter(F.col(value).isNotNull() & ~F.isnan(v)).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     size = F.log(F.abs(F.col("__v")) + 1) * 64
-    counted = counted.withColumn("__range", F.floor(F.when(F.col("__v") < 0, -size).otherwise(size)))
+    place = F.when(F.col("__v") < 0, -size).otherwise(size)
+    counted = counted.withColumn("__range", F.floor(place))
     ranges = counted.groupBy(*by, "__range").agg(
         F.sum("__c").alias("__rc"), F.sum(F.col("__v") * F.col("__c")).alias("__rs"))
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -68,9 +58,16 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, ranks: Mapping
     targets = ranges.withColumn("__t", wanted).filter(
         (F.col("__t.at") < F.col("__hi")) & (F.col("__t.at") >= F.col("__hi") - F.col("__rc")))
     targets = targets.select(*by, "__range", "n", "total", (F.col("__hi") - F.col("__rc")).alias("__lo"), "__t")
-    inside = _null_safe(counted, targets, [*by, "__range"])
-    order = Window.partitionBy(*by, "__t.name").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = inside.withColumn("__cum", F.col("__lo") + F.sum("__c").over(order)).filter(F.col("__cum") > F.col("__t.at"))
+    inside = _null_safe(counted, targets, [*by, "__range"]).withColumn("__sub", F.floor((place - F.col("__range")) * SUBRANGES))
+    # the range is counted again in parts, and only the part that holds the rank is ordered
+    parts = inside.groupBy(*by, "__t", "__lo", "__sub").agg(F.sum("__c").alias("__sc"))
+    upto = Window.partitionBy(*by, "__t.name").orderBy("__sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("__end", F.col("__lo") + F.sum("__sc").over(upto)).filter(
+        (F.col("__t.at") < F.col("__end")) & (F.col("__t.at") >= F.col("__end") - F.col("__sc")))
+    parts = parts.select(*by, F.col("__t.name").alias("__name"), "__sub", (F.col("__end") - F.col("__sc")).alias("__from"))
+    held = _null_safe(inside.withColumn("__name", F.col("__t.name")), parts, [*by, "__name", "__sub"])
+    order = Window.partitionBy(*by, "__name").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = held.withColumn("__cum", F.col("__from") + F.sum("__c").over(order)).filter(F.col("__cum") > F.col("__t.at"))
     return reached.groupBy(*by, "n", "total").agg(
         *[F.min(F.when(F.col("__t.name") == name, F.col("__v"))).alias(name) for name in ranks])
 

@@ -32,9 +32,9 @@ def truth_rows(truth: DataFrame) -> DataFrame:
 
 
 def _matched(hits: DataFrame, truth: DataFrame, id: str) -> DataFrame:
-    """Hits that are in the truth, with both ranks."""
+    """Distinct hits that are in the truth, with both ranks; a repeated hit counts once, at its best rank."""
     t = truth.select("qid", F.col(id).alias("id"), F.col("rank").alias("truth_rank")).dropDuplicates(["qid", "id"])
-    h = hits.select("qid", F.col(id).alias("id"), F.col("rank").alias("hit_rank"))
+    h = hits.groupBy("qid", F.col(id).alias("id")).agg(F.min("rank").alias("hit_rank"))
     return h.join(t, ["qid", "id"])
 
 

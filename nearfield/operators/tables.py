@@ -48,8 +48,11 @@ def insert(table: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def latest(rows: DataFrame, pk: str, seq: str) -> DataFrame:
-    """The last row per key by sequence; partial maxima are formed before the shuffle."""
-    best = F.max_by(F.struct(*rows.columns), F.col(seq)).alias("r")
+    """The last row per key by sequence; partial maxima are formed before the shuffle.
+
+    Rows of a key with equal ``seq`` are ordered by a hash of all their columns, so the choice is stable.
+    """
+    best = F.max_by(F.struct(*rows.columns), F.struct(F.col(seq), F.xxhash64(*rows.columns))).alias("r")
     return rows.groupBy(F.col(pk).alias("__pk")).agg(best).select("r.*")
 
 
@@ -58,7 +61,13 @@ def upsert(table: DataFrame, rows: DataFrame, pk: str, seq: str | None = None) -
 
     Columns the rows lack keep the table's value.
     """
-    last = latest(rows, pk, seq) if seq else rows.dropDuplicates([pk])
+    if seq is None:
+        # without an order no row of a repeated key is the last one: the run fails rather than choosing
+        repeated = F.raise_error(F.lit("upsert needs seq: a key is repeated"))
+        marked = rows.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(pk)))
+        last = marked.filter(F.when(F.col("__n") > 1, repeated.cast("boolean")).otherwise(True)).drop("__n")
+    else:
+        last = latest(rows, pk, seq)
     last = last.drop(seq) if seq and seq not in table.columns else last
     kept = table.join(last.select(pk), pk, "left_anti")
     absent = [c for c in table.columns if c not in last.columns]
@@ -143,9 +152,19 @@ def has_partition(df: DataFrame, column: str, value) -> bool:
 
 
 def drop_stored_partition(spark: SparkSession, path: str, column: str, value) -> bool:
-    """Remove one partition folder of a stored table; no other data is read or rewritten."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """Remove one partition folder of a stored table; no other data is read or rewritten.
+
+    The folder is one of those that the table has, found under the name Spark stores the value by
+    (escaped; null has a name of its own), so no value can reach outside the table.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    name = names.getPartitionPathString(column, None if value is None else str(value))
+    for status in files.listStatus(root) if files.exists(root) else ():
+        if status.isDirectory() and status.getPath().getName() == name:
+            return files.delete(status.getPath(), True)
+    return False
 
 
 def shard_balance(df: DataFrame, pk: str, shards: int) -> DataFrame:

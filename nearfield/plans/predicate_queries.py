@@ -11,18 +11,15 @@ from nearfield.plans.registry import query, rounded, table
 from nearfield.plans.search_queries import DOCS, TOKENS
 
 
-CAPACITY = 64
-
-
 def turns(spark, sf_dir):
-    """Conversations as struct arrays of at most 64 turns: a longer one fills several rows."""
+    """One row per conversation with its turns as a struct array (no texts), in order."""
     df = table(spark, sf_dir, "conversations")
-    part = F.struct("turn", "role", F.length("text").alias("n"), "text")
-    return df.groupBy("conv_id", F.floor(F.col("turn") / CAPACITY).alias("chunk")).agg(F.array_sort(F.collect_list(part)).alias("turns"))
+    part = F.struct("turn", "role", F.length("text").alias("n"))
+    return df.groupBy("conv_id").agg(F.array_sort(F.collect_list(part)).alias("turns"))
 
 
-TURN_LISTS = f"""c AS (SELECT conv_id, turn // {CAPACITY} AS chunk, list({{turn: turn, role: role, n: length(text)}} ORDER BY turn) AS t,
-  list(role ORDER BY turn) AS roles FROM conversations GROUP BY conv_id, turn // {CAPACITY})"""
+TURN_LISTS = """c AS (SELECT conv_id, list({turn: turn, role: role, n: length(text)} ORDER BY turn) AS t,
+  list(role ORDER BY turn) AS roles FROM conversations GROUP BY conv_id)"""
 
 
 @query("filter_compare", "SELECT p_partkey, p_name, p_size FROM part WHERE p_size >= 20 AND p_retailprice < 950 AND p_brand > 'Brand#2' AND p_size <= 45 AND p_type = 'ECONOMY'")
@@ -64,40 +61,40 @@ def filter_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", k.alias("k")).filter((F.col("k") <= 30) & (F.col("k") != 7))
 
 
-@query("array_contains", f"WITH {TURN_LISTS} SELECT conv_id, chunk, len(t) AS n_turns FROM c WHERE list_contains(roles, 'system')")
+@query("array_contains", f"WITH {TURN_LISTS} SELECT conv_id, len(t) AS n_turns FROM c WHERE list_contains(roles, 'system')")
 def array_contains(spark, sf_dir):
     df = turns(spark, sf_dir).filter(P.contains(P.subfield("turns", "role"), "system"))
-    return df.select("conv_id", "chunk", F.size("turns").cast("bigint").alias("n_turns"))
+    return df.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"))
 
 
-@query("array_contains_any", f"WITH {TURN_LISTS} SELECT conv_id, chunk, len(t) AS n_turns FROM c WHERE list_has_any(roles, ['system', 'tool'])")
+@query("array_contains_any", f"WITH {TURN_LISTS} SELECT conv_id, len(t) AS n_turns FROM c WHERE list_has_any(roles, ['system', 'tool'])")
 def array_contains_any(spark, sf_dir):
     df = turns(spark, sf_dir).filter(P.contains_any(P.subfield("turns", "role"), ["system", "tool"]))
-    return df.select("conv_id", "chunk", F.size("turns").cast("bigint").alias("n_turns"))
+    return df.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"))
 
 
-@query("array_contains_all", f"WITH {TURN_LISTS} SELECT conv_id, chunk, len(t) AS n_turns FROM c WHERE list_has_all(roles, ['system', 'assistant'])")
+@query("array_contains_all", f"WITH {TURN_LISTS} SELECT conv_id, len(t) AS n_turns FROM c WHERE list_has_all(roles, ['system', 'assistant'])")
 def array_contains_all(spark, sf_dir):
     df = turns(spark, sf_dir).filter(P.contains_all(P.subfield("turns", "role"), ["system", "assistant"]))
-    return df.select("conv_id", "chunk", F.size("turns").cast("bigint").alias("n_turns"))
+    return df.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"))
 
 
-@query("array_length", f"WITH {TURN_LISTS} SELECT conv_id, chunk, len(t) AS n_turns FROM c WHERE len(t) >= 4")
+@query("array_length", f"WITH {TURN_LISTS} SELECT conv_id, len(t) AS n_turns FROM c WHERE len(t) >= 4")
 def array_length(spark, sf_dir):
     df = turns(spark, sf_dir).filter(P.length(P.subfield("turns", "role")) >= 4)
-    return df.select("conv_id", "chunk", F.size("turns").cast("bigint").alias("n_turns"))
+    return df.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"))
 
 
-@query("struct_index_in", f"WITH {TURN_LISTS} SELECT conv_id, chunk, roles[1] AS first_role, roles[7] AS seventh_role FROM c WHERE roles[1] IN ('system', 'assistant') OR roles[7] = 'user'")
+@query("struct_index_in", f"WITH {TURN_LISTS} SELECT conv_id, roles[1] AS first_role, roles[7] AS seventh_role FROM c WHERE roles[1] IN ('system', 'assistant') OR roles[7] = 'user'")
 def struct_index_in(spark, sf_dir):
     first, seventh = P.element("turns", 0, "role"), P.element("turns", 6, "role")
     df = turns(spark, sf_dir).filter(P.one_of(first, ["system", "assistant"]) | (seventh == "user"))
-    return df.select("conv_id", "chunk", first.alias("first_role"), seventh.alias("seventh_role"))
+    return df.select("conv_id", first.alias("first_role"), seventh.alias("seventh_role"))
 
 
-@query("struct_subfield", f"WITH {TURN_LISTS} SELECT conv_id, chunk, array_to_string(roles, ',') AS roles FROM c")
+@query("struct_subfield", f"WITH {TURN_LISTS} SELECT conv_id, array_to_string(roles, ',') AS roles FROM c")
 def struct_subfield(spark, sf_dir):
-    return turns(spark, sf_dir).select("conv_id", "chunk", F.array_join(P.subfield("turns", "role"), ",").alias("roles"))
+    return turns(spark, sf_dir).select("conv_id", F.array_join(P.subfield("turns", "role"), ",").alias("roles"))
 
 
 _LONG_USER = "role = 'user' AND length(text) > 150"
@@ -107,32 +104,32 @@ def long_user(e):
     return (e.role == "user") & (e.n > 150)
 
 
-@query("element_filter_query", f"""SELECT conv_id, chunk, pos, role, n FROM (SELECT conv_id, turn // {CAPACITY} AS chunk, row_number() OVER (PARTITION BY conv_id, turn // {CAPACITY} ORDER BY turn) - 1 AS pos, role, length(text) AS n, text
+@query("element_filter_query", f"""SELECT conv_id, pos, role, n FROM (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, role, length(text) AS n, text
 FROM conversations) WHERE {_LONG_USER}""")
 def element_filter_query(spark, sf_dir):
-    rows = P.element_rows(turns(spark, sf_dir), "turns", long_user, ["conv_id", "chunk"])
-    return rows.select("conv_id", "chunk", F.col("pos").cast("bigint").alias("pos"), "element.role", F.col("element.n").cast("bigint").alias("n"))
+    rows = P.element_rows(turns(spark, sf_dir), "turns", long_user, ["conv_id"])
+    return rows.select("conv_id", F.col("pos").cast("bigint").alias("pos"), "element.role", F.col("element.n").cast("bigint").alias("n"))
 
 
 def _match_sql(having: str) -> str:
-    return f"SELECT conv_id, turn // {CAPACITY} AS chunk FROM conversations GROUP BY ALL HAVING {having}"
+    return f"SELECT conv_id FROM conversations GROUP BY conv_id HAVING {having}"
 
 
 @query("match_any", _match_sql(f"count(*) FILTER (WHERE {_LONG_USER}) >= 1"))
 def match_any(spark, sf_dir):
-    return turns(spark, sf_dir).filter(P.match_any("turns", long_user)).select("conv_id", "chunk")
+    return turns(spark, sf_dir).filter(P.match_any("turns", long_user)).select("conv_id")
 
 
 @query("match_least", _match_sql(f"count(*) FILTER (WHERE {_LONG_USER}) >= 2"))
 def match_least(spark, sf_dir):
-    return turns(spark, sf_dir).filter(P.match_least("turns", long_user, 2)).select("conv_id", "chunk")
+    return turns(spark, sf_dir).filter(P.match_least("turns", long_user, 2)).select("conv_id")
 
 
-@query("match_all_most_exact", f"""SELECT conv_id, turn // {CAPACITY} AS chunk, bool_and(length(text) > 30) AS all_long, count(*) FILTER (WHERE {_LONG_USER}) <= 1 AS at_most_one,
-count(*) FILTER (WHERE {_LONG_USER}) = 2 AS exactly_two FROM conversations GROUP BY ALL""")
+@query("match_all_most_exact", f"""SELECT conv_id, bool_and(length(text) > 30) AS all_long, count(*) FILTER (WHERE {_LONG_USER}) <= 1 AS at_most_one,
+count(*) FILTER (WHERE {_LONG_USER}) = 2 AS exactly_two FROM conversations GROUP BY conv_id""")
 def match_all_most_exact(spark, sf_dir):
     return turns(spark, sf_dir).select(
-        "conv_id", "chunk", P.match_all("turns", lambda e: e.n > 30).alias("all_long"), P.match_most("turns", long_user, 1).alias("at_most_one"),
+        "conv_id", P.match_all("turns", lambda e: e.n > 30).alias("all_long"), P.match_most("turns", long_user, 1).alias("at_most_one"),
         P.match_exact("turns", long_user, 2).alias("exactly_two"))
 
 

@@ -233,21 +233,23 @@ def dataset_metadata_query(spark, sf_dir):
     return dataset_metadata(base, test, ground_truth(base, test, 5), "L2")
 
 
-@query("fixture_clustered", """SELECT vec_id AS id, label::BIGINT AS group_id, round(sqrt(list_sum(list_transform(range(0, 64),
-lambda i: ((sin((label * 100 + i) * 0.1::DOUBLE) / 2 + 0.5::DOUBLE) ^ 2)))), 4) AS norm FROM embeddings""")
+@query("fixture_clustered", """WITH x AS (SELECT vec_id, label, unnest(range(0, len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
+m AS (SELECT label, i, avg(v) AS m FROM x GROUP BY label, i)
+SELECT vec_id AS id, x.label::BIGINT AS group_id, round(sqrt(sum((m + 0.25 * (v - m)) ^ 2)), 4) AS norm, round(sqrt(sum((0.25 * (v - m)) ^ 2)), 4) AS spread
+FROM x JOIN m USING (label, i) GROUP BY ALL""")
 def fixture_clustered(spark, sf_dir):
-    ids = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("group_id"))
-    rows = fixtures.clustered_members(ids, noise=0.0, dim=64)
-    return rows.select("id", "group_id", F.round(V.norm("embedding"), 4).alias("norm"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("bigint").alias("group_id"), "embedding")
+    drawn = fixtures.tight_groups(rows, "group_id", "embedding")
+    far = F.zip_with("embedding", "mean", lambda x, m: x - m)
+    return drawn.join(fixtures.group_means(rows, "group_id", "embedding"), "group_id").select(
+        "id", "group_id", F.round(V.norm("embedding"), 4).alias("norm"), F.round(V.norm(far), 4).alias("spread"))
 
 
-@query("fixture_struct_array", """WITH d AS (SELECT vec_id AS id, 2 + vec_id % 4 AS n FROM embeddings),
-e AS (SELECT id, n, i AS j, id * 17 + i AS s FROM d, range(0, 5) t(i) WHERE i < n)
-SELECT id, max(n) AS n_elements, sum(id * 10 + j)::BIGINT AS int_total, round(sum((((s + 1) * 31) % 997)::DOUBLE / 997), 4) AS first_values,
-string_agg(['Red', 'Blue', 'Green', 'Yellow'][((id + j) % 4 + 1)::INTEGER], ',' ORDER BY j) AS colors FROM e GROUP BY id""")
+@query("fixture_struct_array", """SELECT conv_id AS id, count(*) AS n_elements, sum(turn * length(text))::BIGINT AS weighted, string_agg(role, ',' ORDER BY turn) AS roles,
+max(length(text)) AS longest FROM conversations GROUP BY conv_id""")
 def fixture_struct_array(spark, sf_dir):
-    df = fixtures.struct_documents(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), 64)
-    total = F.aggregate("structA", F.lit(0).cast("bigint"), lambda a, e: a + e.int_val)
-    first = F.aggregate("structA", F.lit(0.0), lambda a, e: a + e.embedding[0].cast("double"))
-    return df.select("id", F.size("structA").cast("bigint").alias("n_elements"), total.alias("int_total"), F.round(first, 4).alias("first_values"),
-                     F.array_join("structA.color", ",").alias("colors"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.char_length("text").cast("bigint").alias("n"))
+    df = fixtures.struct_rows(rows, "conv_id", "turn", ["role", "n"])
+    weighted = F.aggregate("elements", F.lit(0).cast("bigint"), lambda a, e: a + e.turn * e.n)
+    return df.select(F.col("conv_id").alias("id"), F.size("elements").cast("bigint").alias("n_elements"), weighted.alias("weighted"),
+                     F.array_join("elements.role", ",").alias("roles"), F.array_max("elements.n").alias("longest"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from nearfield.operators.tables import number_rows
 
@@ -26,6 +28,8 @@ NEIGHBOR_ROWS = T.StructType([
     T.StructField("neighbors", T.ArrayType(T.LongType())), T.StructField("distances", T.ArrayType(T.DoubleType())),
 ])
 
+RECORDS_AT_ONCE = 4096
+
 # The parts of a data set and their file names.
 PARTS = {
     "train": "train.parquet",
@@ -105,21 +109,29 @@ def write_ann_dataset(train: DataFrame, test: DataFrame, truth: DataFrame, folde
 def _read_records(spark: SparkSession, path: str, dim: int, kind: str, element: T.DataType, column: str) -> DataFrame:
     width = 4 + 4 * dim
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField(column, T.ArrayType(element))])
-    records = spark.sparkContext.binaryRecords(path, width).zipWithIndex()
-    raw = records.map(lambda pair: (pair[1], bytearray(pair[0]))).toDF("id long, record binary")
+
+    def joined(part: int, records: Iterator[bytes]):
+        number = 0
+        while run := list(itertools.islice(records, RECORDS_AT_ONCE)):
+            yield part, number, len(run), bytearray(b"".join(run))
+            number += len(run)
+
+    raw = spark.sparkContext.binaryRecords(path, width).mapPartitionsWithIndex(joined).toDF("part int, number long, n int, records binary")
+    sizes = raw.groupBy("part").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row per file split
+    raw = raw.join(F.broadcast(starts), "part").select((F.col("start") + F.col("number")).alias("first"), "records")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column("record").to_pylist()
-            if not rows:
-                continue
-            m = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), width)
+        for first, records in ((f, r) for batch in batches for f, r in zip(batch.column("first").to_pylist(), batch.column("records").to_pylist())):
+            m = np.frombuffer(records, np.uint8).reshape(-1, width)
             head = np.ascontiguousarray(m[:, :4]).view("<i4").ravel()
             if (head != dim).any():
                 raise ValueError(f"record of dimension {head[head != dim][0]}, expected {dim}")
             flat = np.ascontiguousarray(m[:, 4:]).view(kind).ravel()
             ends = pa.array(np.arange(0, len(flat) + 1, dim, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(ends, pa.array(flat))], names=schema.names)
+            ids = pa.array(np.arange(first, first + len(m), dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(ends, pa.array(flat))], names=schema.names)
 
     return raw.mapInArrow(run, schema)
 
@@ -134,9 +146,12 @@ def read_ivecs(spark: SparkSession, path: str, dim: int) -> DataFrame:
     return _read_records(spark, path, dim, "<i4", T.IntegerType(), "values")
 
 
-def read_neighbors_json(spark: SparkSession, path: str) -> DataFrame:
-    """An array (or lines) of ``{query_id, group_id, neighbors, distances}`` as ranked rows."""
-    rows = spark.read.schema(NEIGHBOR_ROWS).option("multiLine", True).json(path)
+def read_neighbors_json(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """Lines of ``{query_id, group_id, neighbors, distances}`` as ranked rows; large files are split.
+
+    A line may also hold an array of them. ``array`` reads files that are one array over several lines; each is one task.
+    """
+    rows = spark.read.schema(NEIGHBOR_ROWS).option("multiLine", array).option("mode", "FAILFAST").json(path)
     pairs = rows.select(F.col("query_id").alias("qid"), "group_id", F.posexplode(F.arrays_zip("neighbors", "distances")))
     return pairs.select("qid", "group_id", (F.col("pos") + 1).alias("rank"), F.col("col.neighbors").alias("id"),
                         F.col("col.distances").alias("distance"))

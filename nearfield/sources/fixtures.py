@@ -1,127 +1,30 @@
-"""Test data that depends on row numbers alone, never on partitioning."""
+"""Data sets with known structure, derived from given tables: tight groups of vectors, and documents with struct elements."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Product categories (the extended form uses all, the plain form the first five) and brands.
-CATEGORIES = ["electronics", "clothing", "books", "food", "toys", "sports", "home", "garden"]
-BRANDS = ["brand_a", "brand_b", "brand_c", "brand_d", "brand_e"]
-# What the elements of a struct array take their fields from.
-COLORS = ["Red", "Blue", "Green", "Yellow"]
-SIZES = ["S", "M", "L", "XL"]
-KINDS = ["A", "B", "C", "D"]
-# Values of our own for text and JSON columns.
-WORDS = ["search", "vector", "database", "query", "index", "cluster", "recall", "latency"]
-NAMES = ["Ann", "Ben", "Cleo", "Dan", "Emma", "Finn"]
 
+def group_means(rows: DataFrame, group: str, vector: str) -> DataFrame:
+    """``(group, mean)``: the mean vector of every group; values are averaged per position, partly before the shuffle."""
+    flat = rows.select(group, F.posexplode(vector).alias("__at", "__x"))
+    means = flat.groupBy(group, "__at").agg(F.avg(F.col("__x").cast("double")).alias("__m"))
+    listed = means.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("__at", "__m"))).alias("__l"))  # one entry per dimension
+    return listed.select(group, F.col("__l.__m").alias("mean"))
 
-def uniform(*parts: Column) -> Column:
-    """A number in [0, 1) from a hash of the parts."""
-    return F.pmod(F.xxhash64(*parts), F.lit(2**31)).cast("double") / F.lit(float(2**31))
 
+def tight_groups(rows: DataFrame, group: str, vector: str, keep: float = 0.25) -> DataFrame:
+    """``rows`` with every vector drawn towards the mean of its group, to ``keep`` of its distance.
 
-def pick(words: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(w) for w in words]), F.pmod(index, F.lit(len(words))).cast("int"))
+    The nearest neighbours of a row then lie in its own group, so recall and purity have known values.
+    """
+    means = group_means(rows, group, vector)
+    drawn = F.zip_with(vector, "mean", lambda x, m: m + keep * (x.cast("double") - m))
+    return rows.join(means, group).withColumn(vector, drawn).drop("mean")
 
 
-def positions(dim: int) -> Column:
-    return F.sequence(F.lit(0), F.lit(dim - 1))
-
-
-def fixture_uniform(spark: SparkSession, n: int, dim: int = 128, seed: int = 7, extended: bool = False) -> DataFrame:
-    """Products: id, category, price in [0,100) and a random vector; ``extended`` adds brand and stock
-    and prices in [0,1000)."""
-    id, s = F.col("id"), F.lit(seed)
-    vector = F.transform(positions(dim), lambda j: uniform(id, j, s).cast("float"))
-    cols = [id, pick(CATEGORIES if extended else CATEGORIES[:5], F.xxhash64(id, F.lit("category"), s)).alias("category"),
-            (uniform(id, F.lit("price"), s) * (1000 if extended else 100)).cast("float").alias("price"), vector.alias("embedding")]
-    if extended:
-        cols += [pick(BRANDS, F.xxhash64(id, F.lit("brand"), s)).alias("brand"),
-                 F.floor(uniform(id, F.lit("stock"), s) * 1000).alias("stock")]
-    return spark.range(n).select(*cols)
-
-
-def clustered_base(s: Column, dim: int) -> Column:
-    return F.transform(positions(dim), lambda i: F.sin((s + i) * 0.1) / 2 + 0.5)
-
-
-def clustered_members(ids: DataFrame, noise: float = 0.05, dim: int = 128, seed: int = 7) -> DataFrame:
-    """Vectors near their group's base vector for rows ``(id, group_id)``; rows with ``is_base`` set
-    to true get the base vector itself."""
-    base = clustered_base(F.col("group_id") * 100, dim)
-    near = F.transform(base, lambda x, i: x + noise * (uniform(F.col("id"), i, F.lit(seed)) - 0.5))
-    vector = F.when(F.col("is_base"), base).otherwise(near) if "is_base" in ids.columns else near
-    return ids.select("id", F.col("group_id").cast("bigint").alias("group_id"), F.concat(F.lit("Group"), "group_id").alias("category"),
-                      vector.cast("array<float>").alias("embedding"))
-
-
-def fixture_clustered(spark: SparkSession, groups: int = 10, per_group: int = 10, noise: float = 0.05, dim: int = 128,
-                      seed: int = 7, noise_rows: int = 100) -> tuple[DataFrame, DataFrame]:
-    """``(train, test)``: per group its base vector and near copies, rows far from every group, and
-    one query per group that is the base vector. Train ids start at 1."""
-    member = F.col("id") - 1
-    ids = spark.range(1, groups * per_group + 1).select(
-        "id", F.floor(member / per_group).cast("bigint").alias("group_id"), (member % per_group == 0).alias("is_base"))
-    train = clustered_members(ids, noise, dim, seed)
-    start = groups * per_group + 1
-    number = F.col("id") - start
-    far = spark.range(start, start + noise_rows).select(
-        "id", F.lit(-1).cast("bigint").alias("group_id"), F.lit("Noise").alias("category"),
-        F.transform(positions(dim), lambda i: F.cos((number * 100 + i) * 0.3) / 2 + 0.5).cast("array<float>").alias("embedding"))
-    test = spark.range(groups).select(F.col("id").alias("query_id"), F.col("id").alias("group_id"),
-                                      clustered_base(F.col("id") * 100, dim).cast("array<float>").alias("embedding"))
-    return train.unionByName(far), test
-
-
-def modular_vector(s: Column, dim: int) -> Column:
-    return F.transform(positions(dim), lambda i: (((s + 1) * 31 + i * 17) % 997 / 997).cast("float"))
-
-
-def fixture_struct_array(spark: SparkSession, n: int, dim: int = 128, low: int = 2, high: int = 5) -> DataFrame:
-    """``n`` documents with 2 to 5 struct elements."""
-    return struct_documents(spark.range(n), dim, low, high)
-
-
-def struct_documents(ids: DataFrame, dim: int = 128, low: int = 2, high: int = 5) -> DataFrame:
-    """A document with struct elements, each with a vector and scalar fields, for every ``id``."""
-    id = F.col("id")
-    count = (F.lit(low) + F.pmod(id, F.lit(high - low + 1))).cast("int")
-
-    def part(e: Column) -> Column:
-        return F.struct(
-            modular_vector(id * 17 + e, dim).alias("embedding"), (id * 10 + e).alias("int_val"),
-            ((id % 100) * 0.37 + e + 0.5).cast("float").alias("float_val"), pick(COLORS, id + e).alias("color"),
-            pick(SIZES, id * 3 + e).alias("size"), pick(KINDS, id + e * 2).alias("category"),
-            F.concat(F.lit("row_"), id, F.lit("_elem_"), e).alias("tag"), ((id + e) % 2 == 0).alias("flag"))
-
-    return ids.select(
-        "id", F.concat(F.lit("doc_"), id % 32).alias("doc_varchar"), ((id % 1000) * 0.01 + 0.5).cast("float").alias("doc_score"),
-        pick(KINDS, id).alias("doc_category"), modular_vector(id + 1000, dim).alias("normal_vector"),
-        F.transform(F.sequence(F.lit(0), count - 1), part).alias("structA"))
-
-
-def fixture_sparse(spark: SparkSession, n: int, dim: int = 1000, density: float = 0.01, seed: int = 7) -> DataFrame:
-    """Sparse vectors with about ``dim * density`` entries; colliding positions merge."""
-    id, s = F.col("id"), F.lit(seed)
-    entries = max(1, int(dim * density))
-    where = F.array_distinct(F.transform(positions(entries), lambda j: F.floor(uniform(id, j, s) * dim).cast("int")))
-    pairs = F.transform(where, lambda p: F.struct(p, uniform(id, p, s, F.lit("v")).cast("float")))
-    return spark.range(n).select("id", F.map_from_entries(pairs).alias("sparse"))
-
-
-def fixture_all_types(spark: SparkSession, n: int, dim: int = 8, seed: int = 7) -> DataFrame:
-    """One column of every kind: scalars, text, JSON, arrays, vector and struct array."""
-    id, s = F.col("id"), F.lit(seed)
-    words = F.transform(positions(5), lambda j: pick(WORDS, F.xxhash64(id, j, s)))
-    return spark.range(n).select(
-        id.alias("int64"), uniform(id, F.lit("f"), s).cast("float").alias("float"), pick(WORDS, id).alias("varchar"),
-        F.concat_ws(" ", words).alias("document"), F.concat_ws(" ", F.reverse(words)).alias("text"),
-        F.to_json(F.struct(pick(NAMES, F.xxhash64(id, s)).alias("name"), F.floor(uniform(id, F.lit("count"), s) * 100).alias("count"))).alias("json_field"),
-        F.transform(positions(3), lambda j: id + j).alias("array_int"),
-        F.transform(positions(3), lambda j: ((id + j) / 10).cast("float")).alias("array_float"),
-        words.alias("array_varchar"), F.transform(positions(3), lambda j: (id + j) % 2 == 0).alias("array_bool"),
-        F.transform(positions(dim), lambda j: uniform(id, j, s, F.lit("vec")).cast("float")).alias("float_vector"),
-        F.transform(F.sequence(F.lit(1), (F.pmod(id, F.lit(5)) + 1).cast("int")), lambda j: F.struct(
-            pick(NAMES, F.xxhash64(id, j, s)).alias("name"), (F.floor(uniform(id, j, F.lit("age"), s) * 60) + 18).alias("age"))).alias("array_struct"))
+def struct_rows(rows: DataFrame, key: str, order: str, fields: list[str], into: str = "elements") -> DataFrame:
+    """One document per ``key`` with its rows as an ordered array of structs; as long as the key has rows."""
+    part = F.struct(order, *fields)
+    return rows.groupBy(key).agg(F.array_sort(F.collect_list(part)).alias(into))

@@ -12,7 +12,7 @@ from nearfield.operators.logs import passes, threshold_rules
 
 LATE = "2 minutes"
 
-# Upper bounds of the latency buckets in milliseconds; the last bucket is open.
+# Upper bounds of the latency buckets in milliseconds; the last bucket is open.
 BUCKETS_MS = [1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0, 2500.0, 5000.0, 10000.0]
 
 

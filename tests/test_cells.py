@@ -44,7 +44,8 @@ def test_auto_search_switches(spark, data):
     df, queries = data
     truth = search.knn(df, queries, 10, "l2")
     assert recall(cells.auto_search(df, queries, 10), truth) == 1.0
-    assert recall(cells.auto_search(df, queries, 10, budget=10, nlist=8, nprobe=2), truth) >= 0.9
+    index = cells.build_cells(df, 8)
+    assert recall(cells.auto_search(df, queries, 10, index=index, nprobe=8), truth) == 1.0
 
 
 def test_binary_cells(spark, data):
@@ -90,3 +91,18 @@ def test_index_comparison(spark, data):
     rows = quality.compare_searches({f"nprobe={p}": cells.ivf_search(index, queries, 10, p) for p in (1, 8)}, truth, 10)
     got = {r["search"]: r["avg_recall"] for r in rows.collect()}
     assert got["nprobe=8"] == 1.0 and got["nprobe=1"] <= 1.0
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "cells"])
+@pytest.mark.parametrize("origin,spread", [(1e4, 1e-3), (1e9, 1e3), (0.0, 1.0)])
+def test_exact_l2_far_from_the_origin(spark, strategy, origin, spread):
+    rng = np.random.default_rng(8)
+    base = origin + spread * rng.standard_normal((3000, 32))
+    asked = origin + spread * rng.standard_normal((40, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "id long, vector array<double>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "qid long, vector array<double>")
+    got = {}
+    for r in search.knn(df, queries, 10, "l2", strategy=strategy).collect():
+        got.setdefault(r["qid"], set()).add(r["id"])
+    for i, q in enumerate(asked):
+        assert got[i] == set(np.argsort(np.sqrt(np.square(base - q).sum(1)), kind="stable")[:10].tolist())

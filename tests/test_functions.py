@@ -116,3 +116,12 @@ def test_sql_functions(spark, plan):
     out = spark.sql("SELECT vec_l2(array(3f, 4f), array(0f, 0f)) a, vec_cosine(array(0f), array(1f)) b, tokens('A b') c, vec_ip(array(1d, 2d), array(3d, 4d)) d")
     assert tuple(out.first()) == (5.0, 0.0, ["a", "b"], 11.0)
     assert "Python" not in plan(out)
+
+
+def test_null_vectors_stay_null(spark):
+    df = spark.createDataFrame([(1, [1.0] * 8), (2, None), (3, [-1.0] * 8)], "id int, v array<float>")
+    bits = V.binarize_vectors(df, "v")
+    rows = {r["id"]: r["bits"] for r in bits.collect()}
+    assert rows[2] is None and bytes(rows[1]) == b"\xff" and bytes(rows[3]) == b"\x00"
+    back = {r["id"]: r["u"] for r in V.unpack_bits(bits, "bits", "u").collect()}
+    assert back[2] is None and back[1] == [1.0] * 8

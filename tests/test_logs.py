@@ -158,3 +158,13 @@ def test_points_of_a_log(spark):
     log = log_frame(spark, [(0, 1, "search", 10, True)])
     assert {r["metric"]: r["value"] for r in logs.to_points(log).collect()} == {"search_latency": 10.0, "search_recall": 1.0, "search_error_rate": 0.0}
     assert logs.op_counts(log).first()["n"] == 1
+
+
+def test_quantiles_in_a_narrow_range_and_without_nan(spark):
+    values = [100 + 0.9 * i / 5000 for i in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values[::-1]] + [(float("nan"),), (None,)], "v double")
+    ranks = {"first": F.lit(0), "mid": F.floor(F.col("n") / 2), "last": F.col("n") - 1}
+    row = logs.exact_quantiles(df, [], "v", ranks).first()
+    assert (row["n"], row["first"], row["mid"], row["last"]) == (5000, values[0], values[2500], values[-1])
+    parts = {int((math.log(v + 1) * 64 % 1) * logs.SUBRANGES) for v in values}
+    assert len(parts) > 2000  # what one window has to order is a small part of the range

@@ -1,5 +1,6 @@
 """Recall definitions with values worked out by hand."""
 
+import numpy as np
 import pytest
 
 from nearfield.operators import quality
@@ -44,11 +45,12 @@ def test_summaries(spark):
 
 
 def test_ground_truth_and_purity(spark):
-    from nearfield.sources.fixtures import fixture_clustered
-
-    train, test = fixture_clustered(spark, groups=4, per_group=6, dim=16, noise_rows=10)
-    base = train.withColumnRenamed("embedding", "vector")
-    queries = test.withColumnRenamed("embedding", "vector").withColumnRenamed("query_id", "qid")
+    rng = np.random.default_rng(3)
+    middle = rng.random((4, 16)) + np.eye(4, 16)
+    rows = [(1 + 6 * g + i, g, (middle[g] + (rng.random(16) - 0.5) * 0.02).tolist()) for g in range(4) for i in range(6)]
+    rows += [(100 + i, -1, (5 + rng.random(16)).tolist()) for i in range(10)]
+    base = spark.createDataFrame(rows, "id long, group_id long, vector array<float>")
+    queries = spark.createDataFrame([(g, g, middle[g].tolist()) for g in range(4)], "qid long, group_id long, vector array<float>")
     truth = quality.ground_truth(base, queries, 6, "L2")
     rows = truth.collect()
     assert all(len(r["neighbors"]) == 6 and r["distances"] == sorted(r["distances"]) for r in rows)
@@ -64,3 +66,9 @@ def test_ground_truth_and_purity(spark):
 def test_id_zero_counts(spark):
     one = spark.createDataFrame([(0, 1, 0)], "qid long, rank int, id long")
     assert by_query(quality.recall_at_k(one, one, 1)) == {0: 1.0}
+
+
+def test_a_repeated_hit_counts_once(spark):
+    hits = spark.createDataFrame([(0, 1, 1), (0, 2, 1), (0, 3, 2)], "qid long, rank int, id long")
+    truth = spark.createDataFrame([(0, 1, 1), (0, 2, 2), (0, 3, 3)], "qid long, rank int, id long")
+    assert by_query(quality.recall_at_k(hits, truth, 3))[0] == pytest.approx(2 / 3)

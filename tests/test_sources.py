@@ -50,7 +50,7 @@ def test_fvecs_and_ivecs(spark, tmp_path):
 
 def test_neighbors_json(spark, tmp_path):
     (tmp_path / "n.json").write_text(json.dumps([{"query_id": 0, "group_id": 4, "neighbors": [7, 9], "distances": [0.0, 0.5]}]))
-    rows = ann_dataset.read_neighbors_json(spark, str(tmp_path / "n.json")).orderBy("rank").collect()
+    rows = ann_dataset.read_neighbors_json(spark, str(tmp_path / "n.json"), array=True).orderBy("rank").collect()
     assert [(r["qid"], r["group_id"], r["rank"], r["id"], r["distance"]) for r in rows] == [(0, 4, 1, 7, 0.0), (0, 4, 2, 9, 0.5)]
 
 
@@ -94,30 +94,15 @@ def test_reports(spark, tmp_path):
     assert reports.read_reports(spark, f"{out}/results").count() == 3
 
 
-@pytest.mark.parametrize("parts", [1, 4])
-def test_fixtures_do_not_depend_on_partitions(spark, parts):
-    spark.conf.set("spark.sql.leafNodeDefaultParallelism", parts)
-    try:
-        rows = fixtures.fixture_uniform(spark, 6, 4, extended=True).orderBy("id").collect()
-    finally:
-        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
-    assert rows[0].asDict().keys() == {"id", "category", "price", "embedding", "brand", "stock"}
-    assert all(0 <= r["price"] < 1000 and len(r["embedding"]) == 4 for r in rows)
-    expected = fixtures.fixture_uniform(spark, 6, 4, extended=True).orderBy("id").collect()
-    assert rows == expected
-
-
-def test_fixture_shapes(spark):
-    train, test = fixtures.fixture_clustered(spark, groups=3, per_group=4, dim=8, noise_rows=5)
-    assert train.count() == 17 and test.count() == 3
-    base = {r["id"]: r["embedding"] for r in train.collect()}
-    assert [base[1 + 4 * r["query_id"]] == r["embedding"] for r in test.collect()] == [True] * 3
-    rows = fixtures.fixture_struct_array(spark, 8, 4).collect()
-    assert {len(r["structA"]) for r in rows} == {2, 3, 4, 5}
-    first = next(r for r in rows if r["id"] == 0)
-    assert first["normal_vector"] == pytest.approx([((1001 * 31 + 17 * i) % 997) / 997 for i in range(4)])
-    assert [(e["int_val"], e["tag"], e["color"], e["flag"]) for e in first["structA"]] == [(0, "row_0_elem_0", "Red", True), (1, "row_0_elem_1", "Blue", False)]
-    sparse = fixtures.fixture_sparse(spark, 20, 100, 0.05).collect()
-    assert all(1 <= len(r["sparse"]) <= 5 and max(r["sparse"]) < 100 for r in sparse)
-    row = fixtures.fixture_all_types(spark, 3).first()
-    assert len(row) == 12 and json.loads(row["json_field"]).keys() == {"name", "count"}
+def test_groups_are_drawn_to_their_mean(spark):
+    rows = spark.createDataFrame([(1, "a", [0.0, 0.0]), (2, "a", [4.0, 2.0]), (3, "b", [9.0, 9.0])], "id int, g string, v array<float>")
+    got = {r["id"]: r["v"] for r in fixtures.tight_groups(rows, "g", "v", 0.5).collect()}
+    assert got == {1: [1.0, 0.5], 2: [3.0, 1.5], 3: [9.0, 9.0]}
+    docs = fixtures.struct_rows(rows, "g", "id", ["v"]).orderBy("g").collect()
+    assert [[e["id"] for e in r["elements"]] for r in docs] == [[1, 2], [3]]
+
+
+def test_neighbour_lines_are_all_read(spark, tmp_path):
+    lines = [{"query_id": q, "group_id": 0, "neighbors": [q, 9], "distances": [0.0, 1.0]} for q in range(3)]
+    (tmp_path / "l.json").write_text("\n".join(json.dumps(x) for x in lines))
+    assert ann_dataset.read_neighbors_json(spark, str(tmp_path / "l.json")).count() == 6

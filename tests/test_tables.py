@@ -171,3 +171,22 @@ def test_kind_inference(spark):
 def test_whole_numbers_named_id(spark):
     df = spark.createDataFrame([("1",), ("2.5",)], "id string")
     assert schema.infer_column_kinds(df).first()["kind"] == "Float"
+
+
+def test_stored_partitions_are_found_by_value_and_never_outside(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, "a/b"), (2, None), (3, "c"), (4, "x y")]
+    spark.createDataFrame(rows, "id int, p string").write.partitionBy("p").parquet(path)
+    victim = tmp_path / "victim"
+    victim.mkdir()
+    assert not tables.drop_stored_partition(spark, path, "p", "c/../../victim") and victim.exists()
+    assert tables.drop_stored_partition(spark, path, "p", "a/b") and tables.drop_stored_partition(spark, path, "p", None)
+    assert {r["id"] for r in spark.read.parquet(path).collect()} == {3, 4}
+    assert not tables.drop_stored_partition(spark, path, "p", "a/b") and not tables.drop_stored_partition(spark, str(tmp_path / "none"), "p", "c")
+
+
+def test_upsert_without_order_refuses_repeated_keys(spark):
+    table = spark.createDataFrame([(1, "a")], "id int, v string")
+    assert tables.upsert(table, spark.createDataFrame([(1, "b")], "id int, v string"), "id").collect() == [(1, "b")]
+    with pytest.raises(Exception, match="repeated"):
+        tables.upsert(table, spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string"), "id").collect()
