@@ -18,6 +18,7 @@ import heapq
 import json
 import mmap
 import os
+import re
 import tempfile
 import uuid
 from collections import Counter
@@ -29,12 +30,33 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import add, pieces, register, table
+from nearfield.llm.common import add, materialize, pieces, register, table
 
 LEXICON_WORDS = 1 << 16
-CACHE_WORDS = 200_000
-# Fixed value: the published split of byte-level BPE.
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+CACHE_WORDS = 300_000
+# The published split of byte-level BPE, with the white space of Unicode spelled out (Python's has four more).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^{S}{l}{n}]+|[{S}]+(?![^{S}])|[{S}]+"
+SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+LATIN_LETTERS, LATIN_NUMBERS = r"A-Za-z\xAA\xB5\xBA\xC0-\xD6\xD8-\xF6\xF8-\u017F", r"0-9\xB2\xB3\xB9\xBC-\xBE"
+
+
+def split_pattern(letters: str, numbers: str) -> str:
+    return (SPLIT.replace("{L}", f"[{letters}]").replace("{N}", f"[{numbers}]").replace("{S}", SPACE).replace("{l}", letters).replace("{n}", numbers))
+
+
+PATTERN = regex.compile(split_pattern(r"\p{L}", r"\p{N}"))
+# The same split for texts below U+0180, where the classes are short enough for the faster standard module.
+LATIN_PATTERN, BEYOND_LATIN = re.compile(split_pattern(LATIN_LETTERS, LATIN_NUMBERS)), re.compile("[^\0-\u017F]")
+
+
+def split_text(text: str) -> list[str]:
+    return (PATTERN if BEYOND_LATIN.search(text) else LATIN_PATTERN).findall(text)
+
+
+
+
+NEVER = 1 << 40  # rank of a pair that is not merged
+NONE = (NEVER, -1)
 
 
 def byte_letters() -> dict[str, int]:
@@ -58,17 +80,26 @@ class Vocabulary:
         self.merges = {(self.ids[spell(a)], self.ids[spell(b)]): (rank, self.ids[spell(a + b)]) for rank, (a, b) in enumerate(pairs)}
         self.bytes_of = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.single = [self.ids[bytes([b])] for b in range(256)]
+        keys = np.array([a << 32 | b for a, b in self.merges], np.int64)
+        order = np.argsort(keys)
+        found = np.array(list(self.merges.values()), np.int64).reshape(-1, 2)
+        self.pair, self.rank = keys[order], found[order, 0]
+        self.made = np.empty(len(keys), np.int64)
+        self.made[found[:, 0]] = found[:, 1]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of least rank (leftmost of equals) is merged until none is left."""
         ids = [self.single[b] for b in word]
         if len(ids) < 40:
+            get, pairs = self.merges.get, None
             while len(ids) > 1:
-                rank, at, new = min(((*self.merges[p][:1], i, self.merges[p][1]) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merges), default=(0, -1, 0))
-                if at < 0:
+                pairs = [get(p, NONE) for p in zip(ids, ids[1:])]
+                best = min(pairs)
+                if best is NONE:
                     break
-                ids[at: at + 2] = [new]
+                at = pairs.index(best)
+                ids[at: at + 2] = [best[1]]
             return ids
         after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
         heap = [(self.merges[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merges]
@@ -86,11 +117,54 @@ class Vocabulary:
                     heapq.heappush(heap, (self.merges[ids[a], ids[b]][0], a, (ids[a], ids[b])))
         return [x for x in ids if x >= 0]
 
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids, or NEVER."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where((b >= 0) & (self.pair[at] == key), self.rank[at], NEVER)
+
+    def merge_many(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words at once: each step does the best merge of every word of a length class."""
+        out: list = [None] * len(words)
+        classes: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            if len(w) < 2 or len(w) > 32 or not len(self.pair):
+                out[i] = self.merge(w)
+            else:
+                classes.setdefault(-(-len(w) // 4) * 4, []).append(i)
+        single = np.array(self.single, np.int64)
+        for width, own in classes.items():
+            text = np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in own]), np.uint8).reshape(-1, width)
+            row, sizes = np.array(own), np.array([len(words[i]) for i in own])
+            ids = np.full((len(own), width + 1), -1)  # the last column stays empty
+            ids[:, :-1] = np.where(np.arange(width) < sizes[:, None], single[text], -1)
+            rank = np.full((len(own), width + 1), NEVER)
+            rank[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
+            column = np.arange(width)
+            while len(row):
+                at = rank.argmin(1)
+                best = rank[np.arange(len(row)), at]
+                done = best == NEVER
+                if done.any():
+                    for i, found in zip(row[done].tolist(), ids[done].tolist()):
+                        out[i] = found[: found.index(-1)]
+                    row, ids, rank, at, best = row[~done], ids[~done], rank[~done], at[~done], best[~done]
+                    if not len(row):
+                        break
+                lines = np.arange(len(row))
+                take = column + (column > at[:, None])  # closes the gap behind the merged pair
+                ids[:, :-1], rank[:, :-1] = np.take_along_axis(ids, take, 1), np.take_along_axis(rank, take, 1)
+                ids[lines, at] = self.made[best]
+                rank[lines, at] = self._ranks(ids[lines, at], ids[lines, at + 1])
+                inner = at > 0
+                rank[lines[inner], at[inner] - 1] = self._ranks(ids[lines[inner], at[inner] - 1], ids[lines[inner], at[inner]])
+        return out
+
     def words(self, text: str) -> list[str | int]:
         """Pre-tokens of a text in order; a special token is given as its id."""
         if self.cut is None or not any(s in text for s in self.special):
-            return PATTERN.findall(text)
-        return [w for part in self.cut.split(text) for w in ([self.special[part]] if part in self.special else PATTERN.findall(part))]
+            return split_text(text)
+        return [w for part in self.cut.split(text) for w in ([self.special[part]] if part in self.special else split_text(part))]
 
 
 def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
@@ -190,29 +264,38 @@ class Coder:
 
     def __init__(self, path: str, lexicon: str):
         self.vocabulary, self.lexicon = Vocabulary(path), Lexicon(lexicon)
-        self.known: dict[str | int, tuple[str, int, bytes]] = {}
+        # of words met lately, in two generations: the ids as decimals, and the bytes they stand for
+        self.ids: dict[str | int, str] = {}
+        self.bytes: dict[str | int, bytes] = {}
+        self.old: tuple[dict, dict] = ({}, {})
 
     def _learn(self, words: list) -> None:
         spelled = [w.encode() for w in words]
-        for word, text, place in zip(words, spelled, self.lexicon.places(spelled).tolist()):
-            ids = self.lexicon.output(place).tolist() if place >= 0 else self.vocabulary.merge(text)
-            # digits of the ids, how many they are, and the bytes they stand for
-            self.known[word] = (",".join(map(str, ids)), len(ids), b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)))
+        bytes_of, output = self.vocabulary.bytes_of.__getitem__, self.lexicon.output
+        places = self.lexicon.places(spelled).tolist()
+        merged = iter(self.vocabulary.merge_many([text for text, place in zip(spelled, places) if place < 0]))
+        for word, place in zip(words, places):
+            ids = output(place).tolist() if place >= 0 else next(merged)
+            self.ids[word] = ",".join(map(str, ids))
+            self.bytes[word] = b"".join(map(bytes_of, ids))
 
     def run(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each text: number of ids, the ids as decimals joined by commas, and the decoded text."""
         split = [self.vocabulary.words(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        new = set().union(*split) - self.known.keys()
+        new = set().union(*split) - self.ids.keys()
+        for word in new & self.old[0].keys():
+            self.ids[word], self.bytes[word] = self.old[0][word], self.old[1][word]
+            new.discard(word)
         for special in [w for w in new if isinstance(w, int)]:
-            self.known[special] = (str(special), 1, self.vocabulary.bytes_of[special])
+            self.ids[special], self.bytes[special] = str(special), self.vocabulary.bytes_of[special]
             new.discard(special)
         self._learn(list(new))
         out = []
         for words in split:
-            found = [self.known[w] for w in words]
-            out.append((sum(f[1] for f in found), ",".join([f[0] for f in found]), b"".join([f[2] for f in found]).decode("utf-8", "replace")))
+            ids = ",".join(map(self.ids.__getitem__, words))
+            out.append((ids.count(",") + 1 if ids else 0, ids, b"".join(map(self.bytes.__getitem__, words)).decode("utf-8", "replace")))
+        if len(self.ids) > CACHE_WORDS:
+            self.old, self.ids, self.bytes = (self.ids, self.bytes), {}, {}
         return out
 
 
@@ -252,7 +335,14 @@ def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str
 
     The list is bounded by ``words``, so the file (a few MB) does not grow with the data.
     """
-    top = word_counts(docs, path).where("n > 1 and octet_length(word) <= 32").orderBy(F.desc("n"), "word").limit(words).select("word").collect()
+    counts = materialize(word_counts(docs, path).where("n > 1 and octet_length(word) <= 32"), "words")
+    # words by count: few distinct counts, and only as many words as the bound allows come to the driver
+    least, room = None, words
+    for n, many in sorted(counts.groupBy("n").count().collect(), reverse=True):
+        if many > room:
+            break
+        least, room = n, room - many
+    top = counts.where(F.col("n") >= least).select("word").collect() if least else []
     vocabulary = Vocabulary(path)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     local = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)  # on the driver only; addFile serves it
@@ -263,11 +353,13 @@ def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str
 
 
 def encode_decode(docs: DataFrame, path: str, lexicon: str) -> DataFrame:
-    """Add ``n_tokens``, ``token_ids`` (decimals joined by commas) and ``decoded`` to the rows of ``docs``."""
-    return _coded(docs, path, lexicon, {"n_tokens": F.lit(0).cast("bigint"), "token_ids": F.lit(""), "decoded": F.lit("")}, lambda n, ids, text: (n, ids, text))
+    """Add ``n_tokens``, ``token_ids`` and ``decoded`` to the rows of ``docs``."""
+    new = {"n_tokens": F.lit(0).cast("bigint"), "token_ids": F.array().cast("array<int>"), "decoded": F.lit("")}
+    return _coded(docs, path, lexicon, new, lambda n, ids, text: (n, np.fromstring(ids, np.int32, sep=",") if ids else [], text))
 
 
 def _coded(docs: DataFrame, path: str, lexicon: str, new: dict, make) -> DataFrame:
+    """Rows of ``docs`` with the columns ``new`` (name: placeholder), filled from ``make(n, ids, text)``."""
     base, names = add(docs, **new), list(new)
 
     def run(batches):
