@@ -11,4 +11,8 @@ def load():
 
     for name in MODULES:
         importlib.import_module(f"nearfield.llm.{name}")
+    if "pipeline" not in common.QUERIES:
+        import corpus_pipeline
+
+        common.register("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
     return dict(common.QUERIES), dict(common.ORACLES)

@@ -217,9 +217,10 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     counted = materialize(base_rules(with_counts(docs.select("doc_id", "text"))).select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "base_failed", *COUNTS), "counts")
     model = fit(labelled_rows(counted, labels))
-    names = [F.col(f"d.`{c}`").alias(c) for c in docs.columns]
-    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("text"))  # clashing names stay inside d
-    return judge(base_rules(with_counts(nested)), model).where("kept").select(*names)
+    rest = [c for c in docs.columns if c != "text"]
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("d"), F.col("text"))  # clashing names stay inside d
+    kept = judge(base_rules(with_counts(nested)), model).where("kept")
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"d.`{c}`").alias(c) for c in docs.columns])
 
 
 register("op1_quality_rules", op1_quality_rules)
