@@ -332,11 +332,11 @@ class TermKernel(SparseKernel):
     def load(self, batch, query):
         if query:
             return super().load(batch, True)
-        tokens = batch.column("tokens")
-        rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = tokens.flatten()
+        keys = batch.column("keys")
+        rows = pc.list_parent_indices(keys).to_numpy(zero_copy_only=False).astype(np.int64)
+        tf = batch.column("tf").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         rel = batch.column("rel_length").to_numpy(zero_copy_only=False)
-        return batch.num_rows, rows, flat, np.ones(len(flat)), rel
+        return batch.num_rows, rows, keys.flatten(), tf, rel
 
     def weigh(self, entries, b):
         norm = self.k1 * (1 - self.b + self.b * b[4])

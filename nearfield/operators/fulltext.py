@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from nearfield.functions.text import tokenize
 from nearfield.operators import blocks
 from nearfield.operators.search import pair, query_volume
-from nearfield.session import broadcast_if_small, materialize, skew_join, widen
+from nearfield.session import BROADCAST_BYTES, broadcast_if_small, materialize, skew_join, widen
+
+TERMS_SENT = 200_000
 
 
 def _term_bytes():
@@ -65,16 +67,38 @@ def corpus_stats(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame
     return doc_tokens(df, id, text).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_length").alias("avg_length"))
 
 
-def vocabulary_stats(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``(term, df, total_length)`` for the terms of a vocabulary, from one pass over tokenised documents.
+def query_terms(df: DataFrame, vocabulary: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
+    """``(id, doc_length, keys, tf)``: each document's counts of the words of a vocabulary, one row per document.
 
-    The row of the empty term counts all documents, so its ``df`` is the corpus size and its
-    ``total_length`` the sum of all document lengths.
+    A vocabulary proven small goes to the tasks, and nothing is shuffled; beyond that, postings are
+    reduced to it by a semi-join and gathered by document again.
     """
-    wanted = vocabulary.select("term").unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
-    each = F.explode(F.array_append(F.array_distinct("tokens"), F.lit(""))).alias("term")
-    rows = docs.select("doc_length", each).join(broadcast_if_small(wanted, 1_000_000, _term_bytes()), "term", "left_semi")
-    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("doc_length").alias("total_length"))
+    n, volume = vocabulary.select(_term_bytes().alias("b")).limit(TERMS_SENT + 1).agg(F.count(F.lit(1)), F.sum("b")).first()
+    if n > TERMS_SENT or (volume or 0) > BROADCAST_BYTES:
+        found = postings(df, id, text).join(vocabulary, "term", "left_semi").groupBy(id).agg(
+            F.collect_list("term").alias("keys"), F.collect_list("tf").alias("tf"))
+        none = F.array().cast("array<string>"), F.array().cast("array<bigint>")
+        return doc_tokens(df, id, text).select(id, "doc_length").join(found, id, "left").select(
+            id, "doc_length", F.coalesce("keys", none[0]).alias("keys"), F.coalesce("tf", none[1]).alias("tf"))
+    held = df.sparkSession.sparkContext.broadcast(sorted(r["term"] for r in vocabulary.select("term").collect()))
+    schema = T.StructType([df.schema[id], T.StructField("doc_length", T.IntegerType()),
+                           T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("tf", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(held.value, pa.string())
+        for batch in batches:
+            tokens = batch.column("tokens")
+            code = pc.index_in(tokens.flatten(), value_set=words)
+            asked = pc.is_valid(code).to_numpy(zero_copy_only=False)
+            row = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)[asked]
+            size = max(1, len(words))
+            pairs, tf = np.unique(row * size + pc.drop_null(code).to_numpy(zero_copy_only=False), return_counts=True)
+            ends = pa.array(np.searchsorted(pairs, np.arange(batch.num_rows + 1) * size).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id), batch.column("doc_length"), pa.ListArray.from_arrays(ends, words.take(pa.array(pairs % size))),
+                 pa.ListArray.from_arrays(ends, pa.array(tf.astype(np.int64)))], names=schema.names)
+
+    return doc_tokens(df, id, text).select(id, "doc_length", "tokens").mapInArrow(run, schema)
 
 
 def idf(n_docs, df):
@@ -87,22 +111,23 @@ def bm25_search(df: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: f
     """BM25 top-k per text query: ``(qid, rank, id, score)``. Repeated query words count repeatedly.
 
     Statistics come from the whole corpus; ``candidates`` (ids) restricts who may be a hit.
-    Documents are scored in blocks against all queries at once, so only ``k`` rows per query and
-    block are shuffled, however frequent a query word is.
+    One pass over the texts keeps each document's counts of the words that are asked for; statistics and
+    scores come from that table. Documents are scored in blocks against all queries at once, so only ``k``
+    rows per query and block are shuffled, however frequent a query word is.
     """
-    docs = doc_tokens(df, id, text)
     words = queries.select(qid, F.explode(tokenize(query_text)).alias("term")).groupBy(qid, "term").agg(
         F.count(F.lit(1)).alias("qtf"))
-    known = materialize(vocabulary_stats(docs, words.select("term").distinct()), "vocabulary")
-    whole = known.filter(F.col("term") == "").first()
-    if whole is None or not whole["total_length"]:
+    counted = materialize(query_terms(df, words.select("term").distinct(), id, text), "query-terms")
+    n_docs, total = counted.agg(F.count(F.lit(1)), F.sum("doc_length")).first()
+    if not total:
         return _no_hits(df, queries, id, qid)
-    n_docs, average = float(whole["df"]), whole["total_length"] / whole["df"]
-    weight = F.col("qtf") * idf(F.lit(n_docs), F.col("df"))
+    average = total / n_docs
+    known = counted.select(F.explode("keys").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weight = F.col("qtf") * idf(F.lit(float(n_docs)), F.col("df"))
     weighted = words.join(known, "term").select(qid, "term", weight.alias("w"))
     encoded = weighted.groupBy(qid).agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("e")).select(
         qid, F.col("e.term").alias("keys"), F.col("e.w").alias("values"))
-    rows = docs.filter("doc_length > 0").select(id, "tokens", (F.col("doc_length") / F.lit(average)).alias("rel_length"))
+    rows = counted.filter(F.size("keys") > 0).select(id, "keys", "tf", (F.col("doc_length") / F.lit(average)).alias("rel_length"))
     if candidates is not None:
         rows = rows.join(candidates.select(id), id, "left_semi")
     size = F.aggregate("keys", F.lit(0), lambda acc, t: acc + F.octet_length(t) + 16)

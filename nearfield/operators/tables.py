@@ -50,9 +50,10 @@ def insert(table: DataFrame, rows: DataFrame) -> DataFrame:
 def latest(rows: DataFrame, pk: str, seq: str) -> DataFrame:
     """The last row per key by sequence; partial maxima are formed before the shuffle.
 
-    Rows of a key with equal ``seq`` are ordered by a hash of all their columns, so the choice is stable.
+    Rows of a key with equal ``seq`` are ordered by a hash of their columns (maps aside), so the choice is stable.
     """
-    best = F.max_by(F.struct(*rows.columns), F.struct(F.col(seq), F.xxhash64(*rows.columns))).alias("r")
+    plain = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    best = F.max_by(F.struct(*rows.columns), F.struct(F.col(seq), F.xxhash64(*plain))).alias("r")
     return rows.groupBy(F.col(pk).alias("__pk")).agg(best).select("r.*")
 
 

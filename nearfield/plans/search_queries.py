@@ -72,6 +72,22 @@ for _metric in ("l2", "ip", "cosine"):
         return ranked(search.knn(base, asked(base), K, metric, id="vec_id"))
 
 
+def shifted(spark, sf_dir):
+    """Small differences around a point far from the origin."""
+    v = F.transform("embedding", lambda x: x.cast("double") * F.lit(0.001) + F.lit(10_000.0))
+    return table(spark, sf_dir, "embeddings").select("vec_id", v.alias("vector"))
+
+
+_SHIFTED = "emb AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 0.001::DOUBLE + 10000.0::DOUBLE) AS v FROM embeddings)"
+
+for _strategy in ("broadcast", "cells"):
+
+    @query(f"knn_l2_shifted_{_strategy}", f"WITH {_SHIFTED}, {knn_sql('l2')} SELECT qid, rank, vec_id FROM h")
+    def knn_l2_shifted(spark, sf_dir, strategy=_strategy):
+        base = shifted(spark, sf_dir)
+        return ranked(search.knn(base, asked(base), K, "l2", id="vec_id", strategy=strategy)).drop("score")
+
+
 @query("knn_filtered", f"WITH {EMB}, {knn_sql('l2', where='b.label IN (1, 3, 5)')} SELECT * FROM h")
 def knn_filtered(spark, sf_dir):
     base = scaled(spark, sf_dir)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from nearfield.operators.logs import latency_delta
 from nearfield.operators.tables import current_state, latest
-from nearfield.session import scratch_path
+from nearfield.session import materialize, scratch_path, skew_join
 
 
 def table_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet", files_per_trigger: int = 100) -> DataFrame:
@@ -91,20 +91,28 @@ def stream_current_state(changes: DataFrame, pk: str, seq: str = "seq", op: str
 
 
 def stream_latency_delta(log: DataFrame, path: str | None = None, slots: str = "10 minutes") -> DataFrame:
-    """``|x_n - x_(n-1)|`` per user over a stream; the last value per user is carried between batches."""
+    """``|x_n - x_(n-1)|`` per user over a stream; the last row per user is carried between batches.
+
+    A row that is not after its user's carried one (by time, then iteration) comes too late to be put between
+    rows that are already written; such rows are dropped, whatever their order within a batch was.
+    """
     spark = log.sparkSession
     path = path or scratch_path(spark, "stream-delta")
     carry_schema = "vu bigint, ts timestamp, iter bigint, response_time_ms bigint"
     done: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("vu", "ts", "iter", "response_time_ms")
         carried = _empty(spark, carry_schema)
         if batch_id > 0:
             carried = spark.read.schema(carry_schema).parquet(f"{path}/state/batch={batch_id - 1}")
+        before = carried.select("vu", F.struct("ts", "iter").alias("at"), F.col("response_time_ms").alias("before"))
+        # one row per user on the right; a hot user's rows are spread over tasks
+        placed = skew_join(batch.select("vu", "ts", "iter", "response_time_ms"), before, "vu", F.col("iter"), "left")
+        rows = placed.filter(F.col("at").isNull() | (F.struct("ts", "iter") > F.col("at"))).drop("at", "before")
+        rows = materialize(rows, "delta-batch")
         deltas = latency_delta(rows, slots)
         first = rows.groupBy("vu").agg(F.min(F.struct("ts", "iter", "response_time_ms")).alias("f"))
-        joined = deltas.join(first, "vu").join(carried.select("vu", F.col("response_time_ms").alias("before")), "vu", "left")
+        joined = skew_join(deltas, first.join(before.drop("at"), "vu", "left"), "vu", F.col("iter"))
         is_first = (F.col("ts") == F.col("f.ts")) & (F.col("iter") == F.col("f.iter"))
         bridged = F.when(is_first, F.abs(F.col("f.response_time_ms") - F.col("before"))).otherwise(F.col("delta"))
         joined.select("vu", "iter", "ts", bridged.alias("delta")).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")

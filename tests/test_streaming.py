@@ -102,3 +102,14 @@ def test_point_stream(spark, tmp_path):
 def test_bucket_bounds(spark):
     df = spark.createDataFrame([(1.0,), (1.5,), (10000.0,), (10001.0,)], "v double")
     assert [r[0] for r in df.select(windows.bucket_of(F.col("v"))).collect()] == [1.0, 5.0, 10000.0, float("inf")]
+
+
+def test_late_rows_do_not_change_what_is_written(spark, tmp_path):
+    import time
+
+    path = str(tmp_path / "late")
+    for part in ([entry(10, 1, 0, ms=10), entry(30, 1, 2, ms=40)], [entry(20, 1, 1, ms=30), entry(50, 1, 3, ms=100)]):
+        spark.createDataFrame(part, logs.LOG).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    got = {r["iter"]: r["delta"] for r in sinks.stream_latency_delta(stream(spark, path)).collect()}
+    assert got.get(2) == 30 and got.get(3) == 60 and 1 not in got

@@ -50,9 +50,11 @@ def test_bm25_vocabulary_in_slices(spark, monkeypatch):
     import numpy as np
     import pyarrow as pa
 
-    base = pa.RecordBatch.from_pydict({"id": [0, 1], "tokens": [["a", "b", "a"], ["c"]], "rel_length": [1.5, 0.5]})
+    base = pa.RecordBatch.from_pydict({"id": [0, 1], "keys": [["a", "b"], ["c"]], "tf": [[2, 1], [1]], "rel_length": [1.5, 0.5]})
     query = pa.RecordBatch.from_pydict({"qid": [0], "keys": [["c", "a", "b", "z"]], "values": [[1.0, 2.0, 3.0, 4.0]]})
     whole = kernel.costs(kernel.load(query, True), kernel.load(base, False))
+    norm = [1.5 * (0.25 + 0.75 * x) for x in (1.5, 0.5)]
+    np.testing.assert_allclose(whole, [[-(2 * 2 * 2.5 / (2 + norm[0]) + 3 * 2.5 / (1 + norm[0])), -2.5 / (1 + norm[1])]])
     monkeypatch.setattr(blocks, "VOCAB_COLUMNS", 1)
     np.testing.assert_allclose(kernel.costs(kernel.load(query, True), kernel.load(base, False)), whole)
 
@@ -122,3 +124,10 @@ def test_hash_embedding_and_user_model(spark):
 
     made = {r["id"]: r["vector"] for r in fulltext.text_embedding(docs(spark), model_fn=model).collect()}
     assert made[2] == [4.0, 1.0]
+
+
+def test_terms_beyond_what_is_sent_give_the_same(spark, monkeypatch):
+    q = spark.createDataFrame([(1, "apple pie"), (2, "fruit apple")], "qid long, text string")
+    sent = sorted(map(tuple, fulltext.bm25_search(docs(spark), q, 5).collect()))
+    monkeypatch.setattr(fulltext, "TERMS_SENT", 1)
+    assert [pytest.approx(r) for r in sorted(map(tuple, fulltext.bm25_search(docs(spark), q, 5).collect()))] == sent
