@@ -6,16 +6,16 @@ only the best ``k`` rows per query. Pairs are never emitted as rows.
 
 Two ways to bring blocks together:
 
-* ``pair_small_queries``: the query side is proven small, its blocks are broadcast and the base
-  table is scanned once without a shuffle.
+* ``pair_small_queries``: the query side is proven small; its blocks are a broadcast variable and the
+  base table is scored where it is scanned, in one Arrow pass without a shuffle or a copied payload.
 * ``pair_cells``: both sides carry a ``cell`` value; equal cells meet. Cells of any size are cut
   into blocks, and the blocks of a hot cell are dealt over several tasks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,6 @@ MAXSIM_QUERY_ELEMENTS = 1024
 MAXSIM_BASE_ELEMENTS = 8192
 CACHE_BYTES = 128 * 1024 * 1024
 
-PACKED = "payload binary"
-
 
 # ---------------------------------------------------------------- packing
 
@@ -55,21 +53,6 @@ def decode(payload) -> pa.RecordBatch:
         return reader.read_next_batch()
 
 
-def _packed_rows(payloads: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(payloads, pa.binary())], names=["payload"])
-
-
-def pack_partitions(df: DataFrame, rows: int = BASE_ROWS) -> DataFrame:
-    """Pack each partition into blocks of at most ``rows`` rows; no shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                yield _packed_rows([encode(batch.slice(start, rows))])
-
-    return df.mapInArrow(run, PACKED)
-
-
 def pack_groups(df: DataFrame, by: list[str]) -> DataFrame:
     """Pack rows sharing ``by`` into one block. Callers keep such groups at block size by salting."""
     key_fields = [df.schema[c] for c in by]
@@ -413,10 +396,20 @@ def score_pair(kernel, q, b, base: pa.RecordBatch, k: int, tau: np.ndarray, keys
     return qi[keep], bi[keep], cost[keep]
 
 
-def score_blocks(pairs: DataFrame, kernel: Kernel, k: int, keys: list[T.StructField], qid: T.StructField,
+@dataclass(frozen=True)
+class SmallQueries:
+    """A base table and the packed blocks of a query side that was proven small."""
+
+    base: DataFrame
+    payloads: list[bytes]
+    rows: int
+
+
+def score_blocks(pairs: DataFrame | SmallQueries, kernel: Kernel, k: int, keys: list[T.StructField], qid: T.StructField,
                  group: T.StructField | None = None, carry: list[T.StructField] = (), radius: float | None = None,
                  variants: list[tuple[str, int]] | None = None) -> DataFrame:
-    """Score joined blocks ``(payload, query_payload)``; at most ``k`` rows per query and block.
+    """Score joined blocks ``(payload, query_payload)``, or a base table against small queries; at most
+    ``k`` rows per query and block.
 
     A task remembers the k-th cost seen per query block and drops what cannot beat it; that bound
     is never below the final k-th cost, so nothing of the answer is lost.
@@ -429,6 +422,46 @@ def score_blocks(pairs: DataFrame, kernel: Kernel, k: int, keys: list[T.StructFi
     qid_name = qid.name
     plain_bound = group is None and variants is None
 
+    def opened(raw: bytes):
+        query = decode(raw)
+        tau = np.full(query.num_rows, np.inf)
+        if "tau" in query.schema.names:
+            tau = query.column("tau").to_numpy(zero_copy_only=False).astype(np.float64).copy()
+        return query, kernel.load(query, True), tau
+
+    def best(base: pa.RecordBatch, b, query: pa.RecordBatch, q, tau: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for number, (name, size) in enumerate(variants or [(None, k)]):
+            members = None
+            if variants:
+                members = base.column(f"in_{number}").to_numpy(zero_copy_only=False).astype(bool)
+            qi, bi, cost = score_pair(kernel, q, b, base, size, tau, key_names, group_name, radius, members)
+            if len(qi) == 0:
+                continue
+            if plain_bound:
+                full = _rank_in_run(_first_per(qi)) == k - 1
+                tau[qi[full]] = np.minimum(tau[qi[full]], cost[full])
+            cols = [query.column(qid_name).take(pa.array(qi))]
+            cols += [base.column(c).take(pa.array(bi)) for c in base_names]
+            cols += [pa.array([name] * len(qi), pa.string())] if variants else []
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(cost)], names=out.names)
+
+    if isinstance(pairs, SmallQueries):
+        rows, held_queries = pairs.rows, pairs.base.sparkSession.sparkContext.broadcast(pairs.payloads)
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sides = None
+            for batch in batches:
+                sides = sides or [opened(raw) for raw in held_queries.value]
+                for start in range(0, batch.num_rows, rows):
+                    base = batch
+                    if batch.num_rows > rows:
+                        base = batch.take(pa.array(np.arange(start, min(start + rows, batch.num_rows))))
+                    b = kernel.load(base, False)
+                    for side in sides:
+                        yield from best(base, b, *side)
+
+        return pairs.base.mapInArrow(scan, out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached: dict[bytes, tuple] = {}
         held, last = 0, None
@@ -445,26 +478,8 @@ def score_blocks(pairs: DataFrame, kernel: Kernel, k: int, keys: list[T.StructFi
                         held -= len(oldest)
                         cached.pop(oldest)
                     held += len(raw)
-                    query = decode(raw)
-                    tau = np.full(query.num_rows, np.inf)
-                    if "tau" in query.schema.names:
-                        tau = query.column("tau").to_numpy(zero_copy_only=False).astype(np.float64).copy()
-                    cached[raw] = (query, kernel.load(query, True), tau)
-                query, q, tau = cached[raw]
-                for number, (name, size) in enumerate(variants or [(None, k)]):
-                    members = None
-                    if variants:
-                        members = base.column(f"in_{number}").to_numpy(zero_copy_only=False).astype(bool)
-                    qi, bi, cost = score_pair(kernel, q, b, base, size, tau, key_names, group_name, radius, members)
-                    if len(qi) == 0:
-                        continue
-                    if plain_bound:
-                        full = _rank_in_run(_first_per(qi)) == k - 1
-                        tau[qi[full]] = np.minimum(tau[qi[full]], cost[full])
-                    cols = [query.column(qid_name).take(pa.array(qi))]
-                    cols += [base.column(c).take(pa.array(bi)) for c in base_names]
-                    cols += [pa.array([name] * len(qi), pa.string())] if variants else []
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(cost)], names=out.names)
+                    cached[raw] = opened(raw)
+                yield from best(base, b, *cached[raw])
 
     return pairs.mapInArrow(run, out)
 
@@ -472,20 +487,9 @@ def score_blocks(pairs: DataFrame, kernel: Kernel, k: int, keys: list[T.StructFi
 # ---------------------------------------------------------------- pairing
 
 
-def pair_small_queries(base: DataFrame, queries: DataFrame, n_queries: int, base_rows: int = BASE_ROWS,
-                       query_rows: int = QUERY_ROWS) -> DataFrame:
-    """Every base block with every query block; the query side was counted by the caller."""
-    blocks = max(1, math.ceil(n_queries / query_rows))
-    qcols = queries.columns
-    packed = pack_groups(
-        queries.withColumn("qb", F.pmod(F.xxhash64(qcols[0]), F.lit(blocks)).cast("int")), ["qb"]
-    ).withColumnRenamed("payload", "query_payload")
-    return (
-        pack_partitions(base, base_rows)
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .join(F.broadcast(packed), "qb")
-        .select("payload", "query_payload")
-    )
+def pair_small_queries(base: DataFrame, queries: DataFrame, base_rows: int = BASE_ROWS, query_rows: int = QUERY_ROWS) -> SmallQueries:
+    """Every base row with every query; the caller has proven the query side to be within the broadcast bound."""
+    return SmallQueries(base, [encode(b) for b in queries.toArrow().to_batches(max_chunksize=query_rows)], base_rows)
 
 
 def wide(df: DataFrame) -> bool:

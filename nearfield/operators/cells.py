@@ -100,7 +100,7 @@ def exact_cells(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kern
         n_pivots = int(min(4096, max(16, base.count() ** 0.5 / 4)))
     pivots = pick_pivots(base, key, n_pivots, cosine)
     if len(pivots) == 0:
-        return blocks.score_blocks(blocks.pair_small_queries(base, queries.limit(0), 0), kernel, k, **options)
+        return blocks.score_blocks(blocks.pair_small_queries(base, queries.limit(0)), kernel, k, **options)
     placed = materialize(assign_cells(base, pivots, cosine), "cells")
     stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("r")).collect()
     counts, radii = np.zeros(len(pivots), np.int64), np.zeros(len(pivots))

@@ -115,11 +115,10 @@ def query_volume(queries: DataFrame, bytes_of: Column) -> tuple[int, bool]:
 
 
 def pair(base: DataFrame, queries: DataFrame, key: str, qid: str, volume: tuple[int, bool], strategy: str = "auto",
-         base_rows: int = blocks.BASE_ROWS, query_rows: int = blocks.QUERY_ROWS) -> DataFrame:
+         base_rows: int = blocks.BASE_ROWS, query_rows: int = blocks.QUERY_ROWS) -> DataFrame | blocks.SmallQueries:
     """All base blocks with all query blocks: broadcast when the queries are proven small, else shuffled."""
-    n, fits = volume
-    if fits and strategy != "shuffle":
-        return blocks.pair_small_queries(base, queries, n, base_rows, query_rows)
+    if volume[1] and strategy != "shuffle":
+        return blocks.pair_small_queries(base, queries, base_rows, query_rows)
     whole = F.lit(0).alias("cell")
     return blocks.pair_cells(base.select(whole, "*"), queries.select(whole, "*"), key, qid, base_rows, query_rows)
 
