@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nearfield.functions.vectors import drop_small
 from nearfield.operators import blocks
-from nearfield.operators.search import pair, query_volume
+from nearfield.operators.search import fetch_fields, metric_name, pair, query_volume, run_request, similarity
 
 
 def sparse_search(base: DataFrame, queries: DataFrame, k: int, *, drop_ratio: float = 0.0, id: str = "id",
@@ -74,3 +74,31 @@ def weighted(branches: Mapping[str, DataFrame], weights: Mapping[str, float], li
     table = F.create_map(*[x for name in branches for x in (F.lit(name), F.lit(float(weights[name])))])
     scored = rows.groupBy(qid, id).agg(F.sum(F.element_at(table, F.col("branch")) * unit).alias("score"))
     return _ranked(scored.withColumn("score", F.round("score", 12)), qid, id, limit)
+
+
+def run_hybrid_request(base: DataFrame, requests: Sequence[tuple[DataFrame, Mapping[str, object]]], reranker: Mapping[str, object] | None,
+                       limit: int, output_fields: Sequence[str] = (), *, id: str = "id", qid: str = "qid") -> DataFrame:
+    """Run several (queries, request) pairs and fuse them as a reranker mapping says.
+
+    A request has ``vectorField``, ``limit`` and ``params`` (filter, metric, offset). The reranker is
+    ``{"type": "rrf", "params": {"k": …}}`` or ``{"type": "weighted", "params": {"weights": […]}}`` with one weight
+    per request; anything else means rrf. A weighted reranker without weights is rrf as well.
+    """
+    if not requests:
+        raise ValueError("at least one search request required")
+    branches, far = {}, []
+    for n, (queries, request) in enumerate(requests):
+        asked = {**dict(request.get("params") or {}), "vectorField": request.get("vectorField")}
+        hits = run_request(base, queries, asked, int(request.get("limit") or limit), id=id, qid=qid)
+        branches[f"r{n}"] = hits.select(qid, "rank", id, "score")
+        if not similarity(metric_name(asked.get("metric_type") or asked.get("metricType"))):
+            far.append(f"r{n}")
+    kind, params = (reranker or {}).get("type"), dict((reranker or {}).get("params") or {})
+    weights = list(params.get("weights") or ())
+    if kind == "weighted" and weights:
+        if len(weights) != len(branches):
+            raise ValueError("one weight per request is needed")
+        found = weighted(branches, dict(zip(branches, weights)), limit, distances=tuple(far), qid=qid, id=id)
+    else:
+        found = rrf(branches, limit, int(params.get("k") or 60) if kind == "rrf" else 60, qid=qid, id=id)
+    return fetch_fields(found, base, id, output_fields)

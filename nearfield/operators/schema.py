@@ -91,6 +91,10 @@ class FieldSpec:
         return T.StructField(self.name, self.spark_type(), bool(self.nullable), {k: v for k, v in limits.items() if v})
 
 
+# The kinds of functions a schema may declare.
+FUNCTION_TYPES = ("BM25", "TextEmbedding")
+
+
 @dataclass(frozen=True)
 class FunctionSpec:
     name: str
@@ -99,6 +103,12 @@ class FunctionSpec:
     outputs: tuple[str, ...]
     params: Mapping[str, str] = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.function_type not in FUNCTION_TYPES:
+            raise ValueError(f"unsupported function type: {self.function_type}")
+        if len(self.inputs) != 1 or len(self.outputs) != 1:
+            raise ValueError(f"function {self.name} needs one input and one output field")
+
 
 @dataclass(frozen=True)
 class CollectionSpec:
@@ -166,7 +176,8 @@ def convert(c: Column, source: T.DataType, target: T.DataType) -> Column:
 def cast_to_spec(df: DataFrame, spec: CollectionSpec) -> DataFrame:
     """Convert the declared columns, nested ones included; other columns are dropped."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    missing = [f.name for f in spec.fields if f.name not in have and not f.auto_id]
+    made = {name for fn in spec.functions for name in fn.outputs}
+    missing = [f.name for f in spec.fields if f.name not in have and not f.auto_id and f.name not in made]
     if missing:
         raise ValueError(f"missing fields {missing}")
     fields = [f.struct_field() for f in spec.fields if f.name in have]
@@ -175,7 +186,12 @@ def cast_to_spec(df: DataFrame, spec: CollectionSpec) -> DataFrame:
 
 
 def conform(df: DataFrame, spec: CollectionSpec | Mapping | str) -> DataFrame:
-    """Project and cast a table to a declared schema; generated keys are added when absent."""
+    """Project and cast a table to a declared schema.
+
+    Generated keys and the outputs of declared functions are added when absent. A BM25 function gives a map from term id
+    to weight over the table's own statistics (its rows need the primary key), TextEmbedding a hashed
+    vector of the output field's dimension.
+    """
     if isinstance(spec, str):
         spec = CollectionSpec.from_json(spec)
     elif not isinstance(spec, CollectionSpec):
@@ -184,9 +200,25 @@ def conform(df: DataFrame, spec: CollectionSpec | Mapping | str) -> DataFrame:
     for f in spec.fields:
         if f.auto_id and f.name not in out.columns:
             out = with_auto_id(out, f.name)
+    for fn in spec.functions:
+        if fn.outputs[0] not in out.columns:
+            out = apply_function(out, fn, spec)
     return out.select(*[f.name for f in spec.fields])
 
 
+def apply_function(df: DataFrame, fn: FunctionSpec, spec: CollectionSpec) -> DataFrame:
+    """Add the output field of a declared function."""
+    from nearfield.operators import fulltext
+
+    source, into = fn.inputs[0], fn.outputs[0]
+    if fn.function_type == "BM25":
+        if spec.primary_key is None:
+            raise ValueError("a BM25 function needs a primary key")
+        return fulltext.bm25_encode(df, id=spec.primary_key, text=source, into=into)
+    dim = next((f.dimension for f in spec.fields if f.name == into and f.dimension), None) or int(fn.params.get("dim", 64))
+    return fulltext.text_embedding(df, source, into, dim).drop("__h")
+
+
 def with_auto_id(df: DataFrame, name: str = "id", dense: bool = False) -> DataFrame:
     """Add a generated key: unique, or gap-free from 0 with ``dense``."""
     if dense:

@@ -230,6 +230,21 @@ def grouped_knn(base: DataFrame, queries: DataFrame, k: int, group_by: str, metr
     return hits.select(qid, F.row_number().over(order).alias("rank"), "group_rank", "group_value", id, score_of(metric))
 
 
+def run_request(base: DataFrame, queries: DataFrame, request: Mapping[str, object], k: int, *, id: str = "id", qid: str = "qid",
+                query_vector: str | None = None) -> DataFrame:
+    """Run a request mapping (see ``search_params``) over a batch of queries; its filter is a SQL expression.
+
+    ``vectorField`` names the searched column. A grouped request gives the columns of ``grouped_knn``, and its
+    offset leaves out groups.
+    """
+    p, vector = search_params(request), request.get("vectorField") or "vector"
+    asked = dict(id=id, vector=vector, qid=qid, query_vector=query_vector or ("vector" if "vector" in queries.columns else vector), filter=p.filter)
+    if not p.group_by:
+        return knn(base, queries, k, p.metric, offset=p.offset, output_fields=p.output_fields, **asked)
+    hits = grouped_knn(base, queries, k + p.offset, p.group_by, p.metric, group_size=p.group_size, strict=p.strict, **asked)
+    return fetch_fields(hits.filter(F.col("group_rank") > p.offset) if p.offset else hits, base, id, p.output_fields)
+
+
 def elements(df: DataFrame, id: str, array: str, predicate=None, keep: Sequence[str] = ()) -> DataFrame:
     """One row per (matching) element of a struct array, with its 0-based position in the stored array."""
     rows = df.select(id, *keep, F.posexplode(array).alias("pos", "element"))

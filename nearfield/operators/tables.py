@@ -107,6 +107,39 @@ def as_of(changes: DataFrame, pk: str, at, ts: str = "ts", seq: str = "seq", op:
     return current_state(changes.filter(F.col(ts) <= F.lit(at)), pk, seq, op)
 
 
+def create_snapshot(table: DataFrame, root: str, name: str, collection: str, description: str = "", partition: str | None = None) -> DataFrame:
+    """Store the rows of a table under a name that is not taken yet; returns the stored table.
+
+    Rows go to ``root/collection/name/rows``, one catalog row beside them, so that an unfinished snapshot is none.
+    """
+    if not name or not collection or "/" in name or "/" in collection:
+        raise ValueError("a snapshot needs a name and a collection without slashes")
+    spark, folder = table.sparkSession, f"{root}/{collection}/{name}"
+    table.write.mode("error").parquet(f"{folder}/rows")
+    counts = table.groupBy((F.col(partition).cast("string") if partition else F.lit("all")).alias("partition")).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts.select(F.lit(name).alias("snapshot"), F.lit(description).alias("description"), F.lit(collection).alias("collection"), "partition", "n_rows",
+                  F.current_timestamp().alias("ts")).write.mode("error").parquet(f"{folder}/catalog")
+    return spark.read.schema(table.schema).parquet(f"{folder}/rows")
+
+
+def open_snapshot(spark: SparkSession, root: str, name: str, collection: str) -> DataFrame:
+    """Rows of a named snapshot; one without its catalog row was not finished and cannot be opened."""
+    spark.read.parquet(f"{root}/{collection}/{name}/catalog")
+    return spark.read.parquet(f"{root}/{collection}/{name}/rows")
+
+
+def stored_snapshots(spark: SparkSession, root: str, collection: str = "*") -> DataFrame:
+    """Catalog rows of the stored snapshots: name, description, collection, partition, rows and time."""
+    return spark.read.parquet(f"{root}/{collection}/*/catalog")
+
+
+def restore_snapshot(spark: SparkSession, root: str, name: str, collection: str, target: str) -> DataFrame:
+    """Write a named snapshot to a new folder and return the restored table."""
+    rows = open_snapshot(spark, root, name, collection)
+    rows.write.mode("error").parquet(target)
+    return spark.read.schema(rows.schema).parquet(target)
+
+
 def snapshot_catalog(snapshots: DataFrame, collection: str | None = None) -> DataFrame:
     """Describe stored snapshots: ``(snapshot, description, collection, partition)`` rows with ``ts``."""
     rows = snapshots if collection is None else snapshots.filter(F.col("collection") == collection)

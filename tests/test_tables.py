@@ -190,3 +190,30 @@ def test_upsert_without_order_refuses_repeated_keys(spark):
     assert tables.upsert(table, spark.createDataFrame([(1, "b")], "id int, v string"), "id").collect() == [(1, "b")]
     with pytest.raises(Exception, match="repeated"):
         tables.upsert(table, spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string"), "id").collect()
+
+
+def test_named_snapshots(spark, tmp_path):
+    root, rows = str(tmp_path / "s"), spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    assert tables.create_snapshot(rows, root, "first", "items", "before the change", "v").count() == 2
+    tables.create_snapshot(rows.filter("id = 1"), root, "second", "items")
+    assert tables.open_snapshot(spark, root, "second", "items").count() == 1
+    catalog = {(r["snapshot"], r["partition"]): r["n_rows"] for r in tables.stored_snapshots(spark, root, "items").collect()}
+    assert catalog == {("first", "a"): 1, ("first", "b"): 1, ("second", "all"): 1}
+    assert sorted(tables.restore_snapshot(spark, root, "first", "items", str(tmp_path / "back")).collect()) == sorted(rows.collect())
+    with pytest.raises(Exception):
+        tables.create_snapshot(rows, root, "first", "items")
+    with pytest.raises(ValueError):
+        tables.create_snapshot(rows, root, "../x", "items")
+
+
+def test_declared_functions_are_applied(spark):
+    spec = {"name": "c", "fields": [{"name": "id", "dataType": "Int64", "isPrimaryKey": True}, {"name": "t", "dataType": "VarChar"},
+                                    {"name": "sparse", "dataType": "SparseFloatVector"}, {"name": "dense", "dataType": "FloatVector", "dimension": 16}],
+            "functions": [{"name": "f", "functionType": "BM25", "inputFieldNames": ["t"], "outputFieldNames": ["sparse"]},
+                          {"name": "g", "functionType": "TextEmbedding", "inputFieldNames": ["t"], "outputFieldNames": ["dense"]}]}
+    df = spark.createDataFrame([(1, "red apple"), (2, "red car"), (3, None)], "id long, t string")
+    rows = {r["id"]: r for r in schema.conform(df, spec).collect()}
+    assert len(rows[1]["sparse"]) == 2 and rows[3]["sparse"] == {} and len(rows[2]["dense"]) == 16
+    spec["functions"][0]["functionType"] = "Rerank"
+    with pytest.raises(ValueError, match="unsupported function type"):
+        schema.conform(df, spec)

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from nearfield.operators import fulltext, fusion
+from nearfield.operators import fulltext, fusion, search
 
 DOCS = [(0, "red red apple"), (1, "green apple pie with apple"), (2, "pear"), (3, ""), (4, "Red pear, green pear")] + [
     (10 + i, "apple") for i in range(6)]
@@ -131,3 +131,19 @@ def test_terms_beyond_what_is_sent_give_the_same(spark, monkeypatch):
     sent = sorted(map(tuple, fulltext.bm25_search(docs(spark), q, 5).collect()))
     monkeypatch.setattr(fulltext, "TERMS_SENT", 1)
     assert [pytest.approx(r) for r in sorted(map(tuple, fulltext.bm25_search(docs(spark), q, 5).collect()))] == sent
+
+
+def test_request_mappings_run(spark):
+    base = spark.createDataFrame([(i, [float(i), 1.0], i % 3, i * 2) for i in range(12)], "id long, v array<float>, g int, x int")
+    queries = spark.createDataFrame([(1, [0.0, 1.0]), (2, [11.0, 1.0])], "qid long, v array<float>")
+    request = {"vectorField": "v", "filter": "id > 1", "metricType": "L2", "offset": 1, "outputFields": ["x"]}
+    rows = search.run_request(base, queries, request, 2).orderBy("qid", "rank").collect()
+    assert [(r["qid"], r["id"], r["x"]) for r in rows] == [(1, 3, 6), (1, 4, 8), (2, 10, 20), (2, 9, 18)]
+    grouped = search.run_request(base, queries, {"vectorField": "v", "groupByField": "g", "groupSize": 2}, 2).filter("qid = 1").orderBy("rank").collect()
+    assert [(r["group_value"], r["id"]) for r in grouped] == [(0, 0), (0, 3), (1, 1), (1, 4)]
+    both = [(queries, {"vectorField": "v", "limit": 3, "params": {"metric_type": "L2"}}), (queries, {"vectorField": "v", "limit": 3, "params": {"metricType": "IP"}})]
+    fused = fusion.run_hybrid_request(base, both, {"type": "weighted", "params": {"weights": [0.9, 0.1]}}, 2, ["x"])
+    assert {r["qid"]: r["id"] for r in fused.filter("rank = 1").collect()} == {1: 0, 2: 11} and "x" in fused.columns
+    assert fusion.run_hybrid_request(base, both, None, 2).count() == 4
+    with pytest.raises(ValueError):
+        fusion.run_hybrid_request(base, [], None, 2)
