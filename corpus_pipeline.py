@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from nearfield.llm import byte_bpe, decontamination, jaccard_join, quality_rules, suffix_dedup
-from nearfield.llm.common import materialize, table
-from nearfield.session import prepare
+from nearfield.llm.common import materialize, prepare, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,18 +12,47 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfield.session import materialize, prepare, shared_dir
+from nearfield import session
+from nearfield.session import scratch_path
 
-__all__ = ["add", "components", "fresh", "grouped", "input_bytes", "materialize", "parts", "pieces", "prepare", "register",
-           "row_key", "shared_dir", "star", "table"]
+__all__ = ["add", "components", "discard", "grouped", "input_bytes", "materialize", "parts", "pieces", "prepare", "register",
+           "release", "row_key", "star", "table"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
+# Nodes (two numbers each, some 16 MB in all) up to which facts about nodes are broadcast; salts per node beyond.
+BROADCAST_NODES, NODE_SALTS = 500_000, 8
 # Text handled at once in a task, in bytes; a single longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
 
+# Bytes of an Arrow batch that goes to a Python worker, so that rows with long texts or blocks come a few at a time.
+BATCH_BYTES = 16 << 20
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The library's session settings, and a bound on the bytes that a worker holds of its input."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return session.prepare(spark)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a frame that later jobs read to the shared folder, and read it back; a lost executor costs a re-read."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def discard(*stages: DataFrame) -> None:
+    """Remove stage tables that nothing reads any more."""
+    for stage in stages:
+        path = stage.sparkSession._jvm.org.apache.hadoop.fs.Path(stage.stage_path)
+        path.getFileSystem(stage.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def register(name: str, fn, sql: str | None = None) -> None:
     """Register ``fn(spark, sf_dir)``; ``sql`` is its DuckDB form where there is one."""
     QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
@@ -29,6 +60,18 @@ def register(name: str, fn, sql: str | None = None) -> None:
         ORACLES[name] = sql
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished stages before the next large shuffle.
+
+    Spark removes a shuffle once nothing refers to it, which the driver notices when it collects garbage; a driver with
+    little to do may not for the length of a job. The second round takes what the first has made unreachable.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -55,14 +98,6 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.sha2(F.concat_ws("\n", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(text_col), F.lit(""))), 256)
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that the frame does not have yet."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut a batch into runs of rows whose texts (null: empty) make up at most ``size`` bytes."""
     if not batch.num_rows:
@@ -77,30 +112,42 @@ def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES)
         start = stop
 
 
+def per_node(rows: DataFrame, facts: DataFrame, key: str, spread: str, nodes: int) -> DataFrame:
+    """Join with a frame of one row per node, of which there are at most ``nodes``: broadcast, or salted for hot nodes."""
+    if nodes <= BROADCAST_NODES:
+        return rows.join(F.broadcast(facts), key)
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(NODE_SALTS)))
+    right = facts.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(NODE_SALTS - 1).cast("bigint"))))
+    return left.join(right, [key, "__salt"]).drop("__salt")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of an edge list (a, b): rows (node, component), the component being its least node.
 
     Each round links every node to the least node seen next to it and shortcuts twice as far (large and
     small stars), so a chain of n nodes takes about log n rounds. Each round is written to the shared
-    folder; only two numbers per round come to the driver. Hot nodes are pre-aggregated by ``min``.
+    folder; only two numbers per round come to the driver. Hot nodes are pre-aggregated by ``min``, and the
+    joins on nodes are broadcasts of a counted size or salted.
     """
     both = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     now, before = materialize(both, "components"), None
+    size = now.count()
     for _ in range(rounds):
         # large star: every neighbour larger than a node is linked to the least of the neighbourhood
         around = now.select("a", "b").union(now.select(F.col("b"), F.col("a")))
         least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = around.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        large = per_node(around.where("b > a"), least, "a", "b", 2 * size).select(F.col("m").alias("a"), "b").where("a <> b").distinct()
         # small star: every smaller neighbour and the node itself are linked to the least one
         down = large.select(F.col("b").alias("n"), F.col("a").alias("s"))
         low = down.groupBy("n").agg(F.min("s").alias("m"))
-        small = down.join(low, "n").select(F.col("m").alias("a"), F.col("s").alias("b")).union(low.select(F.col("m").alias("a"), F.col("n").alias("b")))
+        small = per_node(down, low, "n", "s", size).select(F.col("m").alias("a"), F.col("s").alias("b")).union(
+            low.select(F.col("m").alias("a"), F.col("n").alias("b")))
         now = materialize(small.where("a <> b").distinct(), "components")
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:
             break
-        before = state
+        before, size = state, state[0]
     else:
         raise RuntimeError("components did not settle")
     label = now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("m"))

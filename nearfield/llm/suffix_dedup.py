@@ -1,6 +1,6 @@
 """Suffix-array dedup: bytes of passages that also start in a document with a smaller id.
 
-The suffixes are dealt out by anchors: the least of the hashes of 16-byte strings in each run of 35 (winnowing), so
+The suffixes are dealt out by anchors: the least of the hashes of 24-byte strings in each run of 27 (winnowing), so
 equal 50-byte strings hold an equal anchor at an equal offset, and everything that can be said about a
 50-byte string is said within 50 bytes of its anchor, its context.
 
@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import grouped, materialize, parts, pieces, register, table
+from nearfield.llm.common import discard, grouped, materialize, parts, pieces, register, release, table
 from nearfield.llm.jaccard_join import mix
 
-SPAN, GRAM = 50, 16
+SPAN, GRAM = 50, 24
 RUN = SPAN - GRAM + 1  # anchors are chosen among so many neighbours
 SIDE = SPAN - GRAM
 CONTEXT = SPAN + SIDE
+BATCH_BYTES = 16 << 20  # text whose anchors are combined before they are dealt out
 BUCKET_CONTEXTS = 20_000
 HOT_CONTEXTS = 50_000
 LAST = (1 << 63) - 1
@@ -54,10 +55,14 @@ def anchors(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     n = len(text)
     doc_of = np.repeat(np.arange(len(starts)), lengths)
     h, width, level = BYTE[text], 1, 0
-    while width < GRAM:
-        h = h[:-width] * STEP[level] + h[width:]
+    half = h
+    while width * 2 <= GRAM:
+        half, h = h, h[:-width] * STEP[level] + h[width:]
         width, level = width * 2, level + 1
-    gram = mix(h)
+    if width < GRAM:  # 16 + 8 bytes
+        gram = mix(h[: len(text) - GRAM + 1] * STEP[7] + half[width:])
+    else:
+        gram = mix(h)
     low = sliding(gram, RUN, np.minimum)
     begin = np.arange(len(low))
     inside = begin + SPAN <= (starts + lengths)[doc_of[: len(low)]]  # runs that do not cross documents
@@ -125,44 +130,56 @@ def list_anchors(rows: DataFrame, groups: int) -> DataFrame:
     """Packed entries by group of anchors (kind 0) and spans that a batch decides by itself (kind 1)."""
 
     def run(batches):
+        ids, held, size = [], [], 0
         for batch in batches:
-            ids, held = [], []
-            for part, texts in pieces(batch):
+            for part, texts in pieces(batch, "text", 1 << 20):
                 lengths = np.fromiter(map(len, texts), np.int64, len(texts))
                 base = sum(len(x) for x in ids)
+                size += int(lengths.sum())
                 ids.append(np.column_stack([part["ord"].to_numpy(), part["th"].to_numpy(), lengths]))
                 if lengths.max(initial=0) >= SPAN:
                     text = np.frombuffer(b"".join(texts) + b"\0" * CONTEXT, np.uint8)
                     starts = np.concatenate([np.cumsum(lengths) - lengths, [lengths.sum()]])
                     doc, pos, anchor, context = anchors(text, starts, np.append(lengths, CONTEXT))
                     real = doc < len(texts)
-                    held.append((doc[real] + base, pos[real], anchor[real], context[real]))
-            if not held:
-                continue
-            docs = np.concatenate(ids)
-            doc, pos, anchor, context = (np.concatenate(x) for x in zip(*held))
-            order, first, number = keep_least(docs[doc, 0], anchor, context)
-            doc, pos, anchor, context = doc[order], pos[order], anchor[order], context[order]
-            later = docs[doc, 0] > docs[doc[first], 0][number]
-            start, stop = context_spans(pos[later], docs[doc[later], 2])
-            spans = pack_spans(doc[later], start, stop)
-            if spans:
-                yield rows_of([(d % groups, 1, docs[d].tobytes(), b"", b"", b"", s) for d, s in spans])
-            doc, pos, anchor, context = doc[~later], pos[~later], anchor[~later], context[~later]
-            group = (anchor % np.uint64(groups)).astype(np.int64)
-            order = np.lexsort((doc, group))
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(group[order])) + 1, [len(order)]])
-            made = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                at = order[a:b]
-                own, counts = np.unique(doc[at], return_counts=True)
-                made.append((int(group[at[0]]), 0, docs[own].tobytes(), counts.astype(np.int32).tobytes(), six(anchor[at] // np.uint64(groups)),
-                             six(context[at]), pos[at].astype(np.int32).tobytes()))
-            yield rows_of(made)
+                    held.append(((doc[real] + base).astype(np.int32), pos[real].astype(np.int32), anchor[real], context[real]))
+                if size >= BATCH_BYTES:
+                    yield from combined(ids, held, groups)
+                    ids, held, size = [], [], 0
+        yield from combined(ids, held, groups)
 
     return rows.mapInArrow(run, ENTRY)
 
 
+def combined(ids: list[np.ndarray], held: list[tuple], groups: int):
+    """Rows for the anchors of a run of documents: what they decide among themselves, and the rest by group."""
+    if not held:
+        return
+    docs = np.concatenate(ids)
+    doc, pos, anchor, context = (np.concatenate(x) for x in zip(*held))
+    if not len(doc):
+        return
+    order, first, number = keep_least(docs[doc, 0], anchor, context)
+    later = np.empty(len(order), bool)
+    later[order] = docs[doc[order], 0] > docs[doc[order[first]], 0][number]
+    start, stop = context_spans(pos[later], docs[doc[later], 2])
+    spans = pack_spans(doc[later], start, stop)
+    if spans:
+        yield rows_of([(d % groups, 1, docs[d].tobytes(), b"", b"", b"", s) for d, s in spans])
+    doc, pos, anchor, context = doc[~later], pos[~later], anchor[~later], context[~later]
+    group = (anchor % np.uint64(groups)).astype(np.int32)
+    order = np.lexsort((doc, group))
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(group[order])) + 1, [len(order)]])
+    made = []
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        at = order[a:b]
+        own, counts = np.unique(doc[at], return_counts=True)
+        made.append((int(group[at[0]]), 0, docs[own].tobytes(), counts.astype(np.int32).tobytes(), six(anchor[at] // np.uint64(groups)),
+                     six(context[at]), pos[at].tobytes()))
+    if made:
+        yield rows_of(made)
+
+
 def six(x: np.ndarray) -> bytes:
     """The lower 48 bits of each value."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
@@ -276,9 +293,10 @@ def maximal_repeats(lcp: np.ndarray, left: np.ndarray, least: int = SPAN):
 def repeat_spans(contexts: DataFrame) -> DataFrame:
     """Spans (ord, th, spans) of the maximal repeats among contexts that a smaller document has as well."""
     buckets = max(1, -(-contexts.count() // BUCKET_CONTEXTS))
-    hot = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS).select("anchor")
-    rest = contexts.join(hot, "anchor", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    dealt = rest.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "ord", "th", "start", "context")
+    hot = materialize(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS).select("anchor"), "hot")
+    some = not hot.isEmpty()
+    rest = contexts.join(hot, "anchor", "left_anti") if some else contexts
+    dealt = rest.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).repartition("bucket").sortWithinPartitions("bucket").select("bucket", "ord", "th", "start", "context")
 
     def run(batches):
         for _, rows in grouped(batches, ["bucket"]):
@@ -298,7 +316,7 @@ def repeat_spans(contexts: DataFrame) -> DataFrame:
                                                   pa.array([s for _, s in spans], pa.binary())], names=["ord", "th", "spans"])
 
     found = dealt.mapInArrow(run, "ord bigint, th bigint, spans binary")
-    return found.unionByName(hot_spans(contexts.join(hot, "anchor", "left_semi")))
+    return found.unionByName(hot_spans(contexts.join(hot, "anchor", "left_semi"))) if some else found
 
 
 def doc_number(owner: np.ndarray, th: np.ndarray) -> np.ndarray:
@@ -327,9 +345,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     """(ord, th, spans): for each document with repeats, its spans as a list of int32 pairs (start, stop), not yet merged."""
     rows = with_identity(docs)
     told = materialize(settle(list_anchors(rows, parts(docs, 16 << 20))), "anchors")
+    release(docs.sparkSession)
     wanted = told.where("anchor is not null").select("ord", "th", "anchor", "pos")
     contexts = materialize(fetch_contexts(rows, wanted), "contexts")
-    spans = told.where("spans is not null").select("ord", "th", "spans").unionByName(repeat_spans(contexts))
+    release(docs.sparkSession)
+    spans = told.where("spans is not null").select("ord", "th", "spans").unionByName(materialize(repeat_spans(contexts), "spans"))
+    discard(contexts)
+    release(docs.sparkSession)
     return spans.groupBy("ord", "th").agg(F.collect_list("spans").alias("spans"))  # bounded by the document
 
 

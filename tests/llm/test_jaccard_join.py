@@ -67,7 +67,9 @@ def test_pruning_keeps_pairs_at_the_threshold():
     assert j.common_counts(sets, p, q, 64).tolist() == [len(np.intersect1d(sets[x], sets[y])) for x, y in zip(p, q)]
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_components_of_chains_and_stars(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "BROADCAST_NODES", most)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (201, 200)]
     got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert {got[i] for i in range(41)} == {0} and {got[100 + i] for i in range(30)} == {100} and got[200] == got[201] == 200
