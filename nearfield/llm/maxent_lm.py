@@ -27,13 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import grouped, materialize, pieces, register, table
+from nearfield.llm.common import discard, grouped, materialize, pieces, register, release, table
 
 SINGLES, SHAPES = 15, 16
 CLASSES = 1 + SHAPES + SINGLES
 FEATURES = 1 << 15
 ROUNDS, RATE, CALM, SHARE = 4, 0.5, 4.0, 0.6
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 WORD_ROWS = 20_000
 SLICE = 1 << 15  # tokens scored at once
 TABLE_ROWS = 512  # features per row when gradients are added
@@ -136,9 +136,12 @@ def attach(blocks: DataFrame, words: DataFrame, top: list[str]) -> DataFrame:
     return blocks.where("words is null").select("block", "doc_id", "held", "lengths", "codes").join(packed, "block")
 
 
-def unpack(row: dict) -> dict:
+def unpack(batch: pa.RecordBatch):
+    """Blocks of a batch, one after the other, as views of its buffers."""
     kinds = {"lengths": np.int32, "codes": np.int32, "counts": np.int64, "classes": np.uint8, "hashes": np.uint32}
-    return {k: np.frombuffer(row[k], t) for k, t in kinds.items()} | {"held": np.array(row["held"], bool), "doc_id": row["doc_id"]}
+    for i in range(batch.num_rows):
+        arrays = {k: np.frombuffer(batch[k][i].as_buffer(), t) for k, t in kinds.items()}
+        yield arrays | {"held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
 
 
 def histories(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -190,8 +193,7 @@ def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray,
         model = held.value
         seen, due = np.zeros((width, CLASSES), np.float32), np.zeros((width, CLASSES), np.float32)
         for batch in batches:
-            for row in batch.to_pylist():
-                b = unpack(row)
+            for b in unpack(batch):
                 chosen = ~b["held"] & ((np.arange(len(b["held"])) % ROUNDS == turn) if model else True)
                 target = np.where(b["counts"] <= 2, 0, b["classes"])  # as if the token itself had not been counted
                 for own, features in slices(b, chosen):
@@ -252,8 +254,7 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
     def run(batches):
         model, stats = held.value
         for batch in batches:
-            for row in batch.to_pylist():
-                b = unpack(row)
+            for b in unpack(batch):
                 if not len(b["lengths"]):
                     continue
                 word, base = word_scores(b, stats)
@@ -264,7 +265,7 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
                 head = np.cumsum(b["lengths"]) - b["lengths"]
                 n = len(b["lengths"])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(b["doc_id"], pa.int64()), pa.array(b["held"]), pa.array(b["lengths"].astype(np.int64)),
+                    b["doc_id"], pa.array(b["held"]), pa.array(b["lengths"].astype(np.int64)),
                     pa.array(np.add.reduceat((b["counts"] > 0)[b["codes"]].astype(np.int64), head)), pa.array(np.full(n, stats["n"], np.int64)),
                     pa.array(np.add.reduceat(base[b["codes"]], head)), pa.array(np.add.reduceat(log, head) / math.log(10))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -275,8 +276,11 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
 def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = materialize(word_blocks(table(spark, sf_dir, "documents")), "blocks")
     words = materialize(counted_words(blocks), "words")
+    release(spark)
     stats = totals(words)
     coded = materialize(attach(blocks, words, stats["top"]), "coded")
+    discard(blocks, words)
+    release(spark)
     return score(coded, train(coded), stats)
 
 
