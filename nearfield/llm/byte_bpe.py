@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from nearfield.llm.common import add, materialize, pieces, register, table
 
 LEXICON_WORDS = 1 << 16
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000  # words a worker remembers, in each of two generations
+COUNT_WORDS = 200_000  # distinct words a task counts before it hands the counts on
+PIECE_BYTES = 2 << 20
 # The published split of byte-level BPE, with the white space of Unicode spelled out (Python's has four more).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^{S}{l}{n}]+|[{S}]+(?![^{S}])|[{S}]+"
 SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -322,7 +324,7 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
             for _, found in pieces(batch.select(["text"])):
                 for text in found:
                     counts.update(w for w in vocabulary.words(text.decode()) if isinstance(w, str))
-                if len(counts) > CACHE_WORDS:
+                if len(counts) > COUNT_WORDS:
                     yield rows()
                     counts.clear()
         yield rows()
@@ -365,7 +367,7 @@ def _coded(docs: DataFrame, path: str, lexicon: str, new: dict, make) -> DataFra
     def run(batches):
         own = coder(path, SparkFiles.get(lexicon))
         for batch in batches:
-            for rows, found in pieces(batch):
+            for rows, found in pieces(batch, "text", PIECE_BYTES):
                 made = dict(zip(names, zip(*(make(*x) for x in own.run([t.decode() for t in found])))))
                 yield pa.RecordBatch.from_arrays([pa.array(made[n], rows.schema.field(n).type) if n in made else rows[n] for n in rows.schema.names],
                                                  schema=rows.schema)
