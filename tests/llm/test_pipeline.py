@@ -34,8 +34,8 @@ def test_every_stage_decides_on_all_it_gets(spark, tmp_path):
         elif at == 3:
             assert sorted(map(str, rows)) == sorted(str(r) for r in before.collect() if not test_decontamination.brute(r["text"], items)[-1])
         else:
-            assert sorted(r["decoded"] for r in rows) == sorted(r[1] for r in old) and all(r["n_tokens"] == len(r["token_ids"]) for r in rows)
-    assert rows and sorted(r["doc_id"] for r in corpus_pipeline.run(spark, path).collect()) == sorted(r["doc_id"] for r in rows)
+            assert sorted(r["decoded"] for r in rows) == sorted(r[1] or "" for r in old) and all(r["n_tokens"] == len(r["token_ids"]) for r in rows)
+    assert rows and sorted(str(r["doc_id"]) for r in corpus_pipeline.run(spark, path).collect()) == sorted(str(r["doc_id"]) for r in rows)
 
 
 def test_no_rows(spark, tmp_path):
