@@ -1,15 +1,21 @@
-"""LM scoring with a hashed maximum-entropy model: P(word | history) = P(class | history) * P(word | class).
+"""LM scoring with a hashed maximum-entropy model: P(word | history) = P(class | history) * P(word | class, history).
 
 P(class | history) is a softmax over ``CLASSES`` classes of summed weights of hashed features of the history: the word before, the
-two words before, and, skipping one, the word two before. P(word | class) is the word's share of its class. Classes come
-from frequency and shape (first letter, closing mark, non-ASCII), the commonest words being classes of their own; class 0 holds words
-met at most once, and the unknown word as one more type. So probabilities sum to one over the known words and "unknown".
+two words before, and, skipping one, the word two before. Classes come from frequency and shape (first letter, closing
+mark, non-ASCII), the commonest words being classes of their own; class 0 holds words
+met at most once, and the unknown word as one more type.
+
+P(word | class, history) goes down a binary tree over all words of the class, whose branches are the bits of the word's hash (64 bits). Each
+node that parts words is a maximum-entropy choice of two: the log-odds of the training counts below it and hashed weights of
+(feature, node), for the same three features. Without weights this is the word's share of its class. A tree of V words is about log2 V
+deep, so normalising is cheap, and probabilities sum to one over the known words and "unknown". Words of class 0 share it evenly.
 
 Tokenised once: a task turns its documents into a block of word codes with a local vocabulary. Local counts are summed over
 all training documents by word, and each block gets the counts of its own words back; no vocabulary is broadcast. Training
 starts from the observed class counts of each feature and goes ``ROUNDS`` steps; in each, every task sums
 observed minus expected counts over its part of that round's documents (all training documents are used once), the sums are added in
-Spark and the driver gets one table of ``FEATURES`` x ``CLASSES`` weights, a size that does not depend on the data.
+Spark and the driver gets one table of ``FEATURES`` x ``CLASSES`` weights and one of ``BRANCHES`` weights of tree nodes, sizes that do not depend on the data.
+The trees are counted by the first ``TOP`` bits on the driver and below that in groups of words that share them.
 
 Cases. A null or empty text is one end token. Rows without an id are trained on. Repeated rows are scored one by one, and equally. Very
 long texts are one row of a block. Other columns are not read. Without training documents all words are unknown; scores stay
@@ -23,6 +29,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,10 +39,13 @@ from nearfield.llm.common import discard, grouped, materialize, pieces, register
 SINGLES, SHAPES = 15, 16
 CLASSES = 1 + SHAPES + SINGLES
 FEATURES = 1 << 15
+BRANCHES = 1 << 20  # hashed weights of (feature, tree node)
+TOP = 8  # bits of a word's hash whose counts the driver holds
 ROUNDS, RATE, CALM, SHARE = 4, 0.5, 4.0, 0.6
 BLOCK_BYTES = 12 << 20
 WORD_ROWS = 20_000
 SLICE = 1 << 15  # tokens scored at once
+TABLE_WAYS = 1 << 14  # tree weights per row
 TABLE_ROWS = 512  # features per row when gradients are added
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLOCK = ("block bigint, at int, words array<string>, n array<bigint>, doc_id array<bigint>, held array<boolean>, lengths binary, codes binary")
@@ -111,7 +121,39 @@ def totals(words: DataFrame) -> dict:
     top = [r["word"] for r in types.where("c > 2").orderBy(F.desc("c"), "word").limit(SINGLES).collect()]
     n, v, v1, v2 = types.agg(F.sum("c"), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     sizes = dict(types.groupBy(word_class(top).alias("k")).agg(F.sum("c").alias("n")).collect())
-    return {"n": n or 0, "v": v or 0, "v1": v1 or 0, "v2": v2 or 0, "top": top, "sizes": sizes}
+    tops = np.zeros((CLASSES, 1 << TOP), np.int64)
+    for r in types.groupBy(word_class(top).alias("k"), top_bits().alias("b")).agg(F.sum("c").alias("n")).collect():
+        tops[r["k"], r["b"]] = r["n"]
+    return {"n": n or 0, "v": v or 0, "v1": v1 or 0, "v2": v2 or 0, "top": top, "sizes": sizes, "tops": tops}
+
+
+def top_bits() -> Column:
+    return F.shiftrightunsigned(F.xxhash64("word"), 64 - TOP).cast("int")
+
+
+def branches(x: np.ndarray, c: np.ndarray, tops: np.ndarray) -> np.ndarray:
+    """Log-odds (1 against 0) at each depth of words that share a class and their first ``TOP`` bits; NaN where nothing is parted.
+
+    ``x`` are their sorted hashes, ``c`` their counts, ``tops`` the class's counts by first bits.
+    """
+    bias = np.full((len(x), 64), np.nan, np.float16)  # rounded once for both sides, so that they still sum to one
+    first = int(x[0] >> np.uint64(64 - TOP))
+    for d in range(TOP):
+        width = 1 << (TOP - d)
+        n = tops[first // width * width:][:width].reshape(2, -1).sum(1)
+        if n.all():
+            bias[:, d] = np.log(n[1] / n[0])
+    below, low, high = np.concatenate([[0], np.cumsum(c)]), np.zeros(len(x), np.int64), np.full(len(x), len(x))
+    for d in range(TOP, 64):
+        if (high - low <= 1).all():
+            break
+        one = (x >> np.uint64(63 - d)) & np.uint64(1) > 0
+        ones = np.concatenate([[0], np.cumsum(one)])
+        part = high - (ones[high] - ones[low])
+        both = np.flatnonzero((part > low) & (part < high))
+        bias[both, d] = np.log((below[high] - below[part])[both] / (below[part] - below[low])[both])
+        low, high = np.where(one, part, low), np.where(one, high, part)
+    return bias
 
 
 def word_class(top: list[str]) -> Column:
@@ -122,26 +164,89 @@ def word_class(top: list[str]) -> Column:
     return F.when(F.col("c") <= 1, 0).otherwise(F.coalesce(own, 1 + shape(F.col("word")) * 2 + F.when(F.col("c") >= 32, 1).otherwise(0))).cast("int")
 
 
-def attach(blocks: DataFrame, words: DataFrame, top: list[str]) -> DataFrame:
-    """Coded blocks with ``counts``, ``classes`` and ``hashes`` of their local words."""
-    placed = (words.select("block", "at", "c", word_class(top).alias("k"), F.crc32(F.col("word").cast("binary")).alias("h"))
-              .repartition("block").sortWithinPartitions("block", "at"))
+def joined(column: pa.ChunkedArray) -> bytes:
+    """The bytes of all rows of a binary column, one after the other."""
+    out = []
+    for c in column.chunks:
+        ends = np.frombuffer(c.buffers()[1], np.int32)[c.offset: c.offset + len(c) + 1]
+        out.append(c.buffers()[2][int(ends[0]): int(ends[-1])].to_pybytes() if len(c) and ends[-1] > ends[0] else b"")
+    return b"".join(out)
+
+
+def attach(blocks: DataFrame, words: DataFrame, stats: dict) -> DataFrame:
+    """Coded blocks with ``counts``, ``classes`` and ``hashes`` of their local words and their ways down the trees.
+
+    ``paths`` are the words' tree hashes, ``steps`` the numbers of their nodes, and ``depths`` and ``odds`` those nodes.
+    """
+    placed = words.select("block", F.col("at").cast("bigint").alias("at"), "c", word_class(stats["top"]).alias("k"), F.crc32(F.col("word").cast("binary")).alias("h"),
+                          F.xxhash64("word").alias("x"), top_bits().alias("b"))
+    inner = F.col("k").between(1, SHAPES)
+    held = blocks.sparkSession.sparkContext.broadcast(stats["tops"])
+    names = ["block", "at", "c", "k", "h", "x"]
+
+    def ways(batches):
+        for (k, _), rows in grouped(batches, ["k", "b"]):
+            rows = rows.combine_chunks()
+            x = rows["x"].to_numpy().view(np.uint64)
+            own, first, back = np.unique(x, return_index=True, return_inverse=True)
+            bias = branches(own, rows["c"].to_numpy()[first], held.value[k])
+            for at in range(0, len(x), WORD_ROWS):
+                odds = bias[back[at: at + WORD_ROWS]]
+                word, depth = np.nonzero(~np.isnan(odds))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(odds)))]).astype(np.int32)
+                packed = [pa.Array.from_buffers(pa.binary(), len(odds), [None, pa.py_buffer(ends * v.itemsize), pa.py_buffer(v)])
+                          for v in (depth.astype(np.uint8), odds[word, depth])]
+                yield from pa.table([*[rows[n].slice(at, WORD_ROWS) for n in names], *packed], names=[*names, "depths", "odds"]).combine_chunks().to_batches()
+
+    known = placed.where(inner).repartition("k", "b").sortWithinPartitions("k", "b").mapInArrow(
+        ways, "block bigint, at bigint, c bigint, k int, h bigint, x bigint, depths binary, odds binary")
+    none = F.lit(b"")
+    every = known.unionByName(placed.where(~inner).select(*[F.col(n).cast(known.schema[n].dataType) for n in names], none.alias("depths"), none.alias("odds")))
 
     def run(batches):
         for (block,), rows in grouped(batches, ["block"]):
-            yield pa.RecordBatch.from_arrays([pa.array([block]), *[pa.array([rows[c].to_numpy().astype(t).tobytes()], pa.binary())
-                                              for c, t in (("c", np.int64), ("k", np.uint8), ("h", np.uint32))]], names=["block", "counts", "classes", "hashes"])
-
-    packed = placed.mapInArrow(run, "block bigint, counts binary, classes binary, hashes binary")
+            rows = rows.combine_chunks()
+            steps = pa.compute.binary_length(rows["depths"]).to_numpy().astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block]), *[pa.array([rows[c].to_numpy().astype(t).tobytes()], pa.binary()) for c, t in (("c", np.int64), ("k", np.uint8), ("h", np.uint32), ("x", np.int64))],
+                *[pa.array([v], pa.binary()) for v in (steps.tobytes(), joined(rows["depths"]), joined(rows["odds"]))]],
+                names=["block", "counts", "classes", "hashes", "paths", "steps", "depths", "odds"])
+
+    packed = every.repartition("block").sortWithinPartitions("block", "at").mapInArrow(
+        run, "block bigint, counts binary, classes binary, hashes binary, paths binary, steps binary, depths binary, odds binary")
     return blocks.where("words is null").select("block", "doc_id", "held", "lengths", "codes").join(packed, "block")
 
 
 def unpack(batch: pa.RecordBatch):
     """Blocks of a batch, one after the other, as views of its buffers."""
-    kinds = {"lengths": np.int32, "codes": np.int32, "counts": np.int64, "classes": np.uint8, "hashes": np.uint32}
+    kinds = {"lengths": np.int32, "codes": np.int32, "counts": np.int64, "classes": np.uint8, "hashes": np.uint32, "paths": np.uint64, "steps": np.uint8,
+             "depths": np.uint8, "odds": np.float16}
     for i in range(batch.num_rows):
         arrays = {k: np.frombuffer(batch[k][i].as_buffer(), t) for k, t in kinds.items()}
-        yield arrays | {"held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
+        begin = np.cumsum(arrays["steps"], dtype=np.int64) - arrays["steps"]
+        yield arrays | {"begin": begin, "held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
+
+
+def choices(b: dict, code: np.ndarray, features: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tree choices of tokens (words ``code``): (token, branch taken, log-odds of branch 1, the three weights' places)."""
+    many = b["steps"][code].astype(np.int64)
+    token = np.repeat(np.arange(len(code), dtype=np.int32), many)
+    at = np.arange(len(token)) + np.repeat(b["begin"][code] - (np.cumsum(many) - many), many)
+    depth = b["depths"][at].astype(np.uint64)
+    above = b["paths"][code][token] >> (np.uint64(63) - depth)
+    heap = (above >> np.uint64(1)) + (np.uint64(1) << depth)  # the prefix behind a 1, so that depths differ
+    node = (heap * np.uint64(CLASSES) + b["classes"][code][token]) * np.uint64(0xD6E8FEB86659FD93)
+    spread = (features.astype(np.uint64) * np.uint64(3) + np.arange(3, dtype=np.uint64)[:, None] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    shift = np.uint64(64 - (len(weights).bit_length() - 1))
+    place = np.stack([((s[token] ^ node) * np.uint64(0xC2B2AE3D27D4EB4F) >> shift).astype(np.int32) for s in spread])
+    z = b["odds"][at].astype(np.float32) + weights[place[0]] + weights[place[1]] + weights[place[2]]
+    return token, (above & np.uint64(1)).astype(bool), z, place
+
+
+def way_scores(b: dict, code: np.ndarray, features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Natural log of P(word | class, history) of tokens whose words have a way down a tree; 0 for the others."""
+    token, one, z, _ = choices(b, code, features, weights)
+    return np.bincount(token, -np.logaddexp(0, np.where(one, -z, z)), minlength=len(code))
 
 
 def histories(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -184,14 +289,18 @@ def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     into[place[head]] += np.add.reduceat(rows[order], head, axis=0)
 
 
-def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray, np.ndarray]:
-    """Observed and expected counts (features + 1 bias row) x classes over the training documents of a round; without a model all documents, observed only."""
+def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Observed and expected counts (features + 1 bias row) x classes over the training documents of a round; without a model all documents, observed only.
+
+    And of the tree weights: observed minus expected, and the variance of what is expected.
+    """
     held = coded.sparkSession.sparkContext.broadcast(model)
     width = FEATURES + 1
 
     def run(batches):
         model = held.value
         seen, due = np.zeros((width, CLASSES), np.float32), np.zeros((width, CLASSES), np.float32)
+        off, swing = np.zeros((2, BRANCHES if model else 0))
         for batch in batches:
             for b in unpack(batch):
                 chosen = ~b["held"] & ((np.arange(len(b["held"])) % ROUNDS == turn) if model else True)
@@ -207,8 +316,15 @@ def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray,
                         for f in features:
                             add_rows(due, f, p)
                         due[-1] += p.sum(0)
+                        inner = y > 0
+                        _, one, z, place = choices(b, b["codes"][own][inner], features[:, inner], model["ways"])
+                        p = 1 / (1 + np.exp(-z))
+                        off += np.bincount(place.ravel(), np.tile(one - p, 3), BRANCHES)
+                        swing += np.bincount(place.ravel(), np.tile(p * (1 - p), 3), BRANCHES)
         for at in range(0, width, TABLE_ROWS):
             yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([np.concatenate([seen[at: at + TABLE_ROWS], due[at: at + TABLE_ROWS]]).tobytes()], pa.binary())], names=["at", "sums"])
+        for at in range(0, len(off), TABLE_WAYS):
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - at]), pa.array([np.concatenate([off[at: at + TABLE_WAYS], swing[at: at + TABLE_WAYS]]).astype(np.float32).tobytes()], pa.binary())], names=["at", "sums"])
 
     def total(key, rows):
         sums = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in rows["sums"].to_pylist())
@@ -217,28 +333,33 @@ def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray,
     tasks = coded.coalesce(max(1, coded.sparkSession.sparkContext.defaultParallelism))  # a task sends one table of sums
     added = tasks.mapInArrow(run, "at bigint, sums binary").groupBy("at").applyInArrow(total, "at bigint, sums binary").collect()
     seen, due = np.zeros((width, CLASSES), np.float32), np.zeros((width, CLASSES), np.float32)
+    off, swing = np.zeros((2, BRANCHES), np.float32)
     for at, sums in added:
+        if at < 0:
+            off[-1 - at:][:TABLE_WAYS], swing[-1 - at:][:TABLE_WAYS] = np.frombuffer(sums, np.float32).reshape(2, -1)
+            continue
         part = np.frombuffer(sums, np.float32).reshape(2, -1, CLASSES)
         seen[at: at + part.shape[1]], due[at: at + part.shape[1]] = part
-    return seen, due
+    return seen, due, off, swing
 
 
 def train(coded: DataFrame) -> dict:
     """Weights after ``ROUNDS`` scaled gradient steps from the observed class counts."""
-    seen, _ = gather(coded, None, -1)
+    seen, *_ = gather(coded, None, -1)
     prior = (seen[-1] + 0.5) / (seen[-1].sum() + 0.5 * CLASSES)
     of = seen[:-1]
     near = (of + CALM * prior) / (of.sum(1, keepdims=True) + CALM)
-    model = {"weights": (SHARE * (np.log(near) - np.log(prior))).astype(np.float32), "bias": np.log(prior).astype(np.float32)}
+    model = {"weights": (SHARE * (np.log(near) - np.log(prior))).astype(np.float32), "bias": np.log(prior).astype(np.float32), "ways": np.zeros(BRANCHES, np.float32)}
     for turn in range(ROUNDS):
-        seen, due = gather(coded, model, turn)
+        seen, due, off, swing = gather(coded, model, turn)
         step = np.clip(RATE * (seen - due) / (due + CALM), -1, 1)
-        model = {"weights": model["weights"] + step[:-1] / 2, "bias": model["bias"] + step[-1] / 2}
+        model = {"weights": model["weights"] + step[:-1] / 2, "bias": model["bias"] + step[-1] / 2,
+                 "ways": model["ways"] + np.clip(RATE * off / (swing + 1), -1, 1)}
     return model
 
 
 def word_scores(b: dict, stats: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log of P(word | class) and log10 of the base probability, for each local word."""
+    """Natural log of a word's share of its class and log10 of the base probability, for each local word."""
     c = b["counts"].astype(float)
     size = np.array([max(1, stats["sizes"].get(k, 0)) for k in range(CLASSES)], float)
     once = stats["v1"] + 2 * stats["v2"]
@@ -258,10 +379,11 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
                 if not len(b["lengths"]):
                     continue
                 word, base = word_scores(b, stats)
+                word = np.where(b["classes"] == 0, word, 0)  # the trees have the others' shares
                 log = np.empty(len(b["codes"]))
                 for own, features in slices(b, np.ones(len(b["held"]), bool)):
                     code = b["codes"][own]
-                    log[own] = class_scores(model["weights"], model["bias"], features)[np.arange(len(own)), b["classes"][code]] + word[code]
+                    log[own] = class_scores(model["weights"], model["bias"], features)[np.arange(len(own)), b["classes"][code]] + word[code] + way_scores(b, code, features, model["ways"])
                 head = np.cumsum(b["lengths"]) - b["lengths"]
                 n = len(b["lengths"])
                 yield pa.RecordBatch.from_arrays([
@@ -278,7 +400,7 @@ def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = materialize(counted_words(blocks), "words")
     release(spark)
     stats = totals(words)
-    coded = materialize(attach(blocks, words, stats["top"]), "coded")
+    coded = materialize(attach(blocks, words, stats), "coded")
     discard(blocks, words)
     release(spark)
     return score(coded, train(coded), stats)

@@ -54,3 +54,33 @@ def test_no_training_rows_and_no_rows(spark, tmp_path):
     got = m.op10_maxent_lm(spark, cases.folder(spark, tmp_path / "a", documents=cases.frame(spark, only))).collect()
     assert len(got) == len(only) and all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) and r["base_score"] == 0 for r in got)
     assert m.op10_maxent_lm(spark, cases.folder(spark, tmp_path / "b", documents=cases.empty(spark))).count() == 0
+
+
+def test_ways_down_a_tree_sum_to_one():
+    rng = np.random.default_rng(2)
+    x = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64) * np.uint64(2))
+    c = rng.integers(2, 50, len(x))
+    top = (x >> np.uint64(64 - m.TOP)).astype(int)
+    tops = np.bincount(top, c, 1 << m.TOP).astype(int)
+    bias = np.concatenate([m.branches(x[top == t], c[top == t], tops) for t in np.unique(top)])
+    word, depth = np.nonzero(~np.isnan(bias))
+    b = {"paths": x, "steps": np.bincount(word, minlength=len(x)).astype(np.uint8), "depths": depth.astype(np.uint8), "odds": bias[word, depth], "classes": np.full(len(x), 5, np.uint8)}
+    b["begin"] = np.cumsum(b["steps"], dtype=np.int64) - b["steps"]
+    for weights in (np.zeros(m.BRANCHES, np.float32), rng.normal(size=m.BRANCHES).astype(np.float32)):
+        p = np.exp(m.way_scores(b, np.arange(len(x)), np.repeat([[7], [8], [9]], len(x), axis=1), weights))
+        assert abs(p.sum() - 1) < 1e-5
+        assert weights.any() or np.allclose(p, c / c.sum(), rtol=0.02)
+
+
+def test_words_of_one_class_are_told_apart_by_history(spark, tmp_path):
+    """Nearly all words are of one shape and frequency, and each is mostly followed by one other: a class says little about which."""
+    rng, rows = np.random.default_rng(5), []
+    for k in range(300):
+        at, words = rng.integers(0, 400), []
+        for _ in range(60):
+            words.append(f"w{at:03d}x")
+            at = (at * 7 + 3) % 400 if rng.random() < 0.9 else rng.integers(0, 400)
+        rows.append((k, " ".join(words), "en", "s", 1, *cases.EXTRA))
+    got = m.op10_maxent_lm(spark, cases.folder(spark, tmp_path, documents=cases.frame(spark, rows, 3))).collect()
+    fresh = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in fresh) > 0.75 * sum(r["base_score"] for r in fresh)
