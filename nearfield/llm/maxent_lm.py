@@ -289,6 +289,15 @@ def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     into[place[head]] += np.add.reduceat(rows[order], head, axis=0)
 
 
+def empty_sums() -> tuple[np.ndarray, np.ndarray]:
+    """Observed and expected counts of a task; in 64 bits, as 32-bit floats stop counting at 2^24."""
+    return np.zeros((FEATURES + 1, CLASSES), np.int64), np.zeros((FEATURES + 1, CLASSES))
+
+
+def added_up(sums: list[bytes]) -> bytes:
+    return sum(np.frombuffer(x) for x in sums).tobytes()
+
+
 def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Observed and expected counts (features + 1 bias row) x classes over the training documents of a round; without a model all documents, observed only.
 
@@ -299,7 +308,7 @@ def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray,
 
     def run(batches):
         model = held.value
-        seen, due = np.zeros((width, CLASSES), np.float32), np.zeros((width, CLASSES), np.float32)
+        seen, due = empty_sums()
         off, swing = np.zeros((2, BRANCHES if model else 0))
         for batch in batches:
             for b in unpack(batch):
@@ -322,23 +331,22 @@ def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray,
                         off += np.bincount(place.ravel(), np.tile(one - p, 3), BRANCHES)
                         swing += np.bincount(place.ravel(), np.tile(p * (1 - p), 3), BRANCHES)
         for at in range(0, width, TABLE_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([np.concatenate([seen[at: at + TABLE_ROWS], due[at: at + TABLE_ROWS]]).tobytes()], pa.binary())], names=["at", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([np.concatenate([seen[at: at + TABLE_ROWS].astype(float), due[at: at + TABLE_ROWS]]).tobytes()], pa.binary())], names=["at", "sums"])
         for at in range(0, len(off), TABLE_WAYS):
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - at]), pa.array([np.concatenate([off[at: at + TABLE_WAYS], swing[at: at + TABLE_WAYS]]).astype(np.float32).tobytes()], pa.binary())], names=["at", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - at]), pa.array([np.concatenate([off[at: at + TABLE_WAYS], swing[at: at + TABLE_WAYS]]).tobytes()], pa.binary())], names=["at", "sums"])
 
     def total(key, rows):
-        sums = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in rows["sums"].to_pylist())
-        return pa.table({"at": [key[0].as_py()], "sums": pa.array([sums.astype(np.float32).tobytes()], pa.binary())})
+        return pa.table({"at": [key[0].as_py()], "sums": pa.array([added_up(rows["sums"].to_pylist())], pa.binary())})
 
     tasks = coded.coalesce(max(1, coded.sparkSession.sparkContext.defaultParallelism))  # a task sends one table of sums
     added = tasks.mapInArrow(run, "at bigint, sums binary").groupBy("at").applyInArrow(total, "at bigint, sums binary").collect()
-    seen, due = np.zeros((width, CLASSES), np.float32), np.zeros((width, CLASSES), np.float32)
-    off, swing = np.zeros((2, BRANCHES), np.float32)
+    seen, due = np.zeros((2, width, CLASSES))
+    off, swing = np.zeros((2, BRANCHES))
     for at, sums in added:
         if at < 0:
-            off[-1 - at:][:TABLE_WAYS], swing[-1 - at:][:TABLE_WAYS] = np.frombuffer(sums, np.float32).reshape(2, -1)
+            off[-1 - at:][:TABLE_WAYS], swing[-1 - at:][:TABLE_WAYS] = np.frombuffer(sums).reshape(2, -1)
             continue
-        part = np.frombuffer(sums, np.float32).reshape(2, -1, CLASSES)
+        part = np.frombuffer(sums).reshape(2, -1, CLASSES)
         seen[at: at + part.shape[1]], due[at: at + part.shape[1]] = part
     return seen, due, off, swing
 
@@ -353,8 +361,8 @@ def train(coded: DataFrame) -> dict:
     for turn in range(ROUNDS):
         seen, due, off, swing = gather(coded, model, turn)
         step = np.clip(RATE * (seen - due) / (due + CALM), -1, 1)
-        model = {"weights": model["weights"] + step[:-1] / 2, "bias": model["bias"] + step[-1] / 2,
-                 "ways": model["ways"] + np.clip(RATE * off / (swing + 1), -1, 1)}
+        moves = {"weights": step[:-1] / 2, "bias": step[-1] / 2, "ways": np.clip(RATE * off / (swing + 1), -1, 1)}
+        model = {k: (model[k] + v).astype(np.float32) for k, v in moves.items()}
     return model
 
 

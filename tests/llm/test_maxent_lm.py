@@ -84,3 +84,12 @@ def test_words_of_one_class_are_told_apart_by_history(spark, tmp_path):
     got = m.op10_maxent_lm(spark, cases.folder(spark, tmp_path, documents=cases.frame(spark, rows, 3))).collect()
     fresh = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in fresh) > 0.75 * sum(r["base_score"] for r in fresh)
+
+
+def test_sums_count_beyond_24_bits():
+    seen, due = m.empty_sums()
+    for table in (seen, due):
+        table[-1, 0] = 2**24
+        table[-1] += np.bincount([0], minlength=m.CLASSES)
+        assert table[-1, 0] == 2**24 + 1
+    assert np.frombuffer(m.added_up([np.array([2.0**24]).tobytes(), np.array([1.0]).tobytes()]))[0] == 2**24 + 1
