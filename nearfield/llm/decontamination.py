@@ -5,7 +5,8 @@ each term, the sorted list of its positions. Positions count through the block,
 so that no list match crosses documents. Test phrases are looked up block by block: for every window of an item
 the lists of its terms are intersected, shifted by the term's offset and from the rarest term on, so the
 candidates are as few as the rarest term's postings. With ``slack`` > 0 a term may lie up to so many words from its
-offset (proximity match); 0 is the exact phrase.
+offset (proximity match); 0 is the exact phrase. The rarest term's own position says which document a match is in, and a match covers
+the words from the phrase's start to its end as far as they lie in that document.
 
 Cases. A null text has no words and matches nothing; an item without words has no windows; an item shorter than the window
 is one window. Repeated rows and ids are judged row by row. Equal items are reported under each of their ids. Empty
@@ -49,31 +50,33 @@ class Postings:
         self.size = int(self.first[-1] + words[-1] + GAP) if len(words) else 0
         self.keys = np.repeat(np.arange(len(terms), dtype=np.int64), counts) * self.size + positions
 
-    def lookup(self, windows: list[tuple[bytes, ...]], slack: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """(window number, start position) of every match; windows have equal lengths."""
+    def lookup(self, windows: list[tuple[bytes, ...]], slack: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window number, start position, position of the rarest term) of every match; windows have equal lengths.
+
+        With ``slack`` the start may lie before the document.
+        """
         code = self.code.get
         known = [(n, [code(t, -1) for t in w]) for n, w in enumerate(windows)]
         known = [(n, c) for n, c in known if min(c) >= 0]
         if not known:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         number, terms = np.array([n for n, _ in known], np.int64), np.array([c for _, c in known], np.int64)
         order = np.argsort(self.counts[terms], axis=1, kind="stable")
         rare = np.take_along_axis(terms, order[:, :1], 1)[:, 0]
         many = self.counts[rare]
         row = np.repeat(np.arange(len(rare)), many)
         inside = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-        start = self.positions[self.starts[rare][row] + inside].astype(np.int64) - order[row, 0]
-        good = start >= 0
-        row, start = row[good], start[good]
+        seen = self.positions[self.starts[rare][row] + inside].astype(np.int64)
         for rank in range(1, terms.shape[1]):
             if not len(row):
                 break
             offset = order[row, rank]
-            key = terms[row, offset] * self.size + start + offset
-            at = np.minimum(np.searchsorted(self.keys, key - slack), len(self.keys) - 1)
-            good = (self.keys[at] >= key - slack) & (self.keys[at] <= key + slack)
-            row, start = row[good], start[good]
-        return number[row], start
+            base, due = terms[row, offset] * self.size, seen - order[row, 0] + offset
+            low, high = base + np.maximum(due - slack, 0), base + np.minimum(due + slack, self.size - 1)  # no other term's positions
+            at = np.minimum(np.searchsorted(self.keys, low), len(self.keys) - 1)
+            good = (self.keys[at] >= low) & (self.keys[at] <= high)
+            row, seen = row[good], seen[good]
+        return number[row], seen - order[row, 0], seen
 
 
 GAP = 64  # empty positions behind a document; more than any slack
@@ -142,10 +145,10 @@ def matches(index: DataFrame, items: list[tuple[object, bytes]], width: int = WI
                 found: dict[int, set] = {}
                 for length, windows in by_length.items():
                     names = list(windows)
-                    number, start = block.lookup(names, slack)
-                    np.add.at(cover, start, 1)
-                    np.add.at(cover, start + length, -1)
-                    doc = np.searchsorted(block.first, start, "right") - 1
+                    number, start, seen = block.lookup(names, slack)
+                    doc = np.searchsorted(block.first, seen, "right") - 1
+                    np.add.at(cover, np.maximum(start, block.first[doc]), 1)
+                    np.add.at(cover, np.minimum(start + length, block.first[doc] + block.words[doc]), -1)
                     for n, d in set(zip(number.tolist(), doc.tolist())):
                         found.setdefault(d, set()).update(windows[names[n]])
                 hit = np.diff(np.concatenate([[0], np.cumsum(cover[:-1]) > 0, [0]]).astype(np.int8))
@@ -153,7 +156,7 @@ def matches(index: DataFrame, items: list[tuple[object, bytes]], width: int = WI
                 spans: dict[int, list] = {}
                 for d, b, e in zip((np.searchsorted(block.first, begin, "right") - 1).tolist(), begin.tolist(), end.tolist()):
                     at = int(block.first[d])
-                    spans.setdefault(d, []).append({"start": b - at, "length": min(e - at, int(block.words[d])) - (b - at)})
+                    spans.setdefault(d, []).append({"start": b - at, "length": e - b})
                 rows = range(len(keys))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys, pa.string()), pa.array(ids, pa.int64()), pa.array(block.words),

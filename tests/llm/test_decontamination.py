@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+from collections import Counter
 
 import cases
 from nearfield.llm import decontamination as d
@@ -55,6 +57,39 @@ def test_proximity_allows_words_between(spark):
     assert hits(0) == {1: 0, 2: 0} and hits(1)[1] > 0 and hits(1)[2] == 0
 
 
+def near(text, items, width, slack):
+    """Hit words and items by trying each position of each window's rarest term in the block of all texts."""
+    own, hit, found = words(text), set(), set()
+    for item, t in items:
+        w = words(t)
+        n = min(width, len(w))
+        for g in {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if n else ():
+            k = min(range(n), key=lambda i: (RARITY[g[i]], i))
+            for p in (p for p, x in enumerate(own) if x == g[k]):
+                if all(g[i] in own[max(0, p - k + i - slack): max(0, p - k + i + slack + 1)] for i in range(n) if i != k):
+                    hit |= set(range(max(0, p - k), min(len(own), p - k + n)))
+                    found.add(item)
+    return len(hit), sorted(found)
+
+
+RARITY = Counter()
+
+
+def test_proximity_equals_brute_force_in_one_block(spark):
+    rnd = random.Random(8)
+    texts = ["b a c", "a c", "c b a b", "", "a a c b", "z", "c a"] + [" ".join(rnd.choice("aaaccdeb") for _ in range(rnd.randint(0, 9))) for _ in range(300)]
+    items = [(1, "a b c"), (2, "d e"), (3, "e d a c b")]
+    RARITY.clear()
+    RARITY.update(w for t in texts for w in words(t))
+    docs = spark.createDataFrame([(str(i), i, t) for i, t in enumerate(texts)], "key string, doc_id bigint, text string").coalesce(1)
+    for slack in (0, 1, 2, 3):
+        got = {r["doc_id"]: r for r in d.search(docs, bench(spark, items), 4, slack).collect()}
+        assert {i: (r["n_hit"], r["items"]) for i, r in got.items()} == {i: near(t, items, 4, slack) for i, t in enumerate(texts)}, slack
+        for r in got.values():
+            assert sum(s["length"] for s in r["spans"]) == r["n_hit"] and all(s["start"] >= 0 and 0 < s["length"] <= r["n_words"] - s["start"] for s in r["spans"])
+        assert slack != 2 or got[0]["items"]
+
+
 def test_clean_documents_stay_whole(spark):
     docs = cases.frame(spark)
     clean = d.leave_clean(docs, bench(spark, ITEMS))
