@@ -2,7 +2,8 @@
 
 The lexicon is learned from labelled training rows: words, and stems with several continuations, whose documents are toxic. It is
 a trie; walking it with a Levenshtein automaton (with adjacent swaps) accepts a word within the distance its
-term allows: 1 from four letters, 2 from nine, 0 for stems. The product of the two is determinised as words
+term allows, or a word whose start is as near to a stem: 1 from four letters, 2 from nine. Words below a stem stay terms of their own; of stems that
+continue each other the most precise is taken. Words that are no terms themselves may be exceptions. The product of the two is determinised as words
 are read, so a word costs about as many dictionary steps as it has letters before no term is near.
 Each hit is then seen in its window of ``WINDOW`` words: quotation marks around it or a reporting word near it make it quoted;
 other hits near it make it abuse. A logistic regression over a document's hits gives the score.
@@ -53,9 +54,9 @@ class Trie:
         self.child: list[dict[str, int]] = [{}]
         self.reach = [0]  # largest distance allowed to a term below
         self.term: list[int | None] = [None]  # distance allowed to the term that ends here
-        self.stem = [False]
+        self.stem: list[int | None] = [None]  # the same of a stem
         for text, is_stem in [*((t, False) for t in terms), *((s, True) for s in stems)]:
-            limit, node = 0 if is_stem else allowed(text), 0
+            limit, node = allowed(text), 0
             self.reach[0] = max(self.reach[0], limit)
             for ch in text:
                 if ch not in self.child[node]:
@@ -63,11 +64,11 @@ class Trie:
                     self.child.append({})
                     self.reach.append(0)
                     self.term.append(None)
-                    self.stem.append(False)
+                    self.stem.append(None)
                 node = self.child[node][ch]
                 self.reach[node] = max(self.reach[node], limit)
             if is_stem:
-                self.stem[node] = True
+                self.stem[node] = limit
             else:
                 self.term[node] = limit
 
@@ -76,7 +77,7 @@ class Matcher:
     """The product of trie and Levenshtein automaton as a lazily built deterministic automaton.
 
     A state is a set of (node, errors, awaited): the term's letters up to the node are matched with so many errors; with a
-    letter awaited, an adjacent swap is half read. ``match`` gives the errors of the nearest term, or None.
+    letter awaited, an adjacent swap is half read. ``match`` gives the errors of the nearest term or stem, or None.
     """
 
     def __init__(self, terms: list[str], stems: list[str]):
@@ -85,7 +86,7 @@ class Matcher:
         self.number: dict[frozenset, int] = {}
         self.next: list[dict[str, int]] = []
         self.accept: list[int | None] = []
-        self.sure: list[bool] = []
+        self.begun: list[int | None] = []  # errors of the nearest stem that ends here
         self.start = self._state({(0, 0, "")})
 
     def _state(self, items: set) -> int:
@@ -105,8 +106,8 @@ class Matcher:
             self.sets.append(key)
             self.next.append({})
             ends = [e for n, e, a in key if not a and trie.term[n] is not None and e <= trie.term[n]]
-            self.sure.append(any(trie.stem[n] and e == 0 for n, e, a in key if not a))
-            self.accept.append(0 if self.sure[-1] else min(ends, default=None))
+            self.begun.append(min((e for n, e, a in key if not a and trie.stem[n] is not None and e <= trie.stem[n]), default=None))
+            self.accept.append(min(ends, default=None))
         return self.number[key]
 
     def _step(self, state: int, ch: str) -> int:
@@ -128,19 +129,22 @@ class Matcher:
         return self._state(out) if out else -1
 
     def match(self, word: str) -> int | None:
-        state = self.start
+        state, best = self.start, None
         for ch in word:
-            if self.sure[state]:
-                return 0
             to = self.next[state].get(ch)
             if to is None:
                 to = self.next[state][ch] = self._step(state, ch)
                 if len(self.sets) > 200_000:
                     raise MemoryError("the lexicon makes too many states")
             if to < 0:
-                return None
-            state = to
-        return self.accept[state]
+                return best
+            state, begun = to, self.begun[to]
+            if begun is not None and (best is None or begun < best):
+                best = begun
+                if not best:
+                    return 0
+        end = self.accept[state]
+        return end if best is None or end is not None and end < best else best
 
 
 def distinct_words(text: bytes) -> set[str]:
@@ -171,7 +175,7 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.matcher = Matcher(model["terms"], model["stems"])
-        self.exceptions, self.odds = model["exceptions"], model["odds"]
+        self.terms, self.exceptions, self.odds = frozenset(model["terms"]), model["exceptions"], model["odds"]
         self.weights = np.array(model["weights"]) if model["weights"] is not None else None
 
     def hits(self, texts: list[bytes]) -> list[dict[str, int]]:
@@ -179,7 +183,7 @@ class Scorer:
         near = {}
         for w in set().union(*words):
             e = self.matcher.match(w)
-            if e is not None and not (e and w in self.exceptions):
+            if e is not None and (w in self.terms or w not in self.exceptions):
                 near[w] = e
         return [{w: near[w] for w in own & near.keys()} for own in words]
 
@@ -229,13 +233,12 @@ def term_counts(sample: DataFrame, rate: float) -> DataFrame:
 
 
 def choose_terms(rows: list) -> tuple[list[str], list[str]]:
-    """Stems not below another stem, and words not below a stem."""
+    """Words, and of stems that continue each other the most precise (of equals the shortest)."""
     stems: list[str] = []
-    for s in sorted({r["term"] for r in rows if r["stem"]}, key=len):
-        if not any(s.startswith(t) for t in stems):
-            stems.append(s)
-    words = [r["term"] for r in rows if not r["stem"] and not any(r["term"].startswith(s) for s in stems)]
-    return sorted(words), sorted(stems)
+    for r in sorted((r for r in rows if r["stem"]), key=lambda r: (-r["toxic"] / (r["toxic"] + r["clean"]), len(r["term"]), r["term"])):
+        if not any(r["term"].startswith(t) or t.startswith(r["term"]) for t in stems):
+            stems.append(r["term"])
+    return sorted({r["term"] for r in rows if not r["stem"]}), sorted(stems)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
@@ -266,7 +269,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
 
 def exceptions(sample: DataFrame, model: dict) -> frozenset:
-    """Ordinary words near a term: inexact matches that clean documents have about as often as toxic ones."""
+    """Ordinary words near a term or below a stem: matches, themselves no terms, that clean documents have about as often as toxic ones."""
     held = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -274,7 +277,7 @@ def exceptions(sample: DataFrame, model: dict) -> frozenset:
         for batch in batches:
             for rows, texts in pieces(batch):
                 for hits, toxic in zip(own.hits(texts), rows["toxic"].to_pylist()):
-                    seen[toxic].update(w for w, e in hits.items() if e)
+                    seen[toxic].update(w for w in hits if w not in own.terms)
         for toxic, counts in seen.items():
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([toxic] * len(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())],
                                              names=["word", "toxic", "n"])

@@ -74,3 +74,18 @@ def test_no_labels_and_no_rows(spark, tmp_path):
     assert t.op4_toxicity(spark, cases.folder(spark, tmp_path / "b", documents=cases.empty(spark), labels=labels)).count() == 0
     out = t.with_score(cases.frame(spark), t.fit(cases.frame(spark), labels))
     assert dict(out.dtypes)["score"] == "double" and len(out.columns) == len(cases.frame(spark).columns) + 1
+
+
+def row(term, stem, toxic, clean):
+    return {"term": term, "stem": stem, "toxic": toxic, "clean": clean}
+
+
+def test_words_below_a_stem_keep_their_distance():
+    rows = [row("bom", True, 80, 26), row("bomla", True, 60, 2), row("bomlatir", False, 30, 1), row("bomlaneth", False, 20, 1), row("achl", True, 50, 5)]
+    terms, stems = t.choose_terms(rows)
+    assert terms == ["bomlaneth", "bomlatir"] and stems == ["achl", "bomla"]
+    m = t.Matcher(terms, stems)
+    assert m.match("bmolatir") == 1 and m.match("bxmlxneth") == 2 and m.match("bomlaxyz") == 0 and m.match("bonlaxyz") == 1 and m.match("axhlment") == 1
+    assert m.match("bonbast") is None and m.match("bom") is None
+    own = t.Scorer({"terms": terms, "stems": stems, "odds": {}, "exceptions": frozenset(["achlos", "bomlatir"]), "weights": None})
+    assert own.hits([b"achlos achlor bomlatir"]) == [{"achlor": 0, "bomlatir": 0}]
