@@ -39,7 +39,7 @@ PREDICT = 0.7
 QUOTES = "\"'“”„‟«»‹›‘’`"
 REPORTING = frozenset("said says say quote quoted quoting wrote writes word words term terms called calling phrase reported cited example slur".split())
 TOKEN = re.compile(r"\w+")
-SPACES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+SPACES = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))  # for ASCII, what TOKEN does
 FEATURES = 6
 
 
@@ -148,7 +148,10 @@ class Matcher:
 
 
 def distinct_words(text: bytes) -> set[str]:
-    return set(text.translate(SPACES).decode().lower().split())
+    """The words that ``TOKEN`` finds in the lower-cased text."""
+    if text.isascii():
+        return set(text.translate(SPACES).decode().lower().split())
+    return set(TOKEN.findall(text.decode().lower()))
 
 
 def document_features(text: str, hits: dict[str, int], odds: dict[str, float]) -> list[float]:

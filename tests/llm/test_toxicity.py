@@ -89,3 +89,12 @@ def test_words_below_a_stem_keep_their_distance():
     assert m.match("bonbast") is None and m.match("bom") is None
     own = t.Scorer({"terms": terms, "stems": stems, "odds": {}, "exceptions": frozenset(["achlos", "bomlatir"]), "weights": None})
     assert own.hits([b"achlos achlor bomlatir"]) == [{"achlor": 0, "bomlatir": 0}]
+
+
+def test_typographic_punctuation_parts_words():
+    own = t.Scorer({"terms": ["idiot"], "stems": [], "odds": {"idiot": 3.0}, "exceptions": frozenset(), "weights": None})
+    for text in ("he is “idiot” to me", "idiot…", "an idiot—you", "der «idiot» da", "IDIOT–é"):
+        assert own.hits([text.encode()]) == [{"idiot": 0}], text
+    assert t.distinct_words(b"an_idiot x") == set(t.TOKEN.findall("an_idiot x")) and own.hits([b"an_idiot x"]) == [{}]
+    quoted, abuse = own.features(["er ist „idiot“, so da".encode(), "er ist ein idiot… so da".encode()])
+    assert quoted[1] == 0 and quoted[2] == 1 and abuse[1] > 0 and abuse[2] == 0
