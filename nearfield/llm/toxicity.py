@@ -40,6 +40,7 @@ QUOTES = "\"'“”„‟«»‹›‘’`"
 REPORTING = frozenset("said says say quote quoted quoting wrote writes word words term terms called calling phrase reported cited example slur".split())
 TOKEN = re.compile(r"\w+")
 SPACES = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))  # for ASCII, what TOKEN does
+STATES = 200_000  # built states of the automaton that are kept
 FEATURES = 6
 
 
@@ -82,6 +83,10 @@ class Matcher:
 
     def __init__(self, terms: list[str], stems: list[str]):
         self.trie = Trie(terms, stems)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start again without built states; what ``match`` says does not depend on them."""
         self.sets: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
         self.next: list[dict[str, int]] = []
@@ -129,13 +134,13 @@ class Matcher:
         return self._state(out) if out else -1
 
     def match(self, word: str) -> int | None:
+        if len(self.sets) > STATES:
+            self.forget()
         state, best = self.start, None
         for ch in word:
             to = self.next[state].get(ch)
             if to is None:
                 to = self.next[state][ch] = self._step(state, ch)
-                if len(self.sets) > 200_000:
-                    raise MemoryError("the lexicon makes too many states")
             if to < 0:
                 return best
             state, begun = to, self.begun[to]

@@ -98,3 +98,11 @@ def test_typographic_punctuation_parts_words():
     assert t.distinct_words(b"an_idiot x") == set(t.TOKEN.findall("an_idiot x")) and own.hits([b"an_idiot x"]) == [{}]
     quoted, abuse = own.features(["er ist „idiot“, so da".encode(), "er ist ein idiot… so da".encode()])
     assert quoted[1] == 0 and quoted[2] == 1 and abuse[1] > 0 and abuse[2] == 0
+
+
+def test_states_are_forgotten_at_their_bound(monkeypatch):
+    words = [w[:i] + c + w[i:] for w in ("demon", "idiotic", "sermons") for i in range(len(w)) for c in "aeo"]
+    free, bound = t.Matcher(["demon", "idiotic"], ["sermo"]), t.Matcher(["demon", "idiotic"], ["sermo"])
+    want = [free.match(w) for w in words]
+    monkeypatch.setattr(t, "STATES", 5)
+    assert [bound.match(w) for w in words] == want and len(bound.sets) < len(free.sets) and want.count(1) > 20
