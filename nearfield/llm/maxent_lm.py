@@ -174,9 +174,9 @@ def joined(column: pa.ChunkedArray) -> bytes:
 
 
 def attach(blocks: DataFrame, words: DataFrame, stats: dict) -> DataFrame:
-    """Coded blocks with ``counts``, ``classes`` and ``hashes`` of their local words and their ways down the trees.
+    """Stored coded blocks with ``counts``, ``classes`` and ``hashes`` of their local words and their ways down the trees.
 
-    ``paths`` are the words' tree hashes, ``steps`` the numbers of their nodes, and ``depths`` and ``odds`` those nodes.
+    ``paths`` are the words' tree hashes, ``steps`` the numbers of their nodes, and ``depths`` and ``odds`` those nodes. ``words`` is discarded.
     """
     placed = words.select("block", F.col("at").cast("bigint").alias("at"), "c", word_class(stats["top"]).alias("k"), F.crc32(F.col("word").cast("binary")).alias("h"),
                           F.xxhash64("word").alias("x"), top_bits().alias("b"))
@@ -212,9 +212,14 @@ def attach(blocks: DataFrame, words: DataFrame, stats: dict) -> DataFrame:
                 *[pa.array([v], pa.binary()) for v in (steps.tobytes(), joined(rows["depths"]), joined(rows["odds"]))]],
                 names=["block", "counts", "classes", "hashes", "paths", "steps", "depths", "odds"])
 
-    packed = every.repartition("block").sortWithinPartitions("block", "at").mapInArrow(
+    ways_known = materialize(every, "ways")
+    discard(words)
+    release(blocks.sparkSession)
+    packed = ways_known.repartition("block").sortWithinPartitions("block", "at").mapInArrow(
         run, "block bigint, counts binary, classes binary, hashes binary, paths binary, steps binary, depths binary, odds binary")
-    return blocks.where("words is null").select("block", "doc_id", "held", "lengths", "codes").join(packed, "block")
+    coded = materialize(blocks.where("words is null").select("block", "doc_id", "held", "lengths", "codes").join(packed, "block"), "coded")
+    discard(ways_known)
+    return coded
 
 
 def unpack(batch: pa.RecordBatch):
@@ -408,8 +413,8 @@ def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = materialize(counted_words(blocks), "words")
     release(spark)
     stats = totals(words)
-    coded = materialize(attach(blocks, words, stats), "coded")
-    discard(blocks, words)
+    coded = attach(blocks, words, stats)
+    discard(blocks)
     release(spark)
     return score(coded, train(coded), stats)
 
