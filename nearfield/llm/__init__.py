@@ -2,7 +2,8 @@
 
 import importlib
 
-MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe", "decontamination", "jaccard_join", "suffix_dedup", "maxent_lm", "toxicity")
+MODULES = ("chat", "sharding", "quality_rules", "token_files", "byte_bpe", "decontamination", "jaccard_join", "suffix_dedup",
+           "maxent_lm", "toxicity", "lexical_search", "packing", "alignment")
 
 
 def load():
