@@ -1,8 +1,9 @@
 """Quality rules: an isolation forest over rule statistics, its threshold calibrated from labelled rows.
 
-Statistics are counted on whole texts. The forest is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``,
+Statistics are counted on whole texts. The forest is fitted on a bounded sample of labelled rows that pass the base rules (``SAMPLE_ROWS``,
 the smallest hashes of their row keys): each tree gets about ``TREE_ROWS`` of them, splits at random and so isolates odd rows on
-short paths. A row's anomaly is 2**(-mean path / expected path). All labelled rows then calibrate the
+short paths. Of the bad rows only ``BAD_SHARE`` of a tree's good ones stay in it: many alike bad rows would be a cluster of their own, with long
+paths, and hide each other. A row's anomaly is 2**(-mean path / expected path). All labelled rows then calibrate the
 threshold: the one that rejects most bad rows net of good ones, while at most ``GOOD_LOSS`` of the good rows go.
 
 Cases. A null or empty text has zero words and fails the base rules. Repeated rows and ties get equal verdicts. Unlabelled,
@@ -26,6 +27,8 @@ from nearfield.llm.common import add, materialize, pieces, register, table
 TREES, TREE_ROWS = 128, 256
 SAMPLE_ROWS = TREES * TREE_ROWS
 GOOD_LOSS = 0.002
+BAD_SHARE = 0.012
+STRETCH = 20.0  # ratios near 0, where rules tell good from bad, are spread by log(1 + STRETCH * x)
 LEVELS = 20_000  # steps of the anomaly score at which thresholds are compared
 WHITE, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -80,11 +83,11 @@ def with_counts(docs: DataFrame) -> DataFrame:
 
 
 def ratios(counts: pd.DataFrame | dict) -> np.ndarray:
-    """Rule statistics of each row: ratios, so that a long text is no anomaly for its length."""
+    """Rule statistics of each row: ratios, so that a long text is no anomaly for its length; on a log scale but for word length."""
     c = {k: np.asarray(counts[k], float) for k in COUNTS}
     words, lines = np.maximum(c["n_words"], 1), np.maximum(c["n_lines"], 1)
     length = (c["word_chars"] + PRIOR_WORDS * PRIOR_LENGTH) / (words + PRIOR_WORDS)
-    return np.column_stack([length, c["n_symbols"] / words, c["n_dup_lines"] / lines, c["n_repeat_words"] / words])
+    return np.column_stack([length, *(np.log1p(STRETCH * x) for x in (c["n_symbols"] / words, c["n_dup_lines"] / lines, c["n_repeat_words"] / words))])
 
 
 def expected_path(n: float) -> float:
@@ -138,8 +141,9 @@ def fit(labelled: DataFrame, seed: int = 7) -> dict:
     Trees are grown in parallel, one group of about ``TREE_ROWS`` rows each; the driver gets the trees and one histogram
     of at most ``LEVELS`` steps.
     """
-    sample = labelled.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS).select(*COUNTS, F.xxhash64("key", F.lit(seed)).alias("h"))
-    n = labelled.limit(SAMPLE_ROWS).count()
+    fair = labelled.where("quality in (0, 1) and not base_failed")
+    sample = fair.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS).select(*COUNTS, "quality", F.xxhash64("key", F.lit(seed)).alias("h"))
+    n = fair.limit(SAMPLE_ROWS).count()
     if not n:
         return {"forest": [], "rows": 0.0, "threshold": math.inf}
     each = min(TREES, -(-TREES * TREE_ROWS // n))  # trees that one row goes to
@@ -148,13 +152,15 @@ def fit(labelled: DataFrame, seed: int = 7) -> dict:
 
     def grow(key, frame):
         frame = frame.sort_values("h")  # the order of rows must not depend on the shuffle
+        good, bad = frame[frame.quality == 1], frame[frame.quality == 0]
+        frame = pd.concat([good, bad.head(math.ceil(BAD_SHARE * len(good)))])
         tree = grow_tree(ratios(frame), seed * 1000 + int(key[0]))
         return pd.DataFrame({"tree": [int(key[0])], "rows": [len(frame)], **{k: [v] for k, v in tree.items()}})
 
     grown = dealt.groupBy("tree").applyInPandas(grow, "tree int, rows int, feature array<int>, cut array<double>, left array<int>, path array<double>")
     forest = [r.asDict() for r in grown.orderBy("tree").collect()]
     model = {"forest": forest, "rows": sum(t["rows"] for t in forest) / len(forest), "threshold": math.inf}
-    scored = with_anomaly(labelled.where("quality in (0, 1) and not base_failed").select(*COUNTS, "quality"), model)
+    scored = with_anomaly(fair.select(*COUNTS, "quality"), model)
     steps = scored.groupBy(F.floor(F.col("anomaly") * LEVELS).alias("step"), "quality").agg(F.count(F.lit(1)).alias("n")).collect()
     model["threshold"] = calibrate([(r["step"], r["quality"], r["n"]) for r in steps])
     return model
