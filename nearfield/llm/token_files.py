@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 
@@ -34,6 +35,7 @@ CACHE_WORDS = 250_000  # words remembered per worker, in each of two generations
 # The split that makes white-space-separated words, and a trailing mark, independent of each other.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MARKS = frozenset(".,;:!?")
+NO_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python's split, but letters to the library
 
 
 class Encoder:
@@ -91,6 +93,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self._ids(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        odd = [i for i, text in enumerate(texts) if NO_SPACE.search(text)]
+        if odd:  # encoded as they are
+            known = dict(zip(odd, (self._ids(e) for e in self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False))))
+            rest = iter(self.encode([text for i, text in enumerate(texts) if i not in known]))
+            return [known[i] if i in known else next(rest) for i in range(len(texts))]
         split = [text.split() for text in texts]
         new = set().union(*split) - self.young.keys()
         bases = set()
