@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import time
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ BROADCAST_NODES, NODE_SALTS = 500_000, 8
 PIECE_BYTES = 4 << 20
 
 
+# Sizes from here on are the planner's way to say that it knows none; groups that a table is dealt into at most.
+UNKNOWN_BYTES, MOST_PARTS = 1 << 53, 1 << 22
 # Bytes of an Arrow batch that goes to a Python worker, so that rows with long texts or blocks come a few at a time.
 BATCH_BYTES = 16 << 20
 
@@ -83,14 +86,19 @@ def add(df: DataFrame, **new: Column) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of the files below a frame, known without running it; grows with the input."""
-    return max(1, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+    """Stored size of a frame: that of its files, known without running it, or where the planner knows no size, its texts added up."""
+    guess = session.estimated_bytes(df)
+    if guess < UNKNOWN_BYTES:
+        return max(1, guess)
+    texts = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    size = reduce(lambda a, b: a + b, texts, F.lit(8 * len(df.columns)).cast("bigint"))
+    return max(1, df.agg(F.sum(size)).first()[0] or 0)
 
 
 def parts(df: DataFrame, each: int = 32 << 20) -> int:
     """Number of groups so that one group stands for about ``each`` bytes of stored input."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-input_bytes(df) // each))
+    return min(MOST_PARTS, max(least, -(-input_bytes(df) // each)))
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
