@@ -36,6 +36,7 @@ from nearfield.llm.common import materialize, pieces, register, table
 from nearfield.llm.fast_bpe import byte_encoder
 
 RADIX, RUN_RECORDS, SLOT_BYTES = 64, 2_000_000, 8 << 20
+LINK_BYTES = 1 << 20  # texts that are linked at once
 BLOCK_PAIRS, BUFFER_PAIRS = 4096, 1 << 18  # of the merge: pairs per block of a run, pairs held before sums are handed on
 FACTS = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
 CHUNKS = ("chunk bigint, docs array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string>>, "
@@ -223,7 +224,7 @@ def store_chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                                               names=["chunk", "docs", "runs"])
 
         for batch in batches:
-            for rows, found in pieces(batch):
+            for rows, found in pieces(batch, size=LINK_BYTES):
                 new, doc, key = own.link([t.decode() for t in found])
                 links.append((doc + len(facts), key))
                 facts += [dict(zip(names, (i, *f))) for i, f in zip(rows["doc_id"].to_pylist(), new)]
