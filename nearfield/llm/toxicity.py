@@ -6,7 +6,9 @@ term allows, or a word whose start is as near to a stem: 1 from four letters, 2
 continue each other the most precise is taken. Words that are no terms themselves may be exceptions. The product of the two is determinised as words
 are read, so a word costs about as many dictionary steps as it has letters before no term is near.
 Each hit is then seen in its window of ``WINDOW`` words: quotation marks around it or a reporting word near it make it quoted;
-other hits near it make it abuse. A logistic regression over a document's hits gives the score.
+other hits near it make it abuse. A logistic regression over a document's hits gives the score; a near hit counts as its term, less a cost per error.
+As labelled texts hold few misspellings and quotations, toxic rows with hits also train as a copy with misspelled hit words (label 1) and as one with
+quoted hit words (label 0).
 
 Training rows are a bounded sample of the labelled ones (``SAMPLE_ROWS``, the smallest hashes of their ids). Only texts are inputs.
 
@@ -31,17 +33,20 @@ SAMPLE_ROWS = 20_000
 TERMS, EXCEPTIONS = 5_000, 20_000
 PRECISION = 0.6
 EVIDENCE = 12.0  # log-likelihood ratio against the base rate that a term needs, well above the log of the vocabulary's size
-WEIGH = 3  # one in so many sample rows is kept from the lexicon and fits the weights
+WEIGH = 2  # one in so many sample rows is kept from the lexicon and fits the weights
 STEM_WORDS = 5  # distinct words a stem must explain
 STEM_LETTERS = range(3, 10)
 WINDOW = 6
 PREDICT = 0.7
 QUOTES = "\"'“”„‟«»‹›‘’`"
+CLOSING = re.compile(f"[.,;:!?]?[{re.escape(QUOTES)}]")
 REPORTING = frozenset("said says say quote quoted quoting wrote writes word words term terms called calling phrase reported cited example slur".split())
 TOKEN = re.compile(r"\w+")
 SPACES = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))  # for ASCII, what TOKEN does
 STATES = 200_000  # built states of the automaton that are kept
-FEATURES = 6
+FEATURES = 6  # exact hit, unquoted hits, all quoted, misspelled hits, hits near each other, what unquoted words tell
+AT_LEAST_0 = frozenset((1, 3, 5))
+ERROR_COST = 0.3  # log-odds that a hit loses per error
 
 
 def allowed(term: str) -> int:
@@ -56,6 +61,7 @@ class Trie:
         self.reach = [0]  # largest distance allowed to a term below
         self.term: list[int | None] = [None]  # distance allowed to the term that ends here
         self.stem: list[int | None] = [None]  # the same of a stem
+        self.text = [""]  # the letters from the root
         for text, is_stem in [*((t, False) for t in terms), *((s, True) for s in stems)]:
             limit, node = allowed(text), 0
             self.reach[0] = max(self.reach[0], limit)
@@ -66,6 +72,7 @@ class Trie:
                     self.reach.append(0)
                     self.term.append(None)
                     self.stem.append(None)
+                    self.text.append(self.text[node] + ch)
                 node = self.child[node][ch]
                 self.reach[node] = max(self.reach[node], limit)
             if is_stem:
@@ -78,7 +85,8 @@ class Matcher:
     """The product of trie and Levenshtein automaton as a lazily built deterministic automaton.
 
     A state is a set of (node, errors, awaited): the term's letters up to the node are matched with so many errors; with a
-    letter awaited, an adjacent swap is half read. ``match`` gives the errors of the nearest term or stem, or None.
+    letter awaited, an adjacent swap is half read. ``nearest`` gives the errors of the nearest term or stem and which it is; of equally near ones
+    a term before a stem, then the first in alphabetical order.
     """
 
     def __init__(self, terms: list[str], stems: list[str]):
@@ -90,8 +98,8 @@ class Matcher:
         self.sets: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
         self.next: list[dict[str, int]] = []
-        self.accept: list[int | None] = []
-        self.begun: list[int | None] = []  # errors of the nearest stem that ends here
+        self.accept: list[tuple[int, str] | None] = []  # errors and letters of the nearest term that ends here
+        self.begun: list[tuple[int, str] | None] = []  # the same of a stem
         self.start = self._state({(0, 0, "")})
 
     def _state(self, items: set) -> int:
@@ -110,9 +118,8 @@ class Matcher:
             self.number[key] = len(self.sets)
             self.sets.append(key)
             self.next.append({})
-            ends = [e for n, e, a in key if not a and trie.term[n] is not None and e <= trie.term[n]]
-            self.begun.append(min((e for n, e, a in key if not a and trie.stem[n] is not None and e <= trie.stem[n]), default=None))
-            self.accept.append(min(ends, default=None))
+            for found, limit in ((self.accept, trie.term), (self.begun, trie.stem)):
+                found.append(min(((e, trie.text[n]) for n, e, a in key if not a and limit[n] is not None and e <= limit[n]), default=None))
         return self.number[key]
 
     def _step(self, state: int, ch: str) -> int:
@@ -134,6 +141,10 @@ class Matcher:
         return self._state(out) if out else -1
 
     def match(self, word: str) -> int | None:
+        found = self.nearest(word)
+        return None if found is None else found[0]
+
+    def nearest(self, word: str) -> tuple[int, str] | None:
         if len(self.sets) > STATES:
             self.forget()
         state, best = self.start, None
@@ -144,12 +155,10 @@ class Matcher:
             if to < 0:
                 return best
             state, begun = to, self.begun[to]
-            if begun is not None and (best is None or begun < best):
+            if begun is not None and (best is None or begun[0] < best[0]):
                 best = begun
-                if not best:
-                    return 0
         end = self.accept[state]
-        return end if best is None or end is not None and end < best else best
+        return end if best is None or end is not None and end[0] <= best[0] else best
 
 
 def distinct_words(text: bytes) -> set[str]:
@@ -160,24 +169,49 @@ def distinct_words(text: bytes) -> set[str]:
 
 
 def document_features(text: str, hits: dict[str, int], odds: dict[str, float]) -> list[float]:
-    """What the windows around the hits of a text say; ``hits`` maps its matching words to their errors, ``odds`` terms to their log-odds."""
+    """What the windows around the hits of a text say; ``hits`` maps its matching words to their errors, ``odds`` to what they tell.
+
+    Only words with a hit outside quotation tell.
+    """
     tokens = [(m.group(), m.start(), m.end()) for m in TOKEN.finditer(text.lower())] if hits else []
     at = [i for i, (w, _, _) in enumerate(tokens) if w in hits]
     quoted = fuzzy = crowd = 0
+    meant = set()
     low = text.lower()
     for i in at:
-        _, a, b = tokens[i]
+        word, a, b = tokens[i]
         near = {w for w, _, _ in tokens[max(0, i - WINDOW): i + WINDOW + 1]}
-        marks = low[max(0, a - 1): a].strip(QUOTES) == "" and a > 0 and low[b: b + 2].strip(QUOTES + ".,") == "" and low[b: b + 1] != ""
+        marks = a > 0 and low[a - 1] in QUOTES and CLOSING.match(low, b)
         said = bool(near & REPORTING)
-        quoted += (marks and low[a - 1] in QUOTES) or said
-        fuzzy += hits[tokens[i][0]] > 0
+        if marks or said:
+            quoted += 1
+        else:
+            meant.add(word)
+        fuzzy += hits[word] > 0
         crowd += any(0 < abs(j - i) <= WINDOW for j in at)
     n = len(at)
-    told = min(sum(odds.get(w, 0.0) for w in hits), 20.0)
+    told = min(sum(odds.get(w, 0.0) for w in meant), 20.0)
     return [float(n > fuzzy), np.log1p(n - quoted), float(n > 0 and quoted == n), np.log1p(fuzzy), np.log1p(crowd), told]
 
 
+def misspelled(text: str, hits: dict[str, int], kind: int) -> str:
+    """The text with each hit word of four letters or more misspelled: two letters swapped, one doubled, or one dropped."""
+
+    def change(m: re.Match) -> str:
+        word = m.group()
+        if word.lower() not in hits or len(word) < 4:
+            return word
+        i = 1 + (len(word) + kind) % (len(word) - 2)
+        return (word[:i] + word[i + 1] + word[i] + word[i + 2:], word[:i] + word[i] + word[i:], word[:i] + word[i + 1:])[kind % 3]
+
+    return TOKEN.sub(change, text)
+
+
+def quoting(text: str, hits: dict[str, int]) -> str:
+    """The text with each hit word in quotation marks."""
+    return TOKEN.sub(lambda m: f'"{m.group()}"' if m.group().lower() in hits else m.group(), text)
+
+
 class Scorer:
     """A worker's matcher with the model; states of the automaton are kept between batches."""
 
@@ -186,17 +220,38 @@ class Scorer:
         self.terms, self.exceptions, self.odds = frozenset(model["terms"]), model["exceptions"], model["odds"]
         self.weights = np.array(model["weights"]) if model["weights"] is not None else None
 
-    def hits(self, texts: list[bytes]) -> list[dict[str, int]]:
+    def nearest(self, texts: list[bytes]) -> list[dict[str, tuple[int, str]]]:
+        """For each text its words that match, with errors and the term or stem."""
         words = [distinct_words(t) for t in texts]
         near = {}
         for w in set().union(*words):
-            e = self.matcher.match(w)
-            if e is not None and (w in self.terms or w not in self.exceptions):
-                near[w] = e
+            found = self.matcher.nearest(w)
+            if found is not None and (w in self.terms or w not in self.exceptions):
+                near[w] = found
         return [{w: near[w] for w in own & near.keys()} for own in words]
 
+    def hits(self, texts: list[bytes]) -> list[dict[str, int]]:
+        return [{w: e for w, (e, _) in found.items()} for found in self.nearest(texts)]
+
+    def told(self, found: dict[str, tuple[int, str]]) -> dict[str, float]:
+        """What each matching word tells: the log-odds of its term less a cost per error."""
+        return {w: max(0.0, self.odds.get(term, 0.0) - ERROR_COST * e) for w, (e, term) in found.items()}
+
     def features(self, texts: list[bytes]) -> np.ndarray:
-        return np.array([document_features(t.decode(), h, self.odds) for t, h in zip(texts, self.hits(texts))]).reshape(-1, FEATURES)
+        return np.array([document_features(t.decode(), {w: e for w, (e, _) in f.items()}, self.told(f)) for t, f in zip(texts, self.nearest(texts))]).reshape(-1, FEATURES)
+
+
+def evidence_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic weights of which those of ``AT_LEAST_0`` are not negative: a misspelled, meant or heavier hit never speaks for a text."""
+    out = np.zeros(x.shape[1] + 1)
+    left = list(range(x.shape[1]))
+    while True:
+        w = logistic(x[:, left], y)
+        bad = [f for f, v in zip(left, w) if f in AT_LEAST_0 and v < 0]
+        if not bad:
+            out[[*left, -1]] = w
+            return out
+        left = [f for f in left if f not in bad]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -271,8 +326,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         if 0 < y.sum() < len(y):
             break
     if 0 < y.sum() < len(y):
-        model["weights"] = logistic(np.array([r["x"] for r in x]), y).tolist()
-    model["rate"] = float(y.mean()) if len(y) else 0.0
+        model["rate"] = float(y.mean())
+        copies = [(r["toxic"], r["misspelled"]) for r in x if r["misspelled"] and r["toxic"]] + [(0, r["quoting"]) for r in x if r["quoting"] and r["toxic"]]
+        every = np.array([r["x"] for r in x] + [v for _, v in copies])
+        model["weights"] = evidence_weights(every, np.concatenate([y, [float(t) for t, _ in copies]])).tolist()
+    else:
+        model["rate"] = float(y.mean()) if len(y) else 0.0
     return model
 
 
@@ -296,15 +355,22 @@ def exceptions(sample: DataFrame, model: dict) -> frozenset:
 
 
 def features(sample: DataFrame, model: dict) -> DataFrame:
+    """(toxic, x, misspelled, quoting): features of each row and, where it has hits, of its two copies."""
     held = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         own = Scorer(held.value)
         for batch in batches:
             for rows, texts in pieces(batch):
-                yield pa.RecordBatch.from_arrays([rows["toxic"], pa.array(own.features(texts).tolist(), pa.list_(pa.float64()))], names=["toxic", "x"])
-
-    return sample.select("toxic", "text").mapInArrow(run, "toxic int, x array<double>")
+                hits = own.hits(texts)
+                some = [i for i, h in enumerate(hits) if h]
+                columns = [own.features(texts).tolist()]
+                for copy in (lambda i: misspelled(texts[i].decode(), hits[i], i), lambda i: quoting(texts[i].decode(), hits[i])):
+                    made = dict(zip(some, own.features([copy(i).encode() for i in some]).tolist()))
+                    columns.append([made.get(i) for i in range(len(texts))])
+                yield pa.RecordBatch.from_arrays([rows["toxic"], *(pa.array(c, pa.list_(pa.float64())) for c in columns)], names=["toxic", "x", "misspelled", "quoting"])
+
+    return sample.select("toxic", "text").mapInArrow(run, "toxic int, x array<double>, misspelled array<double>, quoting array<double>")
 
 
 def with_score(docs: DataFrame, model: dict) -> DataFrame:

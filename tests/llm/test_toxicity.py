@@ -44,6 +44,8 @@ def data():
         docs.append((i, " ".join(words), "en", "s", 1, *cases.EXTRA))
         labels.append((i, 1, int(bad)))
     docs.append((5000, cases.prose(1, 50) + " you wortless idoit, a m0ron and disgustng " + cases.prose(2, 9), "en", "s", 1, *cases.EXTRA))
+    docs += [(5001, cases.prose(3, 50) + " a worthless moron, an idiot " + cases.prose(2, 9), "en", "s", 1, *cases.EXTRA),
+             (5002, cases.prose(3, 50) + ' a "worthless" "moron", an “idiot” ' + cases.prose(2, 9), "en", "s", 1, *cases.EXTRA)]
     return docs, labels + [(None, 1, 1), (1000, 1, None), (1001, 0, 0), (88888, 1, 1)]
 
 
@@ -57,7 +59,9 @@ def test_held_out_and_misspelled_documents(spark, tmp_path):
     by_id = {r["doc_id"]: r for r in rows}
     fresh = [i for i, *_ in docs if i and 1000 <= i < 1600 and by_id[i]["held_out"]]
     assert sum(by_id[i]["predicted"] == (i % 4 == 0) for i in fresh) >= 0.98 * len(fresh)
-    assert by_id[5000]["score"] > 10 * by_id[1001]["score"] and by_id[2]["predicted"] == by_id[3]["predicted"] == 0
+    assert by_id[5000]["predicted"] == 1 and by_id[5000]["score"] > 10 * by_id[1001]["score"]  # only misspelled words
+    assert by_id[5001]["predicted"] == 1 and by_id[5002]["predicted"] == 0 and by_id[5002]["score"] < by_id[5001]["score"] / 2  # abuse, and the same in quotes
+    assert by_id[2]["predicted"] == by_id[3]["predicted"] == 0
 
 
 def test_quoted_hits_differ_from_abuse():
