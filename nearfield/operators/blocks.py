@@ -81,6 +81,23 @@ def dense(column: pa.Array) -> np.ndarray:
     return flat.reshape(n, -1)
 
 
+def bytes_column(rows: np.ndarray) -> pa.Array:
+    """A matrix as one binary value per row, from one buffer."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * width).astype(np.int32)), pa.py_buffer(rows)])
+
+
+def bytes_matrix(column: pa.Array, dtype) -> np.ndarray:
+    """The inverse: binary values of equal length as the rows of a matrix, as a view where they lie."""
+    column = column.cast(pa.binary())
+    if not len(column):
+        return np.empty((0, 0), dtype)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.empty(0, np.uint8)
+    return np.frombuffer(data.tobytes(), dtype).reshape(len(column), -1)
+
+
 def centred(q: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both sides moved by the mean of ``b``: distances stay, norms shrink to the spread of the data."""
     middle = b.mean(axis=0) if len(b) else 0.0

@@ -244,8 +244,7 @@ class ScalarCodeKernel(blocks.DenseKernel):
     def load(self, batch, query):
         if query:
             return super().load(batch, True)
-        raw = b"".join(batch.column("code").to_pylist())
-        m = np.frombuffer(raw, np.uint8).reshape(batch.num_rows, -1) * self.step + self.low
+        m = blocks.bytes_matrix(batch.column("code"), np.uint8) * self.step + self.low
         return blocks.unit(m) if self.metric == "cosine" else m
 
 
@@ -264,6 +263,19 @@ def sq8_ranges(rows: DataFrame, vector: str = "vector") -> tuple[np.ndarray, np.
     return np.array([r["lo"] for r in dims]), np.array([r["hi"] for r in dims])
 
 
+def scalar_codes(m: np.ndarray, low: np.ndarray, step: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint((m - low) / step), 0, 255).astype(np.uint8)
+
+
+def product_codes(m: np.ndarray, books: list[np.ndarray]) -> np.ndarray:
+    """Number of the nearest centre in each sub-space."""
+    start, codes = 0, []
+    for book in books:
+        codes.append(_squared(m[:, start : start + book.shape[1]], book).argmin(1).astype(np.uint16))
+        start += book.shape[1]
+    return np.stack(codes, axis=1)
+
+
 def sq8_encode(rows: DataFrame, low: np.ndarray, step: np.ndarray) -> DataFrame:
     """Replace ``vector`` by a binary ``code`` of one byte per dimension."""
     keep = [f for f in rows.schema.fields if f.name != "vector"]
@@ -273,10 +285,8 @@ def sq8_encode(rows: DataFrame, low: np.ndarray, step: np.ndarray) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 m = blocks.dense(batch.column("vector"))
-                codes = np.clip(np.rint((m - low) / step), 0, 255).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(f.name) for f in keep], pa.array([c.tobytes() for c in codes], pa.binary())],
-                    names=schema.names)
+                    [*[batch.column(f.name) for f in keep], blocks.bytes_column(scalar_codes(m, low, step))], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -304,7 +314,7 @@ class ProductCodeKernel(blocks.Kernel):
     def load(self, batch, query):
         if query:
             return _matrix(batch.column("vector"), self.metric == "cosine")
-        return np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+        return blocks.bytes_matrix(batch.column("code"), np.uint16)
 
     def costs(self, q, b):
         total, start = np.zeros((len(q), len(b))), 0
@@ -316,17 +326,43 @@ class ProductCodeKernel(blocks.Kernel):
         return total
 
 
-def pq_books(rows: DataFrame, dim: int, m: int, nbits: int, key: str, seed: int = 7) -> list[np.ndarray]:
-    """One code book of ``2**nbits`` centres per sub-space."""
+def pq_books(rows: DataFrame, dim: int, m: int, nbits: int, key: str, seed: int = 7, rounds: int = 5) -> list[np.ndarray]:
+    """One code book of ``2**nbits`` centres per sub-space, all fitted together: a pass over all rows per round.
+
+    The books start from rows in hash order of their key. A task adds up its rows per centre; a centre without rows stays.
+    """
     if dim % m:
         raise ValueError("the dimension must be a multiple of m")
     if not 1 <= nbits <= 16:
         raise ValueError("nbits must be between 1 and 16")
-    width = dim // m
-    return [
-        train_centers(rows.select(key, F.slice("vector", p * width + 1, width).alias("vector")), 2**nbits, key, seed + p, 5)
-        for p in range(m)
-    ]
+    width, size = dim // m, 2**nbits
+    first = rows.orderBy(F.xxhash64(key, F.lit(seed)), key).select("vector").limit(size).collect()
+    if not first:
+        return [np.zeros((size, width))] * m
+    start = np.array([r[0] for r in first], np.float64)[np.arange(size) % len(first)]
+    books = [np.ascontiguousarray(start[:, p * width : (p + 1) * width]) for p in range(m)]
+    names = [f"s{d}" for d in range(width)]
+
+    def sums(books: list[np.ndarray]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, many = np.zeros((m * size, width)), np.zeros(m * size, np.int64)
+            for batch in _slices(batches, size):
+                mat = blocks.dense(batch.column("vector"))
+                at = product_codes(mat, books).astype(np.int64) + np.arange(m) * size
+                np.add.at(total, at.ravel(), mat.reshape(-1, width))
+                many += np.bincount(at.ravel(), minlength=len(many))
+            own = np.flatnonzero(many)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(many[own]), *[pa.array(total[own, d]) for d in range(width)]], names=["at", "n", *names])
+
+        return run
+
+    for _ in range(rounds):
+        parts = rows.select("vector").mapInArrow(sums(books), "at long, n long, " + ", ".join(f"{n} double" for n in names))
+        added = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in ("n", *names)]).toPandas()
+        books = [b.copy() for b in books]
+        for r in added.itertuples(index=False):
+            books[r.at // size][r.at % size] = np.array(r[2:]) / r.n
+    return books
 
 
 def pq_encode(rows: DataFrame, books: list[np.ndarray], cosine: bool = False) -> DataFrame:
@@ -336,14 +372,8 @@ def pq_encode(rows: DataFrame, books: list[np.ndarray], cosine: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, max(len(book) for book in books)):
-            mat, start, codes = _matrix(batch.column("vector"), cosine), 0, []
-            for book in books:
-                codes.append(_squared(mat[:, start : start + book.shape[1]], book).argmin(1).astype(np.uint16))
-                start += book.shape[1]
-            packed = np.ascontiguousarray(np.stack(codes, axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in keep], pa.array([c.tobytes() for c in packed], pa.binary())],
-                names=schema.names)
+            codes = product_codes(_matrix(batch.column("vector"), cosine), books)
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in keep], blocks.bytes_column(codes)], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("search_queries", "predicate_queries", "table_queries", "quality_queries", "log_queries", "stream_queries")
+MODULES = ("search_queries", "index_queries", "predicate_queries", "table_queries", "quality_queries", "log_queries", "stream_queries")
 
 
 def load():
