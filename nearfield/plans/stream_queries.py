@@ -18,14 +18,14 @@ def log_stream(spark, sf_dir):
 
 @query("stream_rate", f"WITH {LOG} SELECT {HOUR} AS start, op, count(*) AS n, round(count(*) / 3600.0, 6)::DOUBLE AS per_s FROM log GROUP BY ALL")
 def stream_rate(spark, sf_dir):
-    rows = sinks.complete_table(windows.op_rate(log_stream(spark, sf_dir), EVERY))
+    rows = sinks.windowed_table(windows.op_rate_measure(EVERY), log_stream(spark, sf_dir))
     return hour(rows).withColumn("per_s", F.round("per_s", 6))
 
 
 @query("stream_rate_sliding", f"""WITH {LOG}, w AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) - s * INTERVAL 30 MINUTE AS start, op FROM log, range(0, 2) r(s))
 SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, op, count(*) AS n, round(count(*) / 3600.0, 6)::DOUBLE AS per_s FROM w GROUP BY ALL""")
 def stream_rate_sliding(spark, sf_dir):
-    rows = sinks.complete_table(windows.op_rate(log_stream(spark, sf_dir), EVERY, "30 minutes"))
+    rows = sinks.windowed_table(windows.op_rate_measure(EVERY, "30 minutes"), log_stream(spark, sf_dir))
     return hour(rows).withColumn("per_s", F.round("per_s", 6))
 
 
@@ -43,26 +43,26 @@ def _quantile_sql(share: float) -> str:
 c AS (SELECT *, {_LOW} AS low, sum(n) OVER (PARTITION BY start, op) AS total, sum(n) OVER (PARTITION BY start, op ORDER BY le) AS cum FROM b)
 SELECT start, op, sum(n)::BIGINT AS n, {_quantile_sql(0.5)} AS p50, {_quantile_sql(0.95)} AS p95, {_quantile_sql(0.99)} AS p99 FROM c GROUP BY start, op""")
 def stream_histogram_quantile(spark, sf_dir):
-    rows = sinks.complete_table(windows.bucket_counts(log_stream(spark, sf_dir), EVERY), then=windows.histogram_quantiles)
+    rows = windows.histogram_quantiles(sinks.windowed_table(windows.bucket_measure(EVERY), log_stream(spark, sf_dir)))
     return hour(rows).select("start", "op", "n", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")])
 
 
 @query("stream_recall", f"WITH {LOG} SELECT {HOUR} AS start, count(*) AS n, round(avg(recall), 6) AS avg_recall FROM log GROUP BY ALL")
 def stream_recall(spark, sf_dir):
-    rows = sinks.complete_table(windows.recall_over_time(log_stream(spark, sf_dir), EVERY))
+    rows = sinks.windowed_table(windows.recall_measure(EVERY), log_stream(spark, sf_dir))
     return hour(rows).withColumn("avg_recall", F.round("avg_recall", 6))
 
 
 @query("stream_ratios", f"""WITH {LOG}, r AS (SELECT {HOUR} AS start, count(*) FILTER (WHERE op IN ('view', 'click')) AS searches, count(*) FILTER (WHERE NOT success) AS e,
 count(*) FILTER (WHERE empty) AS m FROM log GROUP BY ALL) SELECT start, searches, round(e / nullif(searches, 0)::DOUBLE, 6) AS error_ratio, round(m / nullif(searches, 0)::DOUBLE, 6) AS empty_ratio FROM r""")
 def stream_ratios(spark, sf_dir):
-    rows = sinks.complete_table(windows.search_ratios(log_stream(spark, sf_dir), ["view", "click"], EVERY))
+    rows = sinks.windowed_table(windows.ratios_measure(["view", "click"], EVERY), log_stream(spark, sf_dir))
     return hour(rows).withColumn("error_ratio", F.round("error_ratio", 6)).withColumn("empty_ratio", F.round("empty_ratio", 6))
 
 
 @query("stream_checkpoints", CHECKPOINTS)
 def stream_checkpoints(spark, sf_dir):
-    rows = sinks.complete_table(windows.checkpoints(log_stream(spark, sf_dir), EVERY))
+    rows = sinks.windowed_table(windows.checkpoint_measure(EVERY), log_stream(spark, sf_dir))
     return hour(rows).withColumn("avg_ms", F.round("avg_ms", 6))
 
 
@@ -82,6 +82,6 @@ SELECT start, op, 'avg_ms' AS measure, round(a, 6) AS observed, '<' AS comparato
 UNION ALL SELECT start, op, 'error_rate', round(e, 6), '<=', 0.25, FROM w WHERE NOT e <= 0.25
 UNION ALL SELECT start, op, 'max_ms', round(x, 6), '<', 250, FROM w WHERE NOT x < 250""")
 def stream_alerts(spark, sf_dir):
-    measures = sinks.complete_table(windows.window_measures(log_stream(spark, sf_dir), EVERY))
+    measures = sinks.windowed_table(windows.long_measure(EVERY), log_stream(spark, sf_dir))
     rules = [("avg_ms", "avg<90"), ("error_rate", "rate<=0.25"), ("max_ms", "max<250")]
     return hour(windows.alerts(measures, rules)).withColumn("observed", rounded("observed"))

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from nearfield.operators.logs import latency_delta
 from nearfield.operators.tables import current_state, latest
-from nearfield.session import materialize, scratch_path, skew_join
+from nearfield.session import scratch_path
+from nearfield.streaming import stateful
+from nearfield.streaming.windows import LATE, Measure
 
 
 def table_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet", files_per_trigger: int = 100) -> DataFrame:
@@ -90,35 +92,51 @@ def stream_current_state(changes: DataFrame, pk: str, seq: str = "seq", op: str
     return current_state(_read_all(spark, path, changes.schema), pk, seq, op)
 
 
-def stream_latency_delta(log: DataFrame, path: str | None = None, slots: str = "10 minutes") -> DataFrame:
-    """``|x_n - x_(n-1)|`` per user over a stream; the last row per user is carried between batches.
+def windowed_table(measure: Measure, log: DataFrame, path: str | None = None, late: str = LATE, with_open: bool = True) -> DataFrame:
+    """Run a windowed measure in append mode over what has arrived; return its rows.
 
-    A row that is not after its user's carried one (by time, then iteration) comes too late to be put between
-    rows that are already written; such rows are dropped, whatever their order within a batch was.
+    The watermark closes windows: each is written once and leaves the state, which holds open windows only, however long the stream runs.
+    ``with_open`` adds the open windows as they stand, read from the state beside the stream.
+    """
+    spark = log.sparkSession
+    path = path or scratch_path(spark, "stream-windows")
+    partial = measure.partial(log, late)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_at(path, batch_id))
+
+    _run(partial.writeStream.outputMode("append").foreachBatch(write), f"{path}-checkpoint")
+    rows = _read_all(spark, path, partial.schema).select(partial.columns)
+    return measure.finish(rows.unionByName(open_windows(measure, spark, f"{path}-checkpoint", partial.schema)) if with_open else rows)
+
+
+def open_windows(measure: Measure, spark: SparkSession, checkpoint: str, schema) -> DataFrame:
+    """(start, end, keys, parts) of the windows that a stream's state holds."""
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    held, kept = state.schema["key"].dataType.names, state.schema["value"].dataType.names
+    parts = list(measure.parts)
+    if len(held) != 1 + len(measure.keys) or len(kept) != len(parts):
+        raise ValueError(f"the state at {checkpoint} is not of this measure")
+    keys = [F.col("key").getField(f).alias(n) for f, n in zip(held[1:], measure.keys)]
+    window = F.col("key").getField(held[0])
+    places = StructType([StructField(n, f.dataType, f.nullable) for n, f in zip(parts, state.schema["value"].dataType.fields)])  # names repeat: two sums
+    state = state.withColumn("value", F.col("value").cast(places))
+    rows = state.select(window.start.alias("start"), window.end.alias("end"), *keys, *[F.col(f"value.{n}") for n in parts])
+    return rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+def stream_latency_delta(log: DataFrame, path: str | None = None, slots: str = "10 minutes", late: str = LATE) -> DataFrame:
+    """``|x_n - x_(n-1)|`` per user over a stream, in event-time order whatever the order of arrival.
+
+    Rows wait in their user's state until the watermark (``late`` behind the latest row) has passed them, so a row in time finds its place between
+    others; what is written is final. Rows that still wait are added as they stand. Rows later than the watermark are dropped.
     """
     spark = log.sparkSession
     path = path or scratch_path(spark, "stream-delta")
-    carry_schema = "vu bigint, ts timestamp, iter bigint, response_time_ms bigint"
-    done: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        carried = _empty(spark, carry_schema)
-        if batch_id > 0:
-            carried = spark.read.schema(carry_schema).parquet(f"{path}/state/batch={batch_id - 1}")
-        before = carried.select("vu", F.struct("ts", "iter").alias("at"), F.col("response_time_ms").alias("before"))
-        # one row per user on the right; a hot user's rows are spread over tasks
-        placed = skew_join(batch.select("vu", "ts", "iter", "response_time_ms"), before, "vu", F.col("iter"), "left")
-        rows = placed.filter(F.col("at").isNull() | (F.struct("ts", "iter") > F.col("at"))).drop("at", "before")
-        rows = materialize(rows, "delta-batch")
-        deltas = latency_delta(rows, slots)
-        first = rows.groupBy("vu").agg(F.min(F.struct("ts", "iter", "response_time_ms")).alias("f"))
-        joined = skew_join(deltas, first.join(before.drop("at"), "vu", "left"), "vu", F.col("iter"))
-        is_first = (F.col("ts") == F.col("f.ts")) & (F.col("iter") == F.col("f.iter"))
-        bridged = F.when(is_first, F.abs(F.col("f.response_time_ms") - F.col("before"))).otherwise(F.col("delta"))
-        joined.select("vu", "iter", "ts", bridged.alias("delta")).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        last = carried.unionByName(rows).groupBy("vu").agg(F.max(F.struct("ts", "iter", "response_time_ms")).alias("m"))
-        last.select("vu", "m.ts", "m.iter", "m.response_time_ms").write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
-        done.append(batch_id)
+        batch.write.mode("overwrite").parquet(_at(path, batch_id))
 
-    _run(log.writeStream.outputMode("append").foreachBatch(write), f"{path}-checkpoint")
-    return _read_all(spark, f"{path}/rows", "vu bigint, iter bigint, ts timestamp, delta bigint")
+    _run(stateful.ordered_deltas(log, late).writeStream.outputMode("append").foreachBatch(write), f"{path}-checkpoint")
+    rows = _read_all(spark, path, stateful.DELTA).select("vu", "iter", "ts", "delta")
+    return rows.unionByName(stateful.open_deltas(spark, f"{path}-checkpoint", slots))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,39 +26,71 @@ def _window(every: str, slide: str | None) -> Column:
     return F.window("ts", every, slide) if slide else F.window("ts", every)
 
 
-def _seconds(w: Column) -> Column:
-    return w.end.cast("double") - w.start.cast("double")
+@dataclass(frozen=True)
+class Measure:
+    """A windowed measure in two steps: ``parts`` that add up per window and key, and ``finish``, which turns them into its columns.
+
+    Every part is one count, sum or maximum, so a stream's state holds just these numbers for each open window.
+    """
+
+    keys: dict[str, Column | None]
+    parts: dict[str, Column]
+    finish: Callable[[DataFrame], DataFrame]
+    every: str = "1 minute"
+    slide: str | None = None
+
+    def partial(self, log: DataFrame, late: str = LATE) -> DataFrame:
+        """(start, end, keys, parts) of a batch or a stream."""
+        w, keys = F.col("window"), [F.col(n) if c is None else c.alias(n) for n, c in self.keys.items()]
+        rows = with_watermark(log, late).groupBy(_window(self.every, self.slide).alias("window"), *keys).agg(*[c.alias(n) for n, c in self.parts.items()])
+        return rows.select(w.start.alias("start"), w.end.alias("end"), *self.keys, *self.parts)
+
+    def of(self, log: DataFrame, late: str = LATE) -> DataFrame:
+        return self.finish(self.partial(log, late))
+
+
+def _share(part: str, of: str) -> Column:
+    """Null where there is nothing to share."""
+    return F.col(part).cast("double") / F.when(F.col(of) > 0, F.col(of))
+
+
+def op_rate_measure(every: str = "1 minute", slide: str | None = None) -> Measure:
+    per_s = F.col("n") / (F.col("end").cast("double") - F.col("start").cast("double"))
+    return Measure({"op": None}, {"n": F.count(F.lit(1))}, lambda d: d.select("start", "op", "n", per_s.alias("per_s")), every, slide)
 
 
 def op_rate(log: DataFrame, every: str = "1 minute", slide: str | None = None, late: str = LATE) -> DataFrame:
     """Operations per second by window and operation; ``slide`` makes windows overlap."""
-    w = F.col("window")
-    rows = with_watermark(log, late).groupBy(_window(every, slide).alias("window"), "op").agg(F.count(F.lit(1)).alias("n"))
-    return rows.select(w.start.alias("start"), "op", "n", (F.col("n") / _seconds(w)).alias("per_s"))
+    return op_rate_measure(every, slide).of(log, late)
+
+
+def recall_measure(every: str = "1 minute") -> Measure:
+    return Measure({}, {"n": F.count("recall"), "total": F.sum("recall")}, lambda d: d.select("start", "n", _share("total", "n").alias("avg_recall")), every)
 
 
 def recall_over_time(log: DataFrame, every: str = "1 minute", late: str = LATE) -> DataFrame:
     """Mean recall by window over the rows that measured it."""
-    rows = with_watermark(log, late).groupBy(_window(every, None).alias("window")).agg(
-        F.count("recall").alias("n"), F.avg("recall").alias("avg_recall"))
-    return rows.select(F.col("window").start.alias("start"), "n", "avg_recall")
+    return recall_measure(every).of(log, late)
+
+
+def ratios_measure(search_ops: Sequence[str], every: str = "1 minute") -> Measure:
+    parts = {"searches": F.count_if(F.col("op").isin(list(search_ops))), "errors": F.count_if(~F.col("success")), "empties": F.count_if(F.col("empty"))}
+    return Measure({}, parts, lambda d: d.select("start", "searches", _share("errors", "searches").alias("error_ratio"), _share("empties", "searches").alias("empty_ratio")), every)
 
 
 def search_ratios(log: DataFrame, search_ops: Sequence[str], every: str = "1 minute", late: str = LATE) -> DataFrame:
     """Failed and empty operations over search operations by window; null without searches."""
-    search = F.col("op").isin(list(search_ops))
-    rows = with_watermark(log, late).groupBy(_window(every, None).alias("window")).agg(
-        F.count_if(search).alias("searches"), F.count_if(~F.col("success")).alias("errors"), F.count_if(F.col("empty")).alias("empties"))
-    base = F.when(F.col("searches") > 0, F.col("searches"))
-    return rows.select(F.col("window").start.alias("start"), "searches", (F.col("errors") / base).alias("error_ratio"),
-                       (F.col("empties") / base).alias("empty_ratio"))
+    return ratios_measure(search_ops, every).of(log, late)
+
+
+def checkpoint_measure(every: str = "1 minute") -> Measure:
+    parts = {"n": F.count(F.lit(1)), "timed": F.count("response_time_ms"), "total": F.sum("response_time_ms")}
+    return Measure({"op": None}, parts, lambda d: d.select("start", "op", "n", _share("total", "timed").alias("avg_ms")), every)
 
 
 def checkpoints(log: DataFrame, every: str = "1 minute", late: str = LATE) -> DataFrame:
     """Mean latency and samples by window and operation."""
-    rows = with_watermark(log, late).groupBy(_window(every, None).alias("window"), "op").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("response_time_ms").alias("avg_ms"))
-    return rows.select(F.col("window").start.alias("start"), "op", "n", "avg_ms")
+    return checkpoint_measure(every).of(log, late)
 
 
 # ---------------------------------------------------------------- histogram quantiles
@@ -72,11 +105,13 @@ def bucket_of(value: Column | str, bounds: Sequence[float] = BUCKETS_MS) -> Colu
     return out
 
 
+def bucket_measure(every: str = "1 minute", bounds: Sequence[float] = BUCKETS_MS) -> Measure:
+    return Measure({"op": None, "le": bucket_of("response_time_ms", bounds)}, {"n": F.count(F.lit(1))}, lambda d: d.select("start", "op", "le", "n"), every)
+
+
 def bucket_counts(log: DataFrame, every: str = "1 minute", bounds: Sequence[float] = BUCKETS_MS, late: str = LATE) -> DataFrame:
     """Rows per window, operation and bucket: the part that runs as a stream."""
-    rows = with_watermark(log, late).groupBy(
-        _window(every, None).alias("window"), "op", bucket_of("response_time_ms", bounds).alias("le")).agg(F.count(F.lit(1)).alias("n"))
-    return rows.select(F.col("window").start.alias("start"), "op", "le", "n")
+    return bucket_measure(every, bounds).of(log, late)
 
 
 def histogram_quantiles(counts: DataFrame, shares: Sequence[float] = (0.5, 0.95, 0.99),
@@ -104,15 +139,20 @@ def histogram_quantiles(counts: DataFrame, shares: Sequence[float] = (0.5, 0.95,
 # ---------------------------------------------------------------- alerts
 
 
+def long_measure(every: str = "1 minute") -> Measure:
+    flags = {"success": ~F.col("success"), "empty": F.col("empty")}
+    parts = {"n_ms": F.count("response_time_ms"), "sum_ms": F.sum("response_time_ms"), "top_ms": F.max("response_time_ms"),
+             **{f"n_{n}": F.count(n) for n in flags}, **{f"sum_{n}": F.count_if(c) for n, c in flags.items()},
+             "n_recall": F.count("recall"), "sum_recall": F.sum("recall")}
+    observed = {"avg_ms": _share("sum_ms", "n_ms"), "max_ms": F.col("top_ms").cast("double"), "error_rate": _share("sum_success", "n_success"),
+                "empty_rate": _share("sum_empty", "n_empty"), "avg_recall": _share("sum_recall", "n_recall")}
+    steps = F.array(*[F.struct(F.lit(n).alias("measure"), c.alias("observed")) for n, c in observed.items()])
+    return Measure({"op": None}, parts, lambda d: d.select("start", "op", F.inline(steps)), every)
+
+
 def window_measures(log: DataFrame, every: str = "1 minute", late: str = LATE) -> DataFrame:
     """Long-form measures by window and operation: ``(start, op, measure, observed)``."""
-    rows = with_watermark(log, late).groupBy(_window(every, None).alias("window"), "op").agg(
-        F.avg("response_time_ms").alias("avg_ms"), F.max("response_time_ms").cast("double").alias("max_ms"),
-        F.avg((~F.col("success")).cast("double")).alias("error_rate"), F.avg(F.col("empty").cast("double")).alias("empty_rate"),
-        F.avg("recall").alias("avg_recall"))
-    names = ["avg_ms", "max_ms", "error_rate", "empty_rate", "avg_recall"]
-    steps = F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).alias("observed")) for n in names])
-    return rows.select(F.col("window").start.alias("start"), "op", F.inline(steps))
+    return long_measure(every).of(log, late)
 
 
 def alerts(measures: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:

@@ -73,7 +73,7 @@ def test_alerts(spark, folder):
 
 
 def test_latency_delta_across_batches(spark, folder):
-    got = {(r["vu"], r["iter"]): r["delta"] for r in sinks.stream_latency_delta(stream(spark, folder)).collect()}
+    got = {(r["vu"], r["iter"]): r["delta"] for r in sinks.stream_latency_delta(stream(spark, folder), late="10 minutes").collect()}
     batch = {(r["vu"], r["iter"]): r["delta"] for r in logs.latency_delta(spark.read.schema(logs.LOG).parquet(folder)).collect()}
     assert got == batch and got[(1, 3)] == 650 and got[(1, 6)] == 680
 
@@ -104,12 +104,59 @@ def test_bucket_bounds(spark):
     assert [r[0] for r in df.select(windows.bucket_of(F.col("v"))).collect()] == [1.0, 5.0, 10000.0, float("inf")]
 
 
-def test_late_rows_do_not_change_what_is_written(spark, tmp_path):
+def write_parts(spark, path, parts):
     import time
 
-    path = str(tmp_path / "late")
-    for part in ([entry(10, 1, 0, ms=10), entry(30, 1, 2, ms=40)], [entry(20, 1, 1, ms=30), entry(50, 1, 3, ms=100)]):
+    for part in parts:
         spark.createDataFrame(part, logs.LOG).coalesce(1).write.mode("append").parquet(path)
         time.sleep(1.1)
-    got = {r["iter"]: r["delta"] for r in sinks.stream_latency_delta(stream(spark, path)).collect()}
-    assert got.get(2) == 30 and got.get(3) == 60 and 1 not in got
+
+
+def test_rows_in_time_find_their_place_and_late_rows_are_dropped(spark, tmp_path):
+    parts = ([entry(10, 1, 0, ms=10), entry(30, 1, 2, ms=40)], [entry(20, 1, 1, ms=30), entry(50, 1, 3, ms=100)],
+             [entry(500, 1, 5, ms=7)], [entry(505, 2, 6, ms=2)], [entry(40, 1, 4, ms=1), entry(490, 1, 8, ms=4)])
+    path = str(tmp_path / "late")
+    write_parts(spark, path, parts)
+    got = {(r["vu"], r["iter"]): r["delta"] for r in sinks.stream_latency_delta(stream(spark, path), late="1 minute").collect()}
+    # second 40 comes two batches after second 500, whose watermark has passed it; second 490 is in time and lies between 50 and 500
+    assert got == {(1, 0): None, (1, 1): 20, (1, 2): 10, (1, 3): 60, (1, 8): 96, (1, 5): 3, (2, 6): None}
+
+
+def test_deltas_go_on_where_the_last_run_stopped(spark, tmp_path):
+    path, out = str(tmp_path / "log"), str(tmp_path / "out")
+    rows_of = [entry(30 * i + (7 * i) % 20, i % 3, i, ms=(i * 37) % 100) for i in range(60)]
+    for i in range(0, 60, 20):
+        write_parts(spark, path, [rows_of[i + 10: i + 20], rows_of[i: i + 10]])  # out of order, in time
+        got = sinks.stream_latency_delta(stream(spark, path), out, late="15 minutes")
+    want = logs.latency_delta(spark.read.schema(logs.LOG).parquet(path))
+    assert rows(got) == rows(want.select("vu", "iter", "ts", "delta"))
+    state = spark.read.format("statestore").option("path", f"{out}-checkpoint").option("stateVarName", "waiting").load()
+    assert 0 < state.count() <= 40  # a quarter of an hour of rows, not all of them
+
+
+MEASURES = {"rate": lambda: windows.op_rate_measure(), "sliding": lambda: windows.op_rate_measure("1 minute", "15 seconds"), "recall": lambda: windows.recall_measure(),
+            "ratios": lambda: windows.ratios_measure(["search"]), "checkpoints": lambda: windows.checkpoint_measure(), "long": lambda: windows.long_measure(),
+            "buckets": lambda: windows.bucket_measure()}
+
+
+@pytest.mark.parametrize("name", ["sliding", "recall", "long", "buckets"])  # the queries compare all with SQL
+def test_closed_and_open_windows_equal_the_batch(spark, tmp_path, name):
+    measure, path = MEASURES[name](), str(tmp_path / "log")
+    write_parts(spark, path, ([entry(0, 1, 0), entry(30, 2, 1, ms=100)], [entry(100, 1, 3, ms=700, ok=False, recall=None), entry(70, 1, 2, "insert", 50)],
+                              [entry(400, 2, 4, ms=30)], [entry(410, 2, 7, ms=30), entry(395, 3, 8, recall=0.5)]))
+    batch = spark.read.schema(logs.LOG).parquet(path)
+    assert rows(sinks.windowed_table(measure, stream(spark, path))) == rows(measure.of(batch))
+    closed = sinks.windowed_table(measure, stream(spark, path), with_open=False)
+    ends = T0 + dt.timedelta(seconds=410 - 120)
+    assert rows(closed) == rows(measure.finish(measure.partial(batch).filter(F.col("end") <= F.lit(ends))))
+
+
+def test_state_does_not_grow_with_the_stream(spark, tmp_path):
+    path, out = str(tmp_path / "log"), str(tmp_path / "out")
+    sizes, measure = [], windows.op_rate_measure()
+    for hour in range(3):
+        write_parts(spark, path, [[entry(3600 * hour + s, s % 5, s) for s in range(0, 3600, 30)]])
+        got = sinks.windowed_table(measure, stream(spark, path), out)
+        sizes.append(spark.read.format("statestore").option("path", f"{out}-checkpoint").load().count())
+    assert rows(got) == rows(measure.of(spark.read.schema(logs.LOG).parquet(path)))
+    assert max(sizes) <= 4 and got.count() == 180
