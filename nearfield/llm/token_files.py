@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from nearfield.llm.byte_bpe import byte_letters
 from nearfield.llm.common import materialize, pieces, register, table
 from nearfield.session import scratch_path
 
@@ -35,6 +36,7 @@ CACHE_WORDS = 250_000  # words remembered per worker, in each of two generations
 # The split that makes white-space-separated words, and a trailing mark, independent of each other.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MARKS = frozenset(".,;:!?")
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148\u014a-\u017e]+")  # letters that lower-casing and composing take one by one
 NO_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python's split, but letters to the library
 
 
@@ -60,9 +62,11 @@ class Encoder:
         self.suffix = model["model"].get("end_of_word_suffix")
         self.by_word = plain and SPLIT_PATTERN in splits and bool(self.suffix)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.fast = None
         if self.by_word:
             for token, at in self.tokenizer.get_vocab(with_added_tokens=False).items():
                 self.ends[at] = token.endswith(self.suffix)
+            self.fast, self.id_of_rank = word_ranks(model, self.suffix)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -70,13 +74,13 @@ class Encoder:
         return np.asarray(encoding.ids, self.dtype).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words not seen lately. Plain ASCII words are one pre-token, so many are encoded as one text and cut at word ends."""
+        """Encode words not seen lately. Words of Latin letters are one pre-token, so many are encoded as one text and cut at word ends."""
         plain, rest = [], []
         for word in words:
-            (plain if word.isascii() and word.isalpha() else rest).append(word)
-        for at in range(0, len(plain), 1000):
-            run = plain[at: at + 1000]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(run)], add_special_tokens=False)[0].ids, np.int64)
+            (plain if LATIN.fullmatch(word) else rest).append(word)
+        for at in range(0, len(plain), 10_000):
+            run = plain[at: at + 10_000]
+            ids = self.id_of_rank[self.fast.encode_to_numpy("".join([w.lower() + "\0" for w in run]), disallowed_special=())]
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(run):
                 rest += run
@@ -105,9 +109,9 @@ class Encoder:
             if word in self.old:
                 self.young[word] = self.old[word]
                 new.discard(word)
-            elif word[-1] in MARKS and len(word) > 1 and word.isascii() and word[:-1].isalpha():
+            elif word[-1] in MARKS and LATIN.fullmatch(word, 0, len(word) - 1):
                 bases |= {word[:-1], word[-1]}
-        marked = [w for w in new if w[-1] in MARKS and len(w) > 1 and w.isascii() and w[:-1].isalpha()]
+        marked = [w for w in new if w[-1] in MARKS and LATIN.fullmatch(w, 0, len(w) - 1)]
         self._learn([w for w in (bases | new.difference(marked)) if w not in self.young])
         for word in marked:
             self.young[word] = self.young[word[:-1]] + self.young[word[-1]]
@@ -118,6 +122,27 @@ class Encoder:
         return out
 
 
+def word_ranks(model: dict, suffix: str):
+    """The merges of a word-end BPE as byte strings by rank, for tiktoken, and the vocabulary id of each rank.
+
+    A zero byte stands for the end of a word. It joins the last letter before any other merge, as the file's last letters carry the mark.
+    """
+    import tiktoken
+
+    vocab, letters = model["model"]["vocab"], {b: c for c, b in byte_letters().items()}
+    ranks = {bytes([b]): b for b in range(256)} | {bytes([b, 0]): 256 + b for b in range(256)}
+    ids = [vocab.get(letters[b], 0) for b in range(256)] + [vocab.get(letters[b] + suffix, 0) for b in range(256)]
+    back = {c: b for b, c in letters.items()}
+    for pair in model["model"]["merges"]:
+        token = "".join(pair.split(" ") if isinstance(pair, str) else pair)
+        whole = token.endswith(suffix)
+        spelled = bytes(back[c] for c in (token[: -len(suffix)] if whole else token)) + b"\0" * whole
+        if spelled not in ranks:
+            ranks[spelled] = len(ids)
+            ids.append(vocab[token])
+    return tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}), np.array(ids, np.int64)
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
