@@ -94,10 +94,11 @@ def exact_cells(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kern
 
     Round one searches the nearest cells that hold ``k`` rows and gives every query an upper bound
     on its k-th cost. Round two visits just the cells whose best possible cost is within it.
+    With a ``radius`` in the options it is the bound of every query, and one round visits the cells that can lie within it.
     """
-    cosine = metric == "cosine"
+    cosine, radius = metric == "cosine", options.get("radius")
     if n_pivots is None:
-        n_pivots = int(min(4096, max(16, base.count() ** 0.5 / 4)))
+        n_pivots = int(min(MAX_CELLS, max(16, base.count() ** 0.5 / 4)))
     pivots = pick_pivots(base, key, n_pivots, cosine)
     if len(pivots) == 0:
         return blocks.score_blocks(blocks.pair_small_queries(base, queries.limit(0)), kernel, k, **options)
@@ -139,16 +140,19 @@ def exact_cells(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kern
                 home &= counts[None, :] > 0
                 chosen = home
                 if not first:
-                    tau = batch.column("tau").to_numpy(zero_copy_only=False)
+                    tau = np.full(batch.num_rows, radius) if radius is not None else batch.column("tau").to_numpy(zero_copy_only=False)
+                    home = home & (radius is None)
                     chosen = (bounds(m) <= tau[:, None] + slack(tau)[:, None]) & ~home & (counts > 0)[None, :]
                 qi, cell = np.nonzero(chosen)
                 take = pa.array(qi)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cell, pa.int32()), *[batch.column(f.name).take(take) for f in plain]], names=schema.names)
 
-        return source.mapInArrow(run, schema)
+        return materialize(source.mapInArrow(run, schema), "visits")  # read for the counts and for the blocks
 
     rows = placed.drop("radius").select("cell", *base.columns)
+    if radius is not None:
+        return blocks.score_blocks(blocks.pair_cells(rows, visit(queries, False), key, qid, base_rows, query_rows), kernel, k, **options)
     near = blocks.pair_cells(rows, visit(queries, True), key, qid, base_rows, query_rows)
     found = materialize(blocks.score_blocks(near, kernel, k, **options), "near-hits")
     kth = blocks.best_per(found, [qid], k, ["cost", *[f.name for f in options["keys"]]]).filter(F.col("rank") == k)

@@ -140,7 +140,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
     volume = query_volume(queries, bytes_of)
     if strategy in ("broadcast", "seeded") and not volume[1]:
         raise ValueError("queries exceed the broadcast bound")
-    if prune and group is None and radius is None and (strategy == "cells" or (strategy == "auto" and not volume[1])):
+    if prune and group is None and (strategy == "cells" or (strategy == "auto" and not volume[1])):
         hits = cells.exact_cells(base, queries, k, kernel, prune, keys[0], qid, options, base_rows, query_rows)
         return blocks.best_per(hits, [qid], k, order)
     if group is None and (strategy == "seeded" or (strategy == "auto" and volume[1] and blocks.wide(base))):

@@ -114,6 +114,12 @@ def range_search(spark, sf_dir):
     return ranked(search.knn(base, asked(base), K, "cosine", id="vec_id", radius=0.2))
 
 
+@query("range_search_cells", f"WITH {EMB}, {knn_sql('l2', where='list_distance(q.v, b.v) < 6.0')} SELECT * FROM h")
+def range_search_cells(spark, sf_dir):
+    base = scaled(spark, sf_dir)
+    return ranked(search.knn(base, asked(base), K, "l2", id="vec_id", radius=6.0, strategy="cells"))
+
+
 @query("knn_in_partition", f"WITH {EMB}, {knn_sql('ip', where='b.label = 7')} SELECT * FROM h")
 def knn_in_partition(spark, sf_dir):
     base = scaled(spark, sf_dir)

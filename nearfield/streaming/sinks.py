@@ -76,20 +76,68 @@ def _read_all(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch=*")
 
 
-def stream_current_state(changes: DataFrame, pk: str, seq: str = "seq", op: str = "op", path: str | None = None) -> DataFrame:
+COMPACT_EVERY = 16  # batches whose deltas are merged into a new base
+
+
+def _finished(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the finished folders ``name=<number>`` under a path, in order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    names = [f.getPath().getName() for f in system.listStatus(root)]
+    done = [n for n in names if n.startswith(f"{name}=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def read_change_state(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The last change of each key so far, in several versions at most: the newest finished base and the deltas behind it."""
+    bases = _finished(spark, f"{path}/base", "upto")
+    upto = bases[-1] if bases else -1
+    parts = [f"{path}/base/upto={upto}"] * bool(bases) + [_at(path, b) for b in _finished(spark, path, "batch") if b > upto]
+    return spark.read.schema(schema).parquet(*parts) if parts else _empty(spark, schema)
+
+
+def compact_change_state(spark: SparkSession, path: str, schema, pk: str, seq: str, upto: int) -> None:
+    """Merge base and deltas up to a batch into a new base, then remove what only older bases needed.
+
+    A base counts once it is finished, so a compaction that failed changes nothing and is done again. The base before and its deltas stay for
+    readers that have opened them. Deletes stay as changes, as an older change may still come.
+    """
+    before = _finished(spark, f"{path}/base", "upto")
+    latest(read_change_state(spark, path, schema), pk, seq).write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
+    older = [b for b in before if b < upto]
+    for b in older[:-1]:
+        _remove(spark, f"{path}/base/upto={b}")
+    for b in _finished(spark, path, "batch"):
+        if older and b <= older[-1]:
+            _remove(spark, _at(path, b))
+
+
+def stream_current_state(changes: DataFrame, pk: str, seq: str = "seq", op: str = "op", path: str | None = None,
+                         compact_every: int = COMPACT_EVERY) -> DataFrame:
     """Live rows of a change-log stream.
 
     Each batch keeps the last change per key it saw, deletes included, and appends that delta; the
-    deltas merge by sequence, so neither order of arrival nor a repeated batch matters.
+    deltas merge by sequence, so neither order of arrival nor a repeated batch matters. Every ``compact_every`` batches they become
+    one base table, so that a read opens one base and fewer than twice that many deltas.
     """
     spark = changes.sparkSession
     path = path or scratch_path(spark, "stream-state")
+    schema = changes.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
         latest(batch, pk, seq).write.mode("overwrite").parquet(_at(path, batch_id))
+        if batch_id % compact_every == compact_every - 1:
+            compact_change_state(spark, path, schema, pk, seq, batch_id)
 
     _run(changes.writeStream.outputMode("append").foreachBatch(write), f"{path}-checkpoint")
-    return current_state(_read_all(spark, path, changes.schema), pk, seq, op)
+    return current_state(read_change_state(spark, path, schema), pk, seq, op)
 
 
 def windowed_table(measure: Measure, log: DataFrame, path: str | None = None, late: str = LATE, with_open: bool = True) -> DataFrame:

@@ -106,3 +106,23 @@ def test_exact_l2_far_from_the_origin(spark, strategy, origin, spread):
         got.setdefault(r["qid"], set()).add(r["id"])
     for i, q in enumerate(asked):
         assert got[i] == set(np.argsort(np.sqrt(np.square(base - q).sum(1)), kind="stable")[:10].tolist())
+
+
+@pytest.mark.parametrize("metric,radius", [("l2", 3.0), ("cosine", 0.9), ("ip", 20.0)])
+def test_range_join_by_cells_visits_few_cells(spark, monkeypatch, metric, radius):
+    from nearfield.operators import blocks
+
+    rng = np.random.default_rng(11)
+    centers = rng.normal(0, 8, (12, 8))
+    points = np.concatenate([rng.normal(c, 0.5, (60, 8)) for c in centers])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "id long, vector array<double>")
+    queries = df.filter("id % 9 = 0").select(F.col("id").alias("qid"), "vector")
+    seen, plain = {}, blocks.pair_cells
+    monkeypatch.setattr(blocks, "pair_cells", lambda base, q, *a: (seen.update(n=q.count(), cells=base.select("cell").distinct().count()), plain(base, q, *a))[1])
+    got = search.knn(df, queries, 1000, metric, radius=radius, strategy="cells")
+    assert rows_of(got) == rows_of(search.knn(df, queries, 1000, metric, radius=radius, strategy="broadcast"))
+    assert got.count() > 1000 and (metric == "ip" or seen["n"] < 0.5 * queries.count() * seen["cells"])
+
+
+def rows_of(df):
+    return sorted((r["qid"], r["rank"], r["id"], round(r["score"], 6)) for r in df.collect())

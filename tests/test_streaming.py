@@ -91,6 +91,31 @@ def test_current_state_across_batches(spark, tmp_path):
     assert rows(got.select("id", "v")) == rows(batch.select("id", "v"))
 
 
+def test_change_state_is_compacted(spark, tmp_path):
+    import random
+    import time
+
+    rnd, log, out, schema = random.Random(2), str(tmp_path / "changes"), str(tmp_path / "out"), "id long, op string, seq long, v string"
+    changes = [(rnd.randrange(30), rnd.choice(["insert", "upsert", "delete"]), i, f"v{i}") for i in range(120)]
+    rnd.shuffle(changes)
+    sizes = []
+    for start in range(0, 120, 30):
+        for at in range(start, start + 30, 10):
+            spark.createDataFrame(changes[at: at + 10], schema).coalesce(1).write.mode("append").parquet(log)
+            time.sleep(1.1)
+        got = sinks.stream_current_state(sinks.table_stream(spark, log, files_per_trigger=1), "id", path=out, compact_every=3)
+        assert rows(got) == rows(tables.current_state(spark.createDataFrame(changes[: start + 30], schema), "id"))
+        sizes.append(len(sinks._finished(spark, out, "batch")) + len(sinks._finished(spark, f"{out}/base", "upto")))
+    assert max(sizes) <= 2 * 3 + 2 and len(sinks._finished(spark, f"{out}/base", "upto")) == 2
+    # a compaction that did not finish is not read, and is done again
+    sinks.compact_change_state(spark, out, got.schema, "id", "seq", 99)
+    import os
+
+    os.remove(f"{out}/base/upto=99/_SUCCESS")
+    assert sinks._finished(spark, f"{out}/base", "upto")[-1] < 99
+    assert rows(tables.current_state(sinks.read_change_state(spark, out, got.schema), "id")) == rows(tables.current_state(spark.createDataFrame(changes, schema), "id"))
+
+
 def test_point_stream(spark, tmp_path):
     (tmp_path / "points").mkdir()
     (tmp_path / "points" / "a.json").write_text('{"type":"Point","metric":"m","data":{"time":"2024-01-01T00:00:00Z","value":1}}\nbroken\n')
