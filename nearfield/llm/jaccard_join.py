@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from nearfield.llm.common import components, grouped, materialize, pieces, register, star, table
 from nearfield.llm.decontamination import split_words
 
+PIECE = 1 << 20  # bytes of text made into shingles at once
 WIDTH = 5
 UP, DOWN = 4, 5  # the threshold 0.8 as a fraction, so that verification is exact
 BANDS, ROWS = 24, 4
@@ -86,7 +87,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for rows, texts in pieces(batch):
+            for rows, texts in pieces(batch, size=PIECE):
                 sets = shingle_sets(texts)
                 yield pa.RecordBatch.from_arrays([
                     rows["doc_id"], rows["text_hash"], pa.array([signed(int((mix(s) * mix(s + np.uint64(len(s)))).sum())) if len(s) else None for s in sets], pa.int64()),
@@ -229,7 +230,7 @@ def node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for rows, found_texts in pieces(batch):
+            for rows, found_texts in pieces(batch, size=PIECE):
                 sets = shingle_sets(found_texts)
                 yield pa.RecordBatch.from_arrays([*(rows[k] for k in ("node", "component", "size", "copies")), pa.array([s.tobytes() for s in sets], pa.binary()),
                                                   pa.array([minhash(s).tobytes() for s in sets], pa.binary())],

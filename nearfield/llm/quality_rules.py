@@ -29,6 +29,7 @@ SAMPLE_ROWS = TREES * TREE_ROWS
 GOOD_LOSS = 0.002
 BAD_SHARE = 0.012
 STRETCH = 20.0  # ratios near 0, where rules tell good from bad, are spread by log(1 + STRETCH * x)
+PIECE = 1 << 20  # bytes of text counted at once
 LEVELS = 20_000  # steps of the anomaly score at which thresholds are compared
 WHITE, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -74,7 +75,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for rows, found in pieces(batch):
+            for rows, found in pieces(batch, size=PIECE):
                 found = np.array([text_counts(x) for x in found], np.int64)
                 columns = [pa.array(found[:, COUNTS.index(n)]) if n in COUNTS else rows[n] for n in rows.schema.names]
                 yield pa.RecordBatch.from_arrays(columns, names=rows.schema.names)
