@@ -5,17 +5,18 @@ two words before, and, skipping one, the word two before. Classes come from freq
 mark, non-ASCII), the commonest words being classes of their own; class 0 holds words
 met at most once, and the unknown word as one more type.
 
-P(word | class, history) goes down a binary tree over all words of the class, whose branches are the bits of the word's hash (64 bits). Each
+P(word | class, history) goes down a binary tree over the class, whose branches are the first ``DEPTH`` bits of the word's hash. Each
 node that parts words is a maximum-entropy choice of two: the log-odds of the training counts below it and hashed weights of
-(feature, node), for the same three features. Without weights this is the word's share of its class. A tree of V words is about log2 V
-deep, so normalising is cheap, and probabilities sum to one over the known words and "unknown". Words of class 0 share it evenly.
+(feature, node), for the same three features. Words that end at one leaf share it by their training counts. Without weights this is the
+word's share of its class. Probabilities sum to one over the known words and "unknown". Words of class 0 share it evenly.
 
-Tokenised once: a task turns its documents into a block of word codes with a local vocabulary. Local counts are summed over
-all training documents by word, and each block gets the counts of its own words back; no vocabulary is broadcast. Training
+Tokenised once: a task turns its documents into a block of word codes with the hashes of its local vocabulary (equal words are decided by
+96 bits). Local counts are summed over all training documents by word, and each block gets the counts of its own words back; no vocabulary is
+broadcast, and no words are stored. Training
 starts from the observed class counts of each feature and goes ``ROUNDS`` steps; in each, every task sums
 observed minus expected counts over its part of that round's documents (all training documents are used once), the sums are added in
-Spark and the driver gets one table of ``FEATURES`` x ``CLASSES`` weights and one of ``BRANCHES`` weights of tree nodes, sizes that do not depend on the data.
-The trees are counted by the first ``TOP`` bits on the driver and below that in groups of words that share them.
+Spark and the driver gets one table of ``FEATURES`` x ``CLASSES`` weights, one of ``BRANCHES`` weights of tree nodes and the counts at the leaves of
+the trees, sizes that do not depend on the data.
 
 Cases. A null or empty text is one end token. Rows without an id are trained on. Repeated rows are scored one by one, and equally. Very
 long texts are one row of a block. Other columns are not read. Without training documents all words are unknown; scores stay
@@ -29,9 +30,9 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nearfield.llm.common import discard, grouped, materialize, pieces, register, release, table
@@ -40,19 +41,22 @@ SINGLES, SHAPES = 15, 16
 CLASSES = 1 + SHAPES + SINGLES
 FEATURES = 1 << 15
 BRANCHES = 1 << 20  # hashed weights of (feature, tree node)
-TOP = 8  # bits of a word's hash whose counts the driver holds
+DEPTH = 14  # bits of a word's hash that lead down the tree of its class
 ROUNDS, RATE, CALM, SHARE = 4, 0.5, 4.0, 0.6
-BLOCK_BYTES = 12 << 20
-WORD_ROWS = 20_000
+BLOCK_BYTES = 24 << 20
+WORD_ROWS = 65_536
+TASK_SUMS = 64  # tables of sums that are added at once
 SLICE = 1 << 15  # tokens scored at once
 TABLE_WAYS = 1 << 14  # tree weights per row
 TABLE_ROWS = 512  # features per row when gradients are added
+NEAR_ENDS = np.array([chr(c) in ".,;:!?|)" for c in range(256)])
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-BLOCK = ("block bigint, at int, words array<string>, n array<bigint>, doc_id array<bigint>, held array<boolean>, lengths binary, codes binary")
+BLOCK = "block bigint, doc_id array<bigint>, held array<boolean>, lengths binary, codes binary, hashes binary, checks binary, shapes binary, n binary"
+SUMS = "at bigint, task int, sums binary"
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of coded documents (one row each, ``words`` null) and their local vocabularies with training counts (rows of ``WORD_ROWS`` words)."""
+    """Blocks of coded documents, one row each, with hashes, shapes and training counts of their local words."""
 
     def run(batches):
         made = 0
@@ -61,15 +65,12 @@ def word_blocks(docs: DataFrame) -> DataFrame:
             nonlocal made
             block, made = (TaskContext.get().partitionId() << 20) + made, made + 1
             flat = np.concatenate(codes)
-            trained = np.repeat(~np.array(held, bool), lengths)
-            n = np.bincount(flat[trained], minlength=len(code))
-            words = [w.decode() for w in code]
-            schema = pa.schema([("block", pa.int64()), ("at", pa.int32()), ("words", pa.list_(pa.string())), ("n", pa.list_(pa.int64())),
-                                ("doc_id", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("lengths", pa.binary()), ("codes", pa.binary())])
-            for at in range(0, len(words), WORD_ROWS):
-                yield pa.RecordBatch.from_pylist([{"block": block, "at": at, "words": words[at: at + WORD_ROWS], "n": n[at: at + WORD_ROWS].tolist()}], schema=schema)
-            yield pa.RecordBatch.from_pylist([{"block": block, "doc_id": ids, "held": held, "lengths": np.array(lengths, np.int32).tobytes(),
-                                               "codes": flat.astype(np.int32).tobytes()}], schema=schema)
+            n = np.bincount(flat[np.repeat(~np.array(held, bool), lengths)], minlength=len(code))
+            digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, code)), "<u8").reshape(-1, 2)
+            arrays = [np.array(lengths, np.int32), flat.astype(np.int32), digests[:, 0], digests[:, 1].astype(np.uint32), shapes(list(code)), n.astype(np.int64)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), *[pa.array([v.tobytes()], pa.binary()) for v in arrays]],
+                names=["block", "doc_id", "held", "lengths", "codes", "hashes", "checks", "shapes", "n"])
 
         code: defaultdict = defaultdict()
         code.default_factory = code.__len__
@@ -86,178 +87,149 @@ def word_blocks(docs: DataFrame) -> DataFrame:
                     codes.append(np.zeros(1, np.int32))
                     size += len(text)
                 if size >= BLOCK_BYTES:
-                    yield from flush()
+                    yield flush()
                     code.clear()
                     code[b""]
                     ids, held, lengths, codes, size = [], [], [], [], 0
         if ids:
-            yield from flush()
+            yield flush()
 
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("bigint"), held_out.alias("held_out"), "text")
     return rows.mapInArrow(run, BLOCK)
 
 
-def shape(word: Column) -> Column:
-    """0 .. 7 from a start that is no letter a-z, a closing mark and non-ASCII letters."""
-    return (F.when(word.rlike(r"[.,;:!?|)]$"), 1).otherwise(0) + F.when(word.rlike(r"^[^a-z]"), 2).otherwise(0)
-            + F.when(F.octet_length(word) > F.char_length(word), 4).otherwise(0))
+def shapes(words: list[bytes]) -> np.ndarray:
+    """0 .. 7 for each word, from a closing mark, a start that is no letter a-z and letters that are not ASCII."""
+    ends = np.fromiter((w[-1] if w else 0 for w in words), np.uint8, len(words))
+    starts = np.fromiter((w[0] if w else 97 for w in words), np.uint8, len(words))
+    ascii_only = np.fromiter(map(bytes.isascii, words), bool, len(words))
+    return (NEAR_ENDS[ends] + 2 * ((starts < 97) | (starts > 122)) + 4 * ~ascii_only).astype(np.uint8)
 
 
-def counted_words(blocks: DataFrame) -> DataFrame:
-    """(block, at, word, c, first): each block's words with their training count over all documents.
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """(block, counts, firsts): the training counts over all documents of each block's words, and which of them no earlier block has.
 
     A word has one row per block at most, so the sum over a word is small whatever its frequency.
     """
-    words = blocks.where("words is not null").select("block", "at", F.posexplode(F.arrays_zip("words", "n")).alias("i", "w")).select(
-        "block", (F.col("at") + F.col("i")).alias("at"), F.col("w.words").alias("word"), F.col("w.n").alias("n"))
-    same = Window.partitionBy("word")
-    return words.select("block", "at", "word", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
 
+    def explode(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, h, n = (np.frombuffer(batch[k][i].as_buffer(), t) for k, t in (("hashes", np.int64), ("checks", np.int32), ("n", np.int64)))
+                for at in range(0, len(x), WORD_ROWS):
+                    own = slice(at, at + WORD_ROWS)
+                    size = len(x[own])
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(size, batch["block"][i].as_py()), np.arange(at, at + size, dtype=np.int32), x[own], h[own], n[own])],
+                                                     names=["block", "at", "x", "h", "n"])
+
+    def pack(batches):
+        for (block,), rows in grouped(batches, ["block"]):
+            order = np.argsort(rows["at"].to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([rows["c"].to_numpy()[order].tobytes()], pa.binary()), pa.array([rows["first"].to_numpy()[order].tobytes()], pa.binary())],
+                                             names=["block", "counts", "firsts"])
 
-def totals(words: DataFrame) -> dict:
-    """One-row statistics and the commonest words; ``sizes`` has the tokens of each class."""
-    types = words.where("first and c > 0")
-    top = [r["word"] for r in types.where("c > 2").orderBy(F.desc("c"), "word").limit(SINGLES).collect()]
-    n, v, v1, v2 = types.agg(F.sum("c"), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    sizes = dict(types.groupBy(word_class(top).alias("k")).agg(F.sum("c").alias("n")).collect())
-    tops = np.zeros((CLASSES, 1 << TOP), np.int64)
-    for r in types.groupBy(word_class(top).alias("k"), top_bits().alias("b")).agg(F.sum("c").alias("n")).collect():
-        tops[r["k"], r["b"]] = r["n"]
-    return {"n": n or 0, "v": v or 0, "v1": v1 or 0, "v2": v2 or 0, "top": top, "sizes": sizes, "tops": tops}
+    same = Window.partitionBy("x", "h")
+    words = blocks.select("block", "hashes", "checks", "n").mapInArrow(explode, "block bigint, at int, x bigint, h int, n bigint")
+    counted = words.select("block", "at", F.sum("n").over(same).alias("c"), (F.min("block").over(same) == F.col("block")).alias("first"))
+    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(pack, "block bigint, counts binary, firsts binary")
 
 
-def top_bits() -> Column:
-    return F.shiftrightunsigned(F.xxhash64("word"), 64 - TOP).cast("int")
+def classes(b: dict, top: np.ndarray) -> np.ndarray:
+    """Class of each local word of a block; ``top`` are the hashes of the words that are classes of their own."""
+    out = 1 + b["shapes"] * 2 + (b["counts"] >= 32)
+    place = np.argsort(top)
+    at = np.searchsorted(top[place], b["hashes"]).clip(max=max(0, len(top) - 1))
+    if len(top):
+        own = top[place][at] == b["hashes"]
+        out[own] = 1 + SHAPES + place[at[own]]
+    return np.where(b["counts"] <= 1, 0, out).astype(np.uint8)
 
 
-def branches(x: np.ndarray, c: np.ndarray, tops: np.ndarray) -> np.ndarray:
-    """Log-odds (1 against 0) at each depth of words that share a class and their first ``TOP`` bits; NaN where nothing is parted.
+def leaves(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - DEPTH)).astype(np.int64)
 
-    ``x`` are their sorted hashes, ``c`` their counts, ``tops`` the class's counts by first bits.
-    """
-    bias = np.full((len(x), 64), np.nan, np.float16)  # rounded once for both sides, so that they still sum to one
-    first = int(x[0] >> np.uint64(64 - TOP))
-    for d in range(TOP):
-        width = 1 << (TOP - d)
-        n = tops[first // width * width:][:width].reshape(2, -1).sum(1)
-        if n.all():
-            bias[:, d] = np.log(n[1] / n[0])
-    below, low, high = np.concatenate([[0], np.cumsum(c)]), np.zeros(len(x), np.int64), np.full(len(x), len(x))
-    for d in range(TOP, 64):
-        if (high - low <= 1).all():
-            break
-        one = (x >> np.uint64(63 - d)) & np.uint64(1) > 0
-        ones = np.concatenate([[0], np.cumsum(one)])
-        part = high - (ones[high] - ones[low])
-        both = np.flatnonzero((part > low) & (part < high))
-        bias[both, d] = np.log((below[high] - below[part])[both] / (below[part] - below[low])[both])
-        low, high = np.where(one, part, low), np.where(one, high, part)
-    return bias
-
-
-def word_class(top: list[str]) -> Column:
-    """Class of a word by its training count."""
-    own = F.lit(None).cast("int")
-    for i, w in enumerate(top):
-        own = F.when(F.col("word") == w, 1 + SHAPES + i).otherwise(own)
-    return F.when(F.col("c") <= 1, 0).otherwise(F.coalesce(own, 1 + shape(F.col("word")) * 2 + F.when(F.col("c") >= 32, 1).otherwise(0))).cast("int")
-
-
-def joined(column: pa.ChunkedArray) -> bytes:
-    """The bytes of all rows of a binary column, one after the other."""
-    out = []
-    for c in column.chunks:
-        ends = np.frombuffer(c.buffers()[1], np.int32)[c.offset: c.offset + len(c) + 1]
-        out.append(c.buffers()[2][int(ends[0]): int(ends[-1])].to_pybytes() if len(c) and ends[-1] > ends[0] else b"")
-    return b"".join(out)
-
-
-def attach(blocks: DataFrame, words: DataFrame, stats: dict) -> DataFrame:
-    """Stored coded blocks with ``counts``, ``classes`` and ``hashes`` of their local words and their ways down the trees.
-
-    ``paths`` are the words' tree hashes, ``steps`` the numbers of their nodes, and ``depths`` and ``odds`` those nodes. ``words`` is discarded.
-    """
-    placed = words.select("block", F.col("at").cast("bigint").alias("at"), "c", word_class(stats["top"]).alias("k"), F.crc32(F.col("word").cast("binary")).alias("h"),
-                          F.xxhash64("word").alias("x"), top_bits().alias("b"))
-    inner = F.col("k").between(1, SHAPES)
-    held = blocks.sparkSession.sparkContext.broadcast(stats["tops"])
-    names = ["block", "at", "c", "k", "h", "x"]
-
-    def ways(batches):
-        for (k, _), rows in grouped(batches, ["k", "b"]):
-            rows = rows.combine_chunks()
-            x = rows["x"].to_numpy().view(np.uint64)
-            own, first, back = np.unique(x, return_index=True, return_inverse=True)
-            bias = branches(own, rows["c"].to_numpy()[first], held.value[k])
-            for at in range(0, len(x), WORD_ROWS):
-                odds = bias[back[at: at + WORD_ROWS]]
-                word, depth = np.nonzero(~np.isnan(odds))
-                ends = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(odds)))]).astype(np.int32)
-                packed = [pa.Array.from_buffers(pa.binary(), len(odds), [None, pa.py_buffer(ends * v.itemsize), pa.py_buffer(v)])
-                          for v in (depth.astype(np.uint8), odds[word, depth])]
-                yield from pa.table([*[rows[n].slice(at, WORD_ROWS) for n in names], *packed], names=[*names, "depths", "odds"]).combine_chunks().to_batches()
-
-    known = placed.where(inner).repartition("k", "b").sortWithinPartitions("k", "b").mapInArrow(
-        ways, "block bigint, at bigint, c bigint, k int, h bigint, x bigint, depths binary, odds binary")
-    none = F.lit(b"")
-    every = known.unionByName(placed.where(~inner).select(*[F.col(n).cast(known.schema[n].dataType) for n in names], none.alias("depths"), none.alias("odds")))
 
-    def run(batches):
-        for (block,), rows in grouped(batches, ["block"]):
-            rows = rows.combine_chunks()
-            steps = pa.compute.binary_length(rows["depths"]).to_numpy().astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block]), *[pa.array([rows[c].to_numpy().astype(t).tobytes()], pa.binary()) for c, t in (("c", np.int64), ("k", np.uint8), ("h", np.uint32), ("x", np.int64))],
-                *[pa.array([v], pa.binary()) for v in (steps.tobytes(), joined(rows["depths"]), joined(rows["odds"]))]],
-                names=["block", "counts", "classes", "hashes", "paths", "steps", "depths", "odds"])
-
-    ways_known = materialize(every, "ways")
-    discard(words)
-    release(blocks.sparkSession)
-    packed = ways_known.repartition("block").sortWithinPartitions("block", "at").mapInArrow(
-        run, "block bigint, counts binary, classes binary, hashes binary, paths binary, steps binary, depths binary, odds binary")
-    coded = materialize(blocks.where("words is null").select("block", "doc_id", "held", "lengths", "codes").join(packed, "block"), "coded")
-    discard(ways_known)
-    return coded
-
-
-def unpack(batch: pa.RecordBatch):
-    """Blocks of a batch, one after the other, as views of its buffers."""
-    kinds = {"lengths": np.int32, "codes": np.int32, "counts": np.int64, "classes": np.uint8, "hashes": np.uint32, "paths": np.uint64, "steps": np.uint8,
-             "depths": np.uint8, "odds": np.float16}
+def totals(coded: DataFrame) -> dict:
+    """One-row statistics, the commonest words, the training tokens of each class (``sizes``) and of each leaf of its tree (``leaves``)."""
+
+    def common(batches):
+        for batch in batches:
+            for b in unpack(batch):
+                c, x = b["counts"][b["firsts"]], b["hashes"][b["firsts"]]
+                best = np.lexsort((x, -c))[:SINGLES]
+                sums = [c.sum(), (c > 0).sum(), (c == 1).sum(), (c == 2).sum()]
+                yield pa.RecordBatch.from_pylist([{"n": int(sums[0]), "v": int(sums[1]), "v1": int(sums[2]), "v2": int(sums[3])},
+                                                  *[{"c": int(c[i]), "x": int(x[i].view(np.int64))} for i in best if c[i] > 2]], schema=schema)
+
+    schema = pa.schema([(k, pa.int64()) for k in ("n", "v", "v1", "v2", "c", "x")])
+    # at most SINGLES + 1 numbers of each block
+    seen = coded.mapInArrow(common, "n bigint, v bigint, v1 bigint, v2 bigint, c bigint, x bigint")
+    n, v, v1, v2 = seen.agg(*[F.coalesce(F.sum(k), F.lit(0)) for k in ("n", "v", "v1", "v2")]).first()
+    top = np.array([r["x"] for r in seen.where("c is not null").orderBy(F.desc("c"), "x").limit(SINGLES).collect()], np.int64).view(np.uint64)
+
+    def placed(batches):
+        sums = np.zeros((CLASSES, 1 << DEPTH), np.int64)
+        for batch in batches:
+            for b in unpack(batch):
+                f = b["firsts"]
+                np.add.at(sums, (classes(b, top)[f], leaves(b["hashes"][f])), b["counts"][f])
+        for k, row in enumerate(sums.astype(float)):
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([row.tobytes()], pa.binary())], names=["at", "task", "sums"])
+
+    below = np.zeros((CLASSES, 1 << DEPTH))
+    for k, sums in added(coded, placed):
+        below[k] = np.frombuffer(sums)
+    return {"n": n, "v": v, "v1": v1, "v2": v2, "top": top, "sizes": dict(enumerate(below.sum(1))), "leaves": below, "odds": branches(below)}
+
+
+def branches(below: np.ndarray) -> np.ndarray:
+    """Log-odds (1 against 0) of each tree node from the counts at the leaves, nodes in heap order from 1; NaN where nothing is parted."""
+    out = np.full(below.shape, np.nan, np.float32)
+    for d in range(DEPTH):
+        n = below.reshape(len(below), 1 << d, 2, -1).sum(3)
+        both = n.all(2)
+        out[:, 1 << d: 2 << d][both] = np.log(n[both][:, 1] / n[both][:, 0])
+    return out
+
+
+def unpack(batch: pa.RecordBatch, stats: dict | None = None):
+    """Blocks of a batch, one after the other, as views of its buffers; with statistics also the classes of their words."""
+    kinds = {"lengths": np.int32, "codes": np.int32, "hashes": np.uint64, "shapes": np.uint8, "counts": np.int64, "firsts": bool}
     for i in range(batch.num_rows):
-        arrays = {k: np.frombuffer(batch[k][i].as_buffer(), t) for k, t in kinds.items()}
-        begin = np.cumsum(arrays["steps"], dtype=np.int64) - arrays["steps"]
-        yield arrays | {"begin": begin, "held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
+        b = {k: np.frombuffer(batch[k][i].as_buffer(), t) for k, t in kinds.items()}
+        if stats:
+            b["classes"] = classes(b, stats["top"])
+        yield b | {"held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
 
 
-def choices(b: dict, code: np.ndarray, features: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def choices(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tree choices of tokens (words ``code``): (token, branch taken, log-odds of branch 1, the three weights' places)."""
-    many = b["steps"][code].astype(np.int64)
-    token = np.repeat(np.arange(len(code), dtype=np.int32), many)
-    at = np.arange(len(token)) + np.repeat(b["begin"][code] - (np.cumsum(many) - many), many)
-    depth = b["depths"][at].astype(np.uint64)
-    above = b["paths"][code][token] >> (np.uint64(63) - depth)
-    heap = (above >> np.uint64(1)) + (np.uint64(1) << depth)  # the prefix behind a 1, so that depths differ
+    path = b["hashes"][code] >> np.uint64(64 - DEPTH)
+    down = np.arange(DEPTH, 0, -1, dtype=np.uint64)
+    heap = (path[:, None] >> down) + (np.uint64(1) << (np.uint64(DEPTH) - down))  # the prefix behind a 1, so that depths differ
+    bias = odds[b["classes"][code].astype(np.int64)[:, None], heap.astype(np.int64)]
+    token, depth = np.nonzero(~np.isnan(bias))
+    heap = heap[token, depth]
+    one = (path[token] >> (down[depth] - np.uint64(1)) & np.uint64(1)).astype(bool)
     node = (heap * np.uint64(CLASSES) + b["classes"][code][token]) * np.uint64(0xD6E8FEB86659FD93)
     spread = (features.astype(np.uint64) * np.uint64(3) + np.arange(3, dtype=np.uint64)[:, None] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     shift = np.uint64(64 - (len(weights).bit_length() - 1))
     place = np.stack([((s[token] ^ node) * np.uint64(0xC2B2AE3D27D4EB4F) >> shift).astype(np.int32) for s in spread])
-    z = b["odds"][at].astype(np.float32) + weights[place[0]] + weights[place[1]] + weights[place[2]]
-    return token, (above & np.uint64(1)).astype(bool), z, place
+    z = bias[token, depth] + weights[place[0]] + weights[place[1]] + weights[place[2]]
+    return token, one, z, place
 
 
-def way_scores(b: dict, code: np.ndarray, features: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Natural log of P(word | class, history) of tokens whose words have a way down a tree; 0 for the others."""
-    token, one, z, _ = choices(b, code, features, weights)
+def way_scores(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Natural log of P(leaf | class, history) of tokens whose words have a way down a tree; 0 for the others."""
+    token, one, z, _ = choices(b, code, features, odds, weights)
     return np.bincount(token, -np.logaddexp(0, np.where(one, -z, z)), minlength=len(code))
 
 
 def histories(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Three feature numbers per token from the hashes of the words before it; ``first`` marks the tokens that begin a document."""
-    one = np.concatenate([[0], hashes[:-1]]).astype(np.uint64)
-    two = np.concatenate([[0, 0], hashes[:-2]])[: len(hashes)].astype(np.uint64)
+    none = np.zeros(2, np.uint64)
+    one, two = np.concatenate([none[:1], hashes[:-1]]), np.concatenate([none, hashes[:-2]])[: len(hashes)]
     one[first] = two[first] = 1
     second = np.flatnonzero(first) + 1
     two[second[second < len(two)]] = 1
@@ -303,20 +275,35 @@ def added_up(sums: list[bytes]) -> bytes:
     return sum(np.frombuffer(x) for x in sums).tobytes()
 
 
-def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def added(coded: DataFrame, run) -> list:
+    """(at, sums) added over the tasks of ``run``, which gives rows of ``SUMS``; of many tasks ``TASK_SUMS`` at a time."""
+
+    def total(key, rows):
+        return pa.table({"at": [key[0].as_py()], "task": pa.array([key[-1].as_py()], pa.int32()), "sums": pa.array([added_up(rows["sums"].to_pylist())], pa.binary())})
+
+    tasks = max(1, coded.sparkSession.sparkContext.defaultParallelism)
+    sums = coded.coalesce(tasks).mapInArrow(run, SUMS)  # a task sends one table of sums
+    while tasks > 1:
+        tasks = -(-tasks // TASK_SUMS)
+        sums = sums.withColumn("task", (F.col("task") / TASK_SUMS).cast("int")).groupBy("at", "task").applyInArrow(total, SUMS)
+    return sums.select("at", "sums").collect()
+
+
+def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Observed and expected counts (features + 1 bias row) x classes over the training documents of a round; without a model all documents, observed only.
 
     And of the tree weights: observed minus expected, and the variance of what is expected.
     """
-    held = coded.sparkSession.sparkContext.broadcast(model)
+    held = coded.sparkSession.sparkContext.broadcast((model, {k: stats[k] for k in ("top", "odds")}))
     width = FEATURES + 1
 
     def run(batches):
-        model = held.value
+        model, stats = held.value
+        task = pa.array([TaskContext.get().partitionId()], pa.int32())
         seen, due = empty_sums()
         off, swing = np.zeros((2, BRANCHES if model else 0))
         for batch in batches:
-            for b in unpack(batch):
+            for b in unpack(batch, stats):
                 chosen = ~b["held"] & ((np.arange(len(b["held"])) % ROUNDS == turn) if model else True)
                 target = np.where(b["counts"] <= 2, 0, b["classes"])  # as if the token itself had not been counted
                 for own, features in slices(b, chosen):
@@ -330,24 +317,19 @@ def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray,
                         for f in features:
                             add_rows(due, f, p)
                         due[-1] += p.sum(0)
-                        inner = y > 0
-                        _, one, z, place = choices(b, b["codes"][own][inner], features[:, inner], model["ways"])
+                        inner = (y > 0) & (y <= SHAPES)
+                        _, one, z, place = choices(b, b["codes"][own][inner], features[:, inner], stats["odds"], model["ways"])
                         p = 1 / (1 + np.exp(-z))
                         off += np.bincount(place.ravel(), np.tile(one - p, 3), BRANCHES)
                         swing += np.bincount(place.ravel(), np.tile(p * (1 - p), 3), BRANCHES)
         for at in range(0, width, TABLE_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([np.concatenate([seen[at: at + TABLE_ROWS].astype(float), due[at: at + TABLE_ROWS]]).tobytes()], pa.binary())], names=["at", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([at]), task, pa.array([np.concatenate([seen[at: at + TABLE_ROWS].astype(float), due[at: at + TABLE_ROWS]]).tobytes()], pa.binary())], names=["at", "task", "sums"])
         for at in range(0, len(off), TABLE_WAYS):
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - at]), pa.array([np.concatenate([off[at: at + TABLE_WAYS], swing[at: at + TABLE_WAYS]]).tobytes()], pa.binary())], names=["at", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - at]), task, pa.array([np.concatenate([off[at: at + TABLE_WAYS], swing[at: at + TABLE_WAYS]]).tobytes()], pa.binary())], names=["at", "task", "sums"])
 
-    def total(key, rows):
-        return pa.table({"at": [key[0].as_py()], "sums": pa.array([added_up(rows["sums"].to_pylist())], pa.binary())})
-
-    tasks = coded.coalesce(max(1, coded.sparkSession.sparkContext.defaultParallelism))  # a task sends one table of sums
-    added = tasks.mapInArrow(run, "at bigint, sums binary").groupBy("at").applyInArrow(total, "at bigint, sums binary").collect()
     seen, due = np.zeros((2, width, CLASSES))
     off, swing = np.zeros((2, BRANCHES))
-    for at, sums in added:
+    for at, sums in added(coded, run):
         if at < 0:
             off[-1 - at:][:TABLE_WAYS], swing[-1 - at:][:TABLE_WAYS] = np.frombuffer(sums).reshape(2, -1)
             continue
@@ -356,15 +338,15 @@ def gather(coded: DataFrame, model: dict | None, turn: int) -> tuple[np.ndarray,
     return seen, due, off, swing
 
 
-def train(coded: DataFrame) -> dict:
+def train(coded: DataFrame, stats: dict) -> dict:
     """Weights after ``ROUNDS`` scaled gradient steps from the observed class counts."""
-    seen, *_ = gather(coded, None, -1)
+    seen, *_ = gather(coded, stats, None, -1)
     prior = (seen[-1] + 0.5) / (seen[-1].sum() + 0.5 * CLASSES)
     of = seen[:-1]
     near = (of + CALM * prior) / (of.sum(1, keepdims=True) + CALM)
     model = {"weights": (SHARE * (np.log(near) - np.log(prior))).astype(np.float32), "bias": np.log(prior).astype(np.float32), "ways": np.zeros(BRANCHES, np.float32)}
     for turn in range(ROUNDS):
-        seen, due, off, swing = gather(coded, model, turn)
+        seen, due, off, swing = gather(coded, stats, model, turn)
         step = np.clip(RATE * (seen - due) / (due + CALM), -1, 1)
         moves = {"weights": step[:-1] / 2, "bias": step[-1] / 2, "ways": np.clip(RATE * off / (swing + 1), -1, 1)}
         model = {k: (model[k] + v).astype(np.float32) for k, v in moves.items()}
@@ -388,15 +370,17 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
     def run(batches):
         model, stats = held.value
         for batch in batches:
-            for b in unpack(batch):
+            for b in unpack(batch, stats):
                 if not len(b["lengths"]):
                     continue
                 word, base = word_scores(b, stats)
-                word = np.where(b["classes"] == 0, word, 0)  # the trees have the others' shares
+                inner = (b["classes"] > 0) & (b["classes"] <= SHAPES)
+                leaf = stats["leaves"][b["classes"], leaves(b["hashes"])]
+                word = np.where(b["classes"] == 0, word, np.log(np.where(inner, b["counts"] / leaf.clip(1), 1)))
                 log = np.empty(len(b["codes"]))
                 for own, features in slices(b, np.ones(len(b["held"]), bool)):
                     code = b["codes"][own]
-                    log[own] = class_scores(model["weights"], model["bias"], features)[np.arange(len(own)), b["classes"][code]] + word[code] + way_scores(b, code, features, model["ways"])
+                    log[own] = class_scores(model["weights"], model["bias"], features)[np.arange(len(own)), b["classes"][code]] + word[code] + way_scores(b, code, features, stats["odds"], model["ways"])
                 head = np.cumsum(b["lengths"]) - b["lengths"]
                 n = len(b["lengths"])
                 yield pa.RecordBatch.from_arrays([
@@ -410,13 +394,13 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
 
 def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = materialize(word_blocks(table(spark, sf_dir, "documents")), "blocks")
-    words = materialize(counted_words(blocks), "words")
+    counts = materialize(word_counts(blocks), "counts")
     release(spark)
-    stats = totals(words)
-    coded = attach(blocks, words, stats)
-    discard(blocks)
+    coded = materialize(blocks.drop("checks", "n").join(counts, "block"), "coded")
+    discard(blocks, counts)
     release(spark)
-    return score(coded, train(coded), stats)
+    stats = totals(coded)
+    return score(coded, train(coded, stats), stats)
 
 
 register("op10_maxent_lm", op10_maxent_lm)
