@@ -180,7 +180,9 @@ def totals(coded: DataFrame) -> dict:
     below = np.zeros((CLASSES, 1 << DEPTH))
     for k, sums in added(coded, placed):
         below[k] = np.frombuffer(sums)
-    return {"n": n, "v": v, "v1": v1, "v2": v2, "top": top, "sizes": dict(enumerate(below.sum(1))), "leaves": below, "odds": branches(below)}
+    odds = branches(below)
+    odds[0] = np.nan  # its words share it evenly
+    return {"n": n, "v": v, "v1": v1, "v2": v2, "top": top, "sizes": dict(enumerate(below.sum(1))), "leaves": below, "odds": odds}
 
 
 def branches(below: np.ndarray) -> np.ndarray:

@@ -92,3 +92,21 @@ def test_sums_count_beyond_24_bits():
         table[-1] += np.bincount([0], minlength=m.CLASSES)
         assert table[-1, 0] == 2**24 + 1
     assert np.frombuffer(m.added_up([np.array([2.0**24]).tobytes(), np.array([1.0]).tobytes()]))[0] == 2**24 + 1
+
+
+def test_probabilities_of_all_words_sum_to_one(spark, tmp_path):
+    """Without weights, the shares of all known words of a class, rare ones too, with "unknown" add up to one, so rare words have no second factor."""
+    coded = m.word_blocks(cases.frame(spark, data(), 1))
+    coded = coded.join(m.word_counts(coded), "block")
+    stats = m.totals(coded)
+    assert np.isnan(stats["odds"][0]).all() and np.isnan(stats["odds"][1 + m.SHAPES:]).all()
+    sums = np.zeros(m.CLASSES)
+    for b in (b for batch in coded.toArrow().to_batches() for b in m.unpack(batch, stats)):
+        known = b["firsts"] & (b["counts"] > 0)
+        code, k = np.flatnonzero(known), b["classes"][known]
+        leaf = stats["leaves"][k, m.leaves(b["hashes"][code])]
+        ways = np.exp(m.way_scores(b, code, np.zeros((3, len(code)), np.int64), stats["odds"], np.zeros(m.BRANCHES, np.float32)))
+        word = np.exp(m.word_scores(b, stats)[0])
+        sums += np.bincount(k, np.where(k == 0, word[code] * ways, ways * np.where(k <= m.SHAPES, b["counts"][code] / leaf, 1)), m.CLASSES)
+    inner = np.array([stats["sizes"][k] > 0 for k in range(m.CLASSES)])
+    assert np.allclose(sums[1:][inner[1:]], 1, rtol=1e-3) and 0 < sums[0] < 1
