@@ -35,15 +35,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import discard, grouped, materialize, pieces, register, release, table
+from nearfield.llm.common import discard, grouped, materialize, parts, pieces, register, release, table
 
 SINGLES, SHAPES = 15, 16
 CLASSES = 1 + SHAPES + SINGLES
 FEATURES = 1 << 15
 BRANCHES = 1 << 20  # hashed weights of (feature, tree node)
-DEPTH = 14  # bits of a word's hash that lead down the tree of its class
+DEPTH = 12  # bits of a word's hash that lead down the tree of its class
 ROUNDS, RATE, CALM, SHARE = 4, 0.5, 4.0, 0.6
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
+PART_BYTES = 16 << 20  # stored input of one file of coded blocks
+GATHERED = 1 << 22  # tree choices added up at once
 WORD_ROWS = 65_536
 TASK_SUMS = 64  # tables of sums that are added at once
 SLICE = 1 << 15  # tokens scored at once
@@ -205,27 +207,39 @@ def unpack(batch: pa.RecordBatch, stats: dict | None = None):
         yield b | {"held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
 
 
+def word_nodes(b: dict, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-odds (NaN: nothing is parted) and hashed numbers of the ``DEPTH`` tree nodes above each local word, and the branches it takes."""
+    down = np.arange(DEPTH, 0, -1, dtype=np.uint64)
+    heap = (leaves(b["hashes"]).astype(np.uint64)[:, None] >> down).astype(np.uint32) + (np.uint32(1) << np.arange(DEPTH, dtype=np.uint32))  # the prefix behind a 1, so that depths differ
+    k = b["classes"][:, None]
+    taken = leaves(b["hashes"])[:, None] >> np.arange(DEPTH - 1, -1, -1) & 1 > 0
+    return odds[k, heap], (heap * np.uint32(CLASSES) + k) * np.uint32(0x9E3779B1), taken
+
+
 def choices(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tree choices of tokens (words ``code``): (token, branch taken, log-odds of branch 1, the three weights' places)."""
-    path = b["hashes"][code] >> np.uint64(64 - DEPTH)
-    down = np.arange(DEPTH, 0, -1, dtype=np.uint64)
-    heap = (path[:, None] >> down) + (np.uint64(1) << (np.uint64(DEPTH) - down))  # the prefix behind a 1, so that depths differ
-    bias = odds[b["classes"][code].astype(np.int64)[:, None], heap.astype(np.int64)]
-    token, depth = np.nonzero(~np.isnan(bias))
-    heap = heap[token, depth]
-    one = (path[token] >> (down[depth] - np.uint64(1)) & np.uint64(1)).astype(bool)
-    node = (heap * np.uint64(CLASSES) + b["classes"][code][token]) * np.uint64(0xD6E8FEB86659FD93)
-    spread = (features.astype(np.uint64) * np.uint64(3) + np.arange(3, dtype=np.uint64)[:, None] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    shift = np.uint64(64 - (len(weights).bit_length() - 1))
-    place = np.stack([((s[token] ^ node) * np.uint64(0xC2B2AE3D27D4EB4F) >> shift).astype(np.int32) for s in spread])
-    z = bias[token, depth] + weights[place[0]] + weights[place[1]] + weights[place[2]]
+    if "nodes" not in b:
+        b["nodes"] = word_nodes(b, odds)
+    bias, nodes, taken = (v[code].ravel() for v in b["nodes"])
+    parted = np.flatnonzero(~np.isnan(bias))
+    token, one, node, z = parted // DEPTH, taken[parted], nodes[parted], bias[parted]
+    shift = np.uint32(32 - (len(weights).bit_length() - 1))
+    place = np.empty((3, len(token)), np.int32)
+    for i in range(3):
+        spread = (features[i].astype(np.uint32) * np.uint32(3) + np.uint32(i + 1)) * np.uint32(0x85EBCA6B)
+        mixed = spread[token] ^ node
+        mixed ^= mixed >> np.uint32(15)
+        mixed *= np.uint32(0xC2B2AE35)
+        place[i] = mixed >> shift
+        z = z + weights[place[i]]
     return token, one, z, place
 
 
 def way_scores(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Natural log of P(leaf | class, history) of tokens whose words have a way down a tree; 0 for the others."""
     token, one, z, _ = choices(b, code, features, odds, weights)
-    return np.bincount(token, -np.logaddexp(0, np.where(one, -z, z)), minlength=len(code))
+    away = np.where(one, -z, z)
+    return np.bincount(token, -(np.log1p(np.exp(-np.abs(away))) + np.maximum(away, 0)), minlength=len(code))
 
 
 def histories(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -254,18 +268,20 @@ def slices(b: dict, chosen: np.ndarray):
 
 def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Log-probabilities of the classes for each token."""
-    z = weights[features[0]] + weights[features[1]] + weights[features[2]] + bias
+    z = weights[features[0]]
+    z += weights[features[1]]
+    z += weights[features[2]]
+    z += bias
     z -= z.max(1, keepdims=True)
     z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
 def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """into[at] += rows, with repeated places."""
-    order = np.argsort(at, kind="stable")
-    place = at[order]
-    head = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    into[place[head]] += np.add.reduceat(rows[order], head, axis=0)
+    """into[:, at] += rows.T for each line of ``at``, with repeated places; class by class, which stays in the cache."""
+    places = at.ravel()
+    for k, column in enumerate(np.ascontiguousarray(rows.T)):
+        into[k] += np.bincount(places, np.tile(column, len(at)), into.shape[1])
 
 
 def empty_sums() -> tuple[np.ndarray, np.ndarray]:
@@ -304,6 +320,15 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
         task = pa.array([TaskContext.get().partitionId()], pa.int32())
         seen, due = empty_sums()
         off, swing = np.zeros((2, BRANCHES if model else 0))
+        due_by_class = np.zeros((CLASSES, width))
+        waiting: list = []
+
+        def add_up():
+            places = np.concatenate([p.ravel() for p, _ in waiting])
+            for into, values in ((off, [np.tile(one - p, 3) for _, (one, p) in waiting]), (swing, [np.tile(p * (1 - p), 3) for _, (_, p) in waiting])):
+                into += np.bincount(places, np.concatenate(values), BRANCHES)
+            waiting.clear()
+
         for batch in batches:
             for b in unpack(batch, stats):
                 chosen = ~b["held"] & ((np.arange(len(b["held"])) % ROUNDS == turn) if model else True)
@@ -316,14 +341,16 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
                     seen[-1] += np.bincount(y, minlength=CLASSES)
                     if model:
                         p = np.exp(class_scores(model["weights"], model["bias"], features))
-                        for f in features:
-                            add_rows(due, f, p)
+                        add_rows(due_by_class, features, p)
                         due[-1] += p.sum(0)
                         inner = (y > 0) & (y <= SHAPES)
                         _, one, z, place = choices(b, b["codes"][own][inner], features[:, inner], stats["odds"], model["ways"])
-                        p = 1 / (1 + np.exp(-z))
-                        off += np.bincount(place.ravel(), np.tile(one - p, 3), BRANCHES)
-                        swing += np.bincount(place.ravel(), np.tile(p * (1 - p), 3), BRANCHES)
+                        waiting.append((place, (one, 1 / (1 + np.exp(-z)))))
+                        if sum(p.size for p, _ in waiting) >= GATHERED:
+                            add_up()
+        if waiting:
+            add_up()
+        due += due_by_class.T
         for at in range(0, width, TABLE_ROWS):
             yield pa.RecordBatch.from_arrays([pa.array([at]), task, pa.array([np.concatenate([seen[at: at + TABLE_ROWS].astype(float), due[at: at + TABLE_ROWS]]).tobytes()], pa.binary())], names=["at", "task", "sums"])
         for at in range(0, len(off), TABLE_WAYS):
@@ -382,7 +409,9 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
                 log = np.empty(len(b["codes"]))
                 for own, features in slices(b, np.ones(len(b["held"]), bool)):
                     code = b["codes"][own]
-                    log[own] = class_scores(model["weights"], model["bias"], features)[np.arange(len(own)), b["classes"][code]] + word[code] + way_scores(b, code, features, stats["odds"], model["ways"])
+                    log[own] = class_scores(model["weights"], model["bias"], features)[np.arange(len(own)), b["classes"][code]] + word[code]
+                    down = np.flatnonzero(inner[code])
+                    log[own[down]] += way_scores(b, code[down], features[:, down], stats["odds"], model["ways"])
                 head = np.cumsum(b["lengths"]) - b["lengths"]
                 n = len(b["lengths"])
                 yield pa.RecordBatch.from_arrays([
@@ -398,7 +427,8 @@ def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = materialize(word_blocks(table(spark, sf_dir, "documents")), "blocks")
     counts = materialize(word_counts(blocks), "counts")
     release(spark)
-    coded = materialize(blocks.drop("checks", "n").join(counts, "block"), "coded")
+    files = parts(table(spark, sf_dir, "documents"), PART_BYTES)  # so that a task that reads a file holds a few blocks
+    coded = materialize(blocks.drop("checks", "n").repartition(files, "block").join(counts.repartition(files, "block"), "block"), "coded")
     discard(blocks, counts)
     release(spark)
     stats = totals(coded)
