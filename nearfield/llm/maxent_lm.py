@@ -379,6 +379,7 @@ def train(coded: DataFrame, stats: dict) -> dict:
         step = np.clip(RATE * (seen - due) / (due + CALM), -1, 1)
         moves = {"weights": step[:-1] / 2, "bias": step[-1] / 2, "ways": np.clip(RATE * off / (swing + 1), -1, 1)}
         model = {k: (model[k] + v).astype(np.float32) for k, v in moves.items()}
+        release(coded.sparkSession)  # the sums of a round are as large as those of the next
     return model
 
 
