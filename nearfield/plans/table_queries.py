@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nearfield.functions import vectors as V
-from nearfield.operators import schema, tables
-from nearfield.plans.registry import query, rounded, table
+from nearfield.operators import keyed, schema, tables
+from nearfield.plans.registry import ORACLES, query, rounded, table
 from nearfield.sources import fixtures
 from nearfield.sources.ann_dataset import dataset_metadata
 from nearfield.sources.batches import columns_to_rows
@@ -253,3 +253,25 @@ def fixture_struct_array(spark, sf_dir):
     weighted = F.aggregate("elements", F.lit(0).cast("bigint"), lambda a, e: a + e.turn * e.n)
     return df.select(F.col("conv_id").alias("id"), F.size("elements").cast("bigint").alias("n_elements"), weighted.alias("weighted"),
                      F.array_join("elements.role", ",").alias("roles"), F.array_max("elements.n").alias("longest"))
+
+
+@query("keyed_upsert", ORACLES["upsert"])
+def keyed_upsert(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    stored = keyed.save_keyed(part.select("p_partkey", "p_size", "p_name"), "p_partkey", 8)
+    return keyed.upsert_keyed(stored, _part_updates(part), "seq").read(spark)
+
+
+@query("keyed_current_state", ORACLES["current_state"])
+def keyed_current_state(spark, sf_dir):
+    log = changes(table(spark, sf_dir, "orders"))
+    stored = keyed.save_keyed(log.filter("seq < 2"), "o_orderkey", 8)
+    keyed.append_keyed(stored, log.filter("seq = 2"))
+    return _live(tables.current_state(stored.read(spark), "o_orderkey"))
+
+
+@query("keyed_diff", ORACLES["snapshot_diff"])
+def keyed_diff(spark, sf_dir):
+    log = changes(table(spark, sf_dir, "orders"))
+    before, after = (keyed.save_keyed(_live(tables.as_of(log, "o_orderkey", F.lit(t).cast("timestamp"))), "o_orderkey", 8) for t in ("1996-01-01 00:00:00", _AT))
+    return tables.diff(before.read(spark), after.read(spark), "o_orderkey")
