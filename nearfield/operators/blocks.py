@@ -197,12 +197,12 @@ class DenseKernel(Kernel):
 def bits(column: pa.Array) -> np.ndarray:
     """Packed binary vectors as a 0/1 matrix."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    raw = column.to_pylist()
-    if not raw:
+    if not len(column):
         return np.zeros((0, 0))
-    if len({len(r) for r in raw}) != 1:
+    shortest, longest = pc.min_max(pc.binary_length(column)).as_py().values()
+    if column.null_count or shortest != longest:
         raise ValueError("binary vectors must have the same length")
-    packed = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    packed = bytes_matrix(column, np.uint8)
     return np.unpackbits(packed, axis=1).astype(np.float64)
 
 

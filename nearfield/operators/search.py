@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nearfield.operators import blocks, cells
+from nearfield.operators import bitcells, blocks, cells
 from nearfield.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, materialize, skew_join
 
 DENSE = ("l2", "ip", "cosine")
@@ -129,8 +129,8 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
             query_rows: int = blocks.QUERY_ROWS) -> DataFrame:
     """``(qid, keys…, cost, rank)``: top-k rows, or the best row of the top-k groups.
 
-    Large query sets on a metric with distance bounds take the pruned cell join, others meet
-    block by block. A table of very many partitions is seeded: some of its partitions are searched
+    Large query sets on a metric with distance bounds take a pruned cell join (bit blocks for Hamming and
+    Jaccard), others meet block by block. A table of very many partitions is seeded: some of its partitions are searched
     first, and their k-th cost bounds what the others need to emit. ``strategy`` can force
     ``broadcast``, ``seeded``, ``shuffle`` or ``cells``.
     """
@@ -141,7 +141,10 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
     if strategy in ("broadcast", "seeded") and not volume[1]:
         raise ValueError("queries exceed the broadcast bound")
     if prune and group is None and (strategy == "cells" or (strategy == "auto" and not volume[1])):
-        hits = cells.exact_cells(base, queries, k, kernel, prune, keys[0], qid, options, base_rows, query_rows)
+        if prune in BINARY:
+            hits = bitcells.exact_bits(base, queries, k, prune, keys[0], qid, options, base_rows, query_rows)
+        else:
+            hits = cells.exact_cells(base, queries, k, kernel, prune, keys[0], qid, options, base_rows, query_rows)
         return blocks.best_per(hits, [qid], k, order)
     if group is None and (strategy == "seeded" or (strategy == "auto" and volume[1] and blocks.wide(base))):
         some = blocks.score_blocks(pair(blocks.some_partitions(base), queries, keys[0], qid, volume, strategy, base_rows, query_rows),
@@ -188,7 +191,7 @@ def knn(base: DataFrame, queries: DataFrame, k: int, metric: str = "l2", *, id:
     b, q = _sides(source, queries, id, vector, qid, query_vector or vector, metric)
     bound = None if radius is None else (-radius if similarity(metric) else radius)
     hits = nearest(b, q, k + offset, kernel_for(metric), [id], qid, cost_bytes("vector", metric), radius=bound,
-                   strategy=strategy, prune=metric if metric in DENSE else None, base_rows=base_rows, query_rows=query_rows)
+                   strategy=strategy, prune=metric if metric in (*DENSE, *BINARY) else None, base_rows=base_rows, query_rows=query_rows)
     hits = hits.filter(F.col("rank") > offset) if offset else hits
     hits = hits.select(qid, "rank", id, score_of(metric))
     return fetch_fields(hits, source, id, output_fields)

@@ -205,6 +205,12 @@ for _metric in ("hamming", "jaccard"):
         queries = base.select(F.col("vec_id").alias("qid"), "bits")
         return ranked(search.knn(base, queries, K, metric, id="vec_id", vector="bits"))
 
+    @query(f"knn_{_metric}_blocks", binary_sql(BIT_COST[_metric]))
+    def knn_bit_blocks(spark, sf_dir, metric=_metric):
+        base = packed_bits(spark, sf_dir)
+        queries = base.select(F.col("vec_id").alias("qid"), "bits")
+        return ranked(search.knn(base, queries, K, metric, id="vec_id", vector="bits", strategy="cells"))
+
 
 SPARSE = """sp AS (SELECT vec_id, label, i - 1 AS p, embedding[i]::DOUBLE AS x FROM embeddings, range(1, 65) t(i) WHERE abs(embedding[i]) > 0.15)"""
 SPARSE_SCORES = """s AS (SELECT q.vec_id AS qid, b.vec_id, sum(q.x * b.x) AS sc FROM sp q JOIN sp b USING (p) GROUP BY 1, 2)"""
