@@ -131,7 +131,7 @@ def bm25_search(df: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: f
     if candidates is not None:
         rows = rows.join(candidates.select(id), id, "left_semi")
     size = F.aggregate("keys", F.lit(0), lambda acc, t: acc + F.octet_length(t) + 16)
-    pairs = pair(rows, encoded, id, qid, query_volume(encoded, size), strategy, base_rows=1024, query_rows=512)
+    pairs = pair(rows, encoded, id, qid, size, query_volume(encoded, size), strategy, base_rows=1024, query_rows=512)
     hits = blocks.score_blocks(pairs, blocks.TermKernel(k1, b), k, [df.schema[id]], queries.schema[qid])
     return blocks.best_per(hits, [qid], k, ["cost", id]).select(qid, "rank", id, (-F.col("cost")).alias("score"))
 

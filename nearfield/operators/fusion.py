@@ -28,7 +28,8 @@ def sparse_search(base: DataFrame, queries: DataFrame, k: int, *, drop_ratio: fl
     q = queries.withColumn("__v", drop_small(query_vector or vector, drop_ratio) if drop_ratio else F.col(query_vector or vector))
     b = sides(source, id, vector).filter(F.size("keys") > 0)
     q = sides(q, qid, "__v").filter(F.size("keys") > 0)
-    pairs = pair(b, q, id, qid, query_volume(q, F.size("keys") * 16), strategy, query_rows=512)
+    size = F.size("keys") * 16
+    pairs = pair(b, q, id, qid, size, query_volume(q, size), strategy, query_rows=512)
     hits = blocks.score_blocks(pairs, blocks.SparseKernel(), k, [base.schema[id]], queries.schema[qid])
     return blocks.best_per(hits, [qid], k, ["cost", id]).select(
         qid, "rank", id, (-F.col("cost") + F.lit(0.0)).alias("score"))
