@@ -265,22 +265,84 @@ class MaxSimKernel(Kernel):
         (qm, qs), (bm, bs) = q, b
         out = np.empty((len(qs), len(bs)))
         for q0, q1, qe in _runs(qs, len(qm), MAXSIM_QUERY_ELEMENTS):
+            rows = _by_length(qs[q0:q1] - qs[q0], qe.stop - qe.start)
             for b0, b1, be in _runs(bs, len(bm), MAXSIM_BASE_ELEMENTS):
-                best = np.minimum.reduceat(self.element_costs(qm[qe], bm[be]), bs[b0:b1] - bs[b0], axis=1)
-                out[q0:q1, b0:b1] = np.add.reduceat(best, qs[q0:q1] - qs[q0], axis=0)
+                self.sums(qm[qe], bm[be], rows, _by_length(bs[b0:b1] - bs[b0], be.stop - be.start), out[q0:q1, b0:b1])
         return out
 
+    def sums(self, q, b, rows, docs, out: np.ndarray) -> None:
+        """Costs of a run of queries with a run of documents: the n-th elements of all documents at once."""
+        if self.metric == "l2":
+            q, b = centred(q, b)
+        (q_order, q_parts), (b_order, b_parts) = rows, docs
+        parts = [b[at] for at in b_parts]
+        total = np.zeros(out.shape)
+        for at in q_parts:
+            own = q[at]
+            best = self.element_costs(own, parts[0])
+            for part in parts[1:]:
+                few = best[:, : len(part)]
+                np.minimum(few, self.element_costs(own, part), out=few)
+            total[: len(at)] += np.sqrt(np.maximum(best, 0.0, out=best), out=best) if self.metric == "l2" else best
+        out[np.ix_(q_order, b_order)] = total
+
     def element_costs(self, q, b):
+        """For L2 the squares, of both sides moved to one middle."""
         if self.metric in ("hamming", "jaccard"):
             return bit_costs(q, b, self.metric)
         if self.metric != "l2":
-            return -(q @ b.T)
-        pair = np.empty((len(q), len(b)))
-        for i in range(len(q)):
-            d = b - q[i]
-            pair[i] = np.sqrt(np.sum(d * d, axis=1))
+            return (-q) @ b.T
+        own, other = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", b, b)
+        pair = (-2.0 * q) @ b.T
+        pair += own[:, None]
+        pair += other[None, :]
+        # the root of a small difference of large numbers has few right digits
+        i, j = np.nonzero(pair < 1e-6 * (_top(own) + _top(other)))
+        for s in range(0, len(i), 65536):
+            pair[i[s : s + 65536], j[s : s + 65536]] = np.square(q[i[s : s + 65536]] - b[j[s : s + 65536]]).sum(axis=1)
         return pair
 
+    def slack(self, q, b, costs):
+        """The error of an element's square is at most that of its sums; its root, at most the root of that."""
+        if self.metric in ("hamming", "jaccard"):
+            return super().slack(q, b, costs)
+        (qm, qs), (bm, _) = q, b
+        most = int(np.diff(np.append(qs, len(qm))).max())
+        if self.metric == "l2":
+            # tiles have middles of their own: norms grow by no more than twice the block's spread
+            qm, bm = centred(qm, bm)
+            wide = 4 * max(_top(np.square(qm).sum(1)), _top(np.square(bm).sum(1)))
+            return most * np.sqrt(rounding(qm, bm, 2 * wide))
+        return most * rounding(qm, bm, np.sqrt(_top(np.square(qm).sum(1)) * _top(np.square(bm).sum(1))))
+
+    def exact(self, q, b, qi, bi, costs):
+        """Chosen pairs element by element, so that copies cost the same wherever they lie."""
+        if self.metric in ("hamming", "jaccard"):
+            return costs[qi, bi]
+        (qm, qs), (bm, bs) = q, b
+        q_size, b_size = np.diff(np.append(qs, len(qm))), np.diff(np.append(bs, len(bm)))
+        out, many, done = np.empty(len(qi)), q_size[qi] * b_size[bi], 0
+        while done < len(qi):
+            last = max(done + 1, done + int(np.searchsorted(np.cumsum(many[done : done + 65536]), 65536, side="right")))
+            own, other, size = qi[done:last], bi[done:last], many[done:last]
+            pair = np.repeat(np.arange(len(own)), size)
+            within = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
+            left, right = qm[qs[own][pair] + within // b_size[other][pair]], bm[bs[other][pair] + within % b_size[other][pair]]
+            cost = np.sqrt(np.sum(np.square(right - left), axis=1)) if self.metric == "l2" else -np.sum(left * right, axis=1)
+            runs = np.repeat(b_size[other], q_size[own])
+            best = np.minimum.reduceat(cost, np.cumsum(runs) - runs)
+            out[done:last] = np.add.reduceat(best, np.cumsum(q_size[own]) - q_size[own])
+            done = last
+        return out
+
+
+def _by_length(starts: np.ndarray, total: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rows from the longest on, and for each n the positions of the n-th elements of those that have one."""
+    sizes = np.diff(np.append(starts, total))
+    order = np.argsort(-sizes, kind="stable")
+    sizes, starts = sizes[order], starts[order]
+    return order, [starts[: np.count_nonzero(sizes > n)] + n for n in range(int(sizes[0]))]
+
 
 def _runs(starts: np.ndarray, total: int, most: int):
     """Consecutive rows whose elements together stay within ``most`` (a longer row comes alone)."""

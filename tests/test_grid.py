@@ -63,6 +63,33 @@ def test_grid_parts_are_whole_and_bounded(spark, sides):
     assert blocks.grid_shape(6_000_000, 60_000_000, 512, 12) == (6, 229)
 
 
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip", "hamming"])
+def test_maxsim_of_lists_of_any_length(spark, bounded, monkeypatch, metric):
+    rng = np.random.default_rng(5)
+    lists = [rng.normal(size=(rng.integers(1, 7), 8)) for _ in range(60)] + [np.full((3, 8), 1e4)]
+    lists += lists[:9]
+    if metric == "hamming":
+        lists = [x > 0 for x in lists]
+        values, kind = [[bytearray(np.packbits(v).tobytes()) for v in x] for x in lists], "array<binary>"
+        cost = lambda a, b: (a[:, None] != b[None]).sum(2).min(1).sum()
+    else:
+        values, kind = [x.tolist() for x in lists], "array<array<double>>"
+        norm = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+        cost = {"l2": lambda a, b: np.sqrt(np.square(a[:, None] - b[None]).sum(2)).min(1).sum(), "ip": lambda a, b: -(a @ b.T).max(1).sum() * -1,
+                "cosine": lambda a, b: (norm(a) @ norm(b).T).max(1).sum()}[metric]
+        cost = (lambda a, b: (a @ b.T).max(1).sum()) if metric == "ip" else cost
+    docs = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"id long, vector {kind}")
+    got = search.knn(docs, docs.select(F.col("id").alias("qid"), "vector"), 5, f"maxsim_{metric}", base_rows=16, query_rows=8)
+    found = {}
+    for r in got.orderBy("rank").collect():
+        found.setdefault(r["qid"], []).append(r)
+    sign = -1 if metric in ("cosine", "ip") else 1
+    for i, a in enumerate(lists):
+        all_costs = sorted((round(sign * cost(a, b), 7), j) for j, b in enumerate(lists))[:5]
+        assert [r["id"] for r in found[i]] == [j for _, j in all_costs]
+        np.testing.assert_allclose([r["score"] for r in found[i]], [sign * c for c, _ in all_costs], atol=1e-6)
+
+
 def test_sparse_search_of_many_queries(spark, bounded, monkeypatch):
     rng = np.random.default_rng(9)
     rows = [(i, {int(p): float(rng.integers(1, 5)) for p in rng.choice(12, 4, replace=False)}) for i in range(80)]
