@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators.search import knn, metric_name
+from nearfield.session import materialize
 
 
 def ground_truth(base: DataFrame, queries: DataFrame, k: int, metric: str = "L2", *, id: str = "id",
@@ -58,6 +59,7 @@ def recall_at_k(hits: DataFrame, truth: DataFrame, k: int, queries: DataFrame |
 
 def recall_expected(hits: DataFrame, truth: DataFrame, *, id: str = "id") -> DataFrame:
     """Share of the full expected list that was found."""
+    truth = materialize(truth, "truth")  # read twice
     sizes = truth.groupBy("qid").agg(F.countDistinct(id).alias("expected"))
     found = _matched(hits, truth, id).groupBy("qid").agg(F.count(F.lit(1)).alias("found"))
     rows = sizes.join(found, "qid", "left").withColumn("found", F.coalesce("found", F.lit(0)))
@@ -71,6 +73,7 @@ def _steps(ks: Sequence[int], value: Callable[[int], Column]) -> Column:
 
 def recall_by_topk(hits: DataFrame, truth: DataFrame, ks: Sequence[int], *, id: str = "id") -> DataFrame:
     """Recall of the first ``top_k`` hits against the whole expected list, over ``min(top_k, |expected|)``."""
+    truth = materialize(truth, "truth")  # read twice
     sizes = truth.groupBy("qid").agg(F.countDistinct(id).alias("expected"))
     counts = [F.count_if(F.col("hit_rank") <= k).alias(f"f{k}") for k in ks]
     found = sizes.join(_matched(hits, truth, id).groupBy("qid").agg(*counts), "qid", "left")
