@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from nearfield.session import estimated_tasks, materialize, skew_join, widen
+from nearfield.session import estimated_tasks, materialize, skew_join
 
 BASE_ROWS = 4096
 QUERY_ROWS = 1024
@@ -618,7 +618,8 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached: dict[bytes, tuple] = {}
-        held, last = 0, None
+        size: dict[bytes, int] = {}
+        last = None
         for batch in batches:
             for payload, query_payload in zip(batch.column("payload"), batch.column("query_payload")):
                 buffer = payload.as_buffer()
@@ -627,12 +628,12 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
                     b = kernel.load(base, False)
                 raw = query_payload.as_buffer().to_pybytes()
                 if raw not in cached:
-                    while cached and held + len(raw) > CACHE_BYTES:
+                    side = opened(raw)
+                    size[raw] = 2 * len(raw) + _held(side[1]) + side[2].nbytes
+                    while cached and sum(size.values()) > CACHE_BYTES:
                         oldest = next(iter(cached))
-                        held -= len(oldest)
-                        cached.pop(oldest)
-                    held += len(raw)
-                    cached[raw] = opened(raw)
+                        cached.pop(oldest), size.pop(oldest)
+                    cached[raw] = side
                 yield from best(base, b, *cached[raw])
 
     return pairs.mapInArrow(run, out)
@@ -643,7 +644,7 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
 
 def pair_small_queries(base: DataFrame, queries: DataFrame, base_rows: int = BASE_ROWS, query_rows: int = QUERY_ROWS) -> SmallQueries:
     """Every base row with every query; the caller has proven the query side to be within the broadcast bound."""
-    return SmallQueries(widen(base), [encode(b) for b in queries.toArrow().to_batches(max_chunksize=query_rows)], base_rows)
+    return SmallQueries(base, [encode(b) for b in queries.toArrow().to_batches(max_chunksize=query_rows)], base_rows)
 
 
 def _cut(pieces: list[pa.RecordBatch], rows: int) -> list[pa.RecordBatch]:

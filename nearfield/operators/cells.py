@@ -175,13 +175,16 @@ def exact_cells(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kern
             *queries.columns, F.coalesce("tau", F.lit(float("inf"))).alias("tau"))
 
     def on_grid(source: DataFrame) -> DataFrame:
-        return blocks.score_blocks(blocks.pair_grid(base, source, key, qid, grid, base_rows, query_rows), kernel, k, **options)
+        # a query with a null or NaN has no hits; in a block it would make every cost NaN
+        whole = source.filter(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x)))
+        pairs = blocks.pair_grid(base, whole, key, qid, grid, base_rows, query_rows)
+        return blocks.score_blocks(pairs, kernel, k, **options)
 
     moved = float("inf")
-    if grid is not None:
+    if grid is not None and not np.isnan(radii).any():  # base rows with a null or NaN stay in cells of their own
         n_query = queries.count()
         moved = int(counts.sum()) * grid[1] + n_query * grid[0]
-    if judge and radius is None and n_query:
+    if judge and radius is None and np.isfinite(moved) and n_query:
         some = materialize(queries.orderBy(F.xxhash64(qid)).limit(JUDGED_QUERIES), "judged")
         hits = blocks.score_blocks(blocks.pair_small_queries(base, some, base_rows, query_rows), kernel, k, **options)
         if visits(kth_cost(hits, some)) * n_query / min(n_query, JUDGED_QUERIES) > moved:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nearfield.operators import bitcells, blocks, cells
-from nearfield.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, materialize, skew_join
+from nearfield.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, materialize, skew_join, widen
 
 DENSE = ("l2", "ip", "cosine")
 BINARY = ("hamming", "jaccard")
@@ -156,7 +156,8 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
                                    kernel, k, **options)
         kth = blocks.best_per(some, [qid], k, order).filter(F.col("rank") == k).select(qid, F.col("cost").alias("tau"))
         queries = materialize(queries.join(kth, qid, "left").withColumn("tau", F.coalesce("tau", F.lit(float("inf")))), "seeded")
-    pairs = pair(base, queries, keys[0], qid, bytes_of, volume, strategy, base_rows, query_rows)
+    wide = widen(base) if volume[1] else base
+    pairs = pair(wide, queries, keys[0], qid, bytes_of, volume, strategy, base_rows, query_rows)
     hits = blocks.score_blocks(pairs, kernel, k, **options)
     if group:
         hits = blocks.best_per(hits, [qid, group], 1, order, "__best").drop("__best")

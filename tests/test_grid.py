@@ -51,6 +51,15 @@ def test_vectors_without_clusters_do_not_visit_every_cell(spark, sides, bounded,
     assert sum(visited) <= (0 if strategy == "auto" or radius is not None else 3 * queries.count())
 
 
+def test_broken_queries_spoil_no_other(spark, sides, bounded, monkeypatch):
+    base, queries = sides
+    asked = queries.withColumn("vector", F.when(F.col("qid") == 3, F.transform("vector", lambda x: x * float("nan"))).otherwise(F.col("vector")))
+    monkeypatch.setattr(blocks, "GRID_TASKS_PER_CORE", 0.5)
+    got = rows_of(search.knn(base, asked, 7, "l2", base_rows=32, query_rows=16))
+    monkeypatch.undo()
+    assert got == rows_of(search.knn(base, queries.filter("qid <> 3"), 7, "l2"))
+
+
 def test_grid_parts_are_whole_and_bounded(spark, sides):
     base, queries = sides
     grid = blocks.pair_grid(base, queries, "id", "qid", (3, 2), base_rows=16, query_rows=8)
@@ -98,3 +107,12 @@ def test_sparse_search_of_many_queries(spark, bounded, monkeypatch):
     got = rows_of(fusion.sparse_search(df, queries, 6))
     monkeypatch.undo()
     assert got == rows_of(fusion.sparse_search(df, queries, 6))
+
+
+def test_cache_counts_what_blocks_become(spark, monkeypatch):
+    """Bits grow 64 times when unpacked; the cache of query blocks is bounded by that, not by their packed size."""
+    rows = np.random.default_rng(3).random((512, 64)) < 0.5
+    df = spark.createDataFrame([(i, bytearray(np.packbits(r).tobytes())) for i, r in enumerate(rows)], "id long, vector binary")
+    kernel = blocks.BinaryKernel("hamming")
+    loaded = kernel.load(df.toArrow().combine_chunks().to_batches()[0], True)
+    assert blocks._held(loaded) == 512 * 64 * 8 and blocks._held((loaded, [loaded, 3])) == 2 * 512 * 64 * 8
