@@ -45,7 +45,7 @@ DEPTH = 12  # bits of a word's hash that lead down the tree of its class
 ROUNDS, RATE, CALM, SHARE = 4, 0.5, 4.0, 0.6
 BLOCK_BYTES = 12 << 20
 PART_BYTES = 16 << 20  # stored input of one file of coded blocks
-GATHERED = 1 << 22  # tree choices added up at once
+GATHERED = 1 << 21  # tree choices added up at once
 WORD_ROWS = 65_536
 TASK_SUMS = 64  # tables of sums that are added at once
 SLICE = 1 << 15  # tokens scored at once
@@ -71,7 +71,7 @@ def word_blocks(docs: DataFrame) -> DataFrame:
             digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, code)), "<u8").reshape(-1, 2)
             arrays = [np.array(lengths, np.int32), flat.astype(np.int32), digests[:, 0], digests[:, 1].astype(np.uint32), shapes(list(code)), n.astype(np.int64)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), *[pa.array([v.tobytes()], pa.binary()) for v in arrays]],
+                [pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), *[pa.array([squeezed(v)], pa.binary()) for v in arrays]],
                 names=["block", "doc_id", "held", "lengths", "codes", "hashes", "checks", "shapes", "n"])
 
         code: defaultdict = defaultdict()
@@ -101,6 +101,18 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, BLOCK)
 
 
+def squeezed(v: np.ndarray) -> bytes:
+    """An array as compressed planes of its bytes behind its length: a block's row is a third as large on its way through Spark."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(v).view(np.uint8).reshape(len(v), v.itemsize).T)
+    return np.int64(len(v)).tobytes() + pa.compress(pa.py_buffer(planes), "zstd", asbytes=True)
+
+
+def unsqueezed(raw, kind) -> np.ndarray:
+    n, width = int(np.frombuffer(raw, np.int64, 1)[0]), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw.slice(8), n * width, "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).reshape(-1).view(kind)
+
+
 def shapes(words: list[bytes]) -> np.ndarray:
     """0 .. 7 for each word, from a closing mark, a start that is no letter a-z and letters that are not ASCII."""
     ends = np.fromiter((w[-1] if w else 0 for w in words), np.uint8, len(words))
@@ -118,7 +130,7 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     def explode(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                x, h, n = (np.frombuffer(batch[k][i].as_buffer(), t) for k, t in (("hashes", np.int64), ("checks", np.int32), ("n", np.int64)))
+                x, h, n = (unsqueezed(batch[k][i].as_buffer(), t) for k, t in (("hashes", np.int64), ("checks", np.int32), ("n", np.int64)))
                 for at in range(0, len(x), WORD_ROWS):
                     own = slice(at, at + WORD_ROWS)
                     size = len(x[own])
@@ -128,7 +140,7 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     def pack(batches):
         for (block,), rows in grouped(batches, ["block"]):
             order = np.argsort(rows["at"].to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([rows["c"].to_numpy()[order].tobytes()], pa.binary()), pa.array([rows["first"].to_numpy()[order].tobytes()], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([squeezed(rows["c"].to_numpy()[order])], pa.binary()), pa.array([squeezed(rows["first"].to_numpy()[order])], pa.binary())],
                                              names=["block", "counts", "firsts"])
 
     same = Window.partitionBy("x", "h")
@@ -165,6 +177,7 @@ def totals(coded: DataFrame) -> dict:
                                                   *[{"c": int(c[i]), "x": int(x[i].view(np.int64))} for i in best if c[i] > 2]], schema=schema)
 
     schema = pa.schema([(k, pa.int64()) for k in ("n", "v", "v1", "v2", "c", "x")])
+    coded = coded.select("hashes", "shapes", "counts", "firsts")  # the codes stay where they lie
     # at most SINGLES + 1 numbers of each block
     seen = coded.mapInArrow(common, "n bigint, v bigint, v1 bigint, v2 bigint, c bigint, x bigint")
     n, v, v1, v2 = seen.agg(*[F.coalesce(F.sum(k), F.lit(0)) for k in ("n", "v", "v1", "v2")]).first()
@@ -198,48 +211,60 @@ def branches(below: np.ndarray) -> np.ndarray:
 
 
 def unpack(batch: pa.RecordBatch, stats: dict | None = None):
-    """Blocks of a batch, one after the other, as views of its buffers; with statistics also the classes of their words."""
+    """Blocks of a batch, one after the other, of the columns it has; with statistics also the classes of their words."""
     kinds = {"lengths": np.int32, "codes": np.int32, "hashes": np.uint64, "shapes": np.uint8, "counts": np.int64, "firsts": bool}
     for i in range(batch.num_rows):
-        b = {k: np.frombuffer(batch[k][i].as_buffer(), t) for k, t in kinds.items()}
+        b = {k: unsqueezed(batch[k][i].as_buffer(), t) for k, t in kinds.items() if k in batch.schema.names}
         if stats:
             b["classes"] = classes(b, stats["top"])
-        yield b | {"held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
+        if "held" in batch.schema.names:
+            b |= {"held": np.array(batch["held"][i].as_py(), bool), "doc_id": batch["doc_id"][i].values}
+        yield b
 
 
 def word_nodes(b: dict, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log-odds (NaN: nothing is parted) and hashed numbers of the ``DEPTH`` tree nodes above each local word, and the branches it takes."""
-    down = np.arange(DEPTH, 0, -1, dtype=np.uint64)
-    heap = (leaves(b["hashes"]).astype(np.uint64)[:, None] >> down).astype(np.uint32) + (np.uint32(1) << np.arange(DEPTH, dtype=np.uint32))  # the prefix behind a 1, so that depths differ
-    k = b["classes"][:, None]
-    taken = leaves(b["hashes"])[:, None] >> np.arange(DEPTH - 1, -1, -1) & 1 > 0
-    return odds[k, heap], (heap * np.uint32(CLASSES) + k) * np.uint32(0x9E3779B1), taken
+    down = np.arange(DEPTH, 0, -1, dtype=np.uint32)
+    words, n = leaves(b["hashes"]).astype(np.uint32), len(b["hashes"])
+    bias, node, taken = np.empty((n, DEPTH), np.float32), np.empty((n, DEPTH), np.uint32), np.empty((n, DEPTH), bool)
+    for at in range(0, n, WORD_ROWS // 4):
+        own = slice(at, at + WORD_ROWS // 4)
+        leaf, k = words[own, None], b["classes"][own, None]
+        heap = (leaf >> down) + (np.uint32(1) << np.arange(DEPTH, dtype=np.uint32))  # the prefix behind a 1, so that depths differ
+        bias[own], node[own] = odds[k, heap], (heap * np.uint32(CLASSES) + k) * np.uint32(0x9E3779B1)
+        taken[own] = leaf >> (down - np.uint32(1)) & np.uint32(1) > 0
+    return bias, node, taken
 
 
 def choices(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tree choices of tokens (words ``code``): (token, branch taken, log-odds of branch 1, the three weights' places)."""
+    """Tree choices of tokens (words ``code``): (tokens by depth: whether there is a choice; of the choices: branch taken, log-odds of branch 1, the three weights' places)."""
     if "nodes" not in b:
         b["nodes"] = word_nodes(b, odds)
-    bias, nodes, taken = (v[code].ravel() for v in b["nodes"])
-    parted = np.flatnonzero(~np.isnan(bias))
-    token, one, node, z = parted // DEPTH, taken[parted], nodes[parted], bias[parted]
+    z, node, one = (v.take(code, axis=0) for v in b["nodes"])
+    parted = ~np.isnan(z)
+    every = parted.all()
     shift = np.uint32(32 - (len(weights).bit_length() - 1))
-    place = np.empty((3, len(token)), np.int32)
+    place = np.empty((3, len(code) * DEPTH if every else np.count_nonzero(parted)), np.int32)
     for i in range(3):
         spread = (features[i].astype(np.uint32) * np.uint32(3) + np.uint32(i + 1)) * np.uint32(0x85EBCA6B)
-        mixed = spread[token] ^ node
+        mixed = spread[:, None] ^ node
         mixed ^= mixed >> np.uint32(15)
         mixed *= np.uint32(0xC2B2AE35)
-        place[i] = mixed >> shift
-        z = z + weights[place[i]]
-    return token, one, z, place
+        mixed >>= shift
+        z += weights.take(mixed)
+        place[i] = mixed.ravel() if every else mixed[parted]
+    return parted, one.ravel() if every else one[parted], z.ravel() if every else z[parted], place
 
 
 def way_scores(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Natural log of P(leaf | class, history) of tokens whose words have a way down a tree; 0 for the others."""
-    token, one, z, _ = choices(b, code, features, odds, weights)
+    parted, one, z, _ = choices(b, code, features, odds, weights)
     away = np.where(one, -z, z)
-    return np.bincount(token, -(np.log1p(np.exp(-np.abs(away))) + np.maximum(away, 0)), minlength=len(code))
+    lost = np.log1p(np.exp(-np.abs(away))) + np.maximum(away, 0)
+    if len(lost) < parted.size:
+        lost, some = np.zeros(parted.shape, lost.dtype), lost
+        lost[parted] = some
+    return -lost.reshape(parted.shape).sum(1, dtype=float)
 
 
 def histories(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -268,9 +293,9 @@ def slices(b: dict, chosen: np.ndarray):
 
 def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Log-probabilities of the classes for each token."""
-    z = weights[features[0]]
-    z += weights[features[1]]
-    z += weights[features[2]]
+    z = weights.take(features[0], axis=0)
+    z += weights.take(features[1], axis=0)
+    z += weights.take(features[2], axis=0)
     z += bias
     z -= z.max(1, keepdims=True)
     z -= np.log(np.exp(z).sum(1, keepdims=True))
@@ -324,9 +349,12 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
         waiting: list = []
 
         def add_up():
-            places = np.concatenate([p.ravel() for p, _ in waiting])
-            for into, values in ((off, [np.tile(one - p, 3) for _, (one, p) in waiting]), (swing, [np.tile(p * (1 - p), 3) for _, (_, p) in waiting])):
-                into += np.bincount(places, np.concatenate(values), BRANCHES)
+            one, p = (np.concatenate([w[i] for _, w in waiting]) for i in (0, 1))
+            left, wide = (one - p).astype(float), (p * (1 - p)).astype(float)
+            for i in range(3):
+                places = np.concatenate([at[i] for at, _ in waiting]).astype(np.intp)
+                for into, values in ((off, left), (swing, wide)):
+                    into += np.bincount(places, values, BRANCHES)
             waiting.clear()
 
         for batch in batches:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import cases
 import numpy as np
+import pyarrow as pa
 from nearfield.llm import maxent_lm as m
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -110,3 +111,15 @@ def test_probabilities_of_all_words_sum_to_one(spark, tmp_path):
         sums += np.bincount(k, np.where(k == 0, word[code] * ways, ways * np.where(k <= m.SHAPES, b["counts"][code] / leaf, 1)), m.CLASSES)
     inner = np.array([stats["sizes"][k] > 0 for k in range(m.CLASSES)])
     assert np.allclose(sums[1:][inner[1:]], 1, rtol=1e-3) and 0 < sums[0] < 1
+
+
+def test_blocks_are_stored_small_and_totals_read_no_codes(spark):
+    rng = np.random.default_rng(4)
+    for v in (rng.integers(0, 2**63, 7).astype(np.uint64), np.arange(300, dtype=np.int32), np.array([True, False]), np.zeros(0, np.int64)):
+        back = m.unsqueezed(pa.scalar(m.squeezed(v)).as_buffer(), v.dtype)
+        assert back.dtype == v.dtype and back.tolist() == v.tolist()
+    coded = m.word_blocks(cases.frame(spark, data(), 1))
+    tokens = sum(len(b["codes"]) for batch in coded.toArrow().to_batches() for b in m.unpack(batch))
+    assert 0 < sum(len(r["codes"]) for r in coded.collect()) < 4 * tokens / 2
+    words = coded.join(m.word_counts(coded), "block")
+    assert m.totals(words.select("hashes", "shapes", "counts", "firsts"))["n"] == m.totals(words)["n"] > 0
