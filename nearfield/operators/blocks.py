@@ -41,6 +41,7 @@ CACHE_BYTES = 128 * 1024 * 1024
 GRID_QUERY_BYTES = 128 * 1024 * 1024
 GRID_BASE_BYTES = 512 * 1024 * 1024
 GRID_TASKS_PER_CORE = 3
+HIT_BYTES = 64  # of a hit that a part keeps, of which there are up to twice as many as in the end
 
 
 # ---------------------------------------------------------------- packing
@@ -500,6 +501,37 @@ def score_pair(kernel, q, b, base: pa.RecordBatch, k: int, tau: np.ndarray, keys
     return qi[keep], bi[keep], cost[keep]
 
 
+class Kept:
+    """The best ``k`` hits of each query of a block among those added so far; ``tau`` is moved to the k-th cost."""
+
+    def __init__(self, k: int, keys: list[str], tau: np.ndarray):
+        self.k, self.order, self.tau = k, [("__q", "ascending"), ("cost", "ascending"), *[(c, "ascending") for c in keys]], tau
+        self.hits: list[pa.RecordBatch] = []
+        self.rows = 0
+
+    def add(self, qi: np.ndarray, hits: pa.RecordBatch) -> None:
+        self.hits.append(hits.append_column("__q", pa.array(qi.astype(np.int32))))
+        self.rows += hits.num_rows
+        if self.rows > 2 * self.k * len(self.tau):
+            self.hits = [self._best()]
+            self.rows = self.hits[0].num_rows
+
+    def _best(self) -> pa.RecordBatch:
+        every = pa.Table.from_batches(self.hits).combine_chunks()
+        order = pc.sort_indices(every, sort_keys=self.order).to_numpy()
+        q = every.column("__q").to_numpy()[order]
+        at = _rank_in_run(_first_per(q))
+        own = order[at < self.k]
+        last = at == self.k - 1
+        self.tau[q[last]] = np.minimum(self.tau[q[last]], every.column("cost").to_numpy()[order[last]])
+        return every.take(pa.array(own)).combine_chunks().to_batches()[0]
+
+    def give(self) -> Iterator[pa.RecordBatch]:
+        if self.hits:
+            yield self._best().drop_columns(["__q"])
+        self.hits, self.rows = [], 0
+
+
 def _held(loaded) -> int:
     """Bytes of what a kernel made of a block."""
     if isinstance(loaded, (tuple, list)):
@@ -551,7 +583,7 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
             tau = query.column("tau").to_numpy(zero_copy_only=False).astype(np.float64).copy()
         return query, kernel.load(query, True), tau
 
-    def best(base: pa.RecordBatch, b, query: pa.RecordBatch, q, tau: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def best(base: pa.RecordBatch, b, query: pa.RecordBatch, q, tau: np.ndarray, kept: Kept | None = None) -> Iterator[pa.RecordBatch]:
         for number, (name, size) in enumerate(variants or [(None, k)]):
             members = None
             if variants:
@@ -565,7 +597,11 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
             cols = [query.column(qid_name).take(pa.array(qi))]
             cols += [base.column(c).take(pa.array(bi)) for c in base_names]
             cols += [pa.array([name] * len(qi), pa.string())] if variants else []
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(cost)], names=out.names)
+            hits = pa.RecordBatch.from_arrays([*cols, pa.array(cost)], names=out.names)
+            if kept is None:
+                yield hits
+            else:
+                kept.add(qi, hits)
 
     if isinstance(pairs, SmallQueries):
         rows, held_queries = pairs.rows, pairs.base.sparkSession.sparkContext.broadcast(pairs.payloads)
@@ -597,22 +633,28 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
                         yield from best(base, b, *side)
                 waiting.clear()
 
+            def end() -> Iterator[pa.RecordBatch]:
+                if sides:
+                    yield from score()
+                    for *_, kept in sides:
+                        yield from kept.give() if kept else ()
+
             for batch in batches:
                 for at, side, payload in zip(batch.column("part").to_pylist(), batch.column("side").to_pylist(), batch.column("payload")):
                     if at != part:  # a partition may hold several parts, one after the other
-                        if sides:
-                            yield from score()
+                        yield from end()
                         part, waiting, sides = at, [], None
                     if side and sides is None:
                         sides = [prepared(query) for query in _cut(waiting, query_rows)]
+                        # a query gives its best k rows once per part, however many blocks the part has
+                        sides = [(*s, Kept(k, key_names, s[2]) if plain_bound else None) for s in sides]
                         waiting.clear()
                     waiting.append(decode(payload.as_buffer()))
                     if sides and sum(b.num_rows for b in waiting) >= base_rows:
                         yield from score()
                     elif sides == []:
                         waiting.clear()
-            if sides:
-                yield from score()
+            yield from end()
 
         return pairs.packed.mapInArrow(stream, out)
 
@@ -658,44 +700,51 @@ def _cut(pieces: list[pa.RecordBatch], rows: int) -> list[pa.RecordBatch]:
             for start in range(0, whole.num_rows, rows)]
 
 
-def grid_shape(n_base: int, n_query: int, row_bytes: float, cores: int) -> tuple[int, int]:
+def grid_shape(n_base: int, n_query: int, row_bytes: float, cores: int, hit_bytes: float = 0) -> tuple[int, int]:
     """Parts of the base and of the queries: some tasks per core, and parts within the bounds of bytes.
 
-    Every base row moves once per query part and every query once per base part. Up to the bounds the number of
-    parts follows the cores, not the rows.
+    Every base row moves once per query part and every query once per base part, with the hits that are kept for it
+    (``hit_bytes``). Up to the bounds the number of parts follows the cores, not the rows.
     """
     side = max(1, int(np.ceil(np.sqrt(GRID_TASKS_PER_CORE * cores))))
-    at_least = lambda n, most: max(side, int(np.ceil(n * row_bytes / most)))
-    return at_least(n_base, GRID_BASE_BYTES), at_least(n_query, GRID_QUERY_BYTES)
+    parts = lambda n, size, most: max(1, int(np.ceil(n * size / most)))
+    query_parts = max(side, parts(n_query, row_bytes + hit_bytes, GRID_QUERY_BYTES))
+    if hit_bytes > row_bytes:  # more query parts then need fewer base parts, which repeat the hits
+        side = int(np.ceil(GRID_TASKS_PER_CORE * cores / query_parts))
+    return max(side, parts(n_base, row_bytes, GRID_BASE_BYTES)), query_parts
 
 
 def pair_grid(base: DataFrame, queries: DataFrame, key: str, qid: str, shape: tuple[int, int], base_rows: int = BASE_ROWS,
-              query_rows: int = QUERY_ROWS) -> Grid:
+              query_rows: int = QUERY_ROWS, cell: str | None = None) -> Grid:
     """Every base row with every query, both sides of any size: part (g, h) of a grid of ``shape`` gets base part
-    ``g`` and query part ``h``. Rows are packed where they lie; one shuffle moves the blocks."""
+    ``g`` and query part ``h``. Rows are packed where they lie; one shuffle moves the blocks. With a ``cell`` column
+    a base block holds rows of one cell, and the blocks of a part come cell by cell."""
     n_base, n_query = shape
 
-    def packed(df: DataFrame, own: str, parts: int, rows: int) -> DataFrame:
-        schema = T.StructType([T.StructField("own", T.IntegerType()), T.StructField("payload", T.BinaryType())])
+    def packed(df: DataFrame, own: str, parts: int, rows: int, cell: str | None = None) -> DataFrame:
+        schema = T.StructType([T.StructField("own", T.IntegerType()), T.StructField("cell", T.IntegerType()), T.StructField("payload", T.BinaryType())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 dealt, plain = batch.column("__part").to_numpy(), batch.drop_columns(["__part"])
-                for part in np.unique(dealt).tolist():
-                    for piece in _cut([plain.take(pa.array(np.flatnonzero(dealt == part)))], rows):
-                        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([encode(piece)], pa.binary())], names=["own", "payload"])
+                dealt = np.stack([dealt, batch.column(cell).to_numpy() if cell else np.zeros_like(dealt)])
+                order = np.lexsort(dealt[::-1])
+                starts = np.flatnonzero((np.diff(dealt[:, order], prepend=-1) != 0).any(axis=0)) if len(order) else []
+                for at in np.split(order, starts[1:]) if len(order) else []:
+                    for piece in _cut([plain.take(pa.array(at))], rows):
+                        yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.int32()) for x in dealt[:, at[0]]), pa.array([encode(piece)], pa.binary())], names=schema.names)
 
         dealt = df.withColumn("__part", F.pmod(F.xxhash64(own), F.lit(parts)).cast("int"))
         return dealt.mapInArrow(run, schema)
 
-    left = packed(base, key, n_base, base_rows).select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))).alias("other"), "own", "payload").select(
-        (F.col("own") * n_query + F.col("other")).alias("part"), F.lit(1).alias("side"), "payload")
+    left = packed(base, key, n_base, base_rows, cell).select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))).alias("other"), "own", "cell", "payload").select(
+        (F.col("own") * n_query + F.col("other")).alias("part"), F.lit(1).alias("side"), "cell", "payload")
     right = packed(queries, qid, n_query, query_rows).select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_base - 1))).alias("other"), "own", "payload").select(
-        (F.col("other") * n_query + F.col("own")).alias("part"), F.lit(0).alias("side"), "payload")
+        F.explode(F.sequence(F.lit(0), F.lit(n_base - 1))).alias("other"), "own", "cell", "payload").select(
+        (F.col("other") * n_query + F.col("own")).alias("part"), F.lit(0).alias("side"), "cell", "payload")
     dealt = left.unionByName(right).repartitionById(n_base * n_query, F.col("part"))
-    return Grid(dealt.sortWithinPartitions("part", "side"), base_rows, query_rows)
+    return Grid(dealt.sortWithinPartitions("part", "side", *(["cell"] if cell else [])), base_rows, query_rows)
 
 
 def wide(df: DataFrame) -> bool:

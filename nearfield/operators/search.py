@@ -115,17 +115,17 @@ def query_volume(queries: DataFrame, bytes_of: Column) -> tuple[int, bool]:
 
 
 def pair(base: DataFrame, queries: DataFrame, key: str, qid: str, bytes_of: Column, volume: tuple[int, bool], strategy: str = "auto",
-         base_rows: int = blocks.BASE_ROWS, query_rows: int = blocks.QUERY_ROWS) -> blocks.SmallQueries | blocks.Grid:
+         base_rows: int = blocks.BASE_ROWS, query_rows: int = blocks.QUERY_ROWS, hits: int = 0) -> blocks.SmallQueries | blocks.Grid:
     """All base rows with all queries: broadcast when the queries are proven small, else dealt over a grid of tasks."""
     if volume[1] and strategy != "shuffle":
         return blocks.pair_small_queries(base, queries, base_rows, query_rows)
-    return blocks.pair_grid(base, queries, key, qid, grid_of(base, queries, bytes_of), base_rows, query_rows)
+    return blocks.pair_grid(base, queries, key, qid, grid_of(base, queries, bytes_of, hits), base_rows, query_rows)
 
 
-def grid_of(base: DataFrame, queries: DataFrame, bytes_of: Column) -> tuple[int, int]:
-    """Shape of the grid for the counted rows of both sides."""
+def grid_of(base: DataFrame, queries: DataFrame, bytes_of: Column, hits: int = 0) -> tuple[int, int]:
+    """Shape of the grid for the counted rows of both sides; ``hits`` are kept per query of a part."""
     n, volume = queries.select(bytes_of.alias("b")).agg(F.count(F.lit(1)), F.sum("b")).first()
-    return blocks.grid_shape(base.count(), n, (volume or 0) / max(n, 1), base.sparkSession.sparkContext.defaultParallelism)
+    return blocks.grid_shape(base.count(), n, (volume or 0) / max(n, 1), base.sparkSession.sparkContext.defaultParallelism, hits * blocks.HIT_BYTES)
 
 
 def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel, keys: Sequence[str], qid: str,
@@ -149,7 +149,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
             hits = bitcells.exact_bits(base, queries, k, prune, keys[0], qid, options, base_rows, query_rows)
         else:
             hits = cells.exact_cells(base, queries, k, kernel, prune, keys[0], qid, options, base_rows, query_rows,
-                                     grid=grid_of(base, queries, bytes_of), judge=strategy == "auto")
+                                     grid=grid_of(base, queries, bytes_of, k), judge=strategy == "auto")
         return blocks.best_per(hits, [qid], k, order)
     if group is None and (strategy == "seeded" or (strategy == "auto" and volume[1] and blocks.wide(base))):
         some = blocks.score_blocks(pair(blocks.some_partitions(base), queries, keys[0], qid, bytes_of, volume, strategy, base_rows, query_rows),
@@ -157,7 +157,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
         kth = blocks.best_per(some, [qid], k, order).filter(F.col("rank") == k).select(qid, F.col("cost").alias("tau"))
         queries = materialize(queries.join(kth, qid, "left").withColumn("tau", F.coalesce("tau", F.lit(float("inf")))), "seeded")
     wide = widen(base) if volume[1] else base
-    pairs = pair(wide, queries, keys[0], qid, bytes_of, volume, strategy, base_rows, query_rows)
+    pairs = pair(wide, queries, keys[0], qid, bytes_of, volume, strategy, base_rows, query_rows, 0 if group else k)
     hits = blocks.score_blocks(pairs, kernel, k, **options)
     if group:
         hits = blocks.best_per(hits, [qid, group], 1, order, "__best").drop("__best")

@@ -116,3 +116,20 @@ def test_cache_counts_what_blocks_become(spark, monkeypatch):
     kernel = blocks.BinaryKernel("hamming")
     loaded = kernel.load(df.toArrow().combine_chunks().to_batches()[0], True)
     assert blocks._held(loaded) == 512 * 64 * 8 and blocks._held((loaded, [loaded, 3])) == 2 * 512 * 64 * 8
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_a_part_gives_each_query_its_best_rows_once(spark, sides, metric):
+    """However many blocks a part has: else the hits to sort grow with the rows of both sides."""
+    base, queries = sides
+    pairs = blocks.pair_grid(base, queries, "id", "qid", (2, 3), base_rows=16, query_rows=8)
+    hits = blocks.score_blocks(pairs, search.kernel_for(metric), 7, [base.schema["id"]], queries.schema["qid"])
+    assert hits.count() == 2 * 7 * queries.count()
+    best = blocks.best_per(hits, ["qid"], 7, ["cost", "id"]).withColumn("score", search.score_of(metric))
+    assert rows_of(best) == rows_of(search.knn(base, queries, 7, metric))
+
+
+def test_parts_follow_the_hits_they_keep():
+    assert blocks.grid_shape(10**5, 10**5, 512, 12) == blocks.grid_shape(10**5, 10**5, 512, 12, 640) == (6, 6)
+    few, many = blocks.grid_shape(6 * 10**5, 6 * 10**5, 512, 12, 5120)
+    assert (few, many) == (2, 26)
