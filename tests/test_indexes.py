@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nearfield.functions import vectors as V
-from nearfield.operators import cells, indexes, quality, search
+from nearfield.operators import blocks, cells, indexes, quality, search
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +104,22 @@ def test_books_are_fitted_together(spark, data):
     codes = cells.product_codes(mat, books)
     back = np.concatenate([b[codes[:, i]] for i, b in enumerate(books)], 1)
     assert np.square(mat - back).sum() < 0.2 * np.square(mat - mat.mean(0)).sum()
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip", "cosine"])
+def test_large_query_sides_of_codes_are_scored_where_the_cells_pass(spark, data, tmp_path, monkeypatch, metric):
+    """A task gives each query its short list once, with exact costs; no hit is joined with vectors."""
+    indexes.build_index(data[0], f"{tmp_path}/i", "sq8", nlist=8, metric=metric)
+    index = indexes.open_index(spark, f"{tmp_path}/i")
+    few, whole = (rows(indexes.search_index(index, data[1], 5, n, refine=3)) for n in (6, 8))
+    monkeypatch.setattr(indexes, "PROBE_PAIRS", 0)
+    monkeypatch.setattr(blocks, "GRID_TASKS_PER_CORE", 0.5)
+    monkeypatch.setattr(blocks, "BASE_ROWS", 16)
+    found = indexes.search_index(index, data[1], 5, 6, refine=3)
+    assert rows(indexes.search_index(index, data[1], 5, 8, refine=3)) == whole
+    assert rows(found) == few and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    hits, _ = indexes._hits(index, data[1], 15, [6], None, "qid", None, True, True)
+    own, _ = indexes._hits(index, data[1], 4, [1, 6], None, "qid", None, False)
+    n = data[1].count()
+    parts = int(np.ceil(np.sqrt(0.5 * spark.sparkContext.defaultParallelism)))
+    assert hits.count() <= parts * 15 * n and own.count() <= parts * 2 * 4 * n
