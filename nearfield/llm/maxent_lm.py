@@ -45,10 +45,10 @@ DEPTH = 12  # bits of a word's hash that lead down the tree of its class
 ROUNDS, RATE, CALM, SHARE = 4, 0.5, 4.0, 0.6
 BLOCK_BYTES = 12 << 20
 PART_BYTES = 16 << 20  # stored input of one file of coded blocks
-GATHERED = 1 << 21  # tree choices added up at once
+GATHERED, CHOSEN = 1 << 17, 1 << 21  # tokens whose class shares, and tree choices that are added up at once
 WORD_ROWS = 65_536
 TASK_SUMS = 64  # tables of sums that are added at once
-SLICE = 1 << 15  # tokens scored at once
+SLICE = 1 << 13  # tokens scored at once, so that what a step makes of them stays in the cache
 TABLE_WAYS = 1 << 14  # tree weights per row
 TABLE_ROWS = 512  # features per row when gradients are added
 NEAR_ENDS = np.array([chr(c) in ".,;:!?|)" for c in range(256)])
@@ -190,11 +190,11 @@ def totals(coded: DataFrame) -> dict:
                 f = b["firsts"]
                 np.add.at(sums, (classes(b, top)[f], leaves(b["hashes"][f])), b["counts"][f])
         for k, row in enumerate(sums.astype(float)):
-            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([row.tobytes()], pa.binary())], names=["at", "task", "sums"])
+            yield sums_row(k, row)
 
     below = np.zeros((CLASSES, 1 << DEPTH))
     for k, sums in added(coded, placed):
-        below[k] = np.frombuffer(sums)
+        below[k] = sums
     odds = branches(below)
     odds[0] = np.nan  # its words share it evenly
     return {"n": n, "v": v, "v1": v1, "v2": v2, "top": top, "sizes": dict(enumerate(below.sum(1))), "leaves": below, "odds": odds}
@@ -222,49 +222,32 @@ def unpack(batch: pa.RecordBatch, stats: dict | None = None):
         yield b
 
 
-def word_nodes(b: dict, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-odds (NaN: nothing is parted) and hashed numbers of the ``DEPTH`` tree nodes above each local word, and the branches it takes."""
-    down = np.arange(DEPTH, 0, -1, dtype=np.uint32)
-    words, n = leaves(b["hashes"]).astype(np.uint32), len(b["hashes"])
-    bias, node, taken = np.empty((n, DEPTH), np.float32), np.empty((n, DEPTH), np.uint32), np.empty((n, DEPTH), bool)
-    for at in range(0, n, WORD_ROWS // 4):
-        own = slice(at, at + WORD_ROWS // 4)
-        leaf, k = words[own, None], b["classes"][own, None]
-        heap = (leaf >> down) + (np.uint32(1) << np.arange(DEPTH, dtype=np.uint32))  # the prefix behind a 1, so that depths differ
-        bias[own], node[own] = odds[k, heap], (heap * np.uint32(CLASSES) + k) * np.uint32(0x9E3779B1)
-        taken[own] = leaf >> (down - np.uint32(1)) & np.uint32(1) > 0
-    return bias, node, taken
-
-
-def choices(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tree choices of tokens (words ``code``): (tokens by depth: whether there is a choice; of the choices: branch taken, log-odds of branch 1, the three weights' places)."""
-    if "nodes" not in b:
-        b["nodes"] = word_nodes(b, odds)
-    z, node, one = (v.take(code, axis=0) for v in b["nodes"])
-    parted = ~np.isnan(z)
-    every = parted.all()
+def choices(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray, places: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Branch taken and log-odds of branch 1 (NaN: nothing is parted) at the ``DEPTH`` tree nodes above each token (words ``code``), by depth; the places of the three weights are added to ``places``."""
+    down = np.arange(DEPTH, 0, -1, dtype=np.uint32)[:, None]
+    leaf, k = leaves(b["hashes"].take(code)).astype(np.uint32), b["classes"].take(code).astype(np.uint32)
+    node = (leaf >> down) + (np.uint32(1) << np.arange(DEPTH, dtype=np.uint32))[:, None]  # the prefix behind a 1, so that depths differ
+    z = odds.ravel().take((node + (k << np.uint32(DEPTH))).astype(np.intp), mode="clip")
+    node = (node * np.uint32(CLASSES) + k) * np.uint32(0x9E3779B1)
     shift = np.uint32(32 - (len(weights).bit_length() - 1))
-    place = np.empty((3, len(code) * DEPTH if every else np.count_nonzero(parted)), np.int32)
     for i in range(3):
-        spread = (features[i].astype(np.uint32) * np.uint32(3) + np.uint32(i + 1)) * np.uint32(0x85EBCA6B)
-        mixed = spread[:, None] ^ node
+        mixed = (features[i].astype(np.uint32) * np.uint32(3) + np.uint32(i + 1)) * np.uint32(0x85EBCA6B) ^ node
         mixed ^= mixed >> np.uint32(15)
         mixed *= np.uint32(0xC2B2AE35)
         mixed >>= shift
-        z += weights.take(mixed)
-        place[i] = mixed.ravel() if every else mixed[parted]
-    return parted, one.ravel() if every else one[parted], z.ravel() if every else z[parted], place
+        at = mixed.astype(np.intp)
+        z += weights.take(at, mode="clip")
+        if places is not None:
+            places.append(at)
+    return leaf >> (down - np.uint32(1)) & np.uint32(1) > 0, z
 
 
 def way_scores(b: dict, code: np.ndarray, features: np.ndarray, odds: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Natural log of P(leaf | class, history) of tokens whose words have a way down a tree; 0 for the others."""
-    parted, one, z, _ = choices(b, code, features, odds, weights)
+    one, z = choices(b, code, features, odds, weights)
     away = np.where(one, -z, z)
     lost = np.log1p(np.exp(-np.abs(away))) + np.maximum(away, 0)
-    if len(lost) < parted.size:
-        lost, some = np.zeros(parted.shape, lost.dtype), lost
-        lost[parted] = some
-    return -lost.reshape(parted.shape).sum(1, dtype=float)
+    return -np.where(np.isnan(z), 0, lost).sum(0, dtype=float)
 
 
 def histories(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -280,33 +263,39 @@ def histories(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def slices(b: dict, chosen: np.ndarray):
     """Tokens of the chosen documents in slices: (positions in the block, features)."""
-    tokens = np.flatnonzero(np.repeat(chosen, b["lengths"]))
-    begins = np.zeros(len(b["codes"]) + 1, bool)
-    begins[np.cumsum(b["lengths"]) - b["lengths"]] = True
+    tokens, lengths = np.flatnonzero(np.repeat(chosen, b["lengths"])), b["lengths"][chosen]
+    codes, begins = b["codes"][tokens], np.zeros(len(tokens), bool)  # a history does not leave its document
+    begins[np.cumsum(lengths) - lengths] = True
     for at in range(0, len(tokens), SLICE):
-        own = tokens[at: at + SLICE]
         # the two words before a slice belong to its history
-        low = max(0, own[0] - 2)
-        reach = np.arange(low, own[-1] + 1)
-        yield own, histories(b["hashes"][b["codes"][reach]], begins[reach])[:, own - low]
+        low, own = max(0, at - 2), tokens[at: at + SLICE]
+        reach = slice(low, at + len(own))
+        yield own, histories(b["hashes"][codes[reach]], begins[reach])[:, at - low:]
 
 
-def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the classes for each token."""
+def class_odds(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By class and token the logits below the token's greatest one and their exponentials, and the sum of these; numpy reduces short rows slowly."""
     z = weights.take(features[0], axis=0)
     z += weights.take(features[1], axis=0)
     z += weights.take(features[2], axis=0)
-    z += bias
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+    z = np.add(z.T, bias[:, None], order="C")
+    z -= z.max(0)
+    e = np.exp(z)
+    return z, e, e.sum(0)
+
+
+def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the classes for each token."""
+    z, _, total = class_odds(weights, bias, features)
+    return (z - np.log(total)).T
 
 
 def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """into[:, at] += rows.T for each line of ``at``, with repeated places; class by class, which stays in the cache."""
-    places = at.ravel()
-    for k, column in enumerate(np.ascontiguousarray(rows.T)):
-        into[k] += np.bincount(places, np.tile(column, len(at)), into.shape[1])
+    """into[:, at] += rows for each line of ``at``, with repeated places; class by class, which stays in the cache."""
+    for k, column in enumerate(rows):
+        column = column.astype(float)
+        for places in at:
+            into[k] += np.bincount(places, column, into.shape[1])
 
 
 def empty_sums() -> tuple[np.ndarray, np.ndarray]:
@@ -318,18 +307,29 @@ def added_up(sums: list[bytes]) -> bytes:
     return sum(np.frombuffer(x) for x in sums).tobytes()
 
 
+def rounded(sums: np.ndarray) -> np.ndarray:
+    """Sums to the 24 bits that the weights made from them have, so that they compress; the counting itself is in 64 bits."""
+    return sums.astype(np.float32).astype(float)
+
+
+def sums_row(at: int, sums: np.ndarray) -> pa.RecordBatch:
+    """A row of ``SUMS`` of this task."""
+    return pa.RecordBatch.from_arrays([pa.array([at]), pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([squeezed(sums.ravel())], pa.binary())], names=["at", "task", "sums"])
+
+
 def added(coded: DataFrame, run) -> list:
     """(at, sums) added over the tasks of ``run``, which gives rows of ``SUMS``; of many tasks ``TASK_SUMS`` at a time."""
 
     def total(key, rows):
-        return pa.table({"at": [key[0].as_py()], "task": pa.array([key[-1].as_py()], pa.int32()), "sums": pa.array([added_up(rows["sums"].to_pylist())], pa.binary())})
+        sums = added_up([unsqueezed(x.as_buffer(), float) for x in rows["sums"]])
+        return pa.table({"at": [key[0].as_py()], "task": pa.array([key[-1].as_py()], pa.int32()), "sums": pa.array([squeezed(np.frombuffer(sums))], pa.binary())})
 
     tasks = max(1, coded.sparkSession.sparkContext.defaultParallelism)
     sums = coded.coalesce(tasks).mapInArrow(run, SUMS)  # a task sends one table of sums
     while tasks > 1:
         tasks = -(-tasks // TASK_SUMS)
         sums = sums.withColumn("task", (F.col("task") / TASK_SUMS).cast("int")).groupBy("at", "task").applyInArrow(total, SUMS)
-    return sums.select("at", "sums").collect()
+    return [(r["at"], unsqueezed(pa.py_buffer(r["sums"]), float)) for r in sums.select("at", "sums").collect()]
 
 
 def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -342,20 +342,19 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
 
     def run(batches):
         model, stats = held.value
-        task = pa.array([TaskContext.get().partitionId()], pa.int32())
         seen, due = empty_sums()
         off, swing = np.zeros((2, BRANCHES if model else 0))
         due_by_class = np.zeros((CLASSES, width))
-        waiting: list = []
+        at, shares, filled = np.empty((3, GATHERED), np.int64), np.empty((CLASSES, GATHERED), np.float32), 0
+        room = CHOSEN + SLICE * DEPTH
+        ways, left, wide, made = np.empty((3, room), np.int32), np.empty(room, np.float32), np.empty(room, np.float32), 0
 
-        def add_up():
-            one, p = (np.concatenate([w[i] for _, w in waiting]) for i in (0, 1))
-            left, wide = (one - p).astype(float), (p * (1 - p)).astype(float)
-            for i in range(3):
-                places = np.concatenate([at[i] for at, _ in waiting]).astype(np.intp)
-                for into, values in ((off, left), (swing, wide)):
-                    into += np.bincount(places, values, BRANCHES)
-            waiting.clear()
+        def add_ways():
+            values = [v[:made].astype(float) for v in (left, wide)]
+            for way in ways:
+                way = way[:made].astype(np.intp)
+                for into, v in zip((off, swing), values):
+                    into += np.bincount(way, v, BRANCHES)
 
         for batch in batches:
             for b in unpack(batch, stats):
@@ -364,33 +363,44 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
                 for own, features in slices(b, chosen):
                     y = target[b["codes"][own]].astype(np.int64)
                     for f in features:
-                        place, n = np.unique(f * CLASSES + y, return_counts=True)
-                        seen.reshape(-1)[place] += n
+                        np.add.at(seen.reshape(-1), f * CLASSES + y, np.ones(len(y), np.int64))
                     seen[-1] += np.bincount(y, minlength=CLASSES)
                     if model:
-                        p = np.exp(class_scores(model["weights"], model["bias"], features))
-                        add_rows(due_by_class, features, p)
-                        due[-1] += p.sum(0)
-                        inner = (y > 0) & (y <= SHAPES)
-                        _, one, z, place = choices(b, b["codes"][own][inner], features[:, inner], stats["odds"], model["ways"])
-                        waiting.append((place, (one, 1 / (1 + np.exp(-z)))))
-                        if sum(p.size for p, _ in waiting) >= GATHERED:
-                            add_up()
-        if waiting:
-            add_up()
+                        _, p, total = class_odds(model["weights"], model["bias"], features)
+                        p /= total
+                        due[-1] += p.sum(1, dtype=float)
+                        now = slice(filled, filled + len(own))
+                        at[:, now], shares[:, now], filled = features, p, now.stop
+                        if filled > GATHERED - SLICE:
+                            add_rows(due_by_class, at[:, :filled], shares[:, :filled])
+                            filled = 0
+                        inner, places = np.flatnonzero((y > 0) & (y <= SHAPES)), []
+                        one, z = choices(b, b["codes"][own[inner]], features[:, inner], stats["odds"], model["ways"], places)
+                        parted = np.flatnonzero(~np.isnan(z))
+                        p = 1 / (1 + np.exp(-z.take(parted)))
+                        now = slice(made, made + len(parted))
+                        left[now], wide[now], made = one.take(parted) - p, p * (1 - p), now.stop
+                        for way, place in zip(ways, places):
+                            way[now] = place.take(parted)
+                        if made >= CHOSEN:
+                            add_ways()
+                            made = 0
+        add_rows(due_by_class, at[:, :filled], shares[:, :filled])
+        if made:
+            add_ways()
         due += due_by_class.T
         for at in range(0, width, TABLE_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array([at]), task, pa.array([np.concatenate([seen[at: at + TABLE_ROWS].astype(float), due[at: at + TABLE_ROWS]]).tobytes()], pa.binary())], names=["at", "task", "sums"])
+            yield sums_row(at, np.concatenate([seen[at: at + TABLE_ROWS].astype(float), rounded(due[at: at + TABLE_ROWS])]))
         for at in range(0, len(off), TABLE_WAYS):
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - at]), task, pa.array([np.concatenate([off[at: at + TABLE_WAYS], swing[at: at + TABLE_WAYS]]).tobytes()], pa.binary())], names=["at", "task", "sums"])
+            yield sums_row(-1 - at, rounded(np.concatenate([off[at: at + TABLE_WAYS], swing[at: at + TABLE_WAYS]])))
 
     seen, due = np.zeros((2, width, CLASSES))
     off, swing = np.zeros((2, BRANCHES))
     for at, sums in added(coded, run):
         if at < 0:
-            off[-1 - at:][:TABLE_WAYS], swing[-1 - at:][:TABLE_WAYS] = np.frombuffer(sums).reshape(2, -1)
+            off[-1 - at:][:TABLE_WAYS], swing[-1 - at:][:TABLE_WAYS] = sums.reshape(2, -1)
             continue
-        part = np.frombuffer(sums).reshape(2, -1, CLASSES)
+        part = sums.reshape(2, -1, CLASSES)
         seen[at: at + part.shape[1]], due[at: at + part.shape[1]] = part
     return seen, due, off, swing
 
@@ -438,7 +448,8 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
                 log = np.empty(len(b["codes"]))
                 for own, features in slices(b, np.ones(len(b["held"]), bool)):
                     code = b["codes"][own]
-                    log[own] = class_scores(model["weights"], model["bias"], features)[np.arange(len(own)), b["classes"][code]] + word[code]
+                    z, _, total = class_odds(model["weights"], model["bias"], features)
+                    log[own] = z[b["classes"][code], np.arange(len(own))] - np.log(total) + word[code]
                     down = np.flatnonzero(inner[code])
                     log[own[down]] += way_scores(b, code[down], features[:, down], stats["odds"], model["ways"])
                 head = np.cumsum(b["lengths"]) - b["lengths"]

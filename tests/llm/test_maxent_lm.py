@@ -123,3 +123,44 @@ def test_blocks_are_stored_small_and_totals_read_no_codes(spark):
     assert 0 < sum(len(r["codes"]) for r in coded.collect()) < 4 * tokens / 2
     words = coded.join(m.word_counts(coded), "block")
     assert m.totals(words.select("hashes", "shapes", "counts", "firsts"))["n"] == m.totals(words)["n"] > 0
+
+
+def test_sums_that_tasks_send_follow_their_documents(spark, monkeypatch):
+    """A round's tables have a fixed number of places; what a task sends of them is as small as its part of the corpus."""
+    coded = m.word_blocks(cases.frame(spark, data(), 1))
+    coded = m.materialize(coded.join(m.word_counts(coded), "block"), "coded")
+    stats, sent = m.totals(coded), []
+    summed = m.added
+
+    def added(coded, run):
+        sent.append(sum(len(r["sums"]) for r in coded.coalesce(1).mapInArrow(run, m.SUMS).collect()))
+        return summed(coded, run)
+
+    monkeypatch.setattr(m, "added", added)
+    model = {"weights": np.zeros((m.FEATURES, m.CLASSES), np.float32), "bias": np.zeros(m.CLASSES, np.float32), "ways": np.zeros(m.BRANCHES, np.float32)}
+    seen, due, off, swing = m.gather(coded, stats, model, 0)
+    assert sent[0] < 16 * (m.BRANCHES + (m.FEATURES + 1) * m.CLASSES) / 4
+    blocks = [b for batch in coded.toArrow().to_batches() for b in m.unpack(batch, stats)]
+    tokens = sum(b["lengths"][~b["held"] & (np.arange(len(b["held"])) % m.ROUNDS == 0)].sum() for b in blocks)
+    assert seen[-1].sum() == tokens > 0 and seen[:-1].sum() == 3 * tokens
+    assert np.allclose(due[-1], tokens / m.CLASSES) and np.isclose(due[:-1].sum(), 3 * tokens) and off.any() and swing.min() == 0 < swing.max()
+
+
+def test_slices_and_sums_equal_one_by_one(monkeypatch):
+    monkeypatch.setattr(m, "SLICE", 7)
+    rng = np.random.default_rng(6)
+    lengths = np.array([1, 9, 1, 1, 20, 2, 3], np.int32)
+    b = {"lengths": lengths, "codes": rng.integers(0, 5, lengths.sum()).astype(np.int32), "hashes": rng.integers(0, 2**63, 5).astype(np.uint64)}
+    begins = np.isin(np.arange(lengths.sum()), np.cumsum(lengths) - lengths)
+    every = m.histories(b["hashes"][b["codes"]], begins)
+    for chosen in (np.ones(7, bool), np.array([False, True, False, True, True, False, True]), np.zeros(7, bool)):
+        parts = list(m.slices(b, chosen))
+        own = np.concatenate([np.zeros(0, int), *[o for o, _ in parts]])
+        assert own.tolist() == np.flatnonzero(np.repeat(chosen, lengths)).tolist()
+        assert all((f == every[:, o]).all() for o, f in parts)
+    at, rows, into = rng.integers(0, 4, (3, 50)), rng.random((6, 50)).astype(np.float32), np.zeros((6, 4))
+    m.add_rows(into, at, rows)
+    want = np.zeros((6, 4))
+    for line in at:
+        np.add.at(want.T, line, rows.T)
+    assert np.allclose(into, want)
