@@ -26,10 +26,10 @@ finite. An empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -45,14 +45,14 @@ DEPTH = 12  # bits of a word's hash that lead down the tree of its class
 ROUNDS, RATE, CALM, SHARE = 4, 0.5, 4.0, 0.6
 BLOCK_BYTES = 12 << 20
 PART_BYTES = 16 << 20  # stored input of one file of coded blocks
-GATHERED, CHOSEN = 1 << 17, 1 << 21  # tokens whose class shares, and tree choices that are added up at once
+GATHERED, CHOSEN = 1 << 17, 1 << 22  # tokens whose class shares, and tree choices that are added up at once
 WORD_ROWS = 65_536
 TASK_SUMS = 64  # tables of sums that are added at once
-SLICE = 1 << 13  # tokens scored at once, so that what a step makes of them stays in the cache
+SLICE = 1 << 12  # tokens scored at once, so that what a step makes of them stays in the cache
+BIAS_SLICES = 8  # slices whose class shares are added in 32 bits
 TABLE_WAYS = 1 << 14  # tree weights per row
 TABLE_ROWS = 512  # features per row when gradients are added
 NEAR_ENDS = np.array([chr(c) in ".,;:!?|)" for c in range(256)])
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLOCK = "block bigint, doc_id array<bigint>, held array<boolean>, lengths binary, codes binary, hashes binary, checks binary, shapes binary, n binary"
 SUMS = "at bigint, task int, sums binary"
 
@@ -66,33 +66,31 @@ def word_blocks(docs: DataFrame) -> DataFrame:
         def flush():
             nonlocal made
             block, made = (TaskContext.get().partitionId() << 20) + made, made + 1
-            flat = np.concatenate(codes)
-            n = np.bincount(flat[np.repeat(~np.array(held, bool), lengths)], minlength=len(code))
-            digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, code)), "<u8").reshape(-1, 2)
-            arrays = [np.array(lengths, np.int32), flat.astype(np.int32), digests[:, 0], digests[:, 1].astype(np.uint32), shapes(list(code)), n.astype(np.int64)]
+            coded = pa.chunked_array(words).dictionary_encode().chunks  # numbered as they come; no chunk without words
+            local = [b"", *(coded[0].dictionary.cast(pa.binary()).to_pylist() if coded else [])]  # the end of a document is word 0
+            lengths = np.concatenate(counts) + 1
+            flat, inner = np.zeros(lengths.sum(), np.int32), np.ones(lengths.sum(), bool)
+            inner[np.cumsum(lengths) - 1] = False
+            flat[inner] = np.concatenate([np.zeros(0, np.int32), *[c.indices.to_numpy() for c in coded]]) + 1
+            n = np.bincount(flat[np.repeat(~np.array(held, bool), lengths)], minlength=len(local))
+            digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, local)), "<u8").reshape(-1, 2)
+            arrays = [lengths.astype(np.int32), flat, digests[:, 0], digests[:, 1].astype(np.uint32), shapes(local), n.astype(np.int64)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), *[pa.array([squeezed(v)], pa.binary()) for v in arrays]],
                 names=["block", "doc_id", "held", "lengths", "codes", "hashes", "checks", "shapes", "n"])
 
-        code: defaultdict = defaultdict()
-        code.default_factory = code.__len__
-        ids, held, lengths, codes, size = [], [], [], [], 0
-        code[b""]  # the end of a document is word 0
+        ids, held, words, counts, size = [], [], [], [], 0
         for batch in batches:
             for rows, texts in pieces(batch):
                 ids += rows["doc_id"].to_pylist()
                 held += rows["held_out"].to_pylist()
-                for text in texts:
-                    words = text.translate(LOWER).split()
-                    lengths.append(len(words) + 1)
-                    codes.append(np.fromiter(map(code.__getitem__, words), np.int32, len(words)))
-                    codes.append(np.zeros(1, np.int32))
-                    size += len(text)
+                own, count = split(rows["text"])
+                words.append(own)
+                counts.append(count)
+                size += sum(map(len, texts))
                 if size >= BLOCK_BYTES:
                     yield flush()
-                    code.clear()
-                    code[b""]
-                    ids, held, lengths, codes, size = [], [], [], [], 0
+                    ids, held, words, counts, size = [], [], [], [], 0
         if ids:
             yield flush()
 
@@ -101,6 +99,15 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, BLOCK)
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts (null: none) one after the other, A-Z lower-cased, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words, stop = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    some = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves an empty one
+    before = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    return words.filter(some), np.diff(before[stop], prepend=0)
+
+
 def squeezed(v: np.ndarray) -> bytes:
     """An array as compressed planes of its bytes behind its length: a block's row is a third as large on its way through Spark."""
     planes = np.ascontiguousarray(np.ascontiguousarray(v).view(np.uint8).reshape(len(v), v.itemsize).T)
@@ -273,21 +280,23 @@ def slices(b: dict, chosen: np.ndarray):
         yield own, histories(b["hashes"][codes[reach]], begins[reach])[:, at - low:]
 
 
-def class_odds(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By class and token the logits below the token's greatest one and their exponentials, and the sum of these; numpy reduces short rows slowly."""
+def class_logs(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Log-probabilities by class and token; numpy reduces short rows slowly."""
     z = weights.take(features[0], axis=0)
     z += weights.take(features[1], axis=0)
     z += weights.take(features[2], axis=0)
     z = np.add(z.T, bias[:, None], order="C")
     z -= z.max(0)
     e = np.exp(z)
-    return z, e, e.sum(0)
+    e = e[:8] + e[8:16] + e[16:24] + e[24:]  # added as numpy adds a row, which the last digits of a score depend on
+    e = e[::2] + e[1::2]
+    z -= np.log((e[0] + e[1]) + (e[2] + e[3]))
+    return z
 
 
 def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Log-probabilities of the classes for each token."""
-    z, _, total = class_odds(weights, bias, features)
-    return (z - np.log(total)).T
+    return class_logs(weights, bias, features).T
 
 
 def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
@@ -345,7 +354,8 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
         seen, due = empty_sums()
         off, swing = np.zeros((2, BRANCHES if model else 0))
         due_by_class = np.zeros((CLASSES, width))
-        at, shares, filled = np.empty((3, GATHERED), np.int64), np.empty((CLASSES, GATHERED), np.float32), 0
+        some = np.zeros(CLASSES, np.float32)
+        rows, shares, filled = np.empty((3, GATHERED), np.int64), np.empty((CLASSES, GATHERED), np.float32), 0
         room = CHOSEN + SLICE * DEPTH
         ways, left, wide, made = np.empty((3, room), np.int32), np.empty(room, np.float32), np.empty(room, np.float32), 0
 
@@ -360,19 +370,21 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
             for b in unpack(batch, stats):
                 chosen = ~b["held"] & ((np.arange(len(b["held"])) % ROUNDS == turn) if model else True)
                 target = np.where(b["counts"] <= 2, 0, b["classes"])  # as if the token itself had not been counted
-                for own, features in slices(b, chosen):
+                for at, (own, features) in enumerate(slices(b, chosen)):
                     y = target[b["codes"][own]].astype(np.int64)
                     for f in features:
                         np.add.at(seen.reshape(-1), f * CLASSES + y, np.ones(len(y), np.int64))
                     seen[-1] += np.bincount(y, minlength=CLASSES)
                     if model:
-                        _, p, total = class_odds(model["weights"], model["bias"], features)
-                        p /= total
-                        due[-1] += p.sum(1, dtype=float)
+                        p = np.exp(class_logs(model["weights"], model["bias"], features))
+                        if at % BIAS_SLICES == 0:
+                            due[-1] += some
+                            some = np.zeros(CLASSES, np.float32)
+                        some = np.concatenate([some[None], np.ascontiguousarray(p.T)]).sum(0)  # one token after the other
                         now = slice(filled, filled + len(own))
-                        at[:, now], shares[:, now], filled = features, p, now.stop
+                        rows[:, now], shares[:, now], filled = features, p, now.stop
                         if filled > GATHERED - SLICE:
-                            add_rows(due_by_class, at[:, :filled], shares[:, :filled])
+                            add_rows(due_by_class, rows[:, :filled], shares[:, :filled])
                             filled = 0
                         inner, places = np.flatnonzero((y > 0) & (y <= SHAPES)), []
                         one, z = choices(b, b["codes"][own[inner]], features[:, inner], stats["odds"], model["ways"], places)
@@ -385,7 +397,8 @@ def gather(coded: DataFrame, stats: dict, model: dict | None, turn: int) -> tupl
                         if made >= CHOSEN:
                             add_ways()
                             made = 0
-        add_rows(due_by_class, at[:, :filled], shares[:, :filled])
+        add_rows(due_by_class, rows[:, :filled], shares[:, :filled])
+        due[-1] += some
         if made:
             add_ways()
         due += due_by_class.T
@@ -448,8 +461,7 @@ def score(coded: DataFrame, model: dict, stats: dict) -> DataFrame:
                 log = np.empty(len(b["codes"]))
                 for own, features in slices(b, np.ones(len(b["held"]), bool)):
                     code = b["codes"][own]
-                    z, _, total = class_odds(model["weights"], model["bias"], features)
-                    log[own] = z[b["classes"][code], np.arange(len(own))] - np.log(total) + word[code]
+                    log[own] = class_logs(model["weights"], model["bias"], features)[b["classes"][code], np.arange(len(own))] + word[code]
                     down = np.flatnonzero(inner[code])
                     log[own[down]] += way_scores(b, code[down], features[:, down], stats["odds"], model["ways"])
                 head = np.cumsum(b["lengths"]) - b["lengths"]

@@ -164,3 +164,19 @@ def test_slices_and_sums_equal_one_by_one(monkeypatch):
     for line in at:
         np.add.at(want.T, line, rows.T)
     assert np.allclose(into, want)
+
+
+def test_words_are_split_at_ascii_white_space_only():
+    texts = [None, "", " \t\n\x0b\x0c\r ", "A b", " ÀB\x1c\x85x  y\n", "　\xa0", "Z" * 5000, "\x00 \x7f\x1fz"]
+    own, n = m.split(pa.array(texts))
+    want = [WORD.findall((t or "").translate(LOWER)) for t in texts]
+    assert n.tolist() == [len(w) for w in want] and own.to_pylist() == [x for w in want for x in w]
+    own, n = m.split(pa.array(texts).slice(3, 2))
+    assert n.tolist() == [len(w) for w in want[3:5]] and own.to_pylist() == want[3] + want[4]
+    assert m.split(pa.array([], pa.string()))[1].tolist() == []
+
+
+def test_only_empty_texts(spark, tmp_path):
+    rows = [(i, t, "en", "s", 1, *cases.EXTRA) for i, t in ((1, None), (2, ""), (3, " \n"))]
+    got = m.op10_maxent_lm(spark, cases.folder(spark, tmp_path, documents=cases.frame(spark, rows, 2))).collect()
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == [(1, 1), (2, 1), (3, 1)] and all(math.isfinite(r["score"]) for r in got)
