@@ -16,7 +16,7 @@ Three ways to bring blocks together:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,10 @@ BASE_ROWS = 4096
 QUERY_ROWS = 1024
 BLOCKS_PER_TASK = 16
 VOCAB_COLUMNS = 2048
+DENSE_COLUMNS = 256
+STRIP_CELLS = 1024 * 1024  # costs held at a time in single precision, so that they stay in a core's cache
+PADDED_CELLS = 4 * 1024 * 1024
+MANY_GROUPS = 64
 SEED_TASKS = 128
 MAXSIM_QUERY_ELEMENTS = 1024
 MAXSIM_BASE_ELEMENTS = 8192
@@ -134,6 +138,46 @@ def unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, 1.0, norms)[:, None]
 
 
+@dataclass(frozen=True)
+class Factors:
+    """Two matrices in single precision whose product is the cost of all pairs, over ``scale``.
+
+    A cost is off by at most the query's ``slack``. ``shared`` tells, for some queries, which pairs can be hits at all; the others cost 0.
+    """
+
+    q: np.ndarray
+    b: np.ndarray
+    scale: float
+    slack: np.ndarray
+    shared: Callable[[np.ndarray], np.ndarray] | None = None
+
+
+def single(left: np.ndarray, right: np.ndarray, size: np.ndarray, shared=None) -> Factors | None:
+    """Factors of ``left @ right.T``; nothing where numbers are missing, endless or all zero.
+
+    ``size`` bounds half the sum of a query's absolute terms. A sum of n terms in single precision is off by n roundings of that, and two for
+    the terms' own; what falls below the least number of that precision is within the share of the scale.
+    """
+    a, c = np.abs(left).max(initial=0.0), np.abs(right).max(initial=0.0)
+    scale = a * c
+    if not (0 < a < np.inf and 0 < c < np.inf and 0 < scale < np.inf and np.isfinite(size).all()):
+        return None
+    slack = 1.5 * np.finfo(np.float32).eps * (left.shape[1] + 8) * (size / scale) + 1e-30
+    return Factors((left / a).astype(np.float32), (right / c).astype(np.float32), float(scale), slack, shared)
+
+
+def dense_factors(q: np.ndarray, b: np.ndarray, metric: str) -> Factors | None:
+    """Squared L2 distances or negative inner products; both norms ride along as two more columns."""
+    if metric == "l2":
+        q, b = centred(q, b)
+    own, other = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", b, b)
+    if metric != "l2":
+        return single(-q, b, np.sqrt(own * _top(other)))
+    left = np.concatenate([-2.0 * q, own[:, None], np.ones((len(q), 1))], axis=1)
+    right = np.concatenate([b, np.ones((len(b), 1)), other[:, None]], axis=1)
+    return single(left, right, own + _top(other))
+
+
 class Kernel:
     """Scores a base block against a query block. Lower cost is better; infinity is no hit."""
 
@@ -146,7 +190,11 @@ class Kernel:
     def costs(self, q, b) -> np.ndarray:
         raise NotImplementedError
 
-    def exact(self, q, b, qi: np.ndarray, bi: np.ndarray, costs: np.ndarray) -> np.ndarray:
+    def factors(self, q, b) -> Factors | None:
+        """What finds candidates without the matrix of ``costs``, for kernels whose ``exact`` needs none."""
+        return None
+
+    def exact(self, q, b, qi: np.ndarray, bi: np.ndarray, costs: np.ndarray | None) -> np.ndarray:
         """Final cost of chosen pairs; the default trusts ``costs``."""
         return costs[qi, bi]
 
@@ -162,10 +210,10 @@ class Kernel:
 class DenseKernel(Kernel):
     """L2, inner product or cosine on float vectors.
 
-    One matrix product picks candidates with slack; candidates are scored again directly because
+    One matrix product in single precision picks candidates with slack; candidates are scored again directly because
     the expanded form loses digits to cancellation and its rounding depends on the position. For L2
-    both sides are moved to the block's mean first, and the slack follows the largest norms, so
-    vectors far from the origin lose no neighbour.
+    both sides are moved to the block's mean first, and the slack follows the norms, so
+    vectors far from the origin lose no neighbour. Numbers out of reach of single precision take ``costs``.
     """
 
     def __init__(self, metric: str):
@@ -182,6 +230,11 @@ class DenseKernel(Kernel):
             return -(q @ b.T)
         return squared_distances(q, b)
 
+    def factors(self, q, b):
+        if q.shape[1] != b.shape[1]:
+            raise ValueError("query and base vectors differ in length")
+        return dense_factors(q, b, self.metric)
+
     def slack(self, q, b, costs):
         if self.metric == "l2":
             q, b = centred(q, b)
@@ -371,11 +424,53 @@ class SparseKernel(Kernel):
 
     positive = False
 
-    def load(self, batch, query):
+    def entries(self, batch):
         keys, values = batch.column("keys"), batch.column("values")
         rows = pc.list_parent_indices(keys).to_numpy(zero_copy_only=False).astype(np.int64)
         return batch.num_rows, rows, keys.flatten(), values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
 
+    def load(self, batch, query):
+        """The entries, and of a block of few keys its keys in order with the rows as a matrix."""
+        n, row, keys, values = self.entries(batch)
+        vocab = pc.unique(keys)
+        if not 0 < len(vocab) <= DENSE_COLUMNS or vocab.null_count:
+            return n, row, keys, values, None
+        vocab = vocab.take(pc.sort_indices(vocab))
+        code = pc.index_in(keys, value_set=vocab).to_numpy(zero_copy_only=False).astype(np.int64)
+        return n, row, keys, values, (vocab, _spread(n, row, code, values, 0, len(vocab)))
+
+    def common(self, q, b) -> tuple[np.ndarray, np.ndarray] | None:
+        """Both matrices over the keys that both blocks have, in the order of the keys."""
+        if q[4] is None or b[4] is None:
+            return None
+        (own, qm), (other, bm) = q[4], b[4]
+        if own.equals(other):
+            return qm, bm
+        at = pc.index_in(own, value_set=other)
+        return qm[:, pc.is_valid(at).to_numpy(zero_copy_only=False)], bm[:, pc.drop_null(at).to_numpy(zero_copy_only=False)]
+
+    def factors(self, q, b):
+        both = self.common(q, b)
+        if both is None:
+            return None
+        qm, bm = both
+        own, other = np.einsum("ij,ij->i", qm, qm), np.einsum("ij,ij->i", bm, bm)
+
+        def shared(rows: np.ndarray) -> np.ndarray:
+            return (qm[rows] != 0).astype(np.float32) @ (bm != 0).astype(np.float32).T > 0
+
+        return single(-qm, bm, np.sqrt(own * _top(other)), shared)
+
+    def exact(self, q, b, qi, bi, costs):
+        """Products added one by one in the order of the keys: keys that a row lacks change no digit, whatever block it lies in."""
+        if costs is not None:
+            return costs[qi, bi]
+        qm, bm = self.common(q, b)
+        out = np.empty(len(qi))
+        for s in range(0, len(qi), 65536):
+            out[s : s + 65536] = -np.cumsum(qm[qi[s : s + 65536]] * bm[bi[s : s + 65536]], axis=1)[:, -1]
+        return out
+
     def weigh(self, entries: np.ndarray, b) -> np.ndarray:
         return entries
 
@@ -409,13 +504,16 @@ class TermKernel(SparseKernel):
 
     def load(self, batch, query):
         if query:
-            return super().load(batch, True)
+            return self.entries(batch)
         keys = batch.column("keys")
         rows = pc.list_parent_indices(keys).to_numpy(zero_copy_only=False).astype(np.int64)
         tf = batch.column("tf").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         rel = batch.column("rel_length").to_numpy(zero_copy_only=False)
         return batch.num_rows, rows, keys.flatten(), tf, rel
 
+    def factors(self, q, b):
+        return None
+
     def weigh(self, entries, b):
         norm = self.k1 * (1 - self.b + self.b * b[4])
         return entries * (self.k1 + 1) / (entries + norm[:, None])
@@ -454,7 +552,109 @@ def _candidates(costs, k, tau, groups, eps):
     return np.nonzero(mask)
 
 
-def _most(limit: np.ndarray, eps: float) -> np.ndarray:
+def _up(limit: np.ndarray) -> np.ndarray:
+    """Limits in single precision, no lower than they were."""
+    with np.errstate(over="ignore"):
+        return np.nextafter(limit.astype(np.float32), np.float32(np.inf))
+
+
+def _below(costs: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of costs within their row's limit, which are few among many."""
+    near = (costs <= limit[:, None]).ravel()
+    if len(near) % 8 == 0:
+        words = np.flatnonzero(near.view(np.uint64))
+        if len(words) * 16 < len(near):
+            at = (words[:, None] * 8 + np.arange(8)).ravel()
+            return np.divmod(at[near[at]], costs.shape[1])
+    return np.divmod(np.flatnonzero(near), costs.shape[1])
+
+
+def _kth(costs: np.ndarray, k: int) -> np.ndarray:
+    """The k-th least value of each row; endless where there are fewer."""
+    return np.partition(costs, k - 1, axis=1)[:, k - 1].astype(np.float64) if costs.shape[1] >= k else np.full(len(costs), np.inf)
+
+
+def _near_pairs(f: Factors, k: int, tau: np.ndarray, groups: np.ndarray | None, held: np.ndarray | None):
+    """Positions of a block that may belong to the answer, ordered by query; ``None`` where single precision tells too few apart.
+
+    ``tau`` bounds the k-th cost (or the best cost of the k-th group) of a query, ``held`` its best cost of each group of the block.
+    """
+    n, many = len(f.q), len(f.b)
+    order = np.arange(many)
+    starts, right = None, f.b
+    if groups is not None:
+        order = np.argsort(groups, kind="stable")
+        starts = np.flatnonzero(np.diff(groups[order], prepend=-1))
+        sizes, right = np.diff(np.append(starts, many)), f.b[order]
+    few_groups = starts is not None and 16 * len(starts) <= many
+    rows = max(8, STRIP_CELLS // max(1, many))
+    buffer = np.empty((min(rows, n), many), np.float32)
+    found, total = [], 0
+    for s in range(0, n, rows):
+        e = min(n, s + rows)
+        costs, slack = np.matmul(f.q[s:e], right.T, out=buffer[: e - s]), f.slack[s:e]
+        bound = _most(tau[s:e] / f.scale, slack)
+        if groups is None:
+            qi, bi = _near_rows(costs, k, bound, slack, f.shared and (lambda at: f.shared(s + at)))
+        elif few_groups:
+            own = None if held is None else _most(held[s:e] / f.scale, slack[:, None])
+            qi, bi = _near_groups(costs, k, bound, slack, starts, sizes, own)
+        else:
+            # rows below the k-th group's best cost are few, once that is known
+            qi, bi = _below(costs, _up(np.where(np.isfinite(bound), bound, -np.inf)))
+            loose = np.flatnonzero(~np.isfinite(bound) | (np.bincount(qi, minlength=e - s) > 16 * k))
+            if len(loose):
+                keep = ~np.isin(qi, loose)
+                gi, gb = _near_groups(costs[loose], k, bound[loose], slack[loose], starts, sizes, None)
+                qi, bi = np.concatenate([qi[keep], loose[gi]]), np.concatenate([bi[keep], gb])
+                sort = np.argsort(qi, kind="stable")
+                qi, bi = qi[sort], bi[sort]
+        total += len(qi)
+        if total > 64 * k * (e + rows):
+            return None
+        found.append((qi + s, order[bi]))
+    return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+
+def _near_rows(costs: np.ndarray, k: int, bound: np.ndarray, slack: np.ndarray, shared) -> tuple[np.ndarray, np.ndarray]:
+    open_ = np.flatnonzero(~np.isfinite(bound))
+    if len(open_):
+        bound[open_] = _most(_kth(costs if len(open_) == len(costs) else costs[open_], k), slack[open_])
+    if shared is not None:
+        loose = np.flatnonzero(bound >= 0)  # pairs that share nothing come before the k-th here
+        if len(loose):
+            costs[loose] = np.where(shared(loose), costs[loose], np.inf)
+            bound[loose] = np.minimum(bound[loose] if not len(open_) else np.where(np.isin(loose, open_), np.inf, bound[loose]),
+                                      _most(_kth(costs[loose], k), slack[loose]))
+    qi, bi = _below(costs, _up(bound))
+    # the k-th best of a row matters only where the bound leaves much more than k
+    many = np.flatnonzero(np.bincount(qi, minlength=len(costs)) > 4 * k)
+    many = many[~np.isin(many, open_)]
+    if len(many):
+        bound[many] = np.minimum(bound[many], _most(_kth(costs[many], k), slack[many]))
+        keep = costs[qi, bi] <= _up(bound)[qi]
+        qi, bi = qi[keep], bi[keep]
+    hit = costs[qi, bi] < np.inf
+    return qi[hit], bi[hit]
+
+
+def _near_groups(costs: np.ndarray, k: int, bound: np.ndarray, slack: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
+                 held: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows near the best one of their group, of groups near the k-th best; ``costs`` come group by group."""
+    best = np.minimum.reduceat(costs, starts, axis=1)
+    if best.shape[1] > k:
+        bound = np.minimum(bound, _most(_kth(best, k), slack))
+    limit = bound[:, None] if held is None else np.minimum(bound[:, None], held)
+    gq, g = np.nonzero(best <= _up(limit))
+    size = sizes[g]
+    pair = np.repeat(np.arange(len(g)), size)
+    at = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + starts[g][pair]
+    qi = gq[pair]
+    keep = costs[qi, at] <= _up(_most(best[gq, g].astype(np.float64), slack[gq]))[pair]
+    return qi[keep], at[keep]
+
+
+def _most(limit: np.ndarray, eps: float | np.ndarray) -> np.ndarray:
     """The k-th value and the compared one may both be off; a bound from outside is rounded as well."""
     return limit + 1e-12 * np.abs(np.where(np.isfinite(limit), limit, 0.0)) + 2 * eps
 
@@ -469,67 +669,146 @@ def _rank_in_run(starts: np.ndarray) -> np.ndarray:
     return pos - np.maximum.accumulate(np.where(starts, pos, 0)) if len(starts) else pos
 
 
-def score_pair(kernel, q, b, base: pa.RecordBatch, k: int, tau: np.ndarray, keys, group=None, radius=None, members=None):
+def score_pair(kernel, q, b, base: pa.RecordBatch, k: int, tau: np.ndarray, keys, group=None, radius=None, members=None,
+               kept: Kept | None = None):
     """Best ``k`` rows (or best row of the best ``k`` groups) of one base block per query.
 
-    Returns (query positions, base positions, costs), ordered by query, cost and key.
+    Returns (query positions, base positions, costs), ordered by query, cost and key. Hits for a ``Kept``, which picks
+    the best by itself, are in the order of the queries only and may be more than ``k``.
     """
     if base.num_rows == 0 or len(tau) == 0:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    costs = kernel.costs(q, b)
-    if members is not None:
-        costs = np.where(members[None, :], costs, np.inf)
-    groups = None
+    groups = held = values = None
     if group is not None:
-        groups = base.column(group).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        encoded = base.column(group).dictionary_encode(null_encoding="encode")
+        groups, values = encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
+        held = kept.group_bounds(values) if kept is not None else None
     tau = tau if radius is None else np.minimum(tau, radius)
-    qi, bi = _candidates(costs, k, kernel.limit(tau), groups, kernel.slack(q, b, costs))
+    costs = found = None
+    if members is None and (factors := kernel.factors(q, b)) is not None:
+        found = _near_pairs(factors, k, kernel.limit(tau), groups, None if held is None else kernel.limit(held))
+    if found is None:
+        costs = kernel.costs(q, b)
+        if members is not None:
+            costs = np.where(members[None, :], costs, np.inf)
+        found = _candidates(costs, k, kernel.limit(tau), groups, kernel.slack(q, b, costs))
+    qi, bi = found
     cost = kernel.exact(q, b, qi, bi, costs)
     cost = cost + 0.0
     keep = cost <= tau[qi] if radius is None else (cost <= tau[qi]) & (cost < radius)
     qi, bi, cost = qi[keep], bi[keep], cost[keep]
+    if kept is not None:
+        if groups is not None:
+            kept.note_groups(values, qi, groups[bi], cost)
+        return qi, bi, cost
     table = pa.table({"q": qi, "cost": cost, **{f"k{i}": base.column(c).take(pa.array(bi)) for i, c in enumerate(keys)}})
     sort = [("q", "ascending"), ("cost", "ascending")] + [(f"k{i}", "ascending") for i in range(len(keys))]
     order = pc.sort_indices(table, sort_keys=sort).to_numpy()
     qi, bi, cost = qi[order], bi[order], cost[order]
     if groups is not None:
-        pair = qi.astype(np.int64) * (int(groups.max()) + 1) + groups[bi]
-        _, first = np.unique(pair, return_index=True)
-        first.sort()
+        first = _first_of_pairs(qi, groups[bi])
         qi, bi, cost = qi[first], bi[first], cost[first]
     keep = _rank_in_run(_first_per(qi)) < k
     return qi[keep], bi[keep], cost[keep]
 
 
+def _first_of_pairs(q: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """Positions where a query meets a group for the first time."""
+    pair = q.astype(np.int64) * (int(groups.max(initial=0)) + 1) + groups
+    _, first = np.unique(pair, return_index=True)
+    first.sort()
+    return first
+
+
+def k_least(q: np.ndarray, cost: np.ndarray, k: int, ties: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the ``k`` least costs of each query, by query, with the queries that have ``k`` and their k-th cost.
+
+    ``ties`` orders positions by query, cost and key; it is asked only about queries with more than one row at the k-th cost.
+    """
+    if not len(q):
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    order = np.argsort(q.astype(np.uint16) if q.max() < 65536 else q, kind="stable")
+    first = _first_per(q[order])
+    row, rank = np.cumsum(first) - 1, _rank_in_run(first)
+    own, size = q[order][first], np.bincount(row)
+    kth = np.full(len(own), np.inf)
+    full = np.flatnonzero(size >= k)
+    if len(full):
+        least, begin = cost[order], np.flatnonzero(first)
+        step = max(1, PADDED_CELLS // int(size.max()))
+        for s in range(0, len(own), step):
+            part = slice(begin[s], begin[s + step] if s + step < len(own) else len(row))
+            padded = np.full((min(step, len(own) - s), int(size[s : s + step].max())), np.inf)
+            padded[row[part] - s, rank[part]] = least[part]
+            kth[s : s + step] = _kth(padded, k)
+    keep = cost[order] <= kth[row]
+    crowded = np.bincount(row[keep], minlength=len(own)) > k
+    if crowded.any():
+        own_rows = order[keep & crowded[row]]
+        own_rows = own_rows[ties(own_rows)]
+        kept = own_rows[_rank_in_run(_first_per(q[own_rows])) < k]
+        at = np.concatenate([order[keep & ~crowded[row]], kept])
+    else:
+        at = order[keep]
+    return at, own[full], kth[full]
+
+
 class Kept:
-    """The best ``k`` hits of each query of a block among those added so far; ``tau`` is moved to the k-th cost."""
+    """The best ``k`` hits (or groups) of each query of a block among those added so far; ``tau`` is moved to the k-th cost."""
 
-    def __init__(self, k: int, keys: list[str], tau: np.ndarray):
-        self.k, self.order, self.tau = k, [("__q", "ascending"), ("cost", "ascending"), *[(c, "ascending") for c in keys]], tau
+    def __init__(self, k: int, keys: list[str], tau: np.ndarray, group: str | None = None):
+        self.k, self.keys, self.tau, self.group = k, keys, tau, group
         self.hits: list[pa.RecordBatch] = []
-        self.rows = 0
+        self.fresh = 0
+        self.group_at: dict = {}
+        self.best_of = np.full((len(tau), 0), np.inf)
+
+    def group_bounds(self, values: pa.Array) -> np.ndarray | None:
+        """Each query's best cost so far in each of some groups; only few groups are followed."""
+        names = values.to_pylist()
+        new = [v for v in names if v not in self.group_at]
+        if len(self.group_at) + len(new) > MANY_GROUPS:
+            return None
+        self.group_at.update({v: len(self.group_at) + i for i, v in enumerate(new)})
+        if new:
+            self.best_of = np.concatenate([self.best_of, np.full((len(self.tau), len(new)), np.inf)], axis=1)
+        return self.best_of[:, [self.group_at[v] for v in names]]
+
+    def note_groups(self, values: pa.Array, qi: np.ndarray, groups: np.ndarray, cost: np.ndarray) -> None:
+        names = values.to_pylist()
+        if len(qi) and all(v in self.group_at for v in names):
+            np.minimum.at(self.best_of, (qi, np.array([self.group_at[v] for v in names])[groups]), cost)
 
     def add(self, qi: np.ndarray, hits: pa.RecordBatch) -> None:
         self.hits.append(hits.append_column("__q", pa.array(qi.astype(np.int32))))
-        self.rows += hits.num_rows
-        if self.rows > 2 * self.k * len(self.tau):
-            self.hits = [self._best()]
-            self.rows = self.hits[0].num_rows
+        self.fresh += hits.num_rows
+        if 2 * self.fresh > self.k * len(self.tau):
+            self.hits, self.fresh = [self._best()], 0
 
     def _best(self) -> pa.RecordBatch:
         every = pa.Table.from_batches(self.hits).combine_chunks()
-        order = pc.sort_indices(every, sort_keys=self.order).to_numpy()
-        q = every.column("__q").to_numpy()[order]
-        at = _rank_in_run(_first_per(q))
-        own = order[at < self.k]
-        last = at == self.k - 1
-        self.tau[q[last]] = np.minimum(self.tau[q[last]], every.column("cost").to_numpy()[order[last]])
+        q, cost = every.column("__q").to_numpy(), every.column("cost").to_numpy()
+
+        def ordered(at: np.ndarray) -> np.ndarray:
+            names = ["__q", "cost", *self.keys]
+            return pc.sort_indices(every.select(names).take(pa.array(at)), sort_keys=[(c, "ascending") for c in names]).to_numpy()
+
+        if self.group is None:
+            own, full, kth = k_least(q, cost, self.k, ordered)
+        else:
+            order = ordered(np.arange(len(q)))
+            groups = every.column(self.group).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            order = order[_first_of_pairs(q[order], groups[order])]
+            rank = _rank_in_run(_first_per(q[order]))
+            own, last = order[rank < self.k], order[rank == self.k - 1]
+            full, kth = q[last], cost[last]
+        self.tau[full] = np.minimum(self.tau[full], kth)
         return every.take(pa.array(own)).combine_chunks().to_batches()[0]
 
     def give(self) -> Iterator[pa.RecordBatch]:
         if self.hits:
             yield self._best().drop_columns(["__q"])
-        self.hits, self.rows = [], 0
+        self.hits, self.fresh = [], 0
 
 
 def _held(loaded) -> int:
@@ -572,7 +851,7 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
     key_names, group_name = [f.name for f in keys], group.name if group else None
     base_names = [*key_names, *([group_name] if group else []), *[f.name for f in carry]]
     qid_name = qid.name
-    plain_bound = group is None and variants is None
+    plain_bound = variants is None
 
     def opened(raw: bytes):
         return prepared(decode(raw))
@@ -588,10 +867,10 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
             members = None
             if variants:
                 members = base.column(f"in_{number}").to_numpy(zero_copy_only=False).astype(bool)
-            qi, bi, cost = score_pair(kernel, q, b, base, size, tau, key_names, group_name, radius, members)
+            qi, bi, cost = score_pair(kernel, q, b, base, size, tau, key_names, group_name, radius, members, kept)
             if len(qi) == 0:
                 continue
-            if plain_bound:
+            if plain_bound and kept is None:
                 full = _rank_in_run(_first_per(qi)) == k - 1
                 tau[qi[full]] = np.minimum(tau[qi[full]], cost[full])
             cols = [query.column(qid_name).take(pa.array(qi))]
@@ -647,7 +926,7 @@ def score_blocks(pairs: DataFrame | SmallQueries | Grid, kernel: Kernel, k: int,
                     if side and sides is None:
                         sides = [prepared(query) for query in _cut(waiting, query_rows)]
                         # a query gives its best k rows once per part, however many blocks the part has
-                        sides = [(*s, Kept(k, key_names, s[2]) if plain_bound else None) for s in sides]
+                        sides = [(*s, Kept(k, key_names, s[2], group_name) if plain_bound else None) for s in sides]
                         waiting.clear()
                     waiting.append(decode(payload.as_buffer()))
                     if sides and sum(b.num_rows for b in waiting) >= base_rows:

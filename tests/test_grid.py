@@ -1,6 +1,7 @@
 """Searches whose query side fits no broadcast: the grid of tasks, and when cells give way to it."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +134,67 @@ def test_parts_follow_the_hits_they_keep():
     assert blocks.grid_shape(10**5, 10**5, 512, 12) == blocks.grid_shape(10**5, 10**5, 512, 12, 640) == (6, 6)
     few, many = blocks.grid_shape(6 * 10**5, 6 * 10**5, 512, 12, 5120)
     assert (few, many) == (2, 26)
+
+
+@pytest.mark.parametrize("many", [4, 120])
+def test_a_part_gives_each_query_its_best_groups_once(spark, sides, many):
+    """However many blocks and groups a part has, the hits of a grouped search are the best row of the best k groups."""
+    base, queries = sides
+    base = base.withColumn("g", F.when(F.col("id") % many == 2, None).otherwise(F.concat(F.lit("v"), (F.col("id") % many).cast("string"))))
+    pairs = blocks.pair_grid(base, queries, "id", "qid", (2, 3), base_rows=64, query_rows=32)
+    hits = blocks.score_blocks(pairs, blocks.DenseKernel("l2"), 3, [base.schema["id"]], queries.schema["qid"], base.schema["g"])
+    assert hits.count() == 2 * 3 * queries.count()
+    best = blocks.best_per(hits.withColumn("g", F.coalesce("g", F.lit("none"))), ["qid", "g"], 1, ["cost", "id"], "member")
+    got = sorted((r["qid"], r["rank"], r["id"], round(r["cost"], 9)) for r in blocks.best_per(best, ["qid"], 3, ["cost", "id"]).collect())
+    m = np.array([r["vector"] for r in base.orderBy("id").collect()])
+    for i in range(0, 300, 3):
+        seen, due = set(), []
+        for c, j in sorted((round(float(c), 9), j) for j, c in enumerate(np.sqrt(np.square(m - m[i]).sum(1)))):
+            if j % many not in seen and len(due) < 3:
+                seen.add(j % many)
+                due.append((i // 3, len(due) + 1, j, c))
+        assert [r for r in got if r[0] == i // 3] == due
+
+
+@pytest.mark.parametrize("scale,far", [(1.0, 0.0), (1e-30, 0.0), (1e30, 0.0), (1e100, 0.0), (1.0, 1e6)])
+def test_single_precision_loses_no_neighbour(scale, far):
+    rng = np.random.default_rng(2)
+    m = (rng.normal(size=(500, 8)) + far) * scale
+    m[:3] *= 1e-3
+    kernel, wide = blocks.DenseKernel("l2"), np.sqrt(np.square((m[:40, None] - m[None]) / scale).sum(2))
+    for k, groups in ((5, None), (3, np.arange(500) % 4), (3, np.arange(500) % 90)):
+        found = blocks.Kept(k, ["id"], np.full(40, np.inf), None if groups is None else "g")
+        for start in range(0, 500, 100):
+            names = pa.array([f"v{g}" for g in (groups if groups is not None else np.zeros(500, int))[start : start + 100]])
+            base = pa.RecordBatch.from_arrays([pa.array(np.arange(start, start + 100)), names, pa.array(m[start : start + 100].tolist())], names=["id", "g", "vector"])
+            qi, bi, cost = blocks.score_pair(kernel, m[:40], kernel.load(base, False), base, k, found.tau, ["id"], found.group, kept=found)
+            found.add(qi, pa.RecordBatch.from_arrays([base["id"].take(pa.array(bi)), base["g"].take(pa.array(bi)), pa.array(cost)], names=["id", "g", "cost"]))
+        hits = {(q, i) for b in [found._best()] for q, i in zip(b["__q"].to_pylist(), b["id"].to_pylist())}
+        due = set()
+        for q, row in enumerate(wide):
+            seen = set()
+            for j in np.lexsort((np.arange(500), row)):
+                group = j if groups is None else groups[j]
+                if group not in seen and len(seen) < k:
+                    seen.add(group)
+                    due.add((q, int(j)))
+        assert hits == due
+
+
+def test_sparse_blocks_of_few_keys_are_matrices(spark):
+    """Rows without a shared key are no hits, even where all others score below zero; copies cost the same in blocks of other keys."""
+    kernel = blocks.SparseKernel()
+
+    def block(rows):
+        return pa.RecordBatch.from_arrays([pa.array([sorted(r) for r in rows], pa.list_(pa.int32())), pa.array([[r[p] for p in sorted(r)] for r in rows], pa.list_(pa.float64())),
+                                           pa.array(range(len(rows)))], names=["keys", "values", "id"])
+
+    row = {1: 0.1, 3: 0.7, 4: 0.3, 9: 0.123456789}
+    q = kernel.load(block([row, {5: 1.0}, {1: 0.0, 7: 2.0}]), True)
+    base = block([{3: -1.0}, {5: -2.0}, {7: 1.5}, row, {1: -4.0}])
+    other = block([row, {0: 9.0, 2: 1.0, 6: 3.0}])
+    assert kernel.factors(q, kernel.load(base, False)) is not None
+    qi, bi, cost = blocks.score_pair(kernel, q, kernel.load(base, False), base, 9, np.full(3, np.inf), ["id"])
+    assert [(int(a), int(b)) for a, b in zip(qi, bi)] == [(0, 3), (0, 4), (0, 0), (1, 1), (2, 2)]
+    again = blocks.score_pair(kernel, q, kernel.load(other, False), other, 9, np.full(3, np.inf), ["id"])
+    assert again[2].tolist() == [cost[0]]
