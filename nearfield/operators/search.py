@@ -157,7 +157,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int, kernel: blocks.Kernel,
         kth = blocks.best_per(some, [qid], k, order).filter(F.col("rank") == k).select(qid, F.col("cost").alias("tau"))
         queries = materialize(queries.join(kth, qid, "left").withColumn("tau", F.coalesce("tau", F.lit(float("inf")))), "seeded")
     wide = widen(base) if volume[1] else base
-    pairs = pair(wide, queries, keys[0], qid, bytes_of, volume, strategy, base_rows, query_rows, 0 if group else k)
+    pairs = pair(wide, queries, keys[0], qid, bytes_of, volume, strategy, base_rows, query_rows, k)
     hits = blocks.score_blocks(pairs, kernel, k, **options)
     if group:
         hits = blocks.best_per(hits, [qid, group], 1, order, "__best").drop("__best")
