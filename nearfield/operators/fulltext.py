@@ -153,12 +153,86 @@ def bm25_weights(df: DataFrame, k1: float = 1.5, b: float = 0.75, *, id: str = "
     return joined.select(id, "term", (idf(F.lit(float(n)), F.col("df")) * saturated).alias("weight"))
 
 
+def document_terms(df: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
+    """``(id, doc_length, keys, tf)``: the distinct terms of each document with their counts, one row per document."""
+    schema = T.StructType([df.schema[id], T.StructField("doc_length", T.IntegerType()),
+                           T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("tf", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("tokens")
+            row = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+            terms = pc.dictionary_encode(tokens.flatten())
+            size = max(1, len(terms.dictionary))
+            pairs, tf = np.unique(row * size + terms.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            ends = pa.array(np.searchsorted(pairs, np.arange(batch.num_rows + 1) * size).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id), batch.column("doc_length"), pa.ListArray.from_arrays(ends, terms.dictionary.take(pa.array(pairs % size))),
+                 pa.ListArray.from_arrays(ends, pa.array(tf.astype(np.int64)))], names=schema.names)
+
+    return doc_tokens(df, id, text).select(id, "doc_length", "tokens").mapInArrow(run, schema)
+
+
+def _most_frequent(frequencies: DataFrame) -> int:
+    """The least document frequency of those terms, from the most frequent on, that may be sent to all tasks."""
+    sizes = frequencies.groupBy("df").agg(F.count(F.lit(1)).alias("n"), F.sum(_term_bytes()).alias("b")).orderBy(F.desc("df")).collect()
+    least, n, volume = 2**62, 0, 0
+    for r in sizes:
+        n, volume = n + r["n"], volume + r["b"]
+        if n > TERMS_SENT or volume > BROADCAST_BYTES:
+            break
+        least = r["df"]
+    return least
+
+
 def bm25_encode(df: DataFrame, k1: float = 1.5, b: float = 0.75, *, id: str = "id", text: str = "text",
                 into: str = "sparse") -> DataFrame:
-    """Add the sparse BM25 vector ``map<term id, weight>``; the term id is the term's 64-bit hash."""
-    weights = bm25_weights(df, k1, b, id=id, text=text)
-    entry = F.struct(F.xxhash64("term").alias("t"), F.col("weight").alias("w"))
-    vectors = weights.groupBy(id).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(into))
+    """Add the sparse BM25 vector ``map<term id, weight>``; the term id is the term's 64-bit hash.
+
+    The texts are read once. The most frequent terms, which are most of all postings, are weighed where the documents
+    lie; only postings of the other terms, none of which is hot, are shuffled to meet their frequency.
+    """
+    counted = materialize(document_terms(df, id, text), "document-terms")
+    n, total = counted.agg(F.count(F.lit(1)), F.sum("doc_length")).first()
+    average = float(total / n if total else 1)
+    frequencies = materialize(counted.select(F.explode("keys").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
+    least = _most_frequent(frequencies)
+    weighted = frequencies.select("term", "df", F.xxhash64("term").alias("t"), idf(F.lit(float(n)), F.col("df")).alias("idf"))
+    sent = weighted.filter(F.col("df") >= least).select("term", "t", "idf").toPandas()
+    held = df.sparkSession.sparkContext.broadcast((sent["term"].tolist(), sent["t"].to_numpy(np.int64), sent["idf"].to_numpy(np.float64)))
+    entry = T.StructType([T.StructField("t", T.LongType()), T.StructField("w", T.DoubleType())])
+    dense = T.StructType([df.schema[id], T.StructField("entries", T.ArrayType(entry))])
+    sparse = T.StructType([df.schema[id], T.StructField("term", T.StringType()), T.StructField("saturated", T.DoubleType())])
+
+    def coded(batch: pa.RecordBatch, words: pa.Array):
+        """Row, term, code (null: not sent) and saturated count of each posting."""
+        keys, length = batch.column("keys"), batch.column("doc_length").to_numpy()
+        row = pc.list_parent_indices(keys).to_numpy(zero_copy_only=False).astype(np.int64)
+        terms, tf = keys.flatten(), batch.column("tf").flatten().to_numpy(zero_copy_only=False)
+        return row, terms, pc.index_in(terms, value_set=words), tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[row] / average))
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, hashes, weights = pa.array(held.value[0], pa.string()), held.value[1], held.value[2]
+        for batch in batches:
+            row, _, code, saturated = coded(batch, words)
+            own = pc.is_valid(code).to_numpy(zero_copy_only=False)
+            row, code, saturated = row[own], pc.drop_null(code).to_numpy(zero_copy_only=False), saturated[own]
+            order = np.lexsort((hashes[code], row))
+            code, ends = code[order], pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
+            found = pa.StructArray.from_arrays([pa.array(hashes[code]), pa.array(weights[code] * saturated[order])], names=["t", "w"])
+            yield pa.RecordBatch.from_arrays([batch.column(id), pa.ListArray.from_arrays(ends, found)], names=dense.names)
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(held.value[0], pa.string())
+        for batch in batches:
+            row, terms, code, saturated = coded(batch, words)
+            at = pa.array(np.flatnonzero(~pc.is_valid(code).to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([batch.column(id).take(pa.array(row).take(at)), terms.take(at), pa.array(saturated).take(at)], names=sparse.names)
+
+    rare = counted.mapInArrow(others, sparse).join(weighted.filter(F.col("df") < least).select("term", "t", "idf"), "term")
+    rare = rare.select(id, F.array(F.struct("t", (F.col("idf") * F.col("saturated")).alias("w"))).alias("entries"))
+    every = F.array_sort(F.flatten(F.collect_list("entries")))
+    vectors = counted.mapInArrow(frequent, dense).unionByName(rare).groupBy(id).agg(F.map_from_entries(every).alias(into))
     empty = F.create_map().cast("map<bigint,double>")
     return df.join(vectors, id, "left").withColumn(into, F.coalesce(into, empty))
 

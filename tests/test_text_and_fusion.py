@@ -147,3 +147,20 @@ def test_request_mappings_run(spark):
     assert fusion.run_hybrid_request(base, both, None, 2).count() == 4
     with pytest.raises(ValueError):
         fusion.run_hybrid_request(base, [], None, 2)
+
+
+def test_bm25_encode_of_more_terms_than_are_sent(spark, monkeypatch):
+    """Terms that are not sent meet their frequency in a shuffle of their own postings: nothing is repeated over salts."""
+    df = docs(spark).unionByName(spark.createDataFrame([(100 + i, f"the word w{i} w{i // 3} w{i}") for i in range(40)] + [(900, None)], docs(spark).schema))
+    due = {r["id"]: {} for r in df.collect()}
+    for r in fulltext.bm25_weights(df).select("id", F.xxhash64("term").alias("t"), "weight").collect():
+        due[r["id"]][r["t"]] = r["weight"]
+    for sent in (0, 3, 200_000):
+        monkeypatch.setattr(fulltext, "TERMS_SENT", sent)
+        monkeypatch.setattr(fulltext, "skew_join", None)
+        monkeypatch.setattr(fulltext, "broadcast_if_small", lambda df, *_: df)
+        got = {r["id"]: r["sparse"] for r in fulltext.bm25_encode(df).collect()}
+        assert got.keys() == due.keys() and got[900] == {}
+        for i, row in due.items():
+            assert got[i].keys() == row.keys() and all(abs(got[i][t] - w) < 1e-12 for t, w in row.items())
+        monkeypatch.undo()
