@@ -189,7 +189,7 @@ def search_index(index: StoredIndex, queries: DataFrame, k: int, nprobe: int = 1
     """
     coded = index.column == "code"
     keep = k * refine if coded and refine else k
-    hits, probed = _hits(index, queries, keep, [nprobe], filter, qid, query_vector, shared_bound=True, refine=bool(coded and refine))
+    hits, probed = _hits(index, queries, keep, [nprobe], filter, qid, query_vector, shared_bound=True, final=k if coded and refine else 0)
     if not (coded and refine):
         return cells._ranked(hits, qid, index.id, k, index.metric)
     if "exact" in hits.columns:
@@ -215,7 +215,7 @@ def search_settings(index: StoredIndex, queries: DataFrame, k: int, nprobes: Seq
 
 
 def _hits(index: StoredIndex, queries: DataFrame, k: int, nprobes: Sequence[int], filter, qid: str, query_vector: str | None,
-          shared_bound: bool, refine: bool = False) -> tuple[DataFrame, Column | None]:
+          shared_bound: bool, final: int = 0) -> tuple[DataFrame, Column | None]:
     """Best ``k`` rows per query and task (or cell): (qid, id, cell, probe, cost), and the condition that keeps the probed cells."""
     from nearfield.operators.search import cost_bytes, query_volume
 
@@ -224,7 +224,7 @@ def _hits(index: StoredIndex, queries: DataFrame, k: int, nprobes: Sequence[int]
     nprobe = max(nprobes)
     count, fits = query_volume(asked, cost_bytes("vector", "l2"))
     if not fits or count * nprobe > PROBE_PAIRS:
-        return _grid_hits(index, asked, k, nprobes, filter, qid, refine), None
+        return _grid_hits(index, asked, k, nprobes, filter, qid, final), None
     asked = asked.repartition(max(1, count * len(index.centers) // cells.DISTANCES_AT_ONCE)).sortWithinPartitions(qid)
     probes = _probes(asked, index, nprobe).toArrow()
     names = [c for c in ("bits", "vector") if c in probes.schema.names]
@@ -276,102 +276,18 @@ def _hits(index: StoredIndex, queries: DataFrame, k: int, nprobes: Sequence[int]
 
 def _probes(asked: DataFrame, index: StoredIndex, nprobe: int) -> DataFrame:
     """Each query with ``near``, its ``nprobe`` nearest cells in order."""
-    keep = [f for f in asked.schema.fields if not (index.kind == "binary" and f.name == "vector")]
-    schema = T.StructType([*keep, T.StructField("near", T.ArrayType(T.IntegerType()))])
-    centers, cosine = index.centers, index.cosine
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in cells._slices(batches, len(centers)):
-            d = cells._squared(cells._matrix(batch.column("vector"), cosine), centers)
-            near = np.argsort(d, axis=1, kind="stable")[:, :nprobe].astype(np.int32)
-            column = pa.ListArray.from_arrays(pa.array((np.arange(len(near) + 1) * nprobe).astype(np.int32)), pa.array(near.ravel()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in keep], column], names=schema.names)
-
-    return asked.mapInArrow(run, schema)
+    return cells.near_cells(asked, index.centers, nprobe, index.cosine, ("vector",) if index.kind == "binary" else ())
 
 
-def _grid_hits(index: StoredIndex, asked: DataFrame, k: int, nprobes: Sequence[int], filter, qid: str, refine: bool) -> DataFrame:
-    """The same for a query side of any size: both sides are dealt over a grid of tasks, whose base rows come cell by cell.
-
-    Where all cells are probed the rows of several meet the queries together. A task gives at most ``k`` rows per query and step of ``nprobes`` (the probes that one setting has more than the one before). With ``refine``
-    a hit also has ``exact``, its cost on raw vectors, so that no vector moves with a hit.
-    """
+def _grid_hits(index: StoredIndex, asked: DataFrame, k: int, nprobes: Sequence[int], filter, qid: str, final: int) -> DataFrame:
+    """The same for a query side of any size; with ``final`` a hit also has ``exact``, its cost on raw vectors."""
     from nearfield.operators.search import cost_bytes, grid_of
 
     near = _probes(asked, index, max(nprobes))
-    raw = ["vector"] if refine else []
-    rows = _scannable(index, filter).select(index.id, "cell", index.column, *raw)
+    rows = _scannable(index, filter).select(index.id, "cell", index.column, *(["vector"] if final else []))
     bytes_of = F.octet_length("bits") * 64 if index.kind == "binary" else cost_bytes("vector", "l2")
-    steps = np.array(sorted(set(nprobes)))
-    shape = grid_of(rows, near, bytes_of, k * len(steps))
-    every = steps.tolist() == [len(index.centers)]  # each query meets all rows, whatever their cells
-    # rows of one cell are few, so more queries meet them at once
-    cut = {} if every else {"cell": "cell", "base_rows": max(1, blocks.BASE_ROWS // 8), "query_rows": 8 * blocks.QUERY_ROWS}
-    grid = blocks.pair_grid(rows, near, index.id, qid, shape, **cut)
-    kernel, id_name, metric = index.kernel(), index.id, index.metric
-    schema = T.StructType([asked.schema[qid], rows.schema[index.id], T.StructField("cell", T.IntegerType()), T.StructField("probe", T.IntegerType()),
-                           *([T.StructField("exact", T.DoubleType())] if refine else []), T.StructField("cost", T.DoubleType())])
-    base_rows, query_rows = grid.base_rows, grid.query_rows
-    plain = blocks.DenseKernel(metric)
-
-    def kept_of(query: pa.RecordBatch) -> blocks.Kept:
-        return blocks.Kept(k, [id_name], np.full(query.num_rows * len(steps), np.inf))
-
-    def opened(query: pa.RecordBatch):
-        near = np.array(query.column("near").to_pylist(), np.int64).reshape(query.num_rows, -1)
-        rank = np.tile(np.arange(1, near.shape[1] + 1), len(near))
-        order = np.argsort(near.ravel(), kind="stable")
-        if every:
-            order, rank = np.argsort(near, axis=1), rank.reshape(near.shape)
-            return query, kernel.load(query, True), plain.load(query, True) if refine else None, None, None, np.take_along_axis(rank, order, axis=1), kept_of(query)
-        return query, kernel.load(query, True), plain.load(query, True) if refine else None, near.ravel()[order], order // near.shape[1], rank[order], kept_of(query)
-
-    def score(cell: int, pieces: list[pa.RecordBatch], sides: list) -> None:
-        for part in blocks._cut(pieces, base_rows):
-            b, whole = kernel.load(part, False), plain.load(part, False) if refine else None
-            for query, loaded, vectors, cell_of, query_of, rank_of, kept in sides:
-                if every:
-                    qi, bi, cost = blocks.score_pair(kernel, loaded, b, part, k, kept.tau, [id_name])
-                    asks, who = qi, qi
-                    rank = rank_of[qi, part.column("cell").to_numpy()[bi]]
-                else:
-                    low, high = np.searchsorted(cell_of, [cell, cell + 1])
-                    if low == high:
-                        continue
-                    own, rank = query_of[low:high], rank_of[low:high]
-                    who = own * len(steps) + np.searchsorted(steps, rank)
-                    qi, bi, cost = blocks.score_pair(kernel, loaded[own], b, part, k, kept.tau[who], [id_name])
-                    asks, who, rank = own[qi], who[qi], rank[qi]
-                if not len(qi):
-                    continue
-                columns = [query.column(qid).take(pa.array(asks)), part.column(id_name).take(pa.array(bi)), part.column("cell").take(pa.array(bi)), pa.array(rank.astype(np.int32))]
-                if refine:
-                    columns.append(pa.array(plain.exact(vectors, whole, asks, bi, cost) + 0.0))
-                kept.add(who, pa.RecordBatch.from_arrays([*columns, pa.array(cost)], names=schema.names))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, cell, waiting, sides = None, None, [], None
-
-        def end() -> Iterator[pa.RecordBatch]:
-            if sides:
-                score(cell, waiting, sides)
-                for side in sides:
-                    yield from side[-1].give()
-
-        for batch in batches:
-            for at, side, own, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "side", "cell")), batch.column("payload")):
-                if at != part:
-                    yield from end()
-                    part, cell, waiting, sides = at, None, [], None
-                if side and sides is None:
-                    sides, waiting, cell = [opened(q) for q in blocks._cut(waiting, query_rows)], [], own
-                if side and (own != cell or sum(b.num_rows for b in waiting) >= base_rows):
-                    score(cell, waiting, sides)
-                    cell, waiting = own, []
-                waiting.append(blocks.decode(payload.as_buffer()))
-        yield from end()
-
-    return grid.packed.mapInArrow(run, schema)
+    shape = grid_of(rows, near, bytes_of, k * len(set(nprobes)), whole=final > 0)
+    return cells.grid_hits(rows, near, index.kernel(), index.metric, len(index.centers), k, nprobes, shape, index.id, qid, final)
 
 
 def _refined(index: StoredIndex, short: DataFrame, queries: DataFrame, probed: Column | None, k: int, qid: str, query_vector: str | None) -> DataFrame:
