@@ -137,5 +137,6 @@ def group_purity(hits: DataFrame, base: DataFrame, queries: DataFrame, *, id: st
 
 def compare_searches(searches: Mapping[str, DataFrame], truth: DataFrame, k: int, *, id: str = "id") -> DataFrame:
     """Recall summary per named search result, as one table; names stand for parameter combinations."""
+    truth = materialize(truth.select("qid", "rank", id), "truth")  # read twice per search
     rows = [recall_at_k(hits, truth, k, id=id).select(F.lit(name).alias("search"), "recall") for name, hits in searches.items()]
     return recall_summary(reduce(DataFrame.unionByName, rows), ["search"])

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from nearfield.operators import blocks, cells, fusion, search
+from nearfield.operators import blocks, cells, fusion, indexes, quality, search
 
 
 def vectors(spark, m, name="id"):
@@ -198,3 +198,46 @@ def test_sparse_blocks_of_few_keys_are_matrices(spark):
     assert [(int(a), int(b)) for a, b in zip(qi, bi)] == [(0, 3), (0, 4), (0, 0), (1, 1), (2, 2)]
     again = blocks.score_pair(kernel, q, kernel.load(other, False), other, 9, np.full(3, np.inf), ["id"])
     assert again[2].tolist() == [cost[0]]
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_many_queries_of_cells_meet_on_the_grid(spark, sides, bounded, monkeypatch, metric):
+    """Hits are kept per query over all cells; before, each pair of blocks of a cell gave its own."""
+    base, queries = sides
+    index = cells.build_cells(base, 6, metric)
+    asked = dict(plain=lambda p: cells.ivf_search(index, queries, 7, p), codes=lambda p: cells.pq_search(index, queries, 7, p, m=4, nbits=3, refine=3))
+    with monkeypatch.context() as m:
+        m.setattr(blocks, "pair_cells", None)
+        got = {(kind, p): rows_of(f(p)) for kind, f in asked.items() for p in (2, 6)}
+    monkeypatch.undo()
+    assert got == {(kind, p): rows_of(f(p)) for kind, f in asked.items() for p in (2, 6)}
+
+
+def test_short_lists_do_not_leave_a_task_that_sees_all_rows(spark, sides, bounded, tmp_path):
+    base, queries = sides
+    index = indexes.build_index(base, str(tmp_path / "pq"), "pq", nlist=5, metric="cosine", m=4, nbits=3)
+    hits = indexes._grid_hits(index, queries, 60, [5], None, "qid", 6)
+    assert hits.count() == 6 * queries.count()
+    assert blocks.grid_shape(600_000, 600_000, 512, 8, 400 * blocks.HIT_BYTES, whole=True) == (1, 117)
+    assert blocks.grid_shape(50_000, 50_000, 512, 8, 80 * blocks.HIT_BYTES, whole=True) == (1, 24)
+    assert blocks.grid_shape(6_000_000, 600_000, 512, 8, 80 * blocks.HIT_BYTES, whole=True)[0] == 6
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_products_find_what_code_tables_say(metric):
+    rng = np.random.default_rng(4)
+    kernel = cells.ProductCodeKernel(metric, [rng.normal(size=(8, 3)) for _ in range(4)])
+    q, codes = rng.normal(size=(30, 12)), rng.integers(0, 8, (200, 4)).astype(np.uint16)
+    codes[50:80] = codes[0]
+    costs, base = kernel.costs(q, codes), pa.RecordBatch.from_arrays([pa.array(np.arange(200))], names=["id"])
+    qi, bi, cost = blocks.score_pair(kernel, q, codes, base, 9, np.full(30, np.inf), ["id"])
+    due = [(i, j) for i in range(30) for j in np.lexsort((np.arange(200), costs[i]))[:9]]
+    assert list(zip(qi, bi)) == due and (cost == costs[qi, bi]).all()
+
+
+def test_truth_is_searched_once_for_all_searches(spark, monkeypatch):
+    read, plain = [], quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df, name: (read.append(name), plain(df, name))[1])
+    truth = spark.createDataFrame([(q, r, 10 * q + r) for q in range(4) for r in (1, 2)], "qid long, rank int, id long")
+    rows = quality.compare_searches({"all": truth, "half": truth.filter("rank = 1")}, truth, 2).collect()
+    assert {r["search"]: r["avg_recall"] for r in rows} == {"all": 1.0, "half": 0.5} and read == ["truth"]
